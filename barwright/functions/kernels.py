@@ -56,15 +56,35 @@ def rstd(x, n):
 
 
 def recur(x, alpha, start, seed):
-    """y[start] = seed; y[t] = (1 - alpha)·y[t-1] + alpha·x[t] after it."""
-    y = np.full(len(x), NAN)
-    if start is None or start >= len(x):
+    """y[start] = seed; y[t] = (1 - alpha)·y[t-1] + alpha·x[t] after it.
+
+    Closed form per block: y = q^K · (y0 + Σ alpha·x_j·q^-K_j), K counting valid
+    steps, so a NULL x holds the state. Blocks keep q^-K below ~1e280.
+    """
+    n = len(x)
+    y = np.full(n, NAN)
+    if start is None or start >= n:
         return y
-    seg = np.array(x[start:], dtype="float64")
-    seg[0] = seed
-    out = pd.Series(seg).ewm(alpha=alpha, adjust=False, ignore_na=True).mean().to_numpy()
-    out[1:][np.isnan(x[start + 1:])] = NAN
-    y[start:] = out
+    y[start] = seed
+    xs = np.asarray(x[start + 1:], dtype="float64")
+    if not len(xs):
+        return y
+    q = 1.0 - alpha
+    valid = ~np.isnan(xs)
+    if q <= 0.0:
+        y[start + 1:] = np.where(valid, xs, NAN)
+        return y
+    block = len(xs) if q >= 1.0 else max(1, int(280.0 / -np.log10(q)))
+    out = np.empty(len(xs))
+    cur = seed
+    for s0 in range(0, len(xs), block):
+        xv, vv = xs[s0:s0 + block], valid[s0:s0 + block]
+        k = np.cumsum(vv)
+        acc = np.cumsum(np.where(vv, alpha * np.where(vv, xv, 0.0) * q ** (-k.astype("float64")), 0.0))
+        blk = q ** k * (cur + acc)
+        out[s0:s0 + block] = np.where(vv, blk, NAN)
+        cur = blk[-1]
+    y[start + 1:] = out
     return y
 
 
@@ -86,7 +106,19 @@ def rma(x, n):
     return y
 
 
+def _memo(a, key, fn):
+    """Per-chunk cache for series shared by several specs (true range, RSI)."""
+    cache = a.setdefault("__cache", {})
+    if key not in cache:
+        cache[key] = fn()
+    return cache[key]
+
+
 def true_range(a):
+    return _memo(a, "tr", lambda: _true_range(a))
+
+
+def _true_range(a):
     c1 = shift(a["close"])
     tr = np.fmax(a["high"] - a["low"], np.fmax(np.abs(a["high"] - c1), np.abs(a["low"] - c1)))
     tr[np.isnan(c1)] = NAN
@@ -129,7 +161,11 @@ def _p(*vals):
 
 # ---------------------------------------------------------------- momentum
 def k_rsi(a, length=14):
-    return {f"RSI_{length}": _rsi(a["close"], length)}
+    return {f"RSI_{length}": rsi_of_close(a, length)}
+
+
+def rsi_of_close(a, n):
+    return _memo(a, ("rsi", n), lambda: _rsi(a["close"], n))
 
 
 def _rsi(c, n):
@@ -139,7 +175,7 @@ def _rsi(c, n):
 
 
 def k_stochrsi(a, length=14, rsi_length=14, k=3, d=3):
-    r = _rsi(a["close"], rsi_length)
+    r = rsi_of_close(a, rsi_length)
     lo, hi = rmin(r, length), rmax(r, length)
     st = 100.0 * (r - lo) / (hi - lo)
     kk = sma(st, k)
@@ -174,7 +210,7 @@ def k_pgo(a, length=14):
 
 
 def k_qqe(a, length=14, smooth=5, factor=4.236):
-    rsi_ma = ema(_rsi(a["close"], length), smooth)
+    rsi_ma = ema(rsi_of_close(a, length), smooth)
     wl = 2 * length - 1
     dar = factor * ema(ema(np.abs(rsi_ma - shift(rsi_ma)), wl), wl)
     lower, upper = rsi_ma - dar, rsi_ma + dar

@@ -1,49 +1,138 @@
 """Native indicator builders: Spark window expressions (classes E, F, C).
 
-A builder returns stages: lists of (name, Column). Stage i may use columns made
-by stages < i (Spark forbids a window function inside another); all stages
-share one partitioning and ordering, so they plan as consecutive WindowExecs
-with no exchange or sort between them. Names starting with `__` are helpers
-and are dropped at the end.
-
-Base columns (stage 0, shared by all builders): __c1/__h1/__l1/__v1 (values one
-bar back), __rn (row number), __c0 (first close of the chunk, a level used to
-centre long power sums), __tr (true range, NULL on the first row), __tp.
+Builders emit Spark SQL expression text. A builder returns stages: lists of
+(name, expression). Stage i may use columns made by stages < i (Spark forbids a
+window function inside another); all stages share one partitioning and
+ordering, so they plan as consecutive WindowExecs with no exchange or sort in
+between. Each stage is applied with one `selectExpr`, which keeps plan
+construction cheap even for hundreds of columns. Names starting with `__` are
+helpers and are dropped at the end.
+
+Guard rule: a rolling result is NULL until its frame holds n non-NULL values.
+Sums over long frames are a difference of two running frames (O(1) per row),
+see `barwright.operators.windows`.
+
+Base columns (stage 0, shared): __c1/__h1/__l1/__v1 (values one bar back),
+__rn (row number), __c0 (first close of the chunk: a level that centres long
+power sums), __tr (true range, NULL on the first row), __tp (typical price).
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
-from pyspark.sql import Column, Window
-from pyspark.sql import functions as F
+from barwright.operators.windows import PREFIX_THRESHOLD
 
-from barwright.operators.windows import Frames, div
 
-o = h = l = c = v = C1 = H1 = L1 = V1 = RN = C0 = TR = TP = None  # bound by bind_columns()
+def q(name: str) -> str:
+    """Quoted column name (indicator names may contain dots)."""
+    return f"`{name}`"
 
 
-def bind_columns() -> None:
-    """Create the shared column references (needs an active SparkContext)."""
-    global o, h, l, c, v, C1, H1, L1, V1, RN, C0, TR, TP
-    o, h, l, c, v = (F.col(x) for x in ("open", "high", "low", "close", "volume"))
-    C1, H1, L1, V1 = F.col("__c1"), F.col("__h1"), F.col("__l1"), F.col("__v1")
-    RN, C0, TR, TP = F.col("__rn"), F.col("__c0"), F.col("__tr"), F.col("__tp")
+O, H, L, C, V = "`open`", "`high`", "`low`", "`close`", "`volume`"
+C1, H1, L1, V1 = "`__c1`", "`__h1`", "`__l1`", "`__v1`"
+RN, C0, TR, TP = "`__rn`", "`__c0`", "`__tr`", "`__tp`"
 
 
-def base_stage(fr: Frames) -> list[tuple[str, Column]]:
-    bind_columns()
-    c1 = fr.lag("close", 1)
-    tr = F.when(c1.isNotNull(), F.greatest(h - l, F.abs(h - c1), F.abs(l - c1)))
+def div(a: str, b: str) -> str:
+    """a / b, NULL when b is 0 or NULL (safe under ANSI mode)."""
+    return f"try_divide({a}, {b})"
+
+
+def num(x: float) -> str:
+    return f"CAST({float(x)!r} AS DOUBLE)"
+
+
+class Sql:
+    """Window expression factory for one partitioning, as SQL text."""
+
+    def __init__(self, keys: Sequence[str], order: str = "open_time", threshold: int = PREFIX_THRESHOLD):
+        self.keys = tuple(keys)
+        self.order = order
+        self.spec = f"PARTITION BY {', '.join(q(k) for k in self.keys)} ORDER BY {q(order)}"
+        self.threshold = threshold
+
+    def over(self, frame: str = "") -> str:
+        return f"OVER ({self.spec}{' ' + frame if frame else ''})"
+
+    def rows(self, n: int) -> str:
+        return self.over(f"ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW")
+
+    def cum(self) -> str:
+        return self.over("ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW")
+
+    def upto(self, n: int) -> str:
+        return self.over(f"ROWS BETWEEN UNBOUNDED PRECEDING AND {n} PRECEDING")
+
+    def lag(self, x: str, k: int = 1) -> str:
+        return f"lag({x}, {k}) {self.over()}"
+
+    def count(self, x: str, n: int) -> str:
+        if n > self.threshold:
+            return f"(count({x}) {self.cum()} - count({x}) {self.upto(n)})"
+        return f"count({x}) {self.rows(n)}"
+
+    def raw_sum(self, x: str, n: int) -> str:
+        if n > self.threshold:
+            return f"(sum({x}) {self.cum()} - coalesce(sum({x}) {self.upto(n)}, 0D))"
+        return f"sum({x}) {self.rows(n)}"
+
+    def full(self, x: str, n: int) -> str:
+        return f"{self.count(x, n)} = {n}"
+
+    def guard(self, x: str, n: int, expr: str) -> str:
+        return f"CASE WHEN {self.full(x, n)} THEN {expr} END"
+
+    def sum(self, x: str, n: int) -> str:
+        return self.guard(x, n, self.raw_sum(x, n))
+
+    def mean(self, x: str, n: int) -> str:
+        return self.guard(x, n, f"{self.raw_sum(x, n)} / {n}D")
+
+    def max(self, x: str, n: int) -> str:
+        return self.guard(x, n, f"max({x}) {self.rows(n)}")
+
+    def min(self, x: str, n: int) -> str:
+        return self.guard(x, n, f"min({x}) {self.rows(n)}")
+
+    def var(self, x: str, n: int, shift: str | None = C0) -> str:
+        """Sample variance; long frames use power sums of x − shift."""
+        if n <= self.threshold:
+            return self.guard(x, n, f"var_samp({x}) {self.rows(n)}")
+        xc = f"({x} - {shift})" if shift else x
+        s1, s2 = self.raw_sum(xc, n), self.raw_sum(f"{xc} * {xc}", n)
+        return self.guard(x, n, f"greatest(({s2} - {s1} * {s1} / {n}D) / {n - 1}D, 0D)")
+
+    def std(self, x: str, n: int, shift: str | None = C0) -> str:
+        return f"sqrt({self.var(x, n, shift)})"
+
+    def wma(self, x: str, n: int) -> str:
+        """Linear weights 1..n, newest heaviest: Σ rn·x − (rn_t − n)·Σ x over the frame."""
+        sx = self.raw_sum(x, n)
+        srx = self.raw_sum(f"{RN} * {x}", n)
+        return self.guard(x, n, f"({srx} - ({RN} - {n}D) * {sx}) / {n * (n + 1) / 2.0!r}D")
+
+    def linreg(self, y: str, n: int) -> str:
+        """OLS fit of y on x = 1..n over the last n rows, evaluated at the newest row."""
+        sy = self.raw_sum(y, n)
+        sxy = f"({self.raw_sum(f'{RN} * {y}', n)} - ({RN} - {n}D) * {sy})"
+        sx, sxx = n * (n + 1) / 2.0, n * (n + 1) * (2 * n + 1) / 6.0
+        slope = f"(({n}D * {sxy} - {sx!r}D * {sy}) / {n * sxx - sx * sx!r}D)"
+        return self.guard(y, n, f"(({sy} - {slope} * {sx!r}D) / {n}D + {slope} * {n}D)")
+
+
+def base_stage(w: Sql) -> list[tuple[str, str]]:
+    c1 = w.lag(C)
     return [
         ("__c1", c1),
-        ("__h1", fr.lag("high", 1)),
-        ("__l1", fr.lag("low", 1)),
-        ("__v1", fr.lag("volume", 1)),
-        ("__rn", fr.rn().cast("double")),
-        ("__c0", fr.first("close")),
-        ("__tr", tr),
-        ("__tp", (h + l + c) / 3.0),
+        ("__h1", w.lag(H)),
+        ("__l1", w.lag(L)),
+        ("__v1", w.lag(V)),
+        ("__rn", f"CAST(row_number() {w.over()} AS DOUBLE)"),
+        ("__c0", f"first({C}, true) {w.cum()}"),
+        ("__tr", f"CASE WHEN {c1} IS NOT NULL THEN greatest({H} - {L}, abs({H} - {c1}), abs({L} - {c1})) END"),
+        ("__tp", f"({H} + {L} + {C}) / 3D"),
     ]
 
 
@@ -51,321 +140,298 @@ def _p(*vals) -> str:
     return "_".join(str(x) for x in vals)
 
 
-def clv() -> Column:
-    """Close location value, 0 when high == low."""
-    return F.when(h != l, ((c - l) - (h - c)) / (h - l)).otherwise(F.lit(0.0))
-
-
-def linreg_value(fr: Frames, y: Column, n: int) -> Column:
-    """OLS fit of y on x = 1..n over the last n rows, evaluated at the newest row."""
-    sy = fr.raw_sum(y, n)
-    # Σ x·y with x_i = rn_i − (rn_t − n)
-    sxy = fr.raw_sum(RN * y, n) - (RN - F.lit(float(n))) * sy
-    sx = n * (n + 1) / 2.0
-    sxx = n * (n + 1) * (2 * n + 1) / 6.0
-    slope = (F.lit(float(n)) * sxy - F.lit(sx) * sy) / F.lit(n * sxx - sx * sx)
-    intercept = (sy - slope * F.lit(sx)) / F.lit(float(n))
-    return F.when(fr.full(y, n), intercept + slope * F.lit(float(n)))
+CLV = f"CASE WHEN {H} != {L} THEN (({C} - {L}) - ({H} - {C})) / ({H} - {L}) ELSE 0D END"
 
 
 # ---------------------------------------------------------------- momentum
-def roc(fr, length=10):
-    return [[(f"ROC_{length}", 100.0 * (div(c, fr.lag("close", length)) - 1.0))]]
+def stoch(w, k=14, d=3, smooth_k=3):
+    p = _p(k, d, smooth_k)
+    ll, hh = w.min(L, k), w.max(H, k)
+    raw = f"__stoch_raw{k}"
+    return [[(raw, f"100D * {div(f'{C} - {ll}', f'{hh} - {ll}')}")],
+            [(f"STOCHk_{p}", w.mean(q(raw), smooth_k))],
+            [(f"STOCHd_{p}", w.mean(q(f"STOCHk_{p}"), d))]]
 
 
-def mom(fr, length=10):
-    return [[(f"MOM_{length}", c - fr.lag("close", length))]]
+def roc(w, length=10):
+    return [[(f"ROC_{length}", f"100D * ({div(C, w.lag(C, length))} - 1D)")]]
 
 
-def bop(fr):
-    return [[("BOP", div(c - o, h - l))]]
+def mom(w, length=10):
+    return [[(f"MOM_{length}", f"{C} - {w.lag(C, length)}")]]
 
 
-def stoch(fr, k=14, d=3, smooth_k=3):
-    p = _p(k, d, smooth_k)
-    ll, hh = fr.min("low", k), fr.max("high", k)
-    raw = f"__stoch_raw{k}"
-    return [[(raw, 100.0 * div(c - ll, hh - ll))],
-            [(f"STOCHk_{p}", fr.mean(raw, smooth_k))],
-            [(f"STOCHd_{p}", fr.mean(f"STOCHk_{p}", d))]]
+def bop(w):
+    return [[("BOP", div(f"{C} - {O}", f"{H} - {L}"))]]
 
 
-def cmo(fr, length=14):
-    up = F.greatest(c - C1, F.lit(0.0))
-    dn = F.greatest(C1 - c, F.lit(0.0))
-    su, sd = fr.sum(up, length), fr.sum(dn, length)
-    return [[(f"CMO_{length}", 100.0 * div(su - sd, su + sd))]]
+def cmo(w, length=14):
+    up, dn = f"greatest({C} - {C1}, 0D)", f"greatest({C1} - {C}, 0D)"
+    su, sd = w.sum(up, length), w.sum(dn, length)
+    return [[(f"CMO_{length}", f"100D * {div(f'{su} - {sd}', f'{su} + {sd}')}")]]
 
 
-def er(fr, length=10):
-    return [[(f"ER_{length}", div(F.abs(c - fr.lag("close", length)), fr.sum(F.abs(c - C1), length)))]]
+def er(w, length=10):
+    return [[(f"ER_{length}", div(f"abs({C} - {w.lag(C, length)})", w.sum(f"abs({C} - {C1})", length)))]]
 
 
-def kst(fr, roc1=10, roc2=15, roc3=20, roc4=30, sma1=10, sma2=10, sma3=10, sma4=15, signal=9):
+def kst(w, roc1=10, roc2=15, roc3=20, roc4=30, sma1=10, sma2=10, sma3=10, sma4=15, signal=9):
     rocs, smas = (roc1, roc2, roc3, roc4), (sma1, sma2, sma3, sma4)
     p = _p(*rocs, *smas)
-    s1 = [(f"__kst_r{r}", 100.0 * (div(c, fr.lag("close", r)) - 1.0)) for r in rocs]
-    total = None
-    for i, (r, n) in enumerate(zip(rocs, smas), start=1):
-        term = F.lit(float(i)) * fr.mean(f"__kst_r{r}", n)
-        total = term if total is None else total + term
-    return [s1, [(f"KST_{p}", total)], [(f"KSTs_{signal}", fr.mean(f"KST_{p}", signal))]]
+    s1 = [(f"__kst_r{r}", f"100D * ({div(C, w.lag(C, r))} - 1D)") for r in rocs]
+    total = " + ".join(f"{i}D * {w.mean(q(f'__kst_r{r}'), n)}" for i, (r, n) in enumerate(zip(rocs, smas), 1))
+    return [s1, [(f"KST_{p}", total)], [(f"KSTs_{signal}", w.mean(q(f"KST_{p}"), signal))]]
 
 
-def _swma4(fr, x: Column | str) -> Column:
+def _swma4(w, x: str) -> str:
     """Symmetric weighted mean of the last 4 values, weights 1, 2, 2, 1 over 6."""
-    x = F.col(x) if isinstance(x, str) else x
-    return (fr.lag(x, 3) + 2.0 * fr.lag(x, 2) + 2.0 * fr.lag(x, 1) + x) / 6.0
+    return f"({w.lag(x, 3)} + 2D * {w.lag(x, 2)} + 2D * {w.lag(x, 1)} + {x}) / 6D"
 
 
-def rvgi(fr, length=14, swma_length=4):
-    name = f"RVGI_{length}"
+def rvgi(w, length=14, swma_length=4):
+    name, n_, d_ = f"RVGI_{length}", f"__rvgi_n{length}", f"__rvgi_d{length}"
     return [
-        [(f"__rvgi_n{length}", _swma4(fr, c - o)), (f"__rvgi_d{length}", _swma4(fr, h - l))],
-        [(name, div(fr.sum(f"__rvgi_n{length}", length), fr.sum(f"__rvgi_d{length}", length)))],
-        [(f"RVGIs_{length}", _swma4(fr, name))],
+        [(n_, _swma4(w, f"({C} - {O})")), (d_, _swma4(w, f"({H} - {L})"))],
+        [(name, div(w.sum(q(n_), length), w.sum(q(d_), length)))],
+        [(f"RVGIs_{length}", _swma4(w, q(name)))],
     ]
 
 
-def uo(fr, fast=7, middle=14, slow=28):
-    lo = F.least(l, C1)  # least() skips NULL: the first row uses low
-    bp = c - lo
-    rng = F.greatest(h, C1) - lo
-    a = [div(fr.sum(bp, n), fr.sum(rng, n)) for n in (fast, middle, slow)]
-    return [[(f"UO_{_p(fast, middle, slow)}", 100.0 * (4.0 * a[0] + 2.0 * a[1] + a[2]) / 7.0)]]
+def uo(w, fast=7, middle=14, slow=28):
+    lo = f"least({L}, {C1})"  # least() skips NULL: the first row uses low
+    bp, rng = f"({C} - {lo})", f"(greatest({H}, {C1}) - {lo})"
+    a = [div(w.sum(bp, n), w.sum(rng, n)) for n in (fast, middle, slow)]
+    return [[(f"UO_{_p(fast, middle, slow)}", f"100D * (4D * {a[0]} + 2D * {a[1]} + {a[2]}) / 7D")]]
 
 
-def willr(fr, length=14):
-    hh, ll = fr.max("high", length), fr.min("low", length)
-    return [[(f"WILLR_{length}", -100.0 * div(hh - c, hh - ll))]]
+def willr(w, length=14):
+    hh, ll = w.max(H, length), w.min(L, length)
+    return [[(f"WILLR_{length}", f"-100D * {div(f'{hh} - {C}', f'{hh} - {ll}')}")]]
 
 
-def cfo(fr, length=9):
-    return [[(f"CFO_{length}", 100.0 * div(c - linreg_value(fr, c, length), c))]]
+def cfo(w, length=9):
+    return [[(f"CFO_{length}", f"100D * {div(f'{C} - {w.linreg(C, length)}', C)}")]]
 
 
-def cg(fr, length=10):
+def cg(w, length=10):
     # Σ (age + 1)·c = (rn_t + 1)·Σc − Σ rn·c
-    sc = fr.raw_sum(c, length)
-    num = (RN + 1.0) * sc - fr.raw_sum(RN * c, length)
-    return [[(f"CG_{length}", F.when(fr.full(c, length), -div(num, sc)))]]
+    sc = w.raw_sum(C, length)
+    numer = f"(({RN} + 1D) * {sc} - {w.raw_sum(f'{RN} * {C}', length)})"
+    return [[(f"CG_{length}", w.guard(C, length, f"-{div(numer, sc)}"))]]
 
 
-def cti(fr, length=12):
-    r = F.corr(c, RN).over(fr.rows(length))
-    return [[(f"CTI_{length}", F.when(fr.full(c, length), r))]]
+def cti(w, length=12):
+    return [[(f"CTI_{length}", w.guard(C, length, f"corr({C}, {RN}) {w.rows(length)}"))]]
 
 
 # ------------------------------------------------------------------- trend
-def aroon(fr, length=14):
+def aroon(w, length=14):
     n = length + 1
-    w = fr.rows(n)
-    # The latest extreme wins ties: max over (value, rn) and min over (value, -rn).
-    up_age = RN - F.max(F.struct(h.alias("v"), RN.alias("r"))).over(w)["r"]
-    dn_age = RN + F.min(F.struct(l.alias("v"), (-RN).alias("r"))).over(w)["r"]
-    full = fr.full(h, n) & fr.full(l, n)
-    up = F.when(full, 100.0 * (1.0 - up_age / float(length)))
-    dn = F.when(full, 100.0 * (1.0 - dn_age / float(length)))
-    return [[(f"AROOND_{length}", dn), (f"AROONU_{length}", up)],
-            [(f"AROONOSC_{length}", F.col(f"AROONU_{length}") - F.col(f"AROOND_{length}"))]]
+    frame = w.rows(n)
+    # The latest extreme wins ties: max over (value, rn), min over (value, -rn).
+    up_age = f"({RN} - (max(named_struct('v', {H}, 'r', {RN})) {frame}).r)"
+    dn_age = f"({RN} + (min(named_struct('v', {L}, 'r', -{RN})) {frame}).r)"
+    full = f"{w.full(H, n)} AND {w.full(L, n)}"
+    return [[(f"AROOND_{length}", f"CASE WHEN {full} THEN 100D * (1D - {dn_age} / {length}D) END"),
+             (f"AROONU_{length}", f"CASE WHEN {full} THEN 100D * (1D - {up_age} / {length}D) END")],
+            [(f"AROONOSC_{length}", f"{q(f'AROONU_{length}')} - {q(f'AROOND_{length}')}")]]
 
 
-def chop(fr, length=14):
-    rng = fr.max("high", length) - fr.min("low", length)
-    ratio = div(fr.sum(TR, length), rng)
-    return [[(f"CHOP_{length}", F.when(ratio > 0, 100.0 * F.log10(ratio) / math.log10(length)))]]
+def chop(w, length=14):
+    ratio = div(w.sum(TR, length), f"({w.max(H, length)} - {w.min(L, length)})")
+    return [[(f"CHOP_{length}",
+              f"CASE WHEN {ratio} > 0 THEN 100D * log10({ratio}) / {math.log10(length)!r}D END")]]
 
 
-def dpo(fr, length=20, lookahead=False):
+def dpo(w, length=20, lookahead=False):
     t = length // 2 + 1
-    return [[(f"__dpo_sma{length}", fr.mean("close", length))],
-            [(f"DPO_{length}", c - fr.lag(f"__dpo_sma{length}", t))]]
+    s = f"__dpo_sma{length}"
+    return [[(s, w.mean(C, length))], [(f"DPO_{length}", f"{C} - {w.lag(q(s), t)}")]]
 
 
-def qstick(fr, length=10):
-    return [[(f"QS_{length}", fr.mean(c - o, length))]]
+def qstick(w, length=10):
+    return [[(f"QS_{length}", w.mean(f"({C} - {O})", length))]]
 
 
-def vhf(fr, length=28):
-    return [[(f"VHF_{length}", div(fr.max("close", length) - fr.min("close", length),
-                                   fr.sum(F.abs(c - C1), length)))]]
+def vhf(w, length=28):
+    return [[(f"VHF_{length}", div(f"{w.max(C, length)} - {w.min(C, length)}",
+                                   w.sum(f"abs({C} - {C1})", length)))]]
 
 
-def vortex(fr, length=14):
-    s_tr = fr.sum(TR, length)
-    vp = fr.sum(F.abs(h - L1), length)
-    vm = fr.sum(F.abs(l - H1), length)
-    return [[(f"VTXP_{length}", div(vp, s_tr)), (f"VTXM_{length}", div(vm, s_tr))]]
+def vortex(w, length=14):
+    s_tr = w.sum(TR, length)
+    return [[(f"VTXP_{length}", div(w.sum(f"abs({H} - {L1})", length), s_tr)),
+             (f"VTXM_{length}", div(w.sum(f"abs({L} - {H1})", length), s_tr))]]
 
 
 # ----------------------------------------------------------------- overlap
-def sma(fr, length=10):
-    return [[(f"SMA_{length}", fr.mean("close", length))]]
+def sma(w, length=10):
+    return [[(f"SMA_{length}", w.mean(C, length))]]
 
 
-def wma(fr, length=10):
-    return [[(f"WMA_{length}", fr.wma(c, length, RN))]]
+def wma(w, length=10):
+    return [[(f"WMA_{length}", w.wma(C, length))]]
 
 
-def hma(fr, length=10):
+def hma(w, length=10):
     half, root = length // 2, int(math.isqrt(length))
     a, b = f"__hma_a{length}", f"__hma_b{length}"
-    return [[(a, fr.wma(c, half, RN)), (b, fr.wma(c, length, RN))],
-            [(f"HMA_{length}", fr.wma(2.0 * F.col(a) - F.col(b), root, RN))]]
+    return [[(a, w.wma(C, half)), (b, w.wma(C, length))],
+            [(f"HMA_{length}", w.wma(f"(2D * {q(a)} - {q(b)})", root))]]
 
 
-def vwma(fr, length=10):
-    return [[(f"VWMA_{length}", F.when(fr.full(c * v, length),
-                                       div(fr.raw_sum(c * v, length), fr.raw_sum(v, length))))]]
+def vwma(w, length=10):
+    return [[(f"VWMA_{length}", w.guard(f"({C} * {V})", length,
+                                        div(w.raw_sum(f"{C} * {V}", length), w.raw_sum(V, length))))]]
 
 
-def vwap(fr):
+def vwap(w):
     """Σ tp·v / Σ v since UTC midnight (anchor D)."""
-    if "chunk_date" in fr.keys:
+    if "chunk_date" in w.keys:
         # A chunk's own rows all lie on chunk_date and follow its warm-up rows,
         # so summing only same-day rows over the running frame is the
-        # since-midnight sum without a second partitioning.
-        today = F.col("date") == F.col("chunk_date")
-        num = F.sum(F.when(today, TP * v)).over(fr.cum())
-        den = F.sum(F.when(today, v)).over(fr.cum())
-        return [[("VWAP_D", F.when(today, div(num, den)))]]
-    wd = Window.partitionBy(*fr.keys, "date").orderBy(fr.order).rowsBetween(Window.unboundedPreceding, 0)
-    return [[("VWAP_D", div(F.sum(TP * v).over(wd), F.sum(v).over(wd)))]]
+        # since-midnight sum, without a second partitioning.
+        today = "`date` = `chunk_date`"
+        num_ = f"sum(CASE WHEN {today} THEN {TP} * {V} END) {w.cum()}"
+        den = f"sum(CASE WHEN {today} THEN {V} END) {w.cum()}"
+        return [[("VWAP_D", f"CASE WHEN {today} THEN {div(num_, den)} END")]]
+    spec = (f"OVER (PARTITION BY {', '.join(q(k) for k in w.keys)}, `date` ORDER BY {q(w.order)} "
+            f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+    return [[("VWAP_D", div(f"sum({TP} * {V}) {spec}", f"sum({V}) {spec}"))]]
 
 
-def bbands(fr, length=5, std=2.0):
+def bbands(w, length=5, std=2.0):
     p = _p(length, float(std), float(std))
-    mid = fr.mean("close", length)
-    sd = fr.std("close", length, C0)
-    lo, hi = mid - std * sd, mid + std * sd
-    return [[(f"BBL_{p}", lo), (f"BBM_{p}", mid), (f"BBU_{p}", hi)],
-            [(f"BBB_{p}", 100.0 * div(F.col(f"BBU_{p}") - F.col(f"BBL_{p}"), F.col(f"BBM_{p}"))),
-             (f"BBP_{p}", div(c - F.col(f"BBL_{p}"), F.col(f"BBU_{p}") - F.col(f"BBL_{p}")))]]
+    lo, mid, hi = q(f"BBL_{p}"), q(f"BBM_{p}"), q(f"BBU_{p}")
+    m, sd = w.mean(C, length), w.std(C, length)
+    return [[(f"BBL_{p}", f"{m} - {float(std)!r}D * {sd}"), (f"BBM_{p}", m),
+             (f"BBU_{p}", f"{m} + {float(std)!r}D * {sd}")],
+            [(f"BBB_{p}", f"100D * {div(f'{hi} - {lo}', mid)}"),
+             (f"BBP_{p}", div(f"{C} - {lo}", f"{hi} - {lo}"))]]
 
 
-def donchian(fr, lower_length=20, upper_length=20):
+def donchian(w, lower_length=20, upper_length=20):
     p = _p(lower_length, upper_length)
-    lo, hi = fr.min("low", lower_length), fr.max("high", upper_length)
-    return [[(f"DCL_{p}", lo), (f"DCM_{p}", (lo + hi) / 2.0), (f"DCU_{p}", hi)]]
+    lo, hi = w.min(L, lower_length), w.max(H, upper_length)
+    return [[(f"DCL_{p}", lo), (f"DCM_{p}", f"({lo} + {hi}) / 2D"), (f"DCU_{p}", hi)]]
 
 
-def linreg(fr, length=14):
-    return [[(f"LR_{length}", linreg_value(fr, c, length))]]
+def linreg(w, length=14):
+    return [[(f"LR_{length}", w.linreg(C, length))]]
 
 
-def midpoint(fr, length=2):
-    return [[(f"MIDPOINT_{length}", (fr.max("close", length) + fr.min("close", length)) / 2.0)]]
+def midpoint(w, length=2):
+    return [[(f"MIDPOINT_{length}", f"({w.max(C, length)} + {w.min(C, length)}) / 2D")]]
 
 
-def midprice(fr, length=2):
-    return [[(f"MIDPRICE_{length}", (fr.max("high", length) + fr.min("low", length)) / 2.0)]]
+def midprice(w, length=2):
+    return [[(f"MIDPRICE_{length}", f"({w.max(H, length)} + {w.min(L, length)}) / 2D")]]
 
 
-def ichimoku(fr, tenkan=9, kijun=26, senkou=52, lookahead=False):
+def ichimoku(w, tenkan=9, kijun=26, senkou=52, lookahead=False):
     def mid(n):
-        return (fr.max("high", n) + fr.min("low", n)) / 2.0
+        return f"({w.max(H, n)} + {w.min(L, n)}) / 2D"
     ts, ks, sb = f"ITS_{tenkan}", f"IKS_{kijun}", f"__isb_{senkou}"
     shift = kijun - 1
     return [[(ts, mid(tenkan)), (ks, mid(kijun)), (sb, mid(senkou))],
-            [(f"ISA_{tenkan}", fr.lag((F.col(ts) + F.col(ks)) / 2.0, shift)),
-             (f"ISB_{kijun}", fr.lag(sb, shift))]]
+            [(f"ISA_{tenkan}", w.lag(f"(({q(ts)} + {q(ks)}) / 2D)", shift)),
+             (f"ISB_{kijun}", w.lag(q(sb), shift))]]
 
 
 # -------------------------------------------------------------- volatility
-def true_range(fr):
+def true_range(w):
     return [[("TRUERANGE_1", TR)]]
 
 
-def stdev(fr, length=30):
-    return [[(f"STDEV_{length}", fr.std("close", length, C0))]]
+def stdev(w, length=30):
+    return [[(f"STDEV_{length}", w.std(C, length))]]
 
 
-def accbands(fr, length=20):
-    ratio = div(4.0 * (h - l), h + l)
-    return [[(f"ACCBL_{length}", fr.mean(l * (1.0 - ratio), length)),
-             (f"ACCBM_{length}", fr.mean("close", length)),
-             (f"ACCBU_{length}", fr.mean(h * (1.0 + ratio), length))]]
+def accbands(w, length=20):
+    ratio = div(f"4D * ({H} - {L})", f"({H} + {L})")
+    return [[(f"ACCBL_{length}", w.mean(f"({L} * (1D - {ratio}))", length)),
+             (f"ACCBM_{length}", w.mean(C, length)),
+             (f"ACCBU_{length}", w.mean(f"({H} * (1D + {ratio}))", length))]]
 
 
 # ------------------------------------------------------------------ volume
-def ad(fr):
-    return [[("AD", F.sum(clv() * v).over(fr.cum()))]]
+def ad(w):
+    return [[("AD", f"sum(({CLV}) * {V}) {w.cum()}")]]
 
 
-def obv(fr):
-    step = F.when(C1.isNull(), v).otherwise(F.signum(c - C1) * v)
-    return [[("OBV", F.sum(step).over(fr.cum()))]]
+def obv(w):
+    step = f"CASE WHEN {C1} IS NULL THEN {V} ELSE signum({C} - {C1}) * {V} END"
+    return [[("OBV", f"sum({step}) {w.cum()}")]]
 
 
-def mfi(fr, length=14):
-    tp1 = fr.lag(TP, 1)
-    raw = TP * v
-    pos = F.when(tp1.isNotNull(), F.when(TP > tp1, raw).otherwise(0.0))
-    neg = F.when(tp1.isNotNull(), F.when(TP < tp1, raw).otherwise(0.0))
-    return [[(f"__mfi_p{length}", pos), (f"__mfi_n{length}", neg)],
-            [(f"MFI_{length}", 100.0 * div(fr.sum(f"__mfi_p{length}", length),
-                                           fr.sum(f"__mfi_p{length}", length) + fr.sum(f"__mfi_n{length}", length)))]]
+def mfi(w, length=14):
+    tp1 = w.lag(TP)
+    raw = f"({TP} * {V})"
+    pos = f"CASE WHEN {tp1} IS NOT NULL THEN CASE WHEN {TP} > {tp1} THEN {raw} ELSE 0D END END"
+    neg = f"CASE WHEN {tp1} IS NOT NULL THEN CASE WHEN {TP} < {tp1} THEN {raw} ELSE 0D END END"
+    p_, n_ = f"__mfi_p{length}", f"__mfi_n{length}"
+    sp, sn = w.sum(q(p_), length), w.sum(q(n_), length)
+    return [[(p_, pos), (n_, neg)], [(f"MFI_{length}", f"100D * {div(sp, f'{sp} + {sn}')}")]]
 
 
-def cmf(fr, length=20):
-    return [[(f"CMF_{length}", F.when(fr.full(c, length),
-                                      div(fr.raw_sum(clv() * v, length), fr.raw_sum(v, length))))]]
+def cmf(w, length=20):
+    return [[(f"CMF_{length}", w.guard(C, length,
+                                       div(w.raw_sum(f"({CLV}) * {V}", length), w.raw_sum(V, length))))]]
 
 
-def _ratio_index(fr, cond: Column, name: str):
+def _ratio_index(w, cond: str, name: str):
     """1000 × product of c/c₁ over rows where cond holds, as 1000·exp(Σ ln)."""
-    step = F.when(C1.isNull(), F.lit(0.0)).otherwise(F.when(cond, F.ln(div(c, C1))).otherwise(0.0))
-    return [[(name, 1000.0 * F.exp(F.sum(step).over(fr.cum())))]]
+    step = f"CASE WHEN {C1} IS NULL THEN 0D WHEN {cond} THEN ln({div(C, C1)}) ELSE 0D END"
+    return [[(name, f"1000D * exp(sum({step}) {w.cum()})")]]
 
 
-def pvi(fr):
-    return _ratio_index(fr, v > V1, "PVI")
+def pvi(w):
+    return _ratio_index(w, f"{V} > {V1}", "PVI")
 
 
-def nvi(fr):
-    return _ratio_index(fr, v < V1, "NVI")
+def nvi(w):
+    return _ratio_index(w, f"{V} < {V1}", "NVI")
 
 
-def pvt(fr):
-    return [[("PVT", F.sum(v * div(c - C1, C1)).over(fr.cum()))]]
+def pvt(w):
+    return [[("PVT", f"sum({V} * {div(f'{C} - {C1}', C1)}) {w.cum()}")]]
 
 
 # ----------------------------------------------------------------- returns
-def log_return(fr, length=1, cumulative=False):
-    return [[("LOGRET_1", F.ln(div(c, C1)))]]
+def log_return(w, length=1, cumulative=False):
+    return [[("LOGRET_1", f"ln({div(C, C1)})")]]
 
 
-def percent_return(fr, length=1, cumulative=False):
-    return [[("PCTRET_1", div(c, C1) - 1.0)]]
+def percent_return(w, length=1, cumulative=False):
+    return [[("PCTRET_1", f"{div(C, C1)} - 1D")]]
 
 
 # -------------------------------------------------------------- statistics
-def entropy(fr, length=10, base=2.0):
-    p = f"__entp_p{length}"
-    term = -F.col(p) * F.log(float(base), F.col(p))
-    return [[(p, div(c, fr.sum("close", length)))],
-            [(f"ENTP_{length}", fr.sum(term, length))]]
+def entropy(w, length=10, base=2.0):
+    p = q(f"__entp_p{length}")
+    return [[(f"__entp_p{length}", div(C, w.sum(C, length)))],
+            [(f"ENTP_{length}", w.sum(f"(-{p} * log({float(base)!r}D, {p}))", length))]]
 
 
-def zscore(fr, length=30):
-    return [[(f"ZS_{length}", div(c - fr.mean("close", length), fr.std("close", length, C0)))]]
+def zscore(w, length=30):
+    return [[(f"ZS_{length}", div(f"{C} - {w.mean(C, length)}", w.std(C, length)))]]
 
 
-def variance(fr, length=30):
-    return [[(f"VAR_{length}", fr.var("close", length, C0))]]
+def variance(w, length=30):
+    return [[(f"VAR_{length}", w.var(C, length))]]
 
 
 # ----------------------------------------------------------------- candles
-def ohlc4(fr):
-    return [[("OHLC4", (o + h + l + c) / 4.0)]]
+def ohlc4(w):
+    return [[("OHLC4", f"({O} + {H} + {L} + {C}) / 4D")]]
 
 
-def hl2(fr):
-    return [[("HL2", (h + l) / 2.0)]]
+def hl2(w):
+    return [[("HL2", f"({H} + {L}) / 2D")]]
 
 
-def hlc3(fr):
-    return [[("HLC3", (h + l + c) / 3.0)]]
+def hlc3(w):
+    return [[("HLC3", f"({H} + {L} + {C}) / 3D")]]
 
 
 NATIVE = {

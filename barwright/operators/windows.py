@@ -27,7 +27,8 @@ SERIES_KEYS = ("symbol", "interval")
 
 
 def col(x: Column | str) -> Column:
-    return F.col(x) if isinstance(x, str) else x
+    """Column by exact name (quoted: indicator names may contain dots)."""
+    return F.col(f"`{x}`") if isinstance(x, str) else x
 
 
 def div(a: Column, b: Column) -> Column:

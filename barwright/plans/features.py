@@ -46,4 +46,4 @@ def build_features(
         df = add_orderflow(df, frames, orderflow_windows)
     if mode == "daily":
         df = slice_to_day(df)
-    return df.drop("chunk_date", "is_warmup")
+    return df.drop("chunk_date", "is_warmup", "__kernel_errors")
