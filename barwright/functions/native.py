@@ -166,7 +166,9 @@ def bop(w):
 
 
 def cmo(w, length=14):
-    up, dn = f"greatest({C} - {C1}, 0D)", f"greatest({C1} - {C}, 0D)"
+    # NULL on the first row (no previous close), so a window needs n real moves.
+    up = f"CASE WHEN {C1} IS NOT NULL THEN greatest({C} - {C1}, 0D) END"
+    dn = f"CASE WHEN {C1} IS NOT NULL THEN greatest({C1} - {C}, 0D) END"
     su, sd = w.sum(up, length), w.sum(dn, length)
     return [[(f"CMO_{length}", f"100D * {div(f'{su} - {sd}', f'{su} + {sd}')}")]]
 

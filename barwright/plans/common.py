@@ -9,7 +9,51 @@ from pyspark.sql import types as T
 from barwright.session import ensure_conf
 from barwright.sources.events import bars_from_events
 
-DIGITS = 6
+# Comparison precision: 8 significant digits, at most 5 decimals. Doubles
+# summed in a different order (Spark vs DuckDB) agree to ~1e-15 relative;
+# banding by magnitude keeps large cumulative values (price indices reach
+# 1e29 on the fixtures) comparable. Bands stop at 1e22, the largest power of
+# ten that is an exact double.
+SIG_DIGITS = 8
+MAX_DECIMALS = 5
+MAX_BAND = 22
+
+
+def band_digits() -> list[tuple[int, int]]:
+    """(k, digits): for |x| >= 10^k round to `digits` places, largest k first."""
+    out = []
+    for k in range(MAX_BAND + SIG_DIGITS - 1, 0, -1):
+        d = min(MAX_DECIMALS, SIG_DIGITS - 1 - k)
+        if d < MAX_DECIMALS:
+            out.append((k, max(d, -MAX_BAND)))
+    return out
+
+
+def _round_at(c, d: int):
+    """round(x·10^d)/10^d with plain IEEE steps, so that any engine doing the
+    same steps on the same double gets the same result (ties are frequent:
+    prices have two decimals and volumes are integers)."""
+    if d >= 0:
+        m = F.lit(float(10 ** d))
+        return F.round(c * m, 0) / m
+    m = F.lit(float(10 ** -d))
+    return F.round(c / m, 0) * m
+
+
+# Exact decimal ties (x.xxxxx5) are common in this data and two engines may
+# land one ulp either side of them; a relative nudge far above ulp noise and
+# far below the rounding quantum sends both the same way.
+NUDGE = 1e-11
+
+
+def round_sig(c):
+    """Banded rounding of a DOUBLE column (see SIG_DIGITS)."""
+    c = c + F.abs(c) * F.lit(NUDGE)
+    a = F.abs(c)
+    expr = _round_at(c, MAX_DECIMALS)
+    for k, d in reversed(band_digits()):
+        expr = F.when(a >= F.lit(float(10 ** k)), _round_at(c, d)).otherwise(expr)
+    return expr + F.lit(0.0)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,12 +66,12 @@ def bars(spark: SparkSession, sf_dir: str, interval: str = "30m") -> DataFrame:
     return bars_from_events(table(spark, sf_dir, "events"), interval)
 
 
-def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    """Round every DOUBLE to `digits` places and add 0.0 (folds -0.0 into 0.0)."""
+def rounded(df: DataFrame) -> DataFrame:
+    """Round every DOUBLE for comparison (see SIG_DIGITS) and add 0.0 (folds -0.0 into 0.0)."""
     out = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            out.append((F.round(F.col(f.name), digits) + F.lit(0.0)).alias(f.name))
+            out.append(round_sig(F.col(f"`{f.name}`")).alias(f.name))
         else:
-            out.append(F.col(f.name))
+            out.append(F.col(f"`{f.name}`"))
     return df.select(*out)

@@ -33,11 +33,31 @@ def q_orderflow_daily(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(f.select(*KEYS, *orderflow_columns((6, 12, 24))))
 
 
+def indicator_query(spec: dict, mode: str, warmup: int | str = "auto"):
+    """Query: bars -> one indicator spec -> keys + its output columns."""
+    from barwright.functions.registry import output_names, plan_specs
+
+    def q(spark: SparkSession, sf: str) -> DataFrame:
+        plan = plan_specs([spec])
+        f = build_features(bars(spark, sf), specs=[spec], orderflow_windows=None, mode=mode, warmup=warmup)
+        return rounded(f.select(*KEYS, *[F.col(f"`{n}`") for n in plan.outputs]))
+
+    q.__doc__ = f"Indicator {spec['kind']} ({mode} mode)."
+    return q
+
+
+def _native_indicator_queries() -> dict:
+    from barwright.plans.oracle_ind import native_cases
+
+    return {f"ind_{k}": indicator_query(spec, "continuous") for k, (spec, _, _) in native_cases().items()}
+
+
 QUERIES = {
     "bars_30m": q_bars_30m,
     "orderflow_continuous": q_orderflow_continuous,
     "orderflow_daily": q_orderflow_daily,
 }
+QUERIES.update(_native_indicator_queries())
 
 
 def q_flagship(spark: SparkSession, sf: str) -> DataFrame:

@@ -35,7 +35,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6) + 0.0
+        return v
     if hasattr(v, "isoformat"):
         s = str(v)
         return s[:10] if (len(s) == 10 or s.endswith(" 00:00:00")) else s
