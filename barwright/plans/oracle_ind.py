@@ -231,4 +231,148 @@ def native_sql(kind: str) -> str:
 
 
 def indicator_oracles() -> dict[str, str]:
-    return {f"ind_{k}": native_sql(k) for k in native_cases()}
+    return {**{f"ind_{k}": native_sql(k) for k in native_cases()}, **kernel_oracles()}
+
+
+# ----------------------------------------------------------- recursive kinds
+KEYS4 = "symbol, interval, chunk_date, rn"
+ON4 = "s.symbol = r.symbol AND s.interval = r.interval AND s.chunk_date = r.chunk_date"
+
+
+class Rec:
+    """Builds CTEs of (symbol, interval, chunk_date, rn, y) series, including
+    EMA/RMA by recursive CTE (one row per chunk per recursion step)."""
+
+    def __init__(self):
+        self.ctes: list[str] = []
+
+    def series(self, name: str, expr: str, deps: tuple[str, ...] = ()) -> str:
+        joins = " ".join(f"LEFT JOIN {d} USING ({KEYS4})" for d in deps)
+        self.ctes.append(f"{name} AS (SELECT {KEYS4}, {expr} AS y FROM b {joins})")
+        return name
+
+    def smooth(self, name: str, src: str, n: int, alpha: float, seed: str) -> str:
+        w = f"PARTITION BY symbol, interval, chunk_date ORDER BY rn"
+        cond, first = ("cnt = %d" % n, "s.m") if seed == "sma" else ("x IS NOT NULL", "s.x")
+        guard = "s.x IS NOT NULL" + (f" AND s.seen >= {n}" if seed == "first" else "")
+        self.ctes += [
+            f"""{name}_s AS (SELECT {KEYS4}, y AS x,
+  avg(y) OVER ({w} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS m,
+  count(y) OVER ({w} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS cnt,
+  count(y) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seen FROM {src})""",
+            f"{name}_0 AS (SELECT symbol, interval, chunk_date, min(rn) AS rn0 FROM {name}_s WHERE {cond} GROUP BY ALL)",
+            f"""{name}_r(symbol, interval, chunk_date, rn, y) AS (
+  SELECT s.symbol, s.interval, s.chunk_date, s.rn, {first} FROM {name}_s s JOIN {name}_0 r
+    ON {ON4} AND s.rn = r.rn0
+  UNION ALL
+  SELECT r.symbol, r.interval, r.chunk_date, r.rn + 1,
+    CASE WHEN s.x IS NULL THEN r.y ELSE {alpha!r} * s.x + (1 - {alpha!r}) * r.y END
+  FROM {name}_r r JOIN {name}_s s ON {ON4} AND s.rn = r.rn + 1)""",
+            f"""{name} AS (SELECT s.symbol, s.interval, s.chunk_date, s.rn, CASE WHEN {guard} THEN r.y END AS y
+  FROM {name}_s s LEFT JOIN {name}_r r ON {ON4} AND s.rn = r.rn)""",
+        ]
+        return name
+
+    def ema(self, name, src, n):
+        return self.smooth(name, src, n, 2.0 / (n + 1), "sma")
+
+    def rma(self, name, src, n):
+        return self.smooth(name, src, n, 1.0 / n, "first")
+
+    def sql(self, out: dict[str, str], deps: tuple[str, ...], warmup: int) -> str:
+        joins = " ".join(f"LEFT JOIN {d} USING ({KEYS4})" for d in deps)
+        comp = ", ".join(f"{e} AS {_n(k)}" for k, e in out.items())
+        sel = ", ".join(f"{r(_n(k))} AS {_n(k)}" for k in out)
+        # Windows are evaluated before the day filter (SQL filters first).
+        ctes = self.ctes + [f"o AS (SELECT b.*, {comp} FROM b {joins})"]
+        return (f"WITH RECURSIVE {prelude('daily', warmup)},\n" + ",\n".join(ctes)
+                + f"\nSELECT symbol, interval, date, open_time, {sel} FROM o WHERE date = chunk_date")
+
+
+def _k_ema():
+    q_ = Rec(); q_.series("x", "close"); q_.ema("e", "x", 12)
+    return {"kind": "ema", "length": 12}, q_.sql({"EMA_12": "e.y"}, ("e",), 17)
+
+
+def _k_rma():
+    q_ = Rec(); q_.series("x", "close"); q_.rma("e", "x", 14)
+    return {"kind": "rma", "length": 14}, q_.sql({"RMA_14": "e.y"}, ("e",), 19)
+
+
+def _k_rsi():
+    q_ = Rec()
+    q_.series("up", "CASE WHEN c1 IS NOT NULL THEN greatest(close - c1, 0.0) END")
+    q_.series("dn", "CASE WHEN c1 IS NOT NULL THEN greatest(c1 - close, 0.0) END")
+    q_.rma("gu", "up", 14); q_.rma("gd", "dn", 14)
+    return {"kind": "rsi", "length": 14}, q_.sql({"RSI_14": f"100.0 * {dv('gu.y', 'gu.y + gd.y')}"}, ("gu", "gd"), 19)
+
+
+def _k_atr():
+    q_ = Rec(); q_.series("x", "tr"); q_.rma("a", "x", 14)
+    return {"kind": "atr", "length": 14}, q_.sql({"ATR_14": "a.y"}, ("a",), 19)
+
+
+def _k_natr():
+    q_ = Rec(); q_.series("x", "tr"); q_.rma("a", "x", 14)
+    return {"kind": "natr", "length": 14}, q_.sql({"NATR_14": "100.0 * a.y / close"}, ("a",), 19)
+
+
+def _k_macd():
+    q_ = Rec(); q_.series("x", "close"); q_.ema("ef", "x", 12); q_.ema("es", "x", 26)
+    q_.series("m", "ef.y - es.y", ("ef", "es")); q_.ema("sg", "m", 9)
+    p = "12_26_9"
+    return ({"kind": "macd", "fast": 12, "slow": 26, "signal": 9},
+            q_.sql({f"MACD_{p}": "m.y", f"MACDh_{p}": "m.y - sg.y", f"MACDs_{p}": "sg.y"}, ("m", "sg"), 31))
+
+
+def _k_dema():
+    q_ = Rec(); q_.series("x", "close"); q_.ema("e1", "x", 9); q_.ema("e2", "e1", 9)
+    return {"kind": "dema", "length": 9}, q_.sql({"DEMA_9": "2 * e1.y - e2.y"}, ("e1", "e2"), 14)
+
+
+def _k_kurtosis():
+    q_ = Rec()
+    return ({"kind": "kurtosis", "length": 60},
+            q_.sql({"KURT_60": g("close", 60, f"kurtosis(close) {rows(60)}")}, (), 65))
+
+
+def _k_skew():
+    q_ = Rec()
+    return {"kind": "skew", "length": 60}, q_.sql({"SKEW_60": g("close", 60, f"skewness(close) {rows(60)}")}, (), 65)
+
+
+def _mad(x: str, n: int) -> str:
+    lst = f"list({x}) {rows(n)}"
+    return g(x, n, f"list_avg(list_transform({lst}, lambda e: abs(e - list_avg({lst}))))")
+
+
+def _k_mad():
+    return {"kind": "mad", "length": 60}, Rec().sql({"MAD_60": _mad("close", 60)}, (), 65)
+
+
+def _k_cci():
+    return ({"kind": "cci", "length": 20},
+            Rec().sql({"CCI_20": dv(f"tp - {sm('tp', 20)}", f"0.015 * {_mad('tp', 20)}")}, (), 25))
+
+
+KERNEL_ORACLES = {f.__name__[3:]: f for f in (_k_ema, _k_rma, _k_rsi, _k_atr, _k_natr, _k_macd, _k_dema,
+                                              _k_kurtosis, _k_skew, _k_mad, _k_cci)}
+
+
+def kernel_cases() -> dict[str, dict]:
+    """Recursive kinds registered as daily-mode queries (smallest default grid entry)."""
+    from barwright.functions.specs import default_specs
+
+    first: dict[str, dict] = {}
+    for s in default_specs()[1]:
+        first.setdefault(s["kind"], s)
+    from barwright.functions.kernels import KERNELS
+
+    cases = {k: first[k] for k in KERNELS if k in first}
+    for k, f in KERNEL_ORACLES.items():
+        cases[k] = f()[0]
+    return cases
+
+
+def kernel_oracles() -> dict[str, str]:
+    return {f"ind_{k}": f()[1] for k, f in KERNEL_ORACLES.items()}

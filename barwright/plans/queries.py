@@ -52,12 +52,19 @@ def _native_indicator_queries() -> dict:
     return {f"ind_{k}": indicator_query(spec, "continuous") for k, (spec, _, _) in native_cases().items()}
 
 
+def _kernel_indicator_queries() -> dict:
+    from barwright.plans.oracle_ind import kernel_cases
+
+    return {f"ind_{k}": indicator_query(spec, "daily") for k, spec in kernel_cases().items()}
+
+
 QUERIES = {
     "bars_30m": q_bars_30m,
     "orderflow_continuous": q_orderflow_continuous,
     "orderflow_daily": q_orderflow_daily,
 }
 QUERIES.update(_native_indicator_queries())
+QUERIES.update(_kernel_indicator_queries())
 
 
 def q_flagship(spark: SparkSession, sf: str) -> DataFrame:
