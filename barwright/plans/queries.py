@@ -58,10 +58,52 @@ def _kernel_indicator_queries() -> dict:
     return {f"ind_{k}": indicator_query(spec, "daily") for k, spec in kernel_cases().items()}
 
 
+def _raw_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw kline pages from 7-hour bars (fixture F2): every bar fetched twice,
+    the second fetch (ingest_seq 2) carrying a revised close; days of the
+    series without bars get an empty page; some bars cross midnight."""
+    from barwright.operators.clean import data_day_grid
+    from barwright.sources.klines import raw_from_bars
+
+    b = bars(spark, sf, "7h")
+    v1 = raw_from_bars(b, 1)
+    v2 = raw_from_bars(b.withColumn("close", F.col("high")), 2)
+    empty = (data_day_grid(b).join(b.select("symbol", "date").distinct(), ["symbol", "date"], "left_anti")
+             .select("symbol", F.lit(3).cast("long").alias("ingest_seq"), F.lit("[]").alias("payload"), "date"))
+    return v1.unionByName(v2).unionByName(empty).drop("date")
+
+
+def q_klines_typed(spark: SparkSession, sf: str) -> DataFrame:
+    """JSON kline pages -> typed rows (both fetches, empty pages vanish)."""
+    from barwright.sources.klines import klines_from_raw
+
+    return rounded(klines_from_raw(_raw_pages(spark, sf), "7h"))
+
+
+def q_klines_clean(spark: SparkSession, sf: str) -> DataFrame:
+    """P1 + A1: clip bars crossing midnight, keep the last fetch of each bar."""
+    from barwright.operators.clean import bar_table, clip_to_day, dedup_keep_last
+    from barwright.sources.klines import klines_from_raw
+
+    typed = klines_from_raw(_raw_pages(spark, sf), "7h")
+    return rounded(bar_table(dedup_keep_last(clip_to_day(typed))))
+
+
+def q_day_completeness(spark: SparkSession, sf: str) -> DataFrame:
+    """A2 + P15: bars per day against 48 expected 30-minute bars, empty days included."""
+    from barwright.operators.clean import data_day_grid, day_completeness
+
+    b = bars(spark, sf, "30m")
+    return day_completeness(b, data_day_grid(b))
+
+
 QUERIES = {
     "bars_30m": q_bars_30m,
     "orderflow_continuous": q_orderflow_continuous,
     "orderflow_daily": q_orderflow_daily,
+    "klines_typed": q_klines_typed,
+    "klines_clean": q_klines_clean,
+    "day_completeness": q_day_completeness,
 }
 QUERIES.update(_native_indicator_queries())
 QUERIES.update(_kernel_indicator_queries())
