@@ -97,6 +97,42 @@ def q_day_completeness(spark: SparkSession, sf: str) -> DataFrame:
     return day_completeness(b, data_day_grid(b))
 
 
+QUALITY_SPECS = [{"kind": "log_return", "cumulative": False}, {"kind": "obv"}]
+QUALITY_FIRST_N = 12
+
+
+def _quality(spark: SparkSession, sf: str):
+    """Quality report over one feature file per (symbol, day): bars + order flow
+    (6/12/24) + LOGRET_1 and OBV, daily chunks. Rows are in open_time order."""
+    from barwright.operators.clean import BAR_NAMES
+    from barwright.operators.quality import quality_report
+    from barwright.plans.features import build_features
+
+    f = build_features(bars(spark, sf), specs=QUALITY_SPECS, orderflow_windows=(6, 12, 24), mode="daily")
+    feats = [c for c in f.columns if c not in BAR_NAMES and c not in ("interval", "date")]
+    files = f.select(F.col("symbol").alias("file_symbol"), F.col("date").alias("file_date"), *BAR_NAMES, *feats)
+    return quality_report(files, ["file_symbol", "file_date"], "open_time", step_ms=1_800_000,
+                          first_n=QUALITY_FIRST_N)
+
+
+def q_quality_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """One report row per file; arrays shown as comma lists."""
+    summary, _ = _quality(spark, sf)
+    flat = summary.select(
+        "*",
+        F.col("shape")[0].alias("n_rows"), F.col("shape")[1].alias("n_cols"),
+        *[F.array_join(F.col(c).cast("array<string>"), ",").alias(f"{c}_list")
+          for c in ("missing_base_cols", "right_cols", "open_time_unique_diffs", "all_null_cols")],
+    ).drop("shape", "missing_base_cols", "right_cols", "open_time_unique_diffs", "all_null_cols")
+    return rounded(flat)
+
+
+def q_quality_top_nulls(spark: SparkSession, sf: str) -> DataFrame:
+    """The fifteen columns with the highest NULL rate per file, all rows and head."""
+    _, top = _quality(spark, sf)
+    return rounded(top)
+
+
 QUERIES = {
     "bars_30m": q_bars_30m,
     "orderflow_continuous": q_orderflow_continuous,
@@ -104,6 +140,8 @@ QUERIES = {
     "klines_typed": q_klines_typed,
     "klines_clean": q_klines_clean,
     "day_completeness": q_day_completeness,
+    "quality_summary": q_quality_summary,
+    "quality_top_nulls": q_quality_top_nulls,
 }
 QUERIES.update(_native_indicator_queries())
 QUERIES.update(_kernel_indicator_queries())
