@@ -11,49 +11,31 @@ from barwright.sources.events import bars_from_events
 
 # Comparison precision: 8 significant digits, at most 5 decimals. Doubles
 # summed in a different order (Spark vs DuckDB) agree to ~1e-15 relative;
-# banding by magnitude keeps large cumulative values (price indices reach
-# 1e29 on the fixtures) comparable. Bands stop at 1e22, the largest power of
-# ten that is an exact double.
+# scaling the decimals by magnitude keeps large cumulative values (price
+# indices reach 1e29 on the fixtures) comparable. Scale factors are powers of
+# ten up to 1e22, which are exact doubles, so both engines round identically.
 SIG_DIGITS = 8
 MAX_DECIMALS = 5
-MAX_BAND = 22
-
-
-def band_digits() -> list[tuple[int, int]]:
-    """(k, digits): for |x| >= 10^k round to `digits` places, largest k first."""
-    out = []
-    for k in range(MAX_BAND + SIG_DIGITS - 1, 0, -1):
-        d = min(MAX_DECIMALS, SIG_DIGITS - 1 - k)
-        if d < MAX_DECIMALS:
-            out.append((k, max(d, -MAX_BAND)))
-    return out
-
-
-def _round_at(c, d: int):
-    """round(x·10^d)/10^d with plain IEEE steps, so that any engine doing the
-    same steps on the same double gets the same result (ties are frequent:
-    prices have two decimals and volumes are integers)."""
-    if d >= 0:
-        m = F.lit(float(10 ** d))
-        return F.round(c * m, 0) / m
-    m = F.lit(float(10 ** -d))
-    return F.round(c / m, 0) * m
+MAX_POW = 22
+# Exact decimal ties (x.xxxxx5) are common in this data (two-decimal prices,
+# integer volumes) and two engines may land one ulp either side of them; a
+# relative nudge far above ulp noise and far below the quantum sends both the
+# same way.
+NUDGE = 1e-11
 
 
-# Exact decimal ties (x.xxxxx5) are common in this data and two engines may
-# land one ulp either side of them; a relative nudge far above ulp noise and
-# far below the rounding quantum sends both the same way.
-NUDGE = 1e-11
+def round_sql(x: str) -> str:
+    """Comparison rounding as SQL text valid in Spark and DuckDB."""
+    y = f"(({x}) + abs({x}) * {NUDGE!r})"
+    d = (f"(CASE WHEN abs({y}) >= 100 THEN greatest(-{MAX_POW}, {SIG_DIGITS - 1} - "
+         f"CAST(floor(log10(abs({y}))) AS INTEGER)) ELSE {MAX_DECIMALS} END)")
+    m = f"power(10.0, abs({d}))"
+    return (f"(CASE WHEN {y} IS NULL OR isnan({y}) THEN {y} WHEN {d} >= 0 THEN round({y} * {m}) / {m} "
+            f"ELSE round({y} / {m}) * {m} END + 0.0)")
 
 
-def round_sig(c):
-    """Banded rounding of a DOUBLE column (see SIG_DIGITS)."""
-    c = c + F.abs(c) * F.lit(NUDGE)
-    a = F.abs(c)
-    expr = _round_at(c, MAX_DECIMALS)
-    for k, d in reversed(band_digits()):
-        expr = F.when(a >= F.lit(float(10 ** k)), _round_at(c, d)).otherwise(expr)
-    return expr + F.lit(0.0)
+def round_sig(c_name: str):
+    return F.expr(round_sql(f"`{c_name}`"))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,7 +53,7 @@ def rounded(df: DataFrame) -> DataFrame:
     out = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            out.append(round_sig(F.col(f"`{f.name}`")).alias(f.name))
+            out.append(round_sig(f.name).alias(f.name))
         else:
             out.append(F.col(f"`{f.name}`"))
     return df.select(*out)

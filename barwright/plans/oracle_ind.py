@@ -251,10 +251,13 @@ class Rec:
         self.ctes.append(f"{name} AS (SELECT {KEYS4}, {expr} AS y FROM b {joins})")
         return name
 
-    def smooth(self, name: str, src: str, n: int, alpha: float, seed: str) -> str:
+    def smooth(self, name: str, src: str, n: int, alpha: float, seed: str, seed_expr: str = "") -> str:
         w = f"PARTITION BY symbol, interval, chunk_date ORDER BY rn"
-        cond, first = ("cnt = %d" % n, "s.m") if seed == "sma" else ("x IS NOT NULL", "s.x")
-        guard = "s.x IS NOT NULL" + (f" AND s.seen >= {n}" if seed == "first" else "")
+        if seed == "custom":  # seed row rn = 1 with its own value, x from row 2 on
+            cond, first, guard = "rn = 1", seed_expr, "TRUE"
+        else:
+            cond, first = ("cnt = %d" % n, "s.m") if seed == "sma" else ("x IS NOT NULL", "s.x")
+            guard = "s.x IS NOT NULL" + (f" AND s.seen >= {n}" if seed == "first" else "")
         self.ctes += [
             f"""{name}_s AS (SELECT {KEYS4}, y AS x,
   avg(y) OVER ({w} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS m,
@@ -279,14 +282,20 @@ class Rec:
     def rma(self, name, src, n):
         return self.smooth(name, src, n, 1.0 / n, "first")
 
-    def sql(self, out: dict[str, str], deps: tuple[str, ...], warmup: int) -> str:
+    def sql(self, out: dict[str, str], deps: tuple[str, ...], warmup: int,
+            stages: list[dict[str, str]] = (), outputs: list[str] | None = None) -> str:
+        """`out` is computed over b joined with `deps`; each dict of `stages` is a
+        further window stage over the previous one; `outputs` are returned."""
         joins = " ".join(f"LEFT JOIN {d} USING ({KEYS4})" for d in deps)
         comp = ", ".join(f"{e} AS {_n(k)}" for k, e in out.items())
-        sel = ", ".join(f"{r(_n(k))} AS {_n(k)}" for k in out)
         # Windows are evaluated before the day filter (SQL filters first).
-        ctes = self.ctes + [f"o AS (SELECT b.*, {comp} FROM b {joins})"]
+        ctes = self.ctes + [f"o0 AS (SELECT b.*, {comp} FROM b {joins})"]
+        for i, st in enumerate(stages, 1):
+            ctes.append(f"o{i} AS (SELECT *, {', '.join(f'{e} AS {_n(k)}' for k, e in st.items())} FROM o{i - 1})")
+        outputs = outputs or list(out)
+        sel = ", ".join(f"{r(_n(k))} AS {_n(k)}" for k in outputs)
         return (f"WITH RECURSIVE {prelude('daily', warmup)},\n" + ",\n".join(ctes)
-                + f"\nSELECT symbol, interval, date, open_time, {sel} FROM o WHERE date = chunk_date")
+                + f"\nSELECT symbol, interval, date, open_time, {sel} FROM o{len(stages)} WHERE date = chunk_date")
 
 
 def _k_ema():
@@ -355,8 +364,170 @@ def _k_cci():
             Rec().sql({"CCI_20": dv(f"tp - {sm('tp', 20)}", f"0.015 * {_mad('tp', 20)}")}, (), 25))
 
 
-KERNEL_ORACLES = {f.__name__[3:]: f for f in (_k_ema, _k_rma, _k_rsi, _k_atr, _k_natr, _k_macd, _k_dema,
-                                              _k_kurtosis, _k_skew, _k_mad, _k_cci)}
+def _emas(q_, src, n, depth, prefix):
+    names, cur = [], src
+    for i in range(1, depth + 1):
+        cur = q_.ema(f"{prefix}{i}", cur, n)
+        names.append(cur)
+    return names
+
+
+def _k_apo():
+    q_ = Rec(); q_.series("x", "close"); q_.ema("ef", "x", 12); q_.ema("es", "x", 26)
+    return {"kind": "apo", "fast": 12, "slow": 26}, q_.sql({"APO_12_26": "ef.y - es.y"}, ("ef", "es"), 31)
+
+
+def _k_ppo():
+    q_ = Rec(); q_.series("x", "close"); q_.ema("ef", "x", 12); q_.ema("es", "x", 26)
+    q_.series("m", f"100.0 * {dv('ef.y - es.y', 'es.y')}", ("ef", "es")); q_.ema("sg", "m", 9)
+    p = "12_26_9"
+    return ({"kind": "ppo", "fast": 12, "slow": 26, "signal": 9},
+            q_.sql({f"PPO_{p}": "m.y", f"PPOh_{p}": "m.y - sg.y", f"PPOs_{p}": "sg.y"}, ("m", "sg"), 31))
+
+
+def _k_pgo():
+    q_ = Rec(); q_.series("x", "tr"); q_.ema("et", "x", 14)
+    return {"kind": "pgo", "length": 14}, q_.sql({"PGO_14": dv(f"close - {sm('close', 14)}", "et.y")}, ("et",), 19)
+
+
+def _k_trix():
+    q_ = Rec(); q_.series("x", "close"); e = _emas(q_, "x", 9, 3, "e")
+    q_.series("tx", f"100.0 * ({dv('e3.y', 'lag(e3.y) OVER (PARTITION BY symbol, interval, chunk_date ORDER BY rn)')} - 1.0)",
+              ("e3",))
+    return ({"kind": "trix", "length": 9},
+            q_.sql({"TRIX_9": "tx.y"}, ("tx",), 14, [{"TRIXs_9": sm('"TRIX_9"', 9)}], ["TRIX_9", "TRIXs_9"]))
+
+
+def _k_tsi():
+    q_ = Rec()
+    q_.series("d", "close - c1"); q_.series("ad", "abs(close - c1)")
+    q_.ema("n1", "d", 25); q_.ema("n2", "n1", 13); q_.ema("d1", "ad", 25); q_.ema("d2", "d1", 13)
+    q_.series("t", f"100.0 * {dv('n2.y', 'd2.y')}", ("n2", "d2")); q_.ema("ts", "t", 13)
+    return ({"kind": "tsi", "long": 25, "short": 13},
+            q_.sql({"TSI_25_13": "t.y", "TSIs_25_13": "ts.y"}, ("t", "ts"), 30))
+
+
+def _k_t3():
+    q_ = Rec(); q_.series("x", "close"); e = _emas(q_, "x", 5, 6, "e")
+    a = 0.7
+    c1, c2 = -a ** 3, 3 * a ** 2 + 3 * a ** 3
+    c3, c4 = -6 * a ** 2 - 3 * a - 3 * a ** 3, 1 + 3 * a + a ** 3 + 3 * a ** 2
+    expr = f"{c1!r} * e6.y + {c2!r} * e5.y + {c3!r} * e4.y + {c4!r} * e3.y"
+    return {"kind": "t3", "length": 5}, q_.sql({"T3_5": expr}, tuple(e), 10)
+
+
+def _k_tema():
+    q_ = Rec(); q_.series("x", "close"); e = _emas(q_, "x", 9, 3, "e")
+    return {"kind": "tema", "length": 9}, q_.sql({"TEMA_9": "3 * e1.y - 3 * e2.y + e3.y"}, tuple(e), 14)
+
+
+def _k_kc():
+    q_ = Rec(); q_.series("x", "close"); q_.series("t", "tr"); q_.ema("m", "x", 20); q_.ema("rg", "t", 20)
+    return ({"kind": "kc", "length": 20},
+            q_.sql({"KCL_20": "m.y - 2.0 * rg.y", "KCM_20": "m.y", "KCU_20": "m.y + 2.0 * rg.y"}, ("m", "rg"), 25))
+
+
+def _k_aberration():
+    q_ = Rec(); q_.series("t", "tr"); q_.rma("a", "t", 15)
+    zg = sm("tp", 20)
+    return ({"kind": "aberration", "length": 20},
+            q_.sql({"ABER_ZG_20": zg, "ABER_SG_20": f"{zg} + a.y", "ABER_XG_20": f"{zg} - a.y", "ABER_ATR_20": "a.y"},
+                   ("a",), 25))
+
+
+def _k_adosc():
+    q_ = Rec(); q_.series("x", f"sum({CLV} * volume) {CUM}"); q_.ema("f", "x", 3); q_.ema("s_", "x", 10)
+    return {"kind": "adosc", "fast": 3, "slow": 10}, q_.sql({"ADOSC_3_10": "f.y - s_.y"}, ("f", "s_"), 15)
+
+
+def _k_kvo():
+    q_ = Rec()
+    q_.series("x", f"volume * sign(tp - {lag('tp')})")
+    q_.ema("f", "x", 21); q_.ema("s_", "x", 34)
+    q_.series("k", "f.y - s_.y", ("f", "s_")); q_.ema("g", "k", 8)
+    return ({"kind": "kvo", "fast": 21, "slow": 34, "signal": 8},
+            q_.sql({"KVO_21_34_8": "k.y", "KVOs_21_34_8": "g.y"}, ("k", "g"), 39))
+
+
+def _k_adx():
+    q_ = Rec()
+    up, dn = "(high - h1)", "(l1 - low)"
+    q_.series("pdm", f"CASE WHEN {up} IS NULL THEN NULL WHEN {up} > {dn} AND {up} > 0 THEN {up} ELSE 0.0 END")
+    q_.series("mdm", f"CASE WHEN {dn} IS NULL THEN NULL WHEN {dn} > {up} AND {dn} > 0 THEN {dn} ELSE 0.0 END")
+    q_.series("t", "tr")
+    q_.rma("atr_", "t", 14); q_.rma("rp", "pdm", 14); q_.rma("rm", "mdm", 14)
+    q_.series("dmp", f"100.0 * {dv('rp.y', 'atr_.y')}", ("rp", "atr_"))
+    q_.series("dmn", f"100.0 * {dv('rm.y', 'atr_.y')}", ("rm", "atr_"))
+    q_.series("dx", f"100.0 * {dv('abs(dmp.y - dmn.y)', 'dmp.y + dmn.y')}", ("dmp", "dmn"))
+    q_.rma("ax", "dx", 14)
+    return ({"kind": "adx", "length": 14},
+            q_.sql({"ADX_14": "ax.y", "DMP_14": "dmp.y", "DMN_14": "dmn.y"}, ("ax", "dmp", "dmn"), 19))
+
+
+def _k_stochrsi():
+    q_ = Rec()
+    q_.series("up", "CASE WHEN c1 IS NOT NULL THEN greatest(close - c1, 0.0) END")
+    q_.series("dn", "CASE WHEN c1 IS NOT NULL THEN greatest(c1 - close, 0.0) END")
+    q_.rma("gu", "up", 14); q_.rma("gd", "dn", 14)
+    rsi = f"100.0 * {dv('gu.y', 'gu.y + gd.y')}"
+    lo, hi = mn('"rsi_"', 14), mx('"rsi_"', 14)
+    return ({"kind": "stochrsi", "length": 14},
+            q_.sql({"rsi_": rsi}, ("gu", "gd"), 19,
+                   [{"st_": f"100.0 * {dv(f'rsi_ - {lo}', f'{hi} - {lo}')}"},
+                    {"STOCHRSIk_14": sm('"st_"', 3)}, {"STOCHRSId_14": sm('"STOCHRSIk_14"', 3)}],
+                   ["STOCHRSIk_14", "STOCHRSId_14"]))
+
+
+def _k_smi():
+    q_ = Rec()
+    hh, ll = mx("high", 14), mn("low", 14)
+    q_.series("m", f"close - ({hh} + {ll}) / 2.0"); q_.series("rg", f"{hh} - {ll}")
+    q_.ema("m1", "m", 3); q_.ema("m2", "m1", 3); q_.ema("r1", "rg", 3); q_.ema("r2", "r1", 3)
+    q_.series("smi", f"100.0 * {dv('m2.y', '0.5 * r2.y')}", ("m2", "r2")); q_.ema("sg", "smi", 3)
+    return {"kind": "smi", "length": 14}, q_.sql({"SMI_14": "smi.y", "SMIs_14": "sg.y"}, ("smi", "sg"), 19)
+
+
+def _k_inertia():
+    q_ = Rec()
+    q_.series("sd", sd("close", 14))
+    q_.series("pos", "CASE WHEN sd.y IS NULL THEN NULL WHEN close - c1 > 0 THEN sd.y ELSE 0.0 END", ("sd",))
+    q_.ema("ep", "pos", 14); q_.ema("es", "sd", 14)
+    q_.series("rvi", f"100.0 * {dv('ep.y', 'es.y')}", ("ep", "es"))
+    return ({"kind": "inertia", "length": 14},
+            q_.sql({"rvi_": "rvi.y"}, ("rvi",), 19, [{"INERTIA_14": lr('"rvi_"', 14)}], ["INERTIA_14"]))
+
+
+def _k_ha():
+    q_ = Rec()
+    q_.series("hc", "(open + high + low + close) / 4.0")
+    q_.series("xp", f"lag((open + high + low + close) / 4.0) {ov()}")
+    q_.smooth("ho", "xp", 1, 0.5, "custom", "(SELECT (b.open + b.close) / 2.0 FROM b WHERE b.symbol = s.symbol "
+              "AND b.interval = s.interval AND b.chunk_date = s.chunk_date AND b.rn = 1)")
+    return ({"kind": "ha"},
+            q_.sql({"HA_open": "ho.y", "HA_high": "greatest(high, ho.y, hc.y)", "HA_low": "least(low, ho.y, hc.y)",
+                    "HA_close": "hc.y"}, ("ho", "hc"), 6))
+
+
+def _k_aobv():
+    q_ = Rec()
+    q_.series("ob", f"sum(CASE WHEN c1 IS NULL THEN volume ELSE sign(close - c1) * volume END) {CUM}")
+    q_.ema("e4", "ob", 4); q_.ema("e12", "ob", 12)
+    valid = "e4_ IS NOT NULL AND e12_ IS NOT NULL"
+
+    def flag(op):
+        return (f"CASE WHEN {valid} THEN CASE WHEN count(*) {rows(7)} = 7 AND sum(CASE WHEN {valid} AND e4_ {op} e12_ "
+                f"THEN 1 ELSE 0 END) {rows(7)} = 7 THEN 1.0 ELSE 0.0 END END")
+    return ({"kind": "aobv", "length": 7},
+            q_.sql({"OBV": "ob.y", "e4_": "e4.y", "e12_": "e12.y"}, ("ob", "e4", "e12"), 12,
+                   [{"OBV_min_2": mn('"OBV"', 2), "OBV_max_2": mx('"OBV"', 2), "OBVe_4": "e4_", "OBVe_12": "e12_",
+                     "AOBV_LR_7": flag(">"), "AOBV_SR_7": flag("<")}],
+                   ["OBV", "OBV_min_2", "OBV_max_2", "OBVe_4", "OBVe_12", "AOBV_LR_7", "AOBV_SR_7"]))
+
+
+KERNEL_ORACLES = {f.__name__[3:]: f for f in (
+    _k_ema, _k_rma, _k_rsi, _k_atr, _k_natr, _k_macd, _k_dema, _k_kurtosis, _k_skew, _k_mad, _k_cci,
+    _k_apo, _k_ppo, _k_pgo, _k_trix, _k_tsi, _k_t3, _k_tema, _k_kc, _k_aberration, _k_adosc, _k_kvo, _k_adx,
+    _k_stochrsi, _k_smi, _k_inertia, _k_ha, _k_aobv)}
 
 
 def kernel_cases() -> dict[str, dict]:
