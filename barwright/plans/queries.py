@@ -133,6 +133,20 @@ def q_quality_top_nulls(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(top)
 
 
+def q_stream_closed_bars(spark: SparkSession, sf: str) -> DataFrame:
+    """S3 + P8 in Structured Streaming: the events file as a stream, 30-minute
+    event-time windows with a watermark; only closed bars are emitted."""
+    import uuid
+
+    from barwright.session import checkpoint_dir
+    from barwright.streaming.bars import run_closed_bars_once
+
+    run = uuid.uuid4().hex[:12]
+    out = run_closed_bars_once(spark, sf, "30m", f"closed_bars_{run}",
+                               checkpoint=f"{checkpoint_dir(spark)}/closed-bars-{run}")
+    return rounded(out)
+
+
 QUERIES = {
     "bars_30m": q_bars_30m,
     "orderflow_continuous": q_orderflow_continuous,
@@ -142,6 +156,7 @@ QUERIES = {
     "day_completeness": q_day_completeness,
     "quality_summary": q_quality_summary,
     "quality_top_nulls": q_quality_top_nulls,
+    "stream_closed_bars": q_stream_closed_bars,
 }
 QUERIES.update(_native_indicator_queries())
 QUERIES.update(_kernel_indicator_queries())
