@@ -39,11 +39,19 @@ def build_features(
     if mode == "daily":
         w = warmup_rows(specs or [], orderflow_windows or ()) if warmup == "auto" else int(warmup)
         df = stitch_warmup(bars, w)
+        # The one exchange of the chunk stage. An explicit partition count
+        # keeps adaptive execution from folding many small chunks into one
+        # task ahead of the Python kernel; every window stage and the kernel
+        # reuse this partitioning.
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartition(n, *keys)
     else:
         df = as_series(bars)
-    df = apply_indicators(df, plan, frames)
-    if orderflow_windows:
-        df = add_orderflow(df, frames, orderflow_windows)
+
+    def flow(d: DataFrame) -> DataFrame:
+        return add_orderflow(d, frames, orderflow_windows) if orderflow_windows else d
+
+    df = apply_indicators(df, plan, frames, before_kernel=flow)
     if mode == "daily":
         df = slice_to_day(df)
     return df.drop("chunk_date", "is_warmup", "__kernel_errors")
