@@ -54,4 +54,4 @@ def add_orderflow(df: DataFrame, frames: Frames, windows: Sequence[int] = DEFAUL
     # r1 is itself a window expression, so its rolling sum is a second stage
     # over the same partitioning (no extra shuffle or sort).
     out = out.select("*", *[frames.sum(F.col("r1") * F.col("r1"), w).alias(f"rv_{w}") for w in windows])
-    return out.select(*[F.col(f"`{c}`") for c in df.columns + orderflow_columns(windows)])
+    return out.selectExpr(*[f"`{c}`" for c in df.columns + orderflow_columns(windows)])

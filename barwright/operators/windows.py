@@ -20,7 +20,7 @@ from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 # Frames longer than this use the running-difference form for sums.
-PREFIX_THRESHOLD = 32
+PREFIX_THRESHOLD = 8
 
 CHUNK_KEYS = ("symbol", "interval", "chunk_date")
 SERIES_KEYS = ("symbol", "interval")
