@@ -547,3 +547,89 @@ def kernel_cases() -> dict[str, dict]:
 
 def kernel_oracles() -> dict[str, str]:
     return {f"ind_{k}": f()[1] for k, f in KERNEL_ORACLES.items()}
+
+
+# ------------------------------------------------------- state machines (N)
+STEP = ("s.symbol = r.symbol AND s.interval = r.interval AND s.chunk_date = r.chunk_date "
+        "AND s.rn = r.rn + 1")
+
+
+def _state_sql(rec: Rec, warmup: int, src_cols: str, anchor: str, step: str, cols: str, out: dict[str, str]) -> str:
+    """A recursive CTE `st` stepping one row at a time with explicit state columns."""
+    rec.ctes.append(f"src AS (SELECT {KEYS4}, {src_cols} FROM b)")
+    rec.ctes.append(f"st({cols}) AS ({anchor}\n  UNION ALL\n  {step})")
+    return rec.sql(out, ("st",), warmup)
+
+
+def _k_fisher():
+    n = 9
+    hl2 = "((high + low) / 2.0)"
+    lo, hi = mn(hl2, n), mx(hl2, n)
+    pos = f"CASE WHEN ({hi}) - ({lo}) > 0 THEN ({hl2} - ({lo})) / (({hi}) - ({lo})) - 0.5 ELSE 0.0 END"
+    src = f"CASE WHEN count({hl2}) {rows(n)} = {n} THEN {pos} END AS p"
+    clip = "greatest(least(0.66 * {p} + 0.67 * {w}, 0.999), -0.999)"
+    w0 = clip.format(p="s.p", w="0.0")
+    anchor = (f"SELECT s.symbol, s.interval, s.chunk_date, s.rn, {w0}, 0.5 * ln((1 + {w0}) / (1 - {w0})) "
+              f"FROM src s WHERE s.p IS NOT NULL AND s.rn = (SELECT min(x.rn) FROM src x WHERE x.symbol = s.symbol "
+              f"AND x.interval = s.interval AND x.chunk_date = s.chunk_date AND x.p IS NOT NULL)")
+    w1 = clip.format(p="s.p", w="r.w")
+    step = (f"SELECT s.symbol, s.interval, s.chunk_date, s.rn, {w1}, 0.5 * ln((1 + {w1}) / (1 - {w1})) + 0.5 * r.f "
+            f"FROM st r JOIN src s ON {STEP}")
+    return ({"kind": "fisher", "length": n},
+            _state_sql(Rec(), 14, src, anchor, step, "symbol, interval, chunk_date, rn, w, f",
+                       {"FISHERT_9": "st.f", "FISHERTs_9": f"lag(st.f) {ov()}"}))
+
+
+def _k_supertrend():
+    n, m = 7, 4
+    q_ = Rec(); q_.series("t", "tr"); q_.rma("a", "t", n)
+    q_.ctes.append(f"""src AS (SELECT b.symbol, b.interval, b.chunk_date, b.rn, b.close AS c,
+  (b.high + b.low) / 2.0 + {m} * a.y AS u, (b.high + b.low) / 2.0 - {m} * a.y AS lo
+  FROM b JOIN a USING ({KEYS4}) WHERE a.y IS NOT NULL)""")
+    anchor = ("SELECT s.symbol, s.interval, s.chunk_date, s.rn, 1, s.u, s.lo FROM src s WHERE s.rn = "
+              "(SELECT min(x.rn) FROM src x WHERE x.symbol = s.symbol AND x.interval = s.interval "
+              "AND x.chunk_date = s.chunk_date)")
+    d = "CASE WHEN s.c > r.fu THEN 1 WHEN s.c < r.fl THEN -1 ELSE r.d END"
+    hold = "s.c <= r.fu AND s.c >= r.fl"
+    u = f"CASE WHEN {hold} AND r.d < 0 AND s.u > r.fu THEN r.fu ELSE s.u END"
+    lo = f"CASE WHEN {hold} AND r.d > 0 AND s.lo < r.fl THEN r.fl ELSE s.lo END"
+    step = f"SELECT s.symbol, s.interval, s.chunk_date, s.rn, {d}, {u}, {lo} FROM st r JOIN src s ON {STEP}"
+    q_.ctes.append(f"st(symbol, interval, chunk_date, rn, d, fu, fl) AS ({anchor}\n  UNION ALL\n  {step})")
+    p = f"{n}_{m}"
+    return ({"kind": "supertrend", "length": n, "multiplier": m},
+            q_.sql({f"SUPERT_{p}": "CASE WHEN st.d > 0 THEN st.fl ELSE st.fu END", f"SUPERTd_{p}": "CAST(st.d AS DOUBLE)",
+                    f"SUPERTl_{p}": "CASE WHEN st.d > 0 THEN st.fl END", f"SUPERTs_{p}": "CASE WHEN st.d < 0 THEN st.fu END"},
+                   ("st",), 12))
+
+
+def _k_psar():
+    q_ = Rec()
+    q_.ctes.append(f"""src AS (SELECT {KEYS4}, high AS h, low AS l, close AS c,
+  lag(high) {ov()} AS h1, lag(low) {ov()} AS l1, lag(high, 2) {ov()} AS h2, lag(low, 2) {ov()} AS l2,
+  lead(close) {ov()} AS cn FROM b)""")
+    # row 1 seeds the state; the start side comes from the first move (row 2 close vs row 1 close)
+    anchor = ("SELECT symbol, interval, chunk_date, rn, cn < c, CASE WHEN cn < c THEN h ELSE l END, "
+              "CASE WHEN cn < c THEN l ELSE h END, 0.02, NULL::DOUBLE, NULL::DOUBLE FROM src WHERE rn = 1 AND cn IS NOT NULL")
+    sar0 = "(r.sar + r.af * (r.ep - r.sar))"
+    lim = (f"CASE WHEN r.falling THEN greatest({sar0}, CASE WHEN s.h2 IS NULL THEN s.h1 ELSE greatest(s.h1, s.h2) END) "
+           f"ELSE least({sar0}, CASE WHEN s.l2 IS NULL THEN s.l1 ELSE least(s.l1, s.l2) END) END")
+    rev = f"(CASE WHEN r.falling THEN s.h > ({lim}) ELSE s.l < ({lim}) END)"
+    new_ep = "CASE WHEN r.falling THEN least(r.ep, s.l) ELSE greatest(r.ep, s.h) END"
+    ext = "CASE WHEN r.falling THEN s.l < r.ep ELSE s.h > r.ep END"
+    af1 = f"CASE WHEN {ext} THEN least(r.af + 0.02, 0.2) ELSE r.af END"
+    step = (f"SELECT s.symbol, s.interval, s.chunk_date, s.rn, "
+            f"CASE WHEN {rev} THEN NOT r.falling ELSE r.falling END, "
+            f"CASE WHEN {rev} THEN {new_ep} ELSE {lim} END, "
+            f"CASE WHEN {rev} THEN CASE WHEN r.falling THEN s.h ELSE s.l END ELSE {new_ep} END, "
+            f"CASE WHEN {rev} THEN 0.02 ELSE {af1} END, "
+            f"CASE WHEN {rev} THEN 1.0 ELSE 0.0 END, 0.0 FROM st r JOIN src s ON {STEP}")
+    q_.ctes.append(f"st(symbol, interval, chunk_date, rn, falling, sar, ep, af, rv, z) AS ({anchor}\n  UNION ALL\n  {step})")
+    p = "0.02_0.2"
+    return ({"kind": "psar", "af": 0.02, "max_af": 0.2},
+            q_.sql({f"PSARl_{p}": "CASE WHEN st.rn > 1 AND NOT st.falling THEN st.sar END",
+                    f"PSARs_{p}": "CASE WHEN st.rn > 1 AND st.falling THEN st.sar END",
+                    f"PSARaf_{p}": "st.af",
+                    f"PSARr_{p}": "CASE WHEN st.rn = 1 THEN 0.0 ELSE st.rv END"}, ("st",), 6))
+
+
+KERNEL_ORACLES.update({f.__name__[3:]: f for f in (_k_fisher, _k_supertrend, _k_psar)})
