@@ -69,7 +69,7 @@ def test_kernel_fault_isolation(spark):
         pass
 
     def flaky(a, length=3):
-        if len(a["close"]) % 2 == 0:
+        if len(a["close"]) % 2 == 1:
             raise RuntimeError("too long")
         return {f"FLAKY_{length}": a["close"] * 0 + 1}
 
