@@ -71,7 +71,9 @@ def run_features(spark: SparkSession, job: FeatureJob) -> DataFrame:
     feats = build_features(src, specs=specs, orderflow_windows=job.custom_windows if job.with_custom else None,
                            warmup=job.warmup, mode="daily", warnings=job.warnings)
     feats = feats.join(todo, PARTITION_COLUMNS, "left_semi")
-    write_partitioned(feats, job.out_root, overwrite=job.force)
+    # Chunks were hash-partitioned by (symbol, interval, chunk_date) and a
+    # chunk keeps only its own day, so each output day lives in one task.
+    write_partitioned(feats, job.out_root, overwrite=job.force, clustered=True)
     return todo
 
 

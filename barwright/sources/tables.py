@@ -76,16 +76,19 @@ def existing_keys(spark: SparkSession, root: str) -> DataFrame | None:
 
 
 def write_partitioned(df: DataFrame, root: str, overwrite: bool = False,
-                      compression: str = COMPRESSION, level: int = ZSTD_LEVEL) -> None:
+                      compression: str = COMPRESSION, level: int = ZSTD_LEVEL, clustered: bool = False) -> None:
     """One file per (symbol, interval, date), rows in open_time order.
 
     The hash repartition on the partition keys sends each symbol-day to one
-    task (a day is bounded, so no key is hot); overwrite is dynamic, so a
-    forced rerun replaces only the partitions it writes. Spark's commit
-    protocol gives the atomic replace the original did with temp files.
+    task (a day is bounded, so no key is hot). `clustered=True` skips it when
+    every symbol-day already sits in one task (feature chunks), saving a full
+    shuffle of the widest table. Overwrite is dynamic, so a forced rerun
+    replaces only the partitions it writes; Spark's commit protocol gives the
+    atomic replace the original did with temp files.
     """
-    (df.repartition(*PARTITION_COLUMNS)
-       .sortWithinPartitions(*PARTITION_COLUMNS, "open_time")
+    if not clustered:
+        df = df.repartition(*PARTITION_COLUMNS)
+    (df.sortWithinPartitions(*PARTITION_COLUMNS, "open_time")
        .write.mode("overwrite" if overwrite else "append")
        .option("partitionOverwriteMode", "dynamic")
        .option("compression", compression)

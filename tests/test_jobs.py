@@ -32,6 +32,9 @@ def test_ingest_features_validate(spark, scratch):
     assert n1 > 0
     written = spark.read.parquet(feat_root)
     assert written.agg(F.min("date")).first()[0] >= dt.date(2024, 1, 5)
+    # one file per symbol-day without a second shuffle before the write
+    assert (written.select(F.col("_metadata.file_path")).distinct().count()
+            == written.select("symbol", "date").distinct().count())
     rows1 = written.count()
     # second run: everything exists -> nothing to do
     assert run_features(spark, job).count() == 0
