@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from barwright.operators.chunks import as_series, chunk_keys, slice_to_day, stitch_warmup
+from barwright.operators.chunks import chunk_keys, slice_to_day, stitch_halo, stitch_warmup
 from barwright.operators.orderflow import DEFAULT_WINDOWS, add_orderflow
 from barwright.operators.windows import Frames
 
@@ -28,10 +28,14 @@ def build_features(
     """Bars (with symbol, interval, date) -> bars + indicator columns + order-flow columns.
 
     mode="daily" restarts every cumulative or recursive state at the chunk start
-    (a day plus the previous day's last `warmup` bars), as the per-day tool does;
-    mode="continuous" treats each (symbol, interval) as one series.
+    (a day plus the previous day's last `warmup` bars), as the per-day tool does.
+    mode="continuous" gives finite-window and elementwise kinds their values
+    over the unbroken series: chunks are still days, with a halo of preceding
+    rows from as many earlier days as the longest window needs. Cumulative and
+    recursive kinds keep the daily restart rule and are NULL in this mode (a
+    warning says so).
     """
-    from barwright.functions.registry import apply_indicators, plan_specs, warmup_rows
+    from barwright.functions.registry import apply_indicators, halo_rows, plan_specs, warmup_rows
 
     keys = chunk_keys(mode)
     frames = Frames(keys)
@@ -39,19 +43,18 @@ def build_features(
     if mode == "daily":
         w = warmup_rows(specs or [], orderflow_windows or ()) if warmup == "auto" else int(warmup)
         df = stitch_warmup(bars, w)
-        # The one exchange of the chunk stage. An explicit partition count
-        # keeps adaptive execution from folding many small chunks into one
-        # task ahead of the Python kernel; every window stage and the kernel
-        # reuse this partitioning.
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        df = df.repartition(n, *keys)
     else:
-        df = as_series(bars)
+        h = halo_rows(specs or [], orderflow_windows or ()) if warmup == "auto" else int(warmup)
+        df = stitch_halo(bars, h)
+    # The one exchange of the chunk stage. An explicit partition count keeps
+    # adaptive execution from folding many small chunks into one task ahead
+    # of the Python kernel; every window stage and the kernel reuse it.
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df = df.repartition(n, *keys)
 
     def flow(d: DataFrame) -> DataFrame:
         return add_orderflow(d, frames, orderflow_windows) if orderflow_windows else d
 
-    df = apply_indicators(df, plan, frames, before_kernel=flow)
-    if mode == "daily":
-        df = slice_to_day(df)
+    df = apply_indicators(df, plan, frames, before_kernel=flow, mode=mode)
+    df = slice_to_day(df)
     return df.drop("chunk_date", "is_warmup", "__kernel_errors")

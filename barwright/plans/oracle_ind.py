@@ -226,7 +226,12 @@ def native_cases() -> dict[str, tuple[dict, list, list[str]]]:
 
 
 def native_sql(kind: str) -> str:
+    """Finite-window kinds over the whole series; cumulative kinds per daily chunk."""
+    from barwright.functions.registry import CUMULATIVE_KINDS, warmup_rows
+
     spec, stages, outputs = native_cases()[kind]
+    if kind in CUMULATIVE_KINDS:
+        return staged("daily", warmup_rows([spec]), stages, outputs)
     return staged("continuous", 0, stages, outputs)
 
 

@@ -49,7 +49,10 @@ def indicator_query(spec: dict, mode: str, warmup: int | str = "auto"):
 def _native_indicator_queries() -> dict:
     from barwright.plans.oracle_ind import native_cases
 
-    return {f"ind_{k}": indicator_query(spec, "continuous") for k, (spec, _, _) in native_cases().items()}
+    from barwright.functions.registry import CUMULATIVE_KINDS
+
+    return {f"ind_{k}": indicator_query(spec, "daily" if k in CUMULATIVE_KINDS else "continuous")
+            for k, (spec, _, _) in native_cases().items()}
 
 
 def _kernel_indicator_queries() -> dict:

@@ -37,11 +37,15 @@ def merge_batch(batch: DataFrame, batch_id: int, interval: str, out_root: str) -
 
 
 def start_ingest(spark: SparkSession, raw_dir: str, interval: str, out_root: str, name: str = "kline-ingest",
-                 available_now: bool = True, raw_format: str = "json"):
-    """Start the streaming ingest from `raw_dir` (files with RAW_SCHEMA rows)."""
-    ckpt = checkpoint_dir(spark)
+                 available_now: bool = True, raw_format: str = "json", checkpoint: str | None = None):
+    """Start the streaming ingest from `raw_dir` (files with RAW_SCHEMA rows).
+
+    The stream checkpoint defaults to `<spark.checkpoint.dir>/stream-<name>`;
+    one checkpoint belongs to one (source, sink) pair.
+    """
+    ckpt = checkpoint or f"{checkpoint_dir(spark)}/stream-{name}"
     raw = spark.readStream.schema(RAW_SCHEMA).format(raw_format).load(raw_dir)
     w = (raw.writeStream.foreachBatch(lambda b, i: merge_batch(b, i, interval, out_root))
-         .option("checkpointLocation", f"{ckpt}/stream-{name}"))
+         .option("checkpointLocation", ckpt))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()

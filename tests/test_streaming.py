@@ -14,14 +14,14 @@ def test_stream_ingest_keep_last(spark, scratch):
     b = bars(spark, SF001, "1h")
     raw_dir, out = f"{scratch}/raw", f"{scratch}/bars"
     raw_from_bars(b, 1).drop("date").write.mode("append").json(raw_dir)
-    start_ingest(spark, raw_dir, "1h", out, name="t1").awaitTermination()
+    start_ingest(spark, raw_dir, "1h", out, name="t1", checkpoint=f"{scratch}/ckpt").awaitTermination()
     first = read_bars(spark, out)
     n = first.count()
     assert n == b.count()
 
     # a re-fetch of every bar with a revised close arrives later
     raw_from_bars(b.withColumn("close", F.col("high")), 2).drop("date").write.mode("append").json(raw_dir)
-    start_ingest(spark, raw_dir, "1h", out, name="t1").awaitTermination()
+    start_ingest(spark, raw_dir, "1h", out, name="t1", checkpoint=f"{scratch}/ckpt").awaitTermination()
     after = read_bars(spark, out)
     assert after.count() == n
     assert after.where(F.col("close") != F.col("high")).count() == 0
