@@ -13,13 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barwright.schema import DEFAULT_EXCHANGE, interval_to_ms, ms_to_date
-from barwright.session import checkpoint_dir
+from barwright.session import checkpoint_dir, ensure_conf
 
 EVENTS_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
 
 def stream_trades(spark: SparkSession, events_dir: str, file_glob: str = "events*.parquet",
                   max_files_per_trigger: int | None = None) -> DataFrame:
+    ensure_conf(spark)  # event times are read in UTC
     reader = spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", file_glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
