@@ -249,11 +249,17 @@ def k_smi(a, length=14, smooth=3):
     return {f"SMI_{length}": smi, f"SMIs_{length}": ema(smi, smooth)}
 
 
+# A range below this fraction of the series level is zero up to rounding;
+# dividing by it would turn floating-point noise into a 0..100 reading.
+FLAT_RANGE = 1e-9
+
+
 def _stoch_hold(x, n):
     lo, hi = rmin(x, n), rmax(x, n)
     rng = hi - lo
-    raw = 100.0 * (x - lo) / np.where(rng == 0, NAN, rng)
-    return ffill_within(raw, (rng == 0) & ~np.isnan(rng))
+    flat = rng <= FLAT_RANGE * np.fmax(np.abs(hi), np.abs(lo))
+    raw = 100.0 * (x - lo) / np.where(flat, NAN, rng)
+    return ffill_within(raw, flat & ~np.isnan(rng))
 
 
 def _smooth_from_first(x, factor):

@@ -94,40 +94,3 @@ class Frames:
 
     def mean(self, x, n: int) -> Column:
         return F.when(self.full(x, n), self.raw_sum(x, n) / F.lit(float(n)))
-
-    def max(self, x, n: int) -> Column:
-        x = col(x)
-        return F.when(self.full(x, n), F.max(x).over(self.rows(n)))
-
-    def min(self, x, n: int) -> Column:
-        x = col(x)
-        return F.when(self.full(x, n), F.min(x).over(self.rows(n)))
-
-    def var(self, x, n: int, shift: Column | None = None) -> Column:
-        """Sample variance over n rows.
-
-        Long frames use power sums of x - shift (shift ~ a level of the series,
-        e.g. the first value of the chunk) to keep the cancellation small.
-        """
-        x = col(x)
-        if n <= self.threshold:
-            return F.when(self.full(x, n), F.var_samp(x).over(self.rows(n)))
-        xc = x - shift if shift is not None else x
-        s1 = self.raw_sum(xc, n)
-        s2 = self.raw_sum(xc * xc, n)
-        v = (s2 - s1 * s1 / F.lit(float(n))) / F.lit(float(n - 1))
-        return F.when(self.full(x, n), F.greatest(v, F.lit(0.0)))
-
-    def std(self, x, n: int, shift: Column | None = None) -> Column:
-        return F.sqrt(self.var(x, n, shift))
-
-    def wma(self, x, n: int, rn: Column) -> Column:
-        """Linear-weighted mean, newest weight n: sum((i - (t-n)) * x_i) / (n(n+1)/2).
-
-        Uses Σ rn·x − (rn_t − n)·Σ x over the frame; `rn` is a row-number column.
-        """
-        x = col(x)
-        sx = self.raw_sum(x, n)
-        srx = self.raw_sum(rn.cast("double") * x, n)
-        num = srx - (rn.cast("double") - F.lit(float(n))) * sx
-        return F.when(self.full(x, n), num / F.lit(n * (n + 1) / 2.0))

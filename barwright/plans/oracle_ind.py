@@ -551,7 +551,9 @@ def kernel_cases() -> dict[str, dict]:
 
 
 def kernel_oracles() -> dict[str, str]:
-    return {f"ind_{k}": f()[1] for k, f in KERNEL_ORACLES.items()}
+    out = {f"ind_{k}": f()[1] for k, f in KERNEL_ORACLES.items()}
+    out.update({f"ind_{k}": f()[1] for k, f in SHORT_KERNEL_ORACLES.items()})
+    return out
 
 
 # ------------------------------------------------------- state machines (N)
@@ -638,3 +640,70 @@ def _k_psar():
 
 
 KERNEL_ORACLES.update({f.__name__[3:]: f for f in (_k_fisher, _k_supertrend, _k_psar)})
+
+
+def _rsi_series(q_: Rec, n: int, name: str) -> str:
+    q_.series(f"{name}_u", "CASE WHEN c1 IS NOT NULL THEN greatest(close - c1, 0.0) END")
+    q_.series(f"{name}_d", "CASE WHEN c1 IS NOT NULL THEN greatest(c1 - close, 0.0) END")
+    q_.rma(f"{name}_gu", f"{name}_u", n); q_.rma(f"{name}_gd", f"{name}_d", n)
+    return q_.series(name, f"100.0 * {dv(f'{name}_gu.y', f'{name}_gu.y + {name}_gd.y')}", (f"{name}_gu", f"{name}_gd"))
+
+
+def _k_qqe_5():
+    n, smooth, factor = 5, 5, 4.236
+    q_ = Rec()
+    _rsi_series(q_, n, "rs")
+    q_.ema("rm", "rs", smooth)
+    q_.series("ad", f"abs(rm.y - lag(rm.y) OVER (PARTITION BY symbol, interval, chunk_date ORDER BY rn))", ("rm",))
+    q_.ema("e1", "ad", 2 * n - 1); q_.ema("e2", "e1", 2 * n - 1)
+    q_.ctes.append(f"""src AS (SELECT {KEYS4}, rm.y AS r, lag(rm.y) OVER (PARTITION BY symbol, interval, chunk_date ORDER BY rn) AS r0,
+  rm.y - {factor} * e2.y AS lb, rm.y + {factor} * e2.y AS ub
+  FROM b LEFT JOIN rm USING ({KEYS4}) LEFT JOIN e2 USING ({KEYS4}))""")
+    q_.ctes.append(f"v AS (SELECT * FROM src WHERE r IS NOT NULL AND lb IS NOT NULL)")
+    anchor = ("SELECT s.symbol, s.interval, s.chunk_date, s.rn, s.lb, s.ub, 1 FROM v s WHERE s.rn = (SELECT min(x.rn) FROM v x "
+              "WHERE x.symbol = s.symbol AND x.interval = s.interval AND x.chunk_date = s.chunk_date)")
+    lng = "CASE WHEN s.r0 > r.lo AND s.r > r.lo THEN greatest(r.lo, s.lb) ELSE s.lb END"
+    sht = "CASE WHEN s.r0 < r.sh AND s.r < r.sh THEN least(r.sh, s.ub) ELSE s.ub END"
+    trend = ("CASE WHEN s.r > r.sh AND s.r0 <= r.sh THEN 1 WHEN s.r < r.lo AND s.r0 >= r.lo THEN -1 ELSE r.tr END")
+    step = f"SELECT s.symbol, s.interval, s.chunk_date, s.rn, {lng}, {sht}, {trend} FROM st r JOIN v s ON {STEP}"
+    q_.ctes.append(f"st(symbol, interval, chunk_date, rn, lo, sh, tr) AS ({anchor}\n  UNION ALL\n  {step})")
+    return ({"kind": "qqe", "length": n},
+            q_.sql({"QQE_5": "CASE WHEN st.tr = 1 THEN st.lo ELSE st.sh END", "QQEma_5": "rm.y",
+                    "QQEl_5": "CASE WHEN st.tr = 1 THEN st.lo END", "QQEs_5": "CASE WHEN st.tr = -1 THEN st.sh END"},
+                   ("st", "rm"), 10))
+
+
+def _stoch_hold_sql(q_: Rec, name: str, src: str, n: int) -> str:
+    """100·(x − min)/(max − min) over n rows; a zero range repeats the last defined value."""
+    lo, hi = f"min(x.y) {rows(n)}", f"max(x.y) {rows(n)}"
+    full = f"count(x.y) {rows(n)} = {n}"
+    flat = f"({hi} - {lo} <= 1e-9 * greatest(abs({hi}), abs({lo})))"
+    q_.ctes.append(f"""{name}_raw AS (SELECT b.symbol, b.interval, b.chunk_date, b.rn, b.open_time,
+  CASE WHEN {full} THEN {flat} END AS flat,
+  CASE WHEN {full} AND NOT {flat} THEN 100.0 * (x.y - {lo}) / ({hi} - {lo}) END AS v
+  FROM b LEFT JOIN {src} x USING ({KEYS4}))""")
+    q_.ctes.append(f"""{name} AS (SELECT symbol, interval, chunk_date, rn,
+  CASE WHEN flat IS NULL THEN NULL WHEN NOT flat THEN v
+       ELSE last_value(v IGNORE NULLS) OVER (PARTITION BY symbol, interval, chunk_date ORDER BY rn
+                                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS y
+  FROM {name}_raw)""")
+    return name
+
+
+def _k_stc_short():
+    tc, fast, slow, factor = 3, 5, 10, 0.5
+    q_ = Rec(); q_.series("x", "close"); q_.ema("ef", "x", fast); q_.ema("es", "x", slow)
+    q_.series("m", "ef.y - es.y", ("ef", "es"))
+    _stoch_hold_sql(q_, "k1", "m", tc)
+    q_.smooth("pf", "k1", 1, factor, "first")
+    _stoch_hold_sql(q_, "k2", "pf", tc)
+    q_.smooth("st_", "k2", 1, factor, "first")
+    return ({"kind": "stc", "tclength": tc, "fast": fast, "slow": slow, "factor": factor},
+            q_.sql({"STC": "st_.y"}, ("st_",), 15))
+
+
+SHORT_KERNEL_ORACLES = {"qqe_5": _k_qqe_5, "stc_short": _k_stc_short}
+
+
+def short_kernel_cases() -> dict[str, dict]:
+    return {k: f()[0] for k, f in SHORT_KERNEL_ORACLES.items()}

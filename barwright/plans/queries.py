@@ -58,7 +58,12 @@ def _native_indicator_queries() -> dict:
 def _kernel_indicator_queries() -> dict:
     from barwright.plans.oracle_ind import kernel_cases
 
-    return {f"ind_{k}": indicator_query(spec, "daily") for k, spec in kernel_cases().items()}
+    from barwright.plans.oracle_ind import short_kernel_cases
+
+    out = {f"ind_{k}": indicator_query(spec, "daily") for k, spec in kernel_cases().items()}
+    # Short-parameter variants whose values fill a 30-minute daily chunk.
+    out.update({f"ind_{k}": indicator_query(spec, "daily") for k, spec in short_kernel_cases().items()})
+    return out
 
 
 def _raw_pages(spark: SparkSession, sf: str) -> DataFrame:
