@@ -52,6 +52,18 @@ class Sql:
         self.order = order
         self.spec = f"PARTITION BY {', '.join(q(k) for k in self.keys)} ORDER BY {q(order)}"
         self.threshold = threshold
+        # Window calls by text -> helper column name. Spark evaluates every
+        # window expression it is given, duplicates included, and specs share
+        # many (guards, sums of close); each distinct call is computed once.
+        self.calls: dict[str, str] = {}
+
+    def call(self, text: str) -> str:
+        """One window call as a reference to its (shared) helper column."""
+        name = self.calls.get(text)
+        if name is None:
+            name = f"__w{len(self.calls)}"
+            self.calls[text] = name
+        return q(name)
 
     def over(self, frame: str = "") -> str:
         return f"OVER ({self.spec}{' ' + frame if frame else ''})"
@@ -66,17 +78,17 @@ class Sql:
         return self.over(f"ROWS BETWEEN UNBOUNDED PRECEDING AND {n} PRECEDING")
 
     def lag(self, x: str, k: int = 1) -> str:
-        return f"lag({x}, {k}) {self.over()}"
+        return self.call(f"lag({x}, {k}) {self.over()}")
 
     def count(self, x: str, n: int) -> str:
         if n > self.threshold:
-            return f"(count({x}) {self.cum()} - count({x}) {self.upto(n)})"
-        return f"count({x}) {self.rows(n)}"
+            return f"({self.call(f'count({x}) {self.cum()}')} - {self.call(f'count({x}) {self.upto(n)}')})"
+        return self.call(f"count({x}) {self.rows(n)}")
 
     def raw_sum(self, x: str, n: int) -> str:
         if n > self.threshold:
-            return f"(sum({x}) {self.cum()} - coalesce(sum({x}) {self.upto(n)}, 0D))"
-        return f"sum({x}) {self.rows(n)}"
+            return f"({self.call(f'sum({x}) {self.cum()}')} - coalesce({self.call(f'sum({x}) {self.upto(n)}')}, 0D))"
+        return self.call(f"sum({x}) {self.rows(n)}")
 
     def full(self, x: str, n: int) -> str:
         return f"{self.count(x, n)} = {n}"
@@ -91,15 +103,15 @@ class Sql:
         return self.guard(x, n, f"{self.raw_sum(x, n)} / {n}D")
 
     def max(self, x: str, n: int) -> str:
-        return self.guard(x, n, f"max({x}) {self.rows(n)}")
+        return self.guard(x, n, self.call(f"max({x}) {self.rows(n)}"))
 
     def min(self, x: str, n: int) -> str:
-        return self.guard(x, n, f"min({x}) {self.rows(n)}")
+        return self.guard(x, n, self.call(f"min({x}) {self.rows(n)}"))
 
     def var(self, x: str, n: int, shift: str | None = C0) -> str:
         """Sample variance; long frames use power sums of x − shift."""
         if n <= self.threshold:
-            return self.guard(x, n, f"var_samp({x}) {self.rows(n)}")
+            return self.guard(x, n, self.call(f"var_samp({x}) {self.rows(n)}"))
         xc = f"({x} - {shift})" if shift else x
         s1, s2 = self.raw_sum(xc, n), self.raw_sum(f"{xc} * {xc}", n)
         return self.guard(x, n, f"greatest(({s2} - {s1} * {s1} / {n}D) / {n - 1}D, 0D)")
