@@ -38,6 +38,15 @@ def _is_missing(df: DataFrame, c: str):
     return _q(c).isNull()
 
 
+def _ranked(arr, top_k: int):
+    """Top-k of an array<struct<col, pos, rate>>: rate descending, column position on ties."""
+    def cmp(a, b):
+        return (F.when(a["rate"] > b["rate"], -1).when(a["rate"] < b["rate"], 1)
+                .when(a["pos"] < b["pos"], -1).when(a["pos"] > b["pos"], 1).otherwise(0))
+    top = F.slice(F.array_sort(arr, cmp), 1, top_k)
+    return F.transform(top, lambda s_: F.struct(s_["col"].alias("col"), s_["rate"].alias("rate")))
+
+
 def quality_report(
     df: DataFrame,
     file_key: Sequence[str],
@@ -54,6 +63,11 @@ def quality_report(
     or symbol/interval/date); `order_col` is the row order inside the file
     (e.g. `_metadata.row_index`). The key and `exclude` (helper columns such as
     a row index) are left out of the file's column lists.
+
+    One pass: a lag window per file, then one grouped aggregation whose row per
+    file carries every rate; the all-NULL list and both top-k lists are array
+    expressions over that row, and the spacings a per-file set (bounded by the
+    rows of one file).
     """
     keys = list(file_key)
     helper = set(keys) | set(exclude)
@@ -71,67 +85,47 @@ def quality_report(
 
     aggs = [
         F.count(F.lit(1)).alias("n_rows"),
-        F.coalesce(F.bool_and(F.col("__diff") >= 0), F.lit(True)).alias("open_time_monotonic"),
-        F.avg((F.col("__diff") == step_ms).cast("double")).alias("open_time_step_rate"),
+        F.coalesce(F.bool_and(F.col("__diff") >= 0), F.lit(has_ot)).alias("open_time_monotonic"),
+        (F.avg((F.col("__diff") == step_ms).cast("double")) if has_ot else F.lit(0.0)).alias("open_time_step_rate"),
+        F.slice(F.sort_array(F.collect_set("__diff")), 1, N_DIFFS).alias("open_time_unique_diffs"),
     ]
     for i in range(len(numeric)):
         aggs += [F.avg(f"__m{i}").alias(f"__a{i}"), F.avg(F.when(head, F.col(f"__m{i}"))).alias(f"__h{i}")]
     per_file = x.groupBy(*keys).agg(*aggs)
-    if not has_ot:
-        per_file = per_file.withColumn("open_time_monotonic", F.lit(False)).withColumn("open_time_step_rate", F.lit(0.0))
-
-    # Per-column rates as rows: (file, scope, column, position, rate).
-    stack = F.explode(F.array(*[
-        F.struct(F.lit(scope).alias("scope"), F.lit(c).alias("col"), F.lit(i).alias("pos"),
-                 F.col(f"__{tag}{i}").alias("rate"))
-        for i, c in enumerate(numeric) for scope, tag in (("all", "a"), ("head", "h"))
-    ])) if numeric else None
-    rates = per_file.select(*keys, stack.alias("r")).select(*keys, "r.*") if numeric else None
-
-    top = None
-    if rates is not None:
-        rk = Window.partitionBy(*keys, "scope").orderBy(F.col("rate").desc(), F.col("pos"))
-        top = (rates.withColumn("rank", F.row_number().over(rk)).where(F.col("rank") <= top_k)
-               .select(*keys, "scope", "rank", "col", "rate"))
-        all_null = (rates.where((F.col("scope") == "all") & (F.col("rate") == 1.0))
-                    .groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("pos", "col"))).alias("__an"))
-                    .select(*keys, F.transform("__an", lambda s: s["col"]).alias("all_null_cols")))
-
-    # Five smallest distinct spacings per file.
-    d = x.where(F.col("__diff").isNotNull()).select(*keys, "__diff").distinct()
-    dk = Window.partitionBy(*keys).orderBy("__diff")
-    diffs = (d.withColumn("__k", F.row_number().over(dk)).where(F.col("__k") <= N_DIFFS)
-             .groupBy(*keys).agg(F.sort_array(F.collect_list("__diff")).alias("open_time_unique_diffs")))
 
+    def rates(tag: str):
+        return F.array(*[F.struct(F.lit(c).alias("col"), F.lit(i).alias("pos"), F.col(f"__{tag}{i}").alias("rate"))
+                         for i, c in enumerate(numeric)])
+
+    empty_top = F.array().cast("array<struct<col:string,rate:double>>")
     summary = per_file.select(
         *keys,
         F.array(F.col("n_rows"), F.lit(len(cols)).cast("long")).alias("shape"),
         F.array(*[F.lit(c) for c in missing_base]).cast("array<string>").alias("missing_base_cols"),
         F.array(*[F.lit(c) for c in right_cols]).cast("array<string>").alias("right_cols"),
-        "open_time_monotonic", "open_time_step_rate",
+        "open_time_monotonic", "open_time_step_rate", "open_time_unique_diffs",
+        (F.transform(F.filter(rates("a"), lambda s_: s_["rate"] == 1.0), lambda s_: s_["col"]) if numeric
+         else F.array().cast("array<string>")).alias("all_null_cols"),
+        (_ranked(rates("a"), top_k) if numeric else empty_top).alias("top_null_cols_all"),
+        (_ranked(rates("h"), top_k) if numeric else empty_top).alias("top_null_cols_head"),
         *[(1.0 - F.col(f"__{tag}{numeric.index(p)}")).alias(f"{p}_notnull_ratio_{scope}")
           for p in probes if p in numeric for scope, tag in (("all", "a"), ("head", "h"))],
     )
-    summary = summary.join(diffs, keys, "left").withColumn(
-        "open_time_unique_diffs", F.coalesce("open_time_unique_diffs", F.array().cast("array<bigint>")))
-    if rates is not None:
-        summary = summary.join(all_null, keys, "left").withColumn(
-            "all_null_cols", F.coalesce("all_null_cols", F.array().cast("array<string>")))
-    else:
-        summary = summary.withColumn("all_null_cols", F.array().cast("array<string>"))
-        top = per_file.select(*keys).limit(0)
+    top = summary.select(*keys, F.explode(F.array(
+        F.struct(F.lit("all").alias("scope"), F.col("top_null_cols_all").alias("t")),
+        F.struct(F.lit("head").alias("scope"), F.col("top_null_cols_head").alias("t")))).alias("__s"))
+    top = (top.select(*keys, "__s.scope", F.posexplode("__s.t").alias("__p", "__e"))
+           .select(*keys, "scope", (F.col("__p") + 1).alias("rank"), "__e.col", "__e.rate"))
     return summary, top
 
 
-def report_json(summary: DataFrame, top: DataFrame, file_key: Sequence[str]) -> DataFrame:
-    """One JSON document per file (S15), with the top-NULL columns as maps."""
+def report_json(summary: DataFrame, file_key: Sequence[str]) -> DataFrame:
+    """One JSON document per file (S15), the top-NULL lists as {column: rate} maps."""
     keys = list(file_key)
 
-    def top_map(scope: str):
-        entries = F.sort_array(F.collect_list(F.when(F.col("scope") == scope, F.struct("rank", "col", "rate"))))
-        return F.map_from_entries(F.transform(entries, lambda s: F.struct(s["col"], s["rate"])))
+    def as_map(c: str):
+        return F.map_from_entries(F.transform(F.col(c), lambda s_: F.struct(s_["col"], s_["rate"])))
 
-    maps = top.groupBy(*keys).agg(top_map("all").alias("top_null_cols_all"),
-                                  top_map("head").alias("top_null_cols_head"))
-    full = summary.join(maps, keys, "left")
+    full = summary.withColumn("top_null_cols_all", as_map("top_null_cols_all")) \
+                  .withColumn("top_null_cols_head", as_map("top_null_cols_head"))
     return full.select(*keys, F.to_json(F.struct(*[c for c in full.columns if c not in keys])).alias("report"))

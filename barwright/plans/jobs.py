@@ -115,9 +115,9 @@ def run_validate(spark: SparkSession, root: str, out: str | None = None, step_ms
     Path-derived partition columns are not part of a file's columns.
     """
     df = read_feature_files(spark, root)
-    summary, top = quality_report(df, ["file_path"], "row_index", step_ms=step_ms, first_n=first_n,
-                                  exclude=["row_index", "interval", "date"])
-    reports = report_json(summary, top, ["file_path"])
+    summary, _ = quality_report(df, ["file_path"], "row_index", step_ms=step_ms, first_n=first_n,
+                                exclude=["row_index", "interval", "date"])
+    reports = report_json(summary, ["file_path"])
     if out:
         write_reports(reports, out)
     return reports

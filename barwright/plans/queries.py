@@ -131,7 +131,8 @@ def q_quality_summary(spark: SparkSession, sf: str) -> DataFrame:
         F.col("shape")[0].alias("n_rows"), F.col("shape")[1].alias("n_cols"),
         *[F.array_join(F.col(c).cast("array<string>"), ",").alias(f"{c}_list")
           for c in ("missing_base_cols", "right_cols", "open_time_unique_diffs", "all_null_cols")],
-    ).drop("shape", "missing_base_cols", "right_cols", "open_time_unique_diffs", "all_null_cols")
+    ).drop("shape", "missing_base_cols", "right_cols", "open_time_unique_diffs", "all_null_cols",
+           "top_null_cols_all", "top_null_cols_head")
     return rounded(flat)
 
 
