@@ -50,3 +50,24 @@ def test_ingest_features_validate(spark, scratch):
     assert r["open_time_monotonic"] is True
     assert r["missing_base_cols"] == []
     assert "OBV_notnull_ratio_all" in r and len(r["top_null_cols_all"]) <= 15
+
+
+def test_ingest_closed_days_only_and_empty_pages(spark, scratch):
+    from barwright.plans.common import bars
+    from barwright.plans.jobs import run_ingest
+    from barwright.schema import BAR_SCHEMA
+    from barwright.sources.klines import klines_from_raw, raw_from_bars
+    from barwright.sources.tables import read_bars
+
+    b = bars(spark, SF001, "1h")
+    raw = raw_from_bars(b, 1).drop("date")
+    now = dt.datetime(2024, 1, 10, 12, tzinfo=dt.timezone.utc)
+    run_ingest(spark, raw, "1h", f"{scratch}/bars", now=now)
+    got = read_bars(spark, f"{scratch}/bars")
+    assert got.agg(F.max("date")).first()[0] == dt.date(2024, 1, 9)  # today and later are not closed
+    assert got.count() == b.where(F.col("date") <= dt.date(2024, 1, 9)).count()
+
+    empty = spark.createDataFrame([("BTCUSDT", 1, "[]")], "symbol STRING, ingest_seq BIGINT, payload STRING")
+    typed = klines_from_raw(empty, "1h")
+    assert typed.count() == 0
+    assert [f.name for f in BAR_SCHEMA.fields] == [c for c in typed.columns if c in {f.name for f in BAR_SCHEMA.fields}]
