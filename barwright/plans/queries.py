@@ -156,6 +156,31 @@ def q_stream_closed_bars(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(out)
 
 
+def q_warmup_stitch(spark: SparkSession, sf: str) -> DataFrame:
+    """Each day's 30-minute bars plus the previous calendar day's last 5 bars."""
+    from barwright.operators.chunks import stitch_warmup
+
+    b = bars(spark, sf).select("symbol", "interval", "date", "open_time", "close")
+    return rounded(stitch_warmup(b, 5))
+
+
+def q_halo_stitch(spark: SparkSession, sf: str) -> DataFrame:
+    """Continuous-mode chunks: each day's bars plus the 70 bars before its first bar,
+    reaching back over as many days as needed."""
+    from barwright.operators.chunks import stitch_halo
+
+    b = bars(spark, sf).select("symbol", "interval", "date", "open_time", "close")
+    return rounded(stitch_halo(b, 70))
+
+
+def q_dedup_keep_last(spark: SparkSession, sf: str) -> DataFrame:
+    """A1 alone: two fetches of every 7-hour bar; the later fetch wins."""
+    from barwright.operators.clean import bar_table, dedup_keep_last
+    from barwright.sources.klines import klines_from_raw
+
+    return rounded(bar_table(dedup_keep_last(klines_from_raw(_raw_pages(spark, sf), "7h"))))
+
+
 QUERIES = {
     "bars_30m": q_bars_30m,
     "orderflow_continuous": q_orderflow_continuous,
@@ -166,6 +191,9 @@ QUERIES = {
     "quality_summary": q_quality_summary,
     "quality_top_nulls": q_quality_top_nulls,
     "stream_closed_bars": q_stream_closed_bars,
+    "warmup_stitch": q_warmup_stitch,
+    "halo_stitch": q_halo_stitch,
+    "dedup_keep_last": q_dedup_keep_last,
 }
 QUERIES.update(_native_indicator_queries())
 QUERIES.update(_kernel_indicator_queries())
