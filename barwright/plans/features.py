@@ -17,6 +17,12 @@ from barwright.operators.orderflow import DEFAULT_WINDOWS, add_orderflow
 from barwright.operators.windows import Frames
 
 
+def chunk_partitions(spark) -> int:
+    """min(spark.sql.shuffle.partitions, 2 x default parallelism)."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(n, 2 * spark.sparkContext.defaultParallelism))
+
+
 def build_features(
     bars: DataFrame,
     specs: Sequence[dict] | None = None,
@@ -48,9 +54,10 @@ def build_features(
         df = stitch_halo(bars, h)
     # The one exchange of the chunk stage. An explicit partition count keeps
     # adaptive execution from folding many small chunks into one task ahead
-    # of the Python kernel; every window stage and the kernel reuse it.
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    df = df.repartition(n, *keys)
+    # of the Python kernel; every window stage and the kernel reuse it. Two
+    # waves over the cluster's cores at most: more tasks only add Python
+    # worker start-ups.
+    df = df.repartition(chunk_partitions(df.sparkSession), *keys)
 
     def flow(d: DataFrame) -> DataFrame:
         return add_orderflow(d, frames, orderflow_windows) if orderflow_windows else d
