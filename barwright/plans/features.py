@@ -47,10 +47,15 @@ def build_features(
     frames = Frames(keys)
     plan = plan_specs(specs or [], warnings)
     if mode == "daily":
-        w = warmup_rows(specs or [], orderflow_windows or ()) if warmup == "auto" else int(warmup)
+        if warmup == "auto":  # longest window parameter + 5, as the per-day tool computes it
+            w = warmup_rows(specs or [], orderflow_windows or ())
+        elif warmup == "exact":  # also covers nested windows and parameter-free kinds
+            w = halo_rows(specs or [], orderflow_windows or ())
+        else:
+            w = int(warmup)
         df = stitch_warmup(bars, w)
     else:
-        h = halo_rows(specs or [], orderflow_windows or ()) if warmup == "auto" else int(warmup)
+        h = halo_rows(specs or [], orderflow_windows or ()) if warmup in ("auto", "exact") else int(warmup)
         df = stitch_halo(bars, h)
     # The one exchange of the chunk stage. An explicit partition count keeps
     # adaptive execution from folding many small chunks into one task ahead
