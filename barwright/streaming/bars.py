@@ -62,14 +62,17 @@ def closed_bars(trades: DataFrame, interval: str, delay: str = "0 seconds",
 def run_closed_bars_once(spark: SparkSession, events_dir: str, interval: str, name: str,
                          delay: str = "0 seconds", file_glob: str = "events*.parquet",
                          checkpoint: str | None = None) -> DataFrame:
-    """Process everything available (availableNow) into an in-memory table; return it.
+    """Process everything available (availableNow) into a parquet table; return it.
 
-    The checkpoint goes under the session's shared checkpoint folder, so a
-    restarted driver resumes instead of re-emitting bars.
+    The file sink keeps results on the executors' storage (never on the
+    driver); table and stream checkpoint live under the session's shared
+    checkpoint folder, so a restarted driver resumes instead of re-emitting.
     """
+    base = checkpoint or f"{checkpoint_dir(spark)}/stream-{name}"
+    out = f"{base}/bars"
     q = (closed_bars(stream_trades(spark, events_dir, file_glob), interval, delay)
-         .writeStream.outputMode("append").format("memory").queryName(name)
-         .option("checkpointLocation", checkpoint or f"{checkpoint_dir(spark)}/stream-{name}")
+         .writeStream.outputMode("append").format("parquet").option("path", out)
+         .option("checkpointLocation", f"{base}/state")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.table(name)
+    return spark.read.parquet(out)
