@@ -650,7 +650,15 @@ def _rsi_series(q_: Rec, n: int, name: str) -> str:
 
 
 def _k_qqe_5():
-    n, smooth, factor = 5, 5, 4.236
+    return _qqe(5)
+
+
+def _k_qqe():
+    return _qqe(14)
+
+
+def _qqe(n: int):
+    smooth, factor = 5, 4.236
     q_ = Rec()
     _rsi_series(q_, n, "rs")
     q_.ema("rm", "rs", smooth)
@@ -668,9 +676,9 @@ def _k_qqe_5():
     step = f"SELECT s.symbol, s.interval, s.chunk_date, s.rn, {lng}, {sht}, {trend} FROM st r JOIN v s ON {STEP}"
     q_.ctes.append(f"st(symbol, interval, chunk_date, rn, lo, sh, tr) AS ({anchor}\n  UNION ALL\n  {step})")
     return ({"kind": "qqe", "length": n},
-            q_.sql({"QQE_5": "CASE WHEN st.tr = 1 THEN st.lo ELSE st.sh END", "QQEma_5": "rm.y",
-                    "QQEl_5": "CASE WHEN st.tr = 1 THEN st.lo END", "QQEs_5": "CASE WHEN st.tr = -1 THEN st.sh END"},
-                   ("st", "rm"), 10))
+            q_.sql({f"QQE_{n}": "CASE WHEN st.tr = 1 THEN st.lo ELSE st.sh END", f"QQEma_{n}": "rm.y",
+                    f"QQEl_{n}": "CASE WHEN st.tr = 1 THEN st.lo END", f"QQEs_{n}": "CASE WHEN st.tr = -1 THEN st.sh END"},
+                   ("st", "rm"), n + 5))
 
 
 def _stoch_hold_sql(q_: Rec, name: str, src: str, n: int) -> str:
@@ -691,18 +699,29 @@ def _stoch_hold_sql(q_: Rec, name: str, src: str, n: int) -> str:
 
 
 def _k_stc_short():
-    tc, fast, slow, factor = 3, 5, 10, 0.5
+    return _stc(3, 5, 10, 0.5, short=True)
+
+
+def _k_stc():
+    return _stc(10, 23, 50, 0.5, short=False)
+
+
+def _stc(tc: int, fast: int, slow: int, factor: float, short: bool):
+    from barwright.functions.registry import warmup_rows
+
     q_ = Rec(); q_.series("x", "close"); q_.ema("ef", "x", fast); q_.ema("es", "x", slow)
     q_.series("m", "ef.y - es.y", ("ef", "es"))
     _stoch_hold_sql(q_, "k1", "m", tc)
     q_.smooth("pf", "k1", 1, factor, "first")
     _stoch_hold_sql(q_, "k2", "pf", tc)
     q_.smooth("st_", "k2", 1, factor, "first")
-    return ({"kind": "stc", "tclength": tc, "fast": fast, "slow": slow, "factor": factor},
-            q_.sql({"STC": "st_.y"}, ("st_",), 15))
+    spec = ({"kind": "stc", "tclength": tc, "fast": fast, "slow": slow, "factor": factor} if short
+            else {"kind": "stc"})
+    return spec, q_.sql({"STC": "st_.y"}, ("st_",), warmup_rows([spec]))
 
 
 SHORT_KERNEL_ORACLES = {"qqe_5": _k_qqe_5, "stc_short": _k_stc_short}
+KERNEL_ORACLES.update({"qqe": _k_qqe, "stc": _k_stc})
 
 
 def short_kernel_cases() -> dict[str, dict]:
