@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from barwright.operators.chunks import chunk_keys, slice_to_day, stitch_halo, stitch_warmup
 from barwright.operators.orderflow import DEFAULT_WINDOWS, add_orderflow
@@ -30,9 +31,14 @@ def build_features(
     warmup: int | str = "auto",
     mode: str = "daily",
     warnings: list[str] | None = None,
+    only_days: DataFrame | None = None,
 ) -> DataFrame:
     """Bars (with symbol, interval, date) -> bars + indicator columns + order-flow columns.
 
+    `only_days` (symbol, interval, date) limits the output to those days: other
+    chunks are dropped before the chunk exchange (days they feed as warm-up
+    are still read).
+
     mode="daily" restarts every cumulative or recursive state at the chunk start
     (a day plus the previous day's last `warmup` bars), as the per-day tool does.
     mode="continuous" gives finite-window and elementwise kinds their values
@@ -57,6 +63,9 @@ def build_features(
     else:
         h = halo_rows(specs or [], orderflow_windows or ()) if warmup in ("auto", "exact") else int(warmup)
         df = stitch_halo(bars, h)
+    if only_days is not None:
+        df = df.join(only_days.select("symbol", "interval", F.col("date").alias("chunk_date")),
+                     ["symbol", "interval", "chunk_date"], "left_semi")
     # The one exchange of the chunk stage. An explicit partition count keeps
     # adaptive execution from folding many small chunks into one task ahead
     # of the Python kernel; every window stage and the kernel reuse it. Two

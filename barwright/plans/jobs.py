@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barwright.operators.clean import bar_table, clip_to_day, day_completeness, dedup_keep_last
+from barwright.operators.clean import bar_table, clip_to_day, data_day_grid, day_completeness, dedup_keep_last
 from barwright.operators.quality import quality_report, report_json
 from barwright.plans.features import build_features
 from barwright.schema import PARTITION_COLUMNS, day_grid, effective_end, pair_symbol
@@ -69,8 +69,7 @@ def run_features(spark: SparkSession, job: FeatureJob) -> DataFrame:
     need = todo.unionByName(todo.withColumn("date", F.date_sub("date", 1))).distinct()
     src = bars.join(need, PARTITION_COLUMNS, "left_semi")
     feats = build_features(src, specs=specs, orderflow_windows=job.custom_windows if job.with_custom else None,
-                           warmup=job.warmup, mode="daily", warnings=job.warnings)
-    feats = feats.join(todo, PARTITION_COLUMNS, "left_semi")
+                           warmup=job.warmup, mode="daily", warnings=job.warnings, only_days=todo)
     # Chunks were hash-partitioned by (symbol, interval, chunk_date) and a
     # chunk keeps only its own day, so each output day lives in one task.
     write_partitioned(feats, job.out_root, overwrite=job.force, clustered=True)
@@ -95,11 +94,13 @@ def run_ingest(spark: SparkSession, raw: DataFrame, interval: str, out_root: str
     last = effective_end(None, now, allow_today)
     typed = klines_from_raw(raw, interval).where(F.col("date") <= F.lit(last))
     clean = bar_table(dedup_keep_last(clip_to_day(typed)))
-    todo = todo_keys(spark, clean.select(*PARTITION_COLUMNS).distinct(), out_root, force)
-    clean = clean.join(todo, PARTITION_COLUMNS, "left_semi")
+    done = None if force else existing_keys(spark, out_root)
+    if done is not None:
+        # one pass over the raw pages: days already on disk are dropped here
+        clean = clean.join(done, PARTITION_COLUMNS, "left_anti")
     write_partitioned(clean, out_root, overwrite=force)
-    written = read_bars(spark, out_root).join(todo, PARTITION_COLUMNS, "left_semi")
-    return day_completeness(written, todo)
+    written = read_bars(spark, out_root)
+    return day_completeness(written, data_day_grid(written))
 
 
 def read_feature_files(spark: SparkSession, root: str) -> DataFrame:
