@@ -171,7 +171,8 @@ def rsi_of_close(a, n):
 def _rsi(c, n):
     d = c - shift(c)
     g, lo = rma(np.fmax(d, 0.0) + 0 * d, n), rma(np.fmax(-d, 0.0) + 0 * d, n)
-    return 100.0 * g / (g + lo)
+    with np.errstate(divide="ignore", invalid="ignore"):  # no move at all: 0/0 -> NULL
+        return 100.0 * g / (g + lo)
 
 
 def k_stochrsi(a, length=14, rsi_length=14, k=3, d=3):
