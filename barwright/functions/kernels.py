@@ -17,6 +17,8 @@ Contract seeds (written once, reused everywhere):
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from numpy.lib.stride_tricks import sliding_window_view
@@ -216,28 +218,30 @@ def k_qqe(a, length=14, smooth=5, factor=4.236):
     dar = factor * ema(ema(np.abs(rsi_ma - shift(rsi_ma)), wl), wl)
     lower, upper = rsi_ma - dar, rsi_ma + dar
     n = len(rsi_ma)
-    line = np.full(n, NAN)
-    longs, shorts = np.full(n, NAN), np.full(n, NAN)
+    # The state machine steps over Python floats (much cheaper than numpy scalars).
+    rl, lo_l, up_l = rsi_ma.tolist(), lower.tolist(), upper.tolist()
+    line, longs, shorts = [NAN] * n, [NAN] * n, [NAN] * n
     long_l = short_l = NAN
     trend = 1
     for i in range(n):
-        r, lb, ub = rsi_ma[i], lower[i], upper[i]
-        if np.isnan(r) or np.isnan(lb):
+        r, lb, ub = rl[i], lo_l[i], up_l[i]
+        if r != r or lb != lb:  # NaN
             continue
-        r0 = rsi_ma[i - 1] if i > 0 else NAN
+        r0 = rl[i - 1] if i > 0 else NAN
         prev_long, prev_short = long_l, short_l
         # Trailing lines ratchet while the smoothed RSI stays on their side.
         long_l = max(prev_long, lb) if (r0 > prev_long and r > prev_long) else lb
         short_l = min(prev_short, ub) if (r0 < prev_short and r < prev_short) else ub
-        if not np.isnan(prev_short) and r > prev_short and r0 <= prev_short:
+        if prev_short == prev_short and r > prev_short and r0 <= prev_short:
             trend = 1
-        elif not np.isnan(prev_long) and r < prev_long and r0 >= prev_long:
+        elif prev_long == prev_long and r < prev_long and r0 >= prev_long:
             trend = -1
         if trend == 1:
             line[i] = longs[i] = long_l
         else:
             line[i] = shorts[i] = short_l
-    return {f"QQE_{length}": line, f"QQEma_{length}": rsi_ma, f"QQEl_{length}": longs, f"QQEs_{length}": shorts}
+    return {f"QQE_{length}": np.array(line), f"QQEma_{length}": rsi_ma,
+            f"QQEl_{length}": np.array(longs), f"QQEs_{length}": np.array(shorts)}
 
 
 def k_smi(a, length=14, smooth=3):
@@ -299,15 +303,19 @@ def k_fisher(a, length=9, signal=1):
     pos = np.where(rng > 0, (hl2 - lo) / np.where(rng > 0, rng, 1.0) - 0.5, 0.0)
     pos[np.isnan(rng)] = NAN
     n = len(hl2)
-    fish = np.full(n, NAN)
+    pl = pos.tolist()
+    out = [NAN] * n
     w_prev = f_prev = 0.0
+    log = math.log
     for i in range(n):
-        if np.isnan(pos[i]):
+        p = pl[i]
+        if p != p:  # NaN
             continue
-        w = min(max(0.66 * pos[i] + 0.67 * w_prev, -0.999), 0.999)
-        f_prev = 0.5 * np.log((1.0 + w) / (1.0 - w)) + 0.5 * f_prev
+        w = min(max(0.66 * p + 0.67 * w_prev, -0.999), 0.999)
+        f_prev = 0.5 * log((1.0 + w) / (1.0 - w)) + 0.5 * f_prev
         w_prev = w
-        fish[i] = f_prev
+        out[i] = f_prev
+    fish = np.array(out)
     return {f"FISHERT_{length}": fish, f"FISHERTs_{length}": shift(fish, signal)}
 
 
@@ -335,23 +343,25 @@ def k_adx(a, length=14):
 
 def k_psar(a, af=0.02, max_af=0.2, af0=None):
     """Wilder's parabolic SAR; the first move (close up or down) sets the start side."""
-    h, l, c = a["high"], a["low"], a["close"]
-    n = len(c)
+    n = len(a["close"])
+    h, l, c = a["high"].tolist(), a["low"].tolist(), a["close"].tolist()
     step = af
     start = af if af0 is None else af0
-    longs, shorts = np.full(n, NAN), np.full(n, NAN)
-    afs, rev = np.full(n, NAN), np.full(n, NAN)
+    longs, shorts, afs, rev = [NAN] * n, [NAN] * n, [NAN] * n, [NAN] * n
     p = _p(af, max_af)
-    out = {f"PSARl_{p}": longs, f"PSARs_{p}": shorts, f"PSARaf_{p}": afs, f"PSARr_{p}": rev}
+
+    def out():
+        return {f"PSARl_{p}": np.array(longs), f"PSARs_{p}": np.array(shorts),
+                f"PSARaf_{p}": np.array(afs), f"PSARr_{p}": np.array(rev)}
     if n < 2:
-        return out
+        return out()
     falling = c[1] < c[0]
     sar = h[0] if falling else l[0]
     ep = l[0] if falling else h[0]
     acc = start
     afs[0], rev[0] = acc, 0.0
     for i in range(1, n):
-        if np.isnan(h[i]) or np.isnan(l[i]):
+        if h[i] != h[i] or l[i] != l[i]:  # NaN
             continue
         sar = sar + acc * (ep - sar)
         lo2 = min(l[i - 1], l[i - 2]) if i >= 2 else l[i - 1]
@@ -374,7 +384,7 @@ def k_psar(a, af=0.02, max_af=0.2, af0=None):
         else:
             longs[i] = sar
         afs[i], rev[i] = acc, float(reverse)
-    return out
+    return out()
 
 
 # ----------------------------------------------------------------- overlap
@@ -420,18 +430,19 @@ def k_supertrend(a, length=7, multiplier=3.0):
     atr = rma(true_range(a), length)
     ub, lb = hl2 + multiplier * atr, hl2 - multiplier * atr
     n = len(c)
-    line, dirs = np.full(n, NAN), np.full(n, NAN)
-    longs, shorts = np.full(n, NAN), np.full(n, NAN)
+    line, dirs, longs, shorts = [NAN] * n, [NAN] * n, [NAN] * n, [NAN] * n
+    cl, ul, ll, al = c.tolist(), ub.tolist(), lb.tolist(), atr.tolist()
     d = 1
     fu = fl = NAN
     for i in range(n):
-        if np.isnan(atr[i]):
+        if al[i] != al[i]:  # NaN
             continue
-        u, lo = ub[i], lb[i]
-        if not np.isnan(fu):
-            if c[i] > fu:
+        u, lo = ul[i], ll[i]
+        if fu == fu:
+            ci = cl[i]
+            if ci > fu:
                 d = 1
-            elif c[i] < fl:
+            elif ci < fl:
                 d = -1
             else:
                 # Bands only tighten while the trend holds.
@@ -446,7 +457,8 @@ def k_supertrend(a, length=7, multiplier=3.0):
         else:
             line[i] = shorts[i] = u
     p = _p(length, multiplier)
-    return {f"SUPERT_{p}": line, f"SUPERTd_{p}": dirs, f"SUPERTl_{p}": longs, f"SUPERTs_{p}": shorts}
+    return {f"SUPERT_{p}": np.array(line), f"SUPERTd_{p}": np.array(dirs, dtype="float64"),
+            f"SUPERTl_{p}": np.array(longs), f"SUPERTs_{p}": np.array(shorts)}
 
 
 # -------------------------------------------------------------- volatility
