@@ -57,6 +57,9 @@ def rstd(x, n):
     return _series(x).rolling(n, min_periods=n).std(ddof=1).to_numpy()
 
 
+LONG_SERIES = 4096
+
+
 def recur(x, alpha, start, seed):
     """y[start] = seed; y[t] = (1 - alpha)·y[t-1] + alpha·x[t] after it.
 
@@ -73,6 +76,13 @@ def recur(x, alpha, start, seed):
         return y
     q = 1.0 - alpha
     valid = ~np.isnan(xs)
+    if len(xs) > LONG_SERIES and 0.0 < q:
+        # Long series: pandas' compiled smoothing is faster than the closed
+        # form (same recursion; ignore_na holds the state over NULLs).
+        seg = np.concatenate(([seed], xs))
+        out = pd.Series(seg).ewm(alpha=alpha, adjust=False, ignore_na=True).mean().to_numpy()
+        y[start + 1:] = np.where(valid, out[1:], NAN)
+        return y
     if q <= 0.0:
         y[start + 1:] = np.where(valid, xs, NAN)
         return y
