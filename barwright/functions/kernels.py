@@ -2,7 +2,7 @@
 
 A kernel reads one chunk (<= one day plus warm-up) as numpy arrays sorted by
 open_time and returns named float arrays. Spark runs all kernel specs of a
-chunk in a single grouped Arrow call (`applyInPandas`) on the same
+chunk in a single grouped Arrow call (`applyInArrow`) on the same
 partitioning as the window stages. Linear recurrences use pandas' compiled
 exponential smoothing; only the state machines (psar, supertrend, qqe, fisher)
 step row by row.

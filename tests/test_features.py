@@ -121,3 +121,13 @@ def test_continuous_mode_matches_whole_series(spark):
     f = build_features(b, specs=[{"kind": "sma", "length": 100}], orderflow_windows=None, mode="continuous")
     per = f.groupBy("symbol").agg(F.sum(F.col("SMA_100").isNull().cast("int")).alias("n")).collect()
     assert all(r.n == 99 for r in per)  # one series per symbol, no restart at day boundaries
+
+
+def test_exact_warmup_covers_nested_windows():
+    from barwright.functions.registry import halo_rows, warmup_rows
+
+    specs = [{"kind": "entropy", "length": 60}, {"kind": "kst"}, {"kind": "ichimoku", "lookahead": False}]
+    assert warmup_rows(specs) == 65           # the per-day tool's rule: longest parameter + 5
+    assert halo_rows(specs) >= 2 * 60 - 1     # entropy needs 2L - 1 rows
+    assert halo_rows([{"kind": "kst"}]) >= 45  # roc 30 + sma 15
+    assert halo_rows([], (60, 300, 900)) == 900
