@@ -3,9 +3,10 @@
 A kernel reads one chunk (<= one day plus warm-up) as numpy arrays sorted by
 open_time and returns named float arrays. Spark runs all kernel specs of a
 chunk in a single grouped Arrow call (`applyInArrow`) on the same
-partitioning as the window stages. Linear recurrences use pandas' compiled
-exponential smoothing; only the state machines (psar, supertrend, qqe, fisher)
-step row by row.
+partitioning as the window stages. Linear recurrences use a blocked closed
+form on short series and pandas' compiled smoothing on long ones; only the
+state machines (psar, supertrend, qqe, fisher) step row by row, over Python
+floats.
 
 Contract seeds (written once, reused everywhere):
 - EMA(n): alpha = 2/(n+1), seeded with the mean of the first n consecutive
