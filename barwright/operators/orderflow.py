@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from barwright.operators.windows import Frames
 
@@ -26,32 +25,32 @@ def orderflow_columns(windows: Sequence[int] = DEFAULT_WINDOWS) -> list[str]:
 
 
 def add_orderflow(df: DataFrame, frames: Frames, windows: Sequence[int] = DEFAULT_WINDOWS) -> DataFrame:
-    """Append C1-C10. Returns the input unchanged when an exchange field is missing."""
+    """Append C1-C10. Returns the input unchanged when an exchange field is missing.
+
+    Written with the same SQL window builder as the native indicators, so
+    window calls shared by several columns (running counts, sums) are
+    computed once.
+    """
+    from barwright.functions.native import Sql
+    from barwright.functions.registry import run_stages
+
     if not set(REQUIRED).issubset(df.columns):
         return df
-    vol_den = F.when(F.col("volume") == 0, F.lit(1.0)).otherwise(F.col("volume"))
-    qv_den = F.when(F.col("quote_volume") == 0, F.lit(1.0)).otherwise(F.col("quote_volume"))
-    tbb = F.col("taker_buy_base") / vol_den
-    sv = (tbb * 2 - 1) * F.col("volume")
-    hl = F.col("high") - F.col("low")
-    r1 = F.ln("close") - frames.lag(F.ln("close"), 1)
-
-    stage1 = [
-        tbb.alias("tbb_ratio"),
-        (F.col("taker_buy_quote") / qv_den).alias("tbq_ratio"),
-        F.col("num_trades").alias("intensity"),
-        r1.alias("r1"),
-        sv.alias("signed_volume"),
-    ]
-    for w in windows:
-        stage1 += [
-            frames.mean(F.col("num_trades").cast("double"), w).alias(f"intensity_mean_{w}"),
-            frames.mean("volume", w).alias(f"vol_mean_{w}"),
-            frames.mean(sv, w).alias(f"sv_mean_{w}"),
-            frames.mean(hl, w).alias(f"hl_mean_{w}"),
-        ]
-    out = df.select("*", *stage1)
+    w = Sql(frames.keys, frames.order, frames.threshold)
+    tbb = "(`taker_buy_base` / CASE WHEN `volume` = 0 THEN 1D ELSE `volume` END)"
+    tbq = "(`taker_buy_quote` / CASE WHEN `quote_volume` = 0 THEN 1D ELSE `quote_volume` END)"
+    sv = f"(({tbb} * 2D - 1D) * `volume`)"
+    hl = "(`high` - `low`)"
+    r1 = f"(ln(`close`) - {w.lag('ln(`close`)')})"
+    stage1 = [("tbb_ratio", tbb), ("tbq_ratio", tbq), ("intensity", "`num_trades`"), ("r1", r1),
+              ("signed_volume", sv)]
+    for n in windows:
+        stage1 += [(f"intensity_mean_{n}", w.mean("CAST(`num_trades` AS DOUBLE)", n)),
+                   (f"vol_mean_{n}", w.mean("`volume`", n)),
+                   (f"sv_mean_{n}", w.mean(sv, n)),
+                   (f"hl_mean_{n}", w.mean(hl, n))]
     # r1 is itself a window expression, so its rolling sum is a second stage
     # over the same partitioning (no extra shuffle or sort).
-    out = out.select("*", *[frames.sum(F.col("r1") * F.col("r1"), w).alias(f"rv_{w}") for w in windows])
+    stage2 = [(f"rv_{n}", w.sum("(`r1` * `r1`)", n)) for n in windows]
+    out = run_stages(df, w, [stage1, stage2])
     return out.selectExpr(*[f"`{c}`" for c in df.columns + orderflow_columns(windows)])

@@ -1,96 +1,33 @@
-"""Window helpers: guarded rolling frames and O(1)-per-row prefix-sum frames.
+"""Window partitioning shared by the feature stages.
 
-Every window names its partition and order (Spark has no row order). A rolling
-result is NULL until the frame holds `n` non-NULL values, like a rolling call
-whose minimum count equals the window size.
+Every window names its partition and order (Spark has no row order). A
+rolling result is NULL until the frame holds `n` non-NULL values, like a
+rolling call whose minimum count equals the window size.
 
 Cost model: a sliding ROWS frame re-aggregates its whole buffer for every row
-(O(n) per row). Sums, means and power sums over long frames are therefore
-taken as the difference of two running frames, `UNBOUNDED PRECEDING..CURRENT`
-minus `UNBOUNDED PRECEDING..n PRECEDING`, which Spark evaluates incrementally
-(O(1) per row) in the same WindowExec. min/max cannot be decomposed and keep
-the sliding frame.
+(O(n) per row). Sums, means and power sums over frames longer than
+PREFIX_THRESHOLD rows are therefore taken as the difference of two running
+frames, `UNBOUNDED PRECEDING..CURRENT` minus `UNBOUNDED PRECEDING..n
+PRECEDING`, which Spark evaluates incrementally (O(1) per row) in the same
+WindowExec. min/max cannot be decomposed and keep the sliding frame. The
+expressions themselves are written by `barwright.functions.native.Sql`.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-
-from pyspark.sql import Column, Window
-from pyspark.sql import functions as F
+from dataclasses import dataclass
 
 # Frames longer than this use the running-difference form for sums.
 PREFIX_THRESHOLD = 8
 
 CHUNK_KEYS = ("symbol", "interval", "chunk_date")
-SERIES_KEYS = ("symbol", "interval")
-
-
-def col(x: Column | str) -> Column:
-    """Column by exact name (quoted: indicator names may contain dots)."""
-    return F.col(f"`{x}`") if isinstance(x, str) else x
-
-
-def div(a: Column, b: Column) -> Column:
-    """a / b, NULL when b is 0 or NULL (safe under ANSI mode)."""
-    return F.when(b != 0, a / b)
-
-
-def clean(x: Column) -> Column:
-    """NaN -> NULL: NULL is the only missing marker in our tables."""
-    return F.nanvl(x, F.lit(None).cast("double"))
 
 
+@dataclass(frozen=True)
 class Frames:
-    """Window factory for one partitioning (chunk or whole series)."""
-
-    def __init__(self, keys: Sequence[str] = CHUNK_KEYS, order: str = "open_time",
-                 prefix_threshold: int = PREFIX_THRESHOLD):
-        self.keys = tuple(keys)
-        self.order = order
-        self.w = Window.partitionBy(*self.keys).orderBy(order)
-        self.threshold = prefix_threshold
-
-    # -- frames -----------------------------------------------------------
-    def rows(self, n: int):
-        return self.w.rowsBetween(-(n - 1), 0)
-
-    def cum(self):
-        return self.w.rowsBetween(Window.unboundedPreceding, 0)
-
-    def upto(self, n: int):
-        """Rows from the partition start to `n` rows before the current one."""
-        return self.w.rowsBetween(Window.unboundedPreceding, -n)
-
-    # -- offsets ----------------------------------------------------------
-    def lag(self, x, k: int = 1) -> Column:
-        return F.lag(col(x), k).over(self.w)
-
-    def rn(self) -> Column:
-        return F.row_number().over(self.w)
-
-    def first(self, x) -> Column:
-        return F.first(col(x), ignorenulls=True).over(self.cum())
-
-    # -- rolling aggregates (guarded) --------------------------------------
-    def count(self, x, n: int) -> Column:
-        x = col(x)
-        if n > self.threshold:
-            return F.count(x).over(self.cum()) - F.count(x).over(self.upto(n))
-        return F.count(x).over(self.rows(n))
-
-    def raw_sum(self, x, n: int) -> Column:
-        x = col(x)
-        if n > self.threshold:
-            return F.sum(x).over(self.cum()) - F.coalesce(F.sum(x).over(self.upto(n)), F.lit(0.0))
-        return F.sum(x).over(self.rows(n))
-
-    def full(self, x, n: int) -> Column:
-        """True when the last n rows hold n non-NULL values of x."""
-        return self.count(x, n) == n
-
-    def sum(self, x, n: int) -> Column:
-        return F.when(self.full(x, n), self.raw_sum(x, n))
+    """One partitioning of the feature stages: partition keys, order column, threshold."""
 
-    def mean(self, x, n: int) -> Column:
-        return F.when(self.full(x, n), self.raw_sum(x, n) / F.lit(float(n)))
+    keys: Sequence[str] = CHUNK_KEYS
+    order: str = "open_time"
+    threshold: int = PREFIX_THRESHOLD
