@@ -131,3 +131,18 @@ def test_exact_warmup_covers_nested_windows():
     assert halo_rows(specs) >= 2 * 60 - 1     # entropy needs 2L - 1 rows
     assert halo_rows([{"kind": "kst"}]) >= 45  # roc 30 + sma 15
     assert halo_rows([], (60, 300, 900)) == 900
+
+
+def test_chunk_stage_has_one_exchange(spark):
+    """Window stages and the Arrow kernel share the one chunk exchange."""
+    from barwright.plans.features import build_features
+
+    specs = [{"kind": "sma", "length": 5}, {"kind": "rsi", "length": 5}, {"kind": "bbands", "length": 5, "std": 2.0}]
+    f = build_features(_bars(spark), specs=specs, orderflow_windows=(6,), mode="daily")
+    plan = f._jdf.queryExecution().executedPlan().toString().split("\n")
+    top = next(i for i, line in enumerate(plan) if "FlatMapGroupsInArrow" in line or "FlatMapGroupsInPandas" in line)
+    below = [line for line in plan[top:] if "Exchange" in line]
+    assert below and "REPARTITION_BY_NUM" in below[0]
+    between = plan[top:plan.index(next(line for line in plan[top:] if "REPARTITION_BY_NUM" in line))]
+    assert sum("Sort [" in line for line in between) <= 1
+    assert all("Exchange" not in line for line in plan[:top])
