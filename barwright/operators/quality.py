@@ -119,13 +119,20 @@ def quality_report(
     return summary, top
 
 
-def report_json(summary: DataFrame, file_key: Sequence[str]) -> DataFrame:
-    """One JSON document per file (S15), the top-NULL lists as {column: rate} maps."""
+def report_json(summary: DataFrame, file_key: Sequence[str], step_ms: int | None = None) -> DataFrame:
+    """One JSON document per file (S15), the top-NULL lists as {column: rate} maps.
+
+    The document also carries the original field names: `path` (the first key
+    column) and, for a 1 s step, `open_time_1s_rate`.
+    """
     keys = list(file_key)
 
     def as_map(c: str):
         return F.map_from_entries(F.transform(F.col(c), lambda s_: F.struct(s_["col"], s_["rate"])))
 
     full = summary.withColumn("top_null_cols_all", as_map("top_null_cols_all")) \
-                  .withColumn("top_null_cols_head", as_map("top_null_cols_head"))
+                  .withColumn("top_null_cols_head", as_map("top_null_cols_head")) \
+                  .withColumn("path", F.col(keys[0]).cast("string"))
+    if step_ms == 1000:
+        full = full.withColumn("open_time_1s_rate", F.col("open_time_step_rate"))
     return full.select(*keys, F.to_json(F.struct(*[c for c in full.columns if c not in keys])).alias("report"))

@@ -118,7 +118,7 @@ def run_validate(spark: SparkSession, root: str, out: str | None = None, step_ms
     df = read_feature_files(spark, root)
     summary, _ = quality_report(df, ["file_path"], "row_index", step_ms=step_ms, first_n=first_n,
                                 exclude=["row_index", "interval", "date"])
-    reports = report_json(summary, ["file_path"])
+    reports = report_json(summary, ["file_path"], step_ms)
     if out:
         write_reports(reports, out)
     return reports

@@ -50,6 +50,7 @@ def test_ingest_features_validate(spark, scratch):
     assert r["open_time_monotonic"] is True
     assert r["missing_base_cols"] == []
     assert "OBV_notnull_ratio_all" in r and len(r["top_null_cols_all"]) <= 15
+    assert r["path"].endswith(".parquet") and r["shape"][1] > 10
 
 
 def test_ingest_closed_days_only_and_empty_pages(spark, scratch):
