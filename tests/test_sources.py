@@ -79,3 +79,13 @@ def test_kernel_fault_isolation(spark):
     pdf = f.select("FLAKY_3", "EMA_3").toPandas()
     assert pdf["FLAKY_3"].isna().any() and pdf["FLAKY_3"].notna().any()
     assert pdf["EMA_3"].notna().any()
+
+
+def test_discovery(spark):
+    from barwright.plans.common import bars
+    from barwright.sources.tables import list_days, list_symbols
+
+    b = bars(spark, SF001, "1h")
+    syms = [r.symbol for r in list_symbols(b).collect()]
+    assert syms == sorted(syms) and len(syms) == b.select("symbol").distinct().count()
+    assert list_days(b).count() == b.select("symbol", "interval", "date").distinct().count()
