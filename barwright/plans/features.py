@@ -21,7 +21,11 @@ from barwright.operators.windows import Frames
 def chunk_partitions(spark) -> int:
     """min(spark.sql.shuffle.partitions, 2 x default parallelism)."""
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(n, 2 * spark.sparkContext.defaultParallelism))
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # sessions without a SparkContext handle (e.g. Spark Connect)
+        return max(1, n)
+    return max(1, min(n, 2 * cores))
 
 
 def build_features(
