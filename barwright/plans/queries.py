@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barwright.operators.orderflow import add_orderflow, orderflow_columns
+from barwright.operators.orderflow import orderflow_columns
 from barwright.plans.common import bars, rounded
 from barwright.plans.features import build_features
 
@@ -22,7 +22,7 @@ def q_bars_30m(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_orderflow_continuous(spark: SparkSession, sf: str) -> DataFrame:
-    """C1-C10 at windows 60/300/900 over each symbol's whole series."""
+    """C1-C10 at windows 60/300/900 with whole-series values (day chunks + multi-day halo)."""
     f = build_features(bars(spark, sf), specs=[], orderflow_windows=(60, 300, 900), mode="continuous")
     return rounded(f.select(*KEYS, *orderflow_columns((60, 300, 900))))
 
@@ -35,7 +35,7 @@ def q_orderflow_daily(spark: SparkSession, sf: str) -> DataFrame:
 
 def indicator_query(spec: dict, mode: str, warmup: int | str = "auto"):
     """Query: bars -> one indicator spec -> keys + its output columns."""
-    from barwright.functions.registry import output_names, plan_specs
+    from barwright.functions.registry import plan_specs
 
     def q(spark: SparkSession, sf: str) -> DataFrame:
         plan = plan_specs([spec])
@@ -47,9 +47,8 @@ def indicator_query(spec: dict, mode: str, warmup: int | str = "auto"):
 
 
 def _native_indicator_queries() -> dict:
-    from barwright.plans.oracle_ind import native_cases
-
     from barwright.functions.registry import CUMULATIVE_KINDS
+    from barwright.plans.oracle_ind import native_cases
 
     return {f"ind_{k}": indicator_query(spec, "daily" if k in CUMULATIVE_KINDS else "continuous")
             for k, (spec, _, _) in native_cases().items()}
