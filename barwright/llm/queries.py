@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barwright.llm import bpe, lm, mixing, quality_rules, simhash
+from barwright.llm import bpe, license_scan, lm, mixing, quality_rules, sharding, simhash
 from barwright.llm.store import ship_package
 
 
@@ -13,6 +13,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_license_scan(spark, sf_dir):
+    return license_scan.query(_table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark, sf_dir):
     return quality_rules.query(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -25,6 +29,10 @@ def op7_mixing(spark, sf_dir):
     return mixing.query(_table(spark, sf_dir, "documents"))
 
 
+def op8_sharding(spark, sf_dir):
+    return sharding.query(_table(spark, sf_dir, "documents"))
+
+
 def op9_bpe(spark, sf_dir):
     return bpe.query(_table(spark, sf_dir, "documents"))
 
@@ -33,5 +41,8 @@ def op10_lm(spark, sf_dir):
     return lm.query(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_quality_rules, op6_simhash, op7_mixing, op9_bpe, op10_lm)}
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (op4_license_scan, op5_quality_rules, op6_simhash, op7_mixing, op8_sharding, op9_bpe, op10_lm)
+}
+ORACLES: dict[str, str] = {"op4_license_scan": license_scan.oracle(), "op8_sharding": sharding.oracle()}
