@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barwright.llm import bpe, license_scan, lm, mixing, quality_rules, sharding, simhash
+from barwright.llm import bpe, license_scan, lm, mixing, quality_rules, sharding, simhash, substring_dedup
 from barwright.llm.store import ship_package
 
 
@@ -13,6 +13,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark, sf_dir):
+    return substring_dedup.query(_table(spark, sf_dir, "documents"))
+
+
 def op4_license_scan(spark, sf_dir):
     return license_scan.query(_table(spark, sf_dir, "documents"))
 
@@ -43,6 +47,6 @@ def op10_lm(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (op4_license_scan, op5_quality_rules, op6_simhash, op7_mixing, op8_sharding, op9_bpe, op10_lm)
+    for f in (op1_substring_dedup, op4_license_scan, op5_quality_rules, op6_simhash, op7_mixing, op8_sharding, op9_bpe, op10_lm)
 }
 ORACLES: dict[str, str] = {"op4_license_scan": license_scan.oracle(), "op8_sharding": sharding.oracle()}
