@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barwright.llm import ann_tree, bpe, license_scan, lm, mixing, quality_rules, sharding, simhash, substring_dedup
+from barwright.llm import ann_tree, bpe, html_wrapper, license_scan, lm, mixing, quality_rules, sharding, simhash, substring_dedup
 from barwright.llm.store import ship_package
 
 
@@ -21,6 +21,10 @@ def op2_ann(spark, sf_dir):
     return ann_tree.query(_table(spark, sf_dir, "embeddings"))
 
 
+def op3_html_extract(spark, sf_dir):
+    return html_wrapper.query(_table(spark, sf_dir, "pages"))
+
+
 def op4_license_scan(spark, sf_dir):
     return license_scan.query(_table(spark, sf_dir, "documents"))
 
@@ -51,6 +55,6 @@ def op10_lm(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_substring_dedup, op2_ann, op4_license_scan, op5_quality_rules, op6_simhash, op7_mixing, op8_sharding, op9_bpe, op10_lm)
+    for f in (op1_substring_dedup, op2_ann, op3_html_extract, op4_license_scan, op5_quality_rules, op6_simhash, op7_mixing, op8_sharding, op9_bpe, op10_lm)
 }
 ORACLES: dict[str, str] = {"op4_license_scan": license_scan.oracle(), "op8_sharding": sharding.oracle()}

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barwright.llm import bpe, mixing, quality_rules, simhash
+from barwright.llm import bpe, mixing, quality_rules, simhash, substring_dedup
 from barwright.llm.store import saved, ship_package
 
 
@@ -26,6 +26,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(docs, shingle=3, distance=2)
 
 
+def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that repeat an earlier document's are cut out."""
+    ship_package(spark)
+    return substring_dedup.cut(docs)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in the number of copies that meets the sources' targets."""
     ship_package(spark)
@@ -38,7 +44,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, *bpe.default_vocabulary())
 
 
-STAGES = [("quality", quality), ("near_dedup", near_dedup), ("mix", mix), ("tokens", tokens)]
+STAGES = [("quality", quality), ("near_dedup", near_dedup), ("passages", passages), ("mix", mix), ("tokens", tokens)]
 
 ORACLE_SQL = None
 
