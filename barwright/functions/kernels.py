@@ -1,12 +1,11 @@
-"""Arrow kernels for recursive indicators (classes L and N) and unstable moments.
+"""Arrow kernels for recursive indicators (classes L and N).
 
 A kernel reads one chunk (<= one day plus warm-up) as numpy arrays sorted by
 open_time and returns named float arrays. Spark runs all kernel specs of a
 chunk in a single grouped Arrow call (`applyInArrow`) on the same
-partitioning as the window stages. Linear recurrences use a blocked closed
-form on short series and pandas' compiled smoothing on long ones; only the
-state machines (psar, supertrend, qqe, fisher) step row by row, over Python
-floats.
+partitioning as the window stages. Linear recurrences use pandas' compiled
+smoothing; only the state machines (psar, supertrend, qqe, fisher) step row by
+row, over Python floats.
 
 Contract seeds (written once, reused everywhere):
 - EMA(n): alpha = 2/(n+1), seeded with the mean of the first n consecutive
@@ -22,7 +21,6 @@ import math
 
 import numpy as np
 import pandas as pd
-from numpy.lib.stride_tricks import sliding_window_view
 
 NAN = np.nan
 
@@ -58,46 +56,17 @@ def rstd(x, n):
     return _series(x).rolling(n, min_periods=n).std(ddof=1).to_numpy()
 
 
-LONG_SERIES = 4096
-
-
 def recur(x, alpha, start, seed):
     """y[start] = seed; y[t] = (1 - alpha)·y[t-1] + alpha·x[t] after it.
 
-    Closed form per block: y = q^K · (y0 + Σ alpha·x_j·q^-K_j), K counting valid
-    steps, so a NULL x holds the state. Blocks keep q^-K below ~1e280.
+    pandas' compiled smoothing; a NULL or infinite x holds the state and emits NULL.
     """
-    n = len(x)
-    y = np.full(n, NAN)
-    if start is None or start >= n:
-        return y
-    y[start] = seed
-    xs = np.asarray(x[start + 1:], dtype="float64")
-    if not len(xs):
-        return y
-    q = 1.0 - alpha
-    valid = ~np.isnan(xs)
-    if len(xs) > LONG_SERIES and 0.0 < q:
-        # Long series: pandas' compiled smoothing is faster than the closed
-        # form (same recursion; ignore_na holds the state over NULLs).
-        seg = np.concatenate(([seed], xs))
-        out = pd.Series(seg).ewm(alpha=alpha, adjust=False, ignore_na=True).mean().to_numpy()
-        y[start + 1:] = np.where(valid, out[1:], NAN)
-        return y
-    if q <= 0.0:
-        y[start + 1:] = np.where(valid, xs, NAN)
+    y = np.full(len(x), NAN)
+    if start is None or start >= len(x):
         return y
-    block = len(xs) if q >= 1.0 else max(1, int(280.0 / -np.log10(q)))
-    out = np.empty(len(xs))
-    cur = seed
-    for s0 in range(0, len(xs), block):
-        xv, vv = xs[s0:s0 + block], valid[s0:s0 + block]
-        k = np.cumsum(vv)
-        acc = np.cumsum(np.where(vv, alpha * np.where(vv, xv, 0.0) * q ** (-k.astype("float64")), 0.0))
-        blk = q ** k * (cur + acc)
-        out[s0:s0 + block] = np.where(vv, blk, NAN)
-        cur = blk[-1]
-    y[start + 1:] = out
+    tail = np.concatenate(([seed], np.asarray(x[start + 1:], dtype="float64")))
+    smooth = pd.Series(tail).ewm(alpha=alpha, adjust=False, ignore_na=True).mean().to_numpy()
+    y[start:] = np.where(np.isfinite(tail), smooth, NAN)
     return y
 
 
@@ -148,19 +117,6 @@ def linreg(y, n):
     return (sy - slope * sx) / n + slope * n
 
 
-def rolling_mad(x, n, block=4096):
-    """Mean absolute deviation around each window's own mean (not decomposable)."""
-    out = np.full(len(x), NAN)
-    if len(x) < n:
-        return out
-    win = sliding_window_view(np.asarray(x, dtype="float64"), n)
-    for s in range(0, win.shape[0], block):
-        blk = win[s:s + block]
-        dev = np.abs(blk - blk.mean(axis=1, keepdims=True)).mean(axis=1)
-        out[s + n - 1:s + n - 1 + len(blk)] = dev
-    return out
-
-
 def ffill_within(x, hold):
     """Replace positions flagged `hold` by the previous value (used for a zero range)."""
     s = pd.Series(np.where(hold, NAN, x))
@@ -550,22 +506,4 @@ def k_ha(a):
             "HA_low": np.fmin(l, np.fmin(ho, hc)), "HA_close": hc}
 
 
-# -------------------------------------------------------------- statistics
-def k_cci(a, length=14, c=0.015):
-    tp = (a["high"] + a["low"] + a["close"]) / 3.0
-    return {f"CCI_{length}": (tp - sma(tp, length)) / (c * rolling_mad(tp, length))}
-
-
-def k_mad(a, length=30):
-    return {f"MAD_{length}": rolling_mad(a["close"], length)}
-
-
-def k_kurtosis(a, length=30):
-    return {f"KURT_{length}": _series(a["close"]).rolling(length, min_periods=length).kurt().to_numpy()}
-
-
-def k_skew(a, length=30):
-    return {f"SKEW_{length}": _series(a["close"]).rolling(length, min_periods=length).skew().to_numpy()}
-
-
 KERNELS = {name[2:]: fn for name, fn in list(globals().items()) if name.startswith("k_") and callable(fn)}

@@ -47,11 +47,13 @@ def num(x: float) -> str:
 class Sql:
     """Window expression factory for one partitioning, as SQL text."""
 
-    def __init__(self, keys: Sequence[str], order: str = "open_time", threshold: int = PREFIX_THRESHOLD):
+    def __init__(self, keys: Sequence[str], order: str = "open_time", threshold: int = PREFIX_THRESHOLD,
+                 day_chunks: bool = False):
         self.keys = tuple(keys)
         self.order = order
         self.spec = f"PARTITION BY {', '.join(q(k) for k in self.keys)} ORDER BY {q(order)}"
         self.threshold = threshold
+        self.day_chunks = day_chunks  # a chunk's own rows are those of chunk_date
         # Window calls by text -> helper column name. Spark evaluates every
         # window expression it is given, duplicates included, and specs share
         # many (guards, sums of close); each distinct call is computed once.
@@ -80,12 +82,19 @@ class Sql:
     def lag(self, x: str, k: int = 1) -> str:
         return self.call(f"lag({x}, {k}) {self.over()}")
 
+    @staticmethod
+    def finite(x: str) -> str:
+        """x, NULL where it is NaN or infinite: such a value must not stay in a running sum."""
+        return f"CASE WHEN abs({x}) < double('infinity') THEN {x} END"
+
     def count(self, x: str, n: int) -> str:
+        x = self.finite(x)
         if n > self.threshold:
             return f"({self.call(f'count({x}) {self.cum()}')} - {self.call(f'count({x}) {self.upto(n)}')})"
         return self.call(f"count({x}) {self.rows(n)}")
 
     def raw_sum(self, x: str, n: int) -> str:
+        x = self.finite(x)
         if n > self.threshold:
             return f"({self.call(f'sum({x}) {self.cum()}')} - coalesce({self.call(f'sum({x}) {self.upto(n)}')}, 0D))"
         return self.call(f"sum({x}) {self.rows(n)}")
@@ -109,29 +118,44 @@ class Sql:
         return self.guard(x, n, self.call(f"min({x}) {self.rows(n)}"))
 
     def var(self, x: str, n: int, shift: str | None = C0) -> str:
-        """Sample variance; long frames use power sums of x − shift."""
+        """Sample variance; long frames use power sums of x − shift, and are 0 where all values are equal."""
         if n <= self.threshold:
             return self.guard(x, n, self.call(f"var_samp({x}) {self.rows(n)}"))
         xc = f"({x} - {shift})" if shift else x
         s1, s2 = self.raw_sum(xc, n), self.raw_sum(f"{xc} * {xc}", n)
-        return self.guard(x, n, f"greatest(({s2} - {s1} * {s1} / {n}D) / {n - 1}D, 0D)")
+        flat = f"{self.call(f'max({x}) {self.rows(n)}')} = {self.call(f'min({x}) {self.rows(n)}')}"
+        return self.guard(x, n, f"CASE WHEN {flat} THEN 0D ELSE greatest(({s2} - {s1} * {s1} / {n}D) / {n - 1}D, 0D) END")
 
     def std(self, x: str, n: int, shift: str | None = C0) -> str:
         return f"sqrt({self.var(x, n, shift)})"
 
+    def weighted(self, x: str, n: int) -> tuple[str, str]:
+        """Σ y and Σ i·y over the frame, y = x − first close, i = 1..n from the oldest row.
+
+        Weights grow along the series, so these sums use a sliding frame and centred
+        values: differences of running sums would lose the digits on long chunks.
+        """
+        y = f"({x} - {C0})"
+        sy = self.call(f"sum({y}) {self.rows(n)}")
+        sry = self.call(f"sum({RN} * {y}) {self.rows(n)}")
+        return sy, f"({sry} - ({RN} - {n}D) * {sy})"
+
     def wma(self, x: str, n: int) -> str:
-        """Linear weights 1..n, newest heaviest: Σ rn·x − (rn_t − n)·Σ x over the frame."""
-        sx = self.raw_sum(x, n)
-        srx = self.raw_sum(f"{RN} * {x}", n)
-        return self.guard(x, n, f"({srx} - ({RN} - {n}D) * {sx}) / {n * (n + 1) / 2.0!r}D")
+        """Linear weights 1..n, newest heaviest."""
+        _, sxy = self.weighted(x, n)
+        return self.guard(x, n, f"{C0} + {sxy} / {n * (n + 1) / 2.0!r}D")
 
     def linreg(self, y: str, n: int) -> str:
         """OLS fit of y on x = 1..n over the last n rows, evaluated at the newest row."""
-        sy = self.raw_sum(y, n)
-        sxy = f"({self.raw_sum(f'{RN} * {y}', n)} - ({RN} - {n}D) * {sy})"
+        sy, sxy = self.weighted(y, n)
         sx, sxx = n * (n + 1) / 2.0, n * (n + 1) * (2 * n + 1) / 6.0
         slope = f"(({n}D * {sxy} - {sx!r}D * {sy}) / {n * sxx - sx * sx!r}D)"
-        return self.guard(y, n, f"(({sy} - {slope} * {sx!r}D) / {n}D + {slope} * {n}D)")
+        return self.guard(y, n, f"({C0} + ({sy} - {slope} * {sx!r}D) / {n}D + {slope} * {n}D)")
+
+    def mean_deviation(self, x: str, n: int) -> str:
+        """Mean absolute deviation of the frame's values from their own mean."""
+        values, mean = self.call(f"collect_list({x}) {self.rows(n)}"), self.call(f"avg({x}) {self.rows(n)}")
+        return self.guard(x, n, f"aggregate({values}, 0D, (a, v) -> a + abs(v - {mean})) / {n}D")
 
 
 def base_stage(w: Sql) -> list[tuple[str, str]]:
@@ -228,12 +252,18 @@ def cfo(w, length=9):
 
 
 def cg(w, length=10):
-    # Σ (age + 1)·c = (rn_t + 1)·Σc − Σ rn·c
-    sc = w.raw_sum(C, length)
-    numer = f"(({RN} + 1D) * {sc} - {w.raw_sum(f'{RN} * {C}', length)})"
+    # Σ (age + 1)·c with age 0 at the newest row; Σ i·c and Σ c are put back from their centred sums
+    n = length
+    sy, sxy = w.weighted(C, n)
+    sc = f"({sy} + {n}D * {C0})"
+    numer = f"({n + 1}D * {sc} - ({sxy} + {n * (n + 1) / 2.0!r}D * {C0}))"
     return [[(f"CG_{length}", w.guard(C, length, f"-{div(numer, sc)}"))]]
 
 
+def cci(w, length=14, c=0.015):
+    return [[(f"CCI_{length}", div(f"{TP} - {w.mean(TP, length)}", f"{float(c)!r}D * {w.mean_deviation(TP, length)}"))]]
+
+
 def cti(w, length=12):
     return [[(f"CTI_{length}", w.guard(C, length, f"corr({C}, {RN}) {w.rows(length)}"))]]
 
@@ -301,7 +331,7 @@ def vwma(w, length=10):
 
 def vwap(w):
     """Σ tp·v / Σ v since UTC midnight (anchor D)."""
-    if "chunk_date" in w.keys:
+    if w.day_chunks:
         # A chunk's own rows all lie on chunk_date and follow its warm-up rows,
         # so summing only same-day rows over the running frame is the
         # since-midnight sum, without a second partitioning.
@@ -374,7 +404,7 @@ def ad(w):
 
 
 def obv(w):
-    step = f"CASE WHEN {C1} IS NULL THEN {V} ELSE signum({C} - {C1}) * {V} END"
+    step = f"CASE WHEN {RN} = 1 THEN {V} ELSE signum({C} - {C1}) * {V} END"
     return [[("OBV", f"sum({step}) {w.cum()}")]]
 
 
@@ -412,12 +442,17 @@ def pvt(w):
 
 
 # ----------------------------------------------------------------- returns
+def _growth(w, length, cumulative):
+    """c over the close `length` rows back, or over the chunk's first close."""
+    return div(C, C0 if cumulative else (C1 if length == 1 else w.lag(C, length)))
+
+
 def log_return(w, length=1, cumulative=False):
-    return [[("LOGRET_1", f"ln({div(C, C1)})")]]
+    return [[(f"{'CUM' if cumulative else ''}LOGRET_{length}", f"ln({_growth(w, length, cumulative)})")]]
 
 
 def percent_return(w, length=1, cumulative=False):
-    return [[("PCTRET_1", f"{div(C, C1)} - 1D")]]
+    return [[(f"{'CUM' if cumulative else ''}PCTRET_{length}", f"{_growth(w, length, cumulative)} - 1D")]]
 
 
 # -------------------------------------------------------------- statistics
@@ -431,6 +466,26 @@ def zscore(w, length=30):
     return [[(f"ZS_{length}", div(f"{C} - {w.mean(C, length)}", w.std(C, length)))]]
 
 
+def mad(w, length=30):
+    return [[(f"MAD_{length}", w.mean_deviation(C, length))]]
+
+
+def skew(w, length=30):
+    """Sample skewness, from Spark's population skewness of the frame."""
+    n = length
+    g1 = w.call(f"skewness({C}) {w.rows(n)}")
+    k = math.sqrt(n * (n - 1)) / (n - 2) if n > 2 else None
+    return [[(f"SKEW_{n}", w.guard(C, n, f"{g1} * {k!r}D") if k else "CAST(NULL AS DOUBLE)")]]
+
+
+def kurtosis(w, length=30):
+    """Sample excess kurtosis, from Spark's population excess kurtosis of the frame."""
+    n = length
+    g2 = w.call(f"kurtosis({C}) {w.rows(n)}")
+    value = f"{(n - 1) / ((n - 2) * (n - 3))!r}D * ({n + 1}D * {g2} + 6D)" if n > 3 else "CAST(NULL AS DOUBLE)"
+    return [[(f"KURT_{n}", w.guard(C, n, value))]]
+
+
 def variance(w, length=30):
     return [[(f"VAR_{length}", w.var(C, length))]]
 
@@ -451,13 +506,13 @@ def hlc3(w):
 NATIVE = {
     f.__name__: f
     for f in (
-        stoch, roc, mom, bop, cmo, er, kst, rvgi, uo, willr, cfo, cg, cti,
+        stoch, roc, mom, bop, cci, cmo, er, kst, rvgi, uo, willr, cfo, cg, cti,
         aroon, chop, dpo, qstick, vhf, vortex,
         sma, wma, hma, vwma, vwap, bbands, donchian, linreg, midpoint, midprice, ichimoku,
         true_range, stdev, accbands,
         ad, obv, mfi, cmf, pvi, nvi, pvt,
         log_return, percent_return,
-        entropy, zscore, variance,
+        entropy, zscore, mad, skew, kurtosis, variance,
         ohlc4, hl2, hlc3,
     )
 }

@@ -66,8 +66,8 @@ def quality_report(
 
     One pass: a lag window per file, then one grouped aggregation whose row per
     file carries every rate; the all-NULL list and both top-k lists are array
-    expressions over that row, and the spacings a per-file set (bounded by the
-    rows of one file).
+    expressions over that row. The spacings are made distinct per file, and the
+    smallest few joined on.
     """
     keys = list(file_key)
     helper = set(keys) | set(exclude)
@@ -87,11 +87,15 @@ def quality_report(
         F.count(F.lit(1)).alias("n_rows"),
         F.coalesce(F.bool_and(F.col("__diff") >= 0), F.lit(has_ot)).alias("open_time_monotonic"),
         (F.avg((F.col("__diff") == step_ms).cast("double")) if has_ot else F.lit(0.0)).alias("open_time_step_rate"),
-        F.slice(F.sort_array(F.collect_set("__diff")), 1, N_DIFFS).alias("open_time_unique_diffs"),
     ]
     for i in range(len(numeric)):
         aggs += [F.avg(f"__m{i}").alias(f"__a{i}"), F.avg(F.when(head, F.col(f"__m{i}"))).alias(f"__h{i}")]
-    per_file = x.groupBy(*keys).agg(*aggs)
+    # the smallest spacings: distinct first, then a few per file, so no set of all spacings is held
+    apart = x.where(F.col("__diff").isNotNull()).select(*keys, "__diff").distinct()
+    few = apart.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy("__diff"))).where(F.col("__n") <= N_DIFFS)
+    few = few.groupBy(*keys).agg(F.sort_array(F.collect_list("__diff")).alias("__few"))
+    per_file = x.groupBy(*keys).agg(*aggs).join(few, keys, "left").withColumn(
+        "open_time_unique_diffs", F.coalesce("__few", F.array().cast("array<bigint>"))).drop("__few")
 
     def rates(tag: str):
         return F.array(*[F.struct(F.lit(c).alias("col"), F.lit(i).alias("pos"), F.col(f"__{tag}{i}").alias("rate"))

@@ -2,8 +2,9 @@
 
 Physical shape in daily mode: scan -> warm-up tail rank (group limit before the
 shuffle) -> union -> one hash exchange on (symbol, interval, chunk_date) ->
-grouped Arrow kernel for recursive indicators -> WindowExec stages for the
-native ones (same partitioning, no further exchange) -> day slice.
+WindowExec stages for the native indicators and order flow -> grouped Arrow
+kernel for recursive indicators (same partitioning, no further exchange) -> day
+slice.
 """
 
 from __future__ import annotations
@@ -18,14 +19,8 @@ from barwright.operators.orderflow import DEFAULT_WINDOWS, add_orderflow
 from barwright.operators.windows import Frames
 
 
-def chunk_partitions(spark) -> int:
-    """min(spark.sql.shuffle.partitions, 2 x default parallelism)."""
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        cores = spark.sparkContext.defaultParallelism
-    except Exception:  # sessions without a SparkContext handle (e.g. Spark Connect)
-        return max(1, n)
-    return max(1, min(n, 2 * cores))
+# A continuous chunk is at least so many halos long, so about a fifth of the rows is copied at most.
+HALOS_PER_CHUNK = 5
 
 
 def build_features(
@@ -39,15 +34,16 @@ def build_features(
 ) -> DataFrame:
     """Bars (with symbol, interval, date) -> bars + indicator columns + order-flow columns.
 
-    `only_days` (symbol, interval, date) limits the output to those days: other
-    chunks are dropped before the chunk exchange (days they feed as warm-up
-    are still read).
+    `only_days` (symbol, interval, date) limits the output to those days: in daily
+    mode other chunks are dropped before the chunk exchange (days they feed as
+    warm-up are still read).
 
     mode="daily" restarts every cumulative or recursive state at the chunk start
     (a day plus the previous day's last `warmup` bars), as the per-day tool does.
     mode="continuous" gives finite-window and elementwise kinds their values
-    over the unbroken series: chunks are still days, with a halo of preceding
-    rows from as many earlier days as the longest window needs. Cumulative and
+    over the unbroken series: chunks are runs of whole days several look-backs
+    long, with a halo of as many preceding rows as the longest window needs, so
+    few rows are copied. Cumulative and
     recursive kinds keep the daily restart rule and are NULL in this mode (a
     warning says so).
     """
@@ -55,7 +51,7 @@ def build_features(
 
     keys = chunk_keys(mode)
     frames = Frames(keys)
-    plan = plan_specs(specs or [], warnings)
+    plan = plan_specs(specs or [])
     if mode == "daily":
         if warmup == "auto":  # longest window parameter + 5, as the per-day tool computes it
             w = warmup_rows(specs or [], orderflow_windows or ())
@@ -66,20 +62,22 @@ def build_features(
         df = stitch_warmup(bars, w)
     else:
         h = halo_rows(specs or [], orderflow_windows or ()) if warmup in ("auto", "exact") else int(warmup)
-        df = stitch_halo(bars, h)
-    if only_days is not None:
+        df = stitch_halo(bars, h, chunk_rows=HALOS_PER_CHUNK * h)
+    if only_days is not None and mode == "daily":
         df = df.join(only_days.select("symbol", "interval", F.col("date").alias("chunk_date")),
                      ["symbol", "interval", "chunk_date"], "left_semi")
-    # The one exchange of the chunk stage. An explicit partition count keeps
-    # adaptive execution from folding many small chunks into one task ahead
-    # of the Python kernel; every window stage and the kernel reuse it. Two
-    # waves over the cluster's cores at most: more tasks only add Python
-    # worker start-ups.
-    df = df.repartition(chunk_partitions(df.sparkSession), *keys)
+    # The one exchange of the chunk stage; every window stage and the kernel
+    # reuse it. Its width is spark.sql.shuffle.partitions, which adaptive
+    # execution narrows by the data's size, down to the cluster's parallelism.
+    df = df.repartition(*keys)
 
     def flow(d: DataFrame) -> DataFrame:
         return add_orderflow(d, frames, orderflow_windows) if orderflow_windows else d
 
     df = apply_indicators(df, plan, frames, before_kernel=flow, mode=mode)
+    if warnings is not None:
+        warnings.extend(plan.warnings)
     df = slice_to_day(df)
+    if only_days is not None and mode != "daily":
+        df = df.join(only_days.select("symbol", "interval", "date"), ["symbol", "interval", "date"], "left_semi")
     return df.drop("chunk_date", "is_warmup", "__kernel_errors")

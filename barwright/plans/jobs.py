@@ -17,8 +17,9 @@ from barwright.operators.clean import bar_table, clip_to_day, data_day_grid, day
 from barwright.operators.quality import quality_report, report_json
 from barwright.plans.features import build_features
 from barwright.schema import PARTITION_COLUMNS, day_grid, effective_end, pair_symbol
+from barwright.session import ensure_conf
 from barwright.sources.klines import klines_from_raw
-from barwright.sources.tables import existing_keys, read_bars, write_partitioned, write_reports
+from barwright.sources.tables import existing_keys, prune, read_bars, write_partitioned, write_reports
 
 # The preset symbol list (base coins, quoted in USDT) and its range.
 FAVORITES = ["btc", "eth", "xrp", "sol", "bnb", "doge", "trx", "ada", "link",
@@ -40,6 +41,7 @@ class FeatureJob:
     custom_windows: Sequence[int] = (60, 300, 900)
     warmup: int | str = "auto"
     force: bool = False
+    interval: str | None = None  # a root with several granularities needs one named
     warnings: list[str] = field(default_factory=list)
 
 
@@ -59,9 +61,12 @@ def run_features(spark: SparkSession, job: FeatureJob) -> DataFrame:
     """
     from barwright.functions.specs import default_specs
 
+    ensure_conf(spark)
     specs = list(job.specs) if job.specs is not None else default_specs()[1]
     scan_start = job.start - _dt.timedelta(days=1) if job.start else None
     bars = read_bars(spark, job.in_root, job.symbols, scan_start, job.end)
+    if job.interval:
+        bars = bars.where(F.col("interval") == job.interval)
     wanted = bars.select(*PARTITION_COLUMNS).distinct()
     if job.start:
         wanted = wanted.where(F.col("date") >= F.lit(job.start))
@@ -84,15 +89,23 @@ def missing_inputs(bars: DataFrame, symbols: DataFrame, start: _dt.date, end: _d
 
 
 def run_ingest(spark: SparkSession, raw: DataFrame, interval: str, out_root: str,
-               now: _dt.datetime | None = None, allow_today: bool = False, force: bool = False) -> DataFrame:
+               now: _dt.datetime | None = None, allow_today: bool = False, force: bool = False,
+               symbols: Sequence[str] | None = None, start: _dt.date | None = None,
+               end: _dt.date | None = None) -> DataFrame:
     """Raw kline pages -> typed, clipped, deduplicated daily bars (3.1).
 
     Only closed days are written (P8); days already on disk are skipped unless
-    forced (S11). Returns the completeness report (A2) of what was written.
+    forced (S11). `symbols`, `start` and `end` limit the job (P9, P10). Returns the
+    completeness report (A2) of what was written; `klines_rejects` reports pages
+    and bars that could not be typed.
     """
+    ensure_conf(spark)
     now = now or _dt.datetime.now(_dt.timezone.utc)
-    last = effective_end(None, now, allow_today)
-    typed = klines_from_raw(raw, interval).where(F.col("date") <= F.lit(last))
+    last = effective_end(end, now, allow_today)
+    if start is not None and start > last:
+        raise ValueError(f"the range is empty: {start} is after {last}")
+    wanted = raw.where(F.col("symbol").isin(list(symbols))) if symbols else raw
+    typed = prune(klines_from_raw(wanted, interval), start=start, end=last)
     clean = bar_table(dedup_keep_last(clip_to_day(typed)))
     done = None if force else existing_keys(spark, out_root)
     if done is not None:
@@ -115,6 +128,7 @@ def run_validate(spark: SparkSession, root: str, out: str | None = None, step_ms
 
     Path-derived partition columns are not part of a file's columns.
     """
+    ensure_conf(spark)
     df = read_feature_files(spark, root)
     summary, _ = quality_report(df, ["file_path"], "row_index", step_ms=step_ms, first_n=first_n,
                                 exclude=["row_index", "interval", "date"])
@@ -129,6 +143,13 @@ def preset_symbols(spark: SparkSession, coins: Sequence[str] = FAVORITES) -> Dat
     return spark.createDataFrame([(c,) for c in coins], "coin STRING").select(pair_symbol("coin").alias("symbol"))
 
 
+def preset_ingest(spark: SparkSession, raw: DataFrame, out_root: str, now: _dt.datetime | None = None,
+                  force: bool = False) -> DataFrame:
+    """One-second bars of the preset symbols from the preset's first day on."""
+    return run_ingest(spark, raw, "1s", out_root, now=now, force=force,
+                      symbols=[c.upper() + "USDT" for c in FAVORITES], start=INGEST_START)
+
+
 def preset_feature_job(in_root: str, out_root: str, with_custom: bool = True, force: bool = False,
                        warmup: int | str = "auto") -> FeatureJob:
     """The 14-symbol preset over its fixed range."""

@@ -119,7 +119,19 @@ def native_cases() -> dict[str, tuple[dict, list, list[str]]]:
     mid52 = f"(({mx('high', 52)} + {mn('low', 52)}) / 2.0)"
     pvx = "1000.0 * exp(sum(CASE WHEN c1 IS NULL THEN 0.0 WHEN volume {op} v1 THEN ln(close / c1) ELSE 0.0 END) " + CUM + ")"
     ratio = dv("4.0 * (high - low)", "(high + low)")
+    mid520 = f"(({mx('high', 520)} + {mn('low', 520)}) / 2.0)"
     return {
+        "kurtosis_continuous": ({"kind": "kurtosis", "length": 60}, [[("KURT_60", g("close", 60, f"kurtosis(close) {rows(60)}"))]], ["KURT_60"]),
+        "kurtosis_300": ({"kind": "kurtosis", "length": 300}, [[("KURT_300", g("close", 300, f"kurtosis(close) {rows(300)}"))]], ["KURT_300"]),
+        "skew_continuous": ({"kind": "skew", "length": 60}, [[("SKEW_60", g("close", 60, f"skewness(close) {rows(60)}"))]], ["SKEW_60"]),
+        "mad_continuous": ({"kind": "mad", "length": 60}, [[("MAD_60", _mad("close", 60))]], ["MAD_60"]),
+        "cci_continuous": ({"kind": "cci", "length": 20},
+                           [[("CCI_20", dv(f"tp - {sm('tp', 20)}", f"0.015 * {_mad('tp', 20)}"))]], ["CCI_20"]),
+        "ichimoku_520": ({"kind": "ichimoku", "senkou": 520},
+                         [[("ITS_9", f"({mx('high', 9)} + {mn('low', 9)}) / 2.0"),
+                           ("IKS_26", f"({mx('high', 26)} + {mn('low', 26)}) / 2.0"), ("sb520", mid520)],
+                          [("ISA_9", lag("((ITS_9 + IKS_26) / 2.0)", 25)), ("ISB_26", lag("sb520", 25))]],
+                         ["ITS_9", "IKS_26", "ISA_9", "ISB_26"]),
         "stoch": ({"kind": "stoch", "k": 14, "d": 3, "smooth_k": 3},
                   [[("raw", f"100.0 * {dv(f'close - {mn(LO, 14)}', f'{mx(HI, 14)} - {mn(LO, 14)}')}")],
                    [(_n("STOCHk_14_3_3"), sm("raw", 3))], [(_n("STOCHd_14_3_3"), sm('"STOCHk_14_3_3"', 3))]],

@@ -150,7 +150,7 @@ def q_stream_closed_bars(spark: SparkSession, sf: str) -> DataFrame:
     from barwright.streaming.bars import run_closed_bars_once
 
     run = uuid.uuid4().hex[:12]
-    out = run_closed_bars_once(spark, sf, "30m", f"closed_bars_{run}",
+    out = run_closed_bars_once(spark, sf, "30m", f"closed_bars_{run}", delay="0 seconds",  # the file is in time order
                                checkpoint=f"{checkpoint_dir(spark)}/closed-bars-{run}")
     return rounded(out)
 
@@ -172,6 +172,42 @@ def q_halo_stitch(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(stitch_halo(b, 70))
 
 
+def q_halo_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """Continuous-mode chunks of several days: stretches of 350 rows with the 70 bars before them."""
+    from barwright.operators.chunks import stitch_halo
+
+    b = bars(spark, sf).select("symbol", "interval", "date", "open_time", "close")
+    return rounded(stitch_halo(b, 70, chunk_rows=350))
+
+
+def q_merge_keep_last(spark: SparkSession, sf: str) -> DataFrame:
+    """A1 over separate ingests: the newer fetch is merged first, the older one comes late and must not win."""
+    import uuid
+
+    from barwright.schema import BAR_TABLE_SCHEMA
+    from barwright.session import checkpoint_dir
+    from barwright.streaming.ingest import merge_batch
+
+    raw = _raw_pages(spark, sf)
+    root = f"{checkpoint_dir(spark)}/merge-{uuid.uuid4().hex[:12]}"
+    for i, seq in enumerate((2, 1)):
+        merge_batch(raw.where(F.col("ingest_seq") == seq), i, "7h", root)
+    return rounded(spark.read.schema(BAR_TABLE_SCHEMA).option("basePath", root).parquet(root))
+
+
+def q_klines_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages and bars that cannot be typed, counted per symbol: every third page is cut short, and
+    bars whose close is above 50 lose their open_time."""
+    from barwright.sources.klines import klines_rejects, raw_from_bars
+
+    b = bars(spark, sf, "7h")
+    opened = F.when(F.col("close") <= 50, F.col("open_time"))
+    pages = raw_from_bars(b.withColumn("open_time", F.coalesce(opened, F.lit(-1))))
+    broken = F.regexp_replace("payload", '"-1"', '"?"')
+    cut = F.when(F.dayofmonth("date") % 3 == 0, F.expr("substring(payload, 1, length(payload) - 3)")).otherwise(broken)
+    return klines_rejects(pages.withColumn("payload", cut), "7h")
+
+
 def q_dedup_keep_last(spark: SparkSession, sf: str) -> DataFrame:
     """A1 alone: two fetches of every 7-hour bar; the later fetch wins."""
     from barwright.operators.clean import bar_table, dedup_keep_last
@@ -192,6 +228,9 @@ QUERIES = {
     "stream_closed_bars": q_stream_closed_bars,
     "warmup_stitch": q_warmup_stitch,
     "halo_stitch": q_halo_stitch,
+    "halo_chunks": q_halo_chunks,
+    "merge_keep_last": q_merge_keep_last,
+    "klines_rejects": q_klines_rejects,
     "dedup_keep_last": q_dedup_keep_last,
 }
 QUERIES.update(_native_indicator_queries())

@@ -65,23 +65,14 @@ def interval_ms_col(c: Column) -> Column:
 
 
 def parse_utc_date(s: str, now: _dt.datetime | None = None) -> _dt.date:
-    """Plain `YYYY-MM-DD`, ISO with `T`/`Z`/offset, or `yesterday`.
-
-    Unlike the original tool an offset timestamp is converted to UTC first.
-    """
-    s = s.strip()
-    if s.lower() == "yesterday":
-        now = now or _dt.datetime.now(_dt.timezone.utc)
-        return now.astimezone(_dt.timezone.utc).date() - _dt.timedelta(days=1)
-    if "T" in s or " " in s:
-        iso = s.replace(" ", "T")
-        if iso.endswith("Z"):
-            iso = iso[:-1] + "+00:00"
-        ts = _dt.datetime.fromisoformat(iso)
-        if ts.tzinfo is None:
-            ts = ts.replace(tzinfo=_dt.timezone.utc)
-        return ts.astimezone(_dt.timezone.utc).date()
-    return _dt.date.fromisoformat(s)
+    """UTC date of an ISO date or timestamp, or of `yesterday` (P6). Without an offset it is UTC."""
+    utc = _dt.timezone.utc
+    text = s.strip()
+    if text.lower() == "yesterday":
+        instant = (now or _dt.datetime.now(utc)) - _dt.timedelta(days=1)
+    else:
+        instant = _dt.datetime.fromisoformat(text)
+    return (instant if instant.tzinfo else instant.replace(tzinfo=utc)).astimezone(utc).date()
 
 
 def effective_end(end: _dt.date | None, now: _dt.datetime, allow_today: bool = False) -> _dt.date:
@@ -93,7 +84,7 @@ def effective_end(end: _dt.date | None, now: _dt.datetime, allow_today: bool = F
 
 def day_start_ms(date_col: Column) -> Column:
     """UTC midnight of a DATE column in epoch ms."""
-    return F.unix_millis(F.to_timestamp(date_col))
+    return F.unix_date(date_col).cast("long") * F.lit(DAY_MS)
 
 
 def day_end_ms(date_col: Column) -> Column:
@@ -103,7 +94,7 @@ def day_end_ms(date_col: Column) -> Column:
 
 def ms_to_date(ms: Column) -> Column:
     """UTC calendar day of an epoch-ms column."""
-    return F.to_date(F.timestamp_millis(ms))
+    return F.date_from_unix_date(((ms - F.pmod(ms, F.lit(DAY_MS))) / F.lit(DAY_MS)).cast("int"))
 
 
 def parse_symbols(s: str) -> list[str]:

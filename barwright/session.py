@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -41,14 +42,21 @@ def ensure_conf(spark: SparkSession) -> None:
         spark.conf.set(k, v)
 
 
+@lru_cache(maxsize=1)
+def _scratch_dir() -> str:
+    return tempfile.mkdtemp(prefix="barwright-ckpt-")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster (spark.checkpoint.dir).
 
-    Only when it is unset (local tests) do we pick a scratch folder ourselves.
+    Only where it is unset and the master is local (tests) do we pick a scratch
+    folder ourselves; on a cluster executors do not share such a folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="barwright-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        d = _scratch_dir()
     spark.sparkContext.setCheckpointDir(d)
     return d

@@ -7,7 +7,9 @@ partial aggregation, so a hot symbol is pre-aggregated before the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barwright.schema import DEFAULT_EXCHANGE, interval_to_ms, ms_to_date
@@ -29,14 +31,22 @@ def trades_from_events(events: DataFrame) -> DataFrame:
     )
 
 
+def trade_order(ts_ms: Column, trade_id: Column) -> Column:
+    """(ts_ms, trade_id) as one number: ids take twenty digits, moved to be positive."""
+    number = F.coalesce(trade_id.cast("decimal(20,0)"), F.lit(Decimal(-(1 << 63)))) + F.lit(Decimal(1 << 63))
+    return ts_ms.cast("decimal(16,0)") * F.lit(Decimal(10**20)) + number
+
+
 def bars_from_trades(trades: DataFrame, interval: str, exchange: str = DEFAULT_EXCHANGE) -> DataFrame:
     """Tumbling-window OHLCV bars from (symbol, ts_ms, trade_id, price, qty, is_buy).
 
     open/close are the prices at the smallest/largest (ts_ms, trade_id); all
-    aggregates are decomposable, so Spark runs them as partial + final.
+    aggregates are decomposable, so Spark runs them as partial + final. The order
+    key is one decimal, which hash aggregation can hold (a struct would make it
+    sort all trades); a NULL trade_id comes first.
     """
     iv = interval_to_ms(interval)
-    order_key = F.struct("ts_ms", "trade_id")
+    order_key = trade_order(F.col("ts_ms"), F.col("trade_id"))
     bucket = (F.col("ts_ms") - F.pmod(F.col("ts_ms"), F.lit(iv))).alias("open_time")
     buy_qty = F.when(F.col("is_buy"), F.col("qty"))
     buy_quote = F.when(F.col("is_buy"), F.col("price") * F.col("qty"))

@@ -35,6 +35,16 @@ def klines_from_raw(raw: DataFrame, interval: str, exchange: str = DEFAULT_EXCHA
     return typed.withColumn("interval", F.lit(interval)).withColumn("date", ms_to_date(F.col("open_time")))
 
 
+def klines_rejects(raw: DataFrame, interval: str) -> DataFrame:
+    """(symbol, bad_pages, bad_bars): pages that are no JSON array of arrays, and bars without a readable
+    open_time, per symbol. Neither can be typed; ingest reports them instead of losing them silently."""
+    pages = F.from_json(F.col("payload"), "array<array<string>>")
+    opens = F.transform(F.coalesce(pages, F.array().cast("array<array<string>>")), lambda r: F.get(r, 0).try_cast("bigint"))
+    bad_bars = F.size(F.filter(opens, lambda x: x.isNull()))
+    counts = raw.select("symbol", pages.isNull().cast("long").alias("p"), bad_bars.cast("long").alias("b"))
+    return counts.groupBy("symbol").agg(F.sum("p").alias("bad_pages"), F.sum("b").alias("bad_bars"))
+
+
 def raw_from_bars(bars: DataFrame, ingest_seq: int = 1) -> DataFrame:
     """Inverse of S1 (fixture F2): one JSON page per (symbol, date) via to_json."""
     row = F.array(

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barwright.schema import BAR_TABLE_SCHEMA, PARTITION_COLUMNS
 
@@ -72,7 +73,8 @@ def existing_keys(spark: SparkSession, root: str) -> DataFrame | None:
     """Partition keys already written under `root`, or None when nothing is there."""
     if not path_exists(spark, root):
         return None
-    return spark.read.parquet(root).select(*PARTITION_COLUMNS).distinct()
+    keys = [f for f in BAR_TABLE_SCHEMA.fields if f.name in PARTITION_COLUMNS]
+    return spark.read.schema(T.StructType(keys)).option("basePath", root).parquet(root).select(*PARTITION_COLUMNS).distinct()
 
 
 def write_partitioned(df: DataFrame, root: str, overwrite: bool = False,

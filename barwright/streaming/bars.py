@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barwright.schema import DEFAULT_EXCHANGE, interval_to_ms, ms_to_date
+from barwright.sources.events import trade_order
 from barwright.session import checkpoint_dir, ensure_conf
 
 EVENTS_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
@@ -35,11 +36,15 @@ def stream_trades(spark: SparkSession, events_dir: str, file_glob: str = "events
     )
 
 
-def closed_bars(trades: DataFrame, interval: str, delay: str = "0 seconds",
+def closed_bars(trades: DataFrame, interval: str, delay: str,
                 exchange: str = DEFAULT_EXCHANGE) -> DataFrame:
-    """Streaming bars; a bar is final when the watermark (max event time − delay) passes its end."""
+    """Streaming bars; a bar is final when the watermark (max event time − delay) passes its end.
+
+    Events that come later than `delay` after a newer one are dropped by the
+    watermark, so the caller has to say how late events can be.
+    """
     iv = interval_to_ms(interval)
-    key = F.struct("event_time", "trade_id")
+    key = trade_order(F.unix_micros("event_time"), F.col("trade_id"))
     buy_qty = F.when(F.col("is_buy"), F.col("qty"))
     buy_quote = F.when(F.col("is_buy"), F.col("price") * F.col("qty"))
     agg = (trades.withWatermark("event_time", delay)
@@ -60,7 +65,7 @@ def closed_bars(trades: DataFrame, interval: str, delay: str = "0 seconds",
 
 
 def run_closed_bars_once(spark: SparkSession, events_dir: str, interval: str, name: str,
-                         delay: str = "0 seconds", file_glob: str = "events*.parquet",
+                         delay: str, file_glob: str = "events*.parquet",
                          checkpoint: str | None = None) -> DataFrame:
     """Process everything available (availableNow) into a parquet table; return it.
 

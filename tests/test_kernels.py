@@ -69,13 +69,3 @@ def test_zero_volume_and_zero_range():
     assert np.allclose(np.nan_to_num(out["ADOSC_3_10"]), 0.0)
     ha = K.k_ha(a)
     assert np.allclose(ha["HA_close"], 5.0)
-
-
-def test_rolling_mad_matches_definition():
-    rng = np.random.default_rng(5)
-    x = rng.normal(size=200)
-    m = K.rolling_mad(x, 20, block=7)
-    i = 57
-    w = x[i - 19:i + 1]
-    assert abs(m[i] - np.abs(w - w.mean()).mean()) < 1e-12
-    assert np.isnan(m[:19]).all()
