@@ -1,4 +1,7 @@
-"""Intermediate tables in the shared folder, and small schema helpers."""
+"""Intermediate tables in the shared folder, and small schema helpers.
+
+Column names that begin with `__llm_` are reserved for the operators' own use.
+"""
 
 from __future__ import annotations
 
