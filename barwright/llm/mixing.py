@@ -72,10 +72,10 @@ def fit_counts(length: np.ndarray, count: np.ndarray, budget: int) -> np.ndarray
         return take
     if budget >= total:
         return count.astype(np.int64)
-    take = np.array([int(c) * int(budget) // total for c in count], np.int64)
+    gap = min(GAP * int(length.max()), TABLE)
+    take = np.array([int(c) * max(0, budget - gap) // total for c in count], np.int64)
     left = budget - int((take * length).sum())
     order = np.argsort(-length)
-    gap = min(GAP * int(length.max()), TABLE)
     for i in order:  # greedy, but stay a gap away from the end
         n = min(int(count[i] - take[i]), max(0, left - gap) // int(length[i]))
         take[i] += n
@@ -140,8 +140,8 @@ def mix(docs: DataFrame, share: float = SHARE, cap: int = CAP, weights: tuple =
     draw = F.xxhash64(F.lit(seed), F.col("doc_id").cast("long"))
     source = F.col("source").cast("string")
     rows = docs.drop("size", "source_size", "target", "copies").withColumns({
-        "__src": source_key(source), "__size": word_count(F.col("text")), "__draw": draw,
-        "__b": F.shiftrightunsigned(draw, 56), "__tie": F.xxhash64("text"),
+        "__llm_src": source_key(source), "__llm_size": word_count(F.col("text")), "__llm_draw": draw,
+        "__llm_b": F.shiftrightunsigned(draw, 56), "__llm_tie": F.xxhash64("text"),
     })
     thin = docs.select(source_key(source).alias("src"), source.alias("source"), word_count(F.col("text")).alias("size"), F.shiftrightunsigned(draw, 56).alias("b"))
     planned = saved(plan(thin, share, cap, weights), "mix-plan")
@@ -149,18 +149,18 @@ def mix(docs: DataFrame, share: float = SHARE, cap: int = CAP, weights: tuple =
     run = Window.partitionBy("src", "size").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     held = held.withColumn("before", F.coalesce(F.sum("held").over(run), F.lit(0)))
     dealt = held.join(planned, ["src", "size"]).select(
-        F.col("src").alias("__src"), F.col("size").alias("__size"), F.col("b").alias("__b"), "size", "before", "source_size", "target", "whole", "extra"
+        F.col("src").alias("__llm_src"), F.col("size").alias("__llm_size"), F.col("b").alias("__llm_b"), "size", "before", "source_size", "target", "whole", "extra"
     )
-    rank = F.row_number().over(Window.partitionBy("__src", "__size", "__b").orderBy("__draw", "__tie"))
-    out = rows.withColumn("__rank", rank).join(dealt, ["__src", "__size", "__b"])
-    more = (F.col("before") + F.col("__rank") <= F.col("extra")).cast("int")
+    rank = F.row_number().over(Window.partitionBy("__llm_src", "__llm_size", "__llm_b").orderBy("__llm_draw", "__llm_tie"))
+    out = rows.withColumn("__llm_rank", rank).join(dealt, ["__llm_src", "__llm_size", "__llm_b"])
+    more = (F.col("before") + F.col("__llm_rank") <= F.col("extra")).cast("int")
     return out.select(*docs.drop("size", "source_size", "target", "copies").columns, "size", "source_size", "target", (F.col("whole") + more).alias("copies"))
 
 
 def mixed(docs: DataFrame, **params) -> DataFrame:
     """The mix itself: the rows that are taken, each as often as it is taken."""
     kept = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
-    return mix(docs, **params).filter("copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*kept)
+    return mix(docs, **params).filter("copies > 0").withColumn("__llm_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*kept)
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -104,13 +104,13 @@ def measures(texts: pa.Array) -> dict[str, np.ndarray]:
 def measured(docs: DataFrame, carry: list[str]) -> DataFrame:
     """Columns `carry` of every row, the counts, and the rules' bins."""
     names = [*COUNTS, *(f"bin_{r}" for r in RULES)]
-    src = docs.select(*carry, F.coalesce("text", F.lit("")).alias("__text"))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in src.drop("__text").schema.fields]
+    src = docs.select(*carry, F.coalesce("text", F.lit("")).alias("__llm_text"))
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in src.drop("__llm_text").schema.fields]
     schema = ", ".join([*fields, *(f"{c} long" for c in COUNTS), *(f"bin_{r} int" for r in RULES)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in steps(batches, "__text"):
-            m = measures(b.column("__text"))
+        for b in steps(batches, "__llm_text"):
+            m = measures(b.column("__llm_text"))
             yield pa.RecordBatch.from_arrays([b.column(c) for c in carry] + [pa.array(m[c]) for c in names], names=[*carry, *names])
 
     return src.mapInArrow(run, schema)

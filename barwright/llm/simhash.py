@@ -176,12 +176,12 @@ def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
     """
     told = near_duplicates(docs, shingle, distance)
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
-    chosen = told.groupBy("root").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("__id"), F.col("k.text_hash").alias("__hash"))
+    chosen = told.groupBy("root").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("__llm_id"), F.col("k.text_hash").alias("__llm_hash"))
     text_hash = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    kept = docs.withColumn("__h", text_hash).join(
-        chosen, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__hash")), "left_semi"
+    kept = docs.withColumn("__llm_h", text_hash).join(
+        chosen, F.col("doc_id").cast("long").eqNullSafe(F.col("__llm_id")) & (F.col("__llm_h") == F.col("__llm_hash")), "left_semi"
     )
-    return kept.dropDuplicates(["doc_id", "__h"]).drop("__h")
+    return kept.dropDuplicates(["doc_id", "__llm_h"]).drop("__llm_h")
 
 
 def query(docs: DataFrame) -> DataFrame:
