@@ -25,6 +25,9 @@ from collections.abc import Sequence
 from barwright.operators.windows import PREFIX_THRESHOLD
 
 
+SLIDING_VARIANCE = 120  # rows; beyond, a sliding frame costs too much per row
+
+
 def q(name: str) -> str:
     """Quoted column name (indicator names may contain dots)."""
     return f"`{name}`"
@@ -118,8 +121,9 @@ class Sql:
         return self.guard(x, n, self.call(f"min({x}) {self.rows(n)}"))
 
     def var(self, x: str, n: int, shift: str | None = C0) -> str:
-        """Sample variance; long frames use power sums of x − shift, and are 0 where all values are equal."""
-        if n <= self.threshold:
+        """Sample variance over a sliding frame. Only very long frames use power sums of x − shift, which lose
+        digits where a window's spread is small against the level; they are 0 where all values are equal."""
+        if n <= SLIDING_VARIANCE:
             return self.guard(x, n, self.call(f"var_samp({x}) {self.rows(n)}"))
         xc = f"({x} - {shift})" if shift else x
         s1, s2 = self.raw_sum(xc, n), self.raw_sum(f"{xc} * {xc}", n)

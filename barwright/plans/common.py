@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barwright.schema import ms_to_date
 from barwright.session import ensure_conf
 from barwright.sources.events import bars_from_events
 
@@ -48,6 +49,25 @@ def bars(spark: SparkSession, sf_dir: str, interval: str = "30m") -> DataFrame:
     return bars_from_events(table(spark, sf_dir, "events"), interval)
 
 
+def dense_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One-second bars, one per `lineitem` row (fixture F6): long days with flat and moving stretches."""
+    ensure_conf(spark)
+    line = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(
+        F.max("l_extendedprice").cast("double").alias("px"), F.max("l_quantity").cast("double").alias("qty"))
+    key = F.col("l_orderkey")
+    moving = F.col("px") / 1000.0 + 1.0
+    close = F.when(F.floor(key / 256) % 2 == 0, moving).otherwise(100.0 + F.floor(key / 64) % 7)
+    t = line.select((F.lit(1704067200000) + (key * 7 + F.col("l_linenumber")) * 1000).cast("long").alias("open_time"),
+                    close.alias("close"), F.col("qty").alias("volume"), (F.col("px") * F.col("qty")).alias("quote_volume"))
+    zero = F.lit(0.0)
+    return t.select(
+        "open_time", (F.col("close") + 0.25).alias("open"), (F.col("close") + 0.5).alias("high"),
+        (F.col("close") - 0.5).alias("low"), "close", "volume", (F.col("open_time") + 999).alias("close_time"),
+        "quote_volume", F.lit(1).cast("long").alias("num_trades"), zero.alias("taker_buy_base"),
+        zero.alias("taker_buy_quote"), F.lit("fixture").alias("exchange"), F.lit("LINE").alias("symbol"),
+        F.lit("1s").alias("interval"), ms_to_date(F.col("open_time")).alias("date"))
+
+
 def rounded(df: DataFrame) -> DataFrame:
     """Round every DOUBLE for comparison (see SIG_DIGITS) and add 0.0 (folds -0.0 into 0.0)."""
     out = []

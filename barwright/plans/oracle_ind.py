@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from barwright.plans.oracle import bars_cte, chunks_cte, r, series_cte
+from barwright.plans.oracle import bars_cte, dense_bars_cte, chunks_cte, r, series_cte
 
 WIN = "PARTITION BY symbol, interval, chunk_date ORDER BY open_time"
 
@@ -237,6 +237,19 @@ def native_cases() -> dict[str, tuple[dict, list, list[str]]]:
     }
 
 
+# Kinds whose windows are checked on day-long chunks of one-second bars as well (fixture F6).
+DENSE_KINDS = ("sma", "wma", "hma", "cfo", "linreg", "zscore", "bbands", "variance", "kurtosis_continuous",
+               "skew_continuous", "mad_continuous", "cci_continuous")
+
+
+def dense_sql(kind: str) -> str:
+    """A finite-window kind over daily chunks of the one-second bars."""
+    from barwright.functions.registry import warmup_rows
+
+    spec, stages, outputs = native_cases()[kind]
+    return staged("daily", warmup_rows([spec]), stages, outputs).replace(bars_cte(), dense_bars_cte())
+
+
 def native_sql(kind: str) -> str:
     """Finite-window kinds over the whole series; cumulative kinds per daily chunk."""
     from barwright.functions.registry import CUMULATIVE_KINDS, warmup_rows
@@ -248,7 +261,8 @@ def native_sql(kind: str) -> str:
 
 
 def indicator_oracles() -> dict[str, str]:
-    return {**{f"ind_{k}": native_sql(k) for k in native_cases()}, **kernel_oracles()}
+    dense = {f"dense_{k.removesuffix('_continuous')}": dense_sql(k) for k in DENSE_KINDS}
+    return {**{f"ind_{k}": native_sql(k) for k in native_cases()}, **dense, **kernel_oracles()}
 
 
 # ----------------------------------------------------------- recursive kinds

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barwright.operators.orderflow import orderflow_columns
-from barwright.plans.common import bars, rounded
+from barwright.plans.common import bars, dense_bars, rounded
 from barwright.plans.features import build_features
 
 KEYS = ["symbol", "interval", "date", "open_time"]
@@ -54,6 +54,21 @@ def _native_indicator_queries() -> dict:
             for k, (spec, _, _) in native_cases().items()}
 
 
+def _dense_queries() -> dict:
+    """Window kinds on daily chunks of tens of thousands of one-second bars."""
+    from barwright.functions.registry import plan_specs
+    from barwright.plans.oracle_ind import DENSE_KINDS, native_cases
+
+    def query(spec: dict):
+        def q(spark: SparkSession, sf: str) -> DataFrame:
+            f = build_features(dense_bars(spark, sf), specs=[spec], orderflow_windows=None, mode="daily")
+            return rounded(f.select(*KEYS, *[F.col(f"`{n}`") for n in plan_specs([spec]).outputs]))
+
+        return q
+
+    return {f"dense_{k.removesuffix('_continuous')}": query(native_cases()[k][0]) for k in DENSE_KINDS}
+
+
 def _kernel_indicator_queries() -> dict:
     from barwright.plans.oracle_ind import kernel_cases
 
@@ -234,6 +249,7 @@ QUERIES = {
     "dedup_keep_last": q_dedup_keep_last,
 }
 QUERIES.update(_native_indicator_queries())
+QUERIES.update(_dense_queries())
 QUERIES.update(_kernel_indicator_queries())
 
 
