@@ -253,6 +253,18 @@ QUERIES.update(_dense_queries())
 QUERIES.update(_kernel_indicator_queries())
 
 
+DENSE_SPECS = [
+    {"kind": "sma", "length": 50}, {"kind": "wma", "length": 21}, {"kind": "bbands", "length": 20, "std": 2.0},
+    {"kind": "zscore", "length": 60}, {"kind": "kurtosis", "length": 60}, {"kind": "ema", "length": 26}, {"kind": "rsi", "length": 14},
+    {"kind": "macd", "fast": 12, "slow": 26, "signal": 9}, {"kind": "atr", "length": 14}, {"kind": "psar"},
+]
+
+
+def q_features_dense(spark: SparkSession, sf: str) -> DataFrame:
+    """Day-long chunks of one-second bars: ten indicators of all classes and order flow at 60/300/900."""
+    return build_features(dense_bars(spark, sf), specs=DENSE_SPECS, orderflow_windows=(60, 300, 900), mode="daily")
+
+
 def q_flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Flagship: 30-minute bars -> full default indicator set + order flow, daily chunks."""
     from barwright.functions.specs import default_specs

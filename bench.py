@@ -33,6 +33,7 @@ def headline():
         "ind_bbands": q.QUERIES["ind_bbands"],
         "ind_macd": q.QUERIES["ind_macd"],
         "features_full": q.q_flagship,
+        "features_dense": q.q_features_dense,
     }
 
 

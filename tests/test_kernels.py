@@ -69,3 +69,26 @@ def test_zero_volume_and_zero_range():
     assert np.allclose(np.nan_to_num(out["ADOSC_3_10"]), 0.0)
     ha = K.k_ha(a)
     assert np.allclose(ha["HA_close"], 5.0)
+
+
+def test_smoothing_on_a_whole_day_of_seconds():
+    """The recursion written out, over 86,400 values with gaps."""
+    rng = np.random.default_rng(3)
+    x = 100 + np.cumsum(rng.normal(size=86_400)) / 50
+    x[rng.integers(100, 86_400, 300)] = np.nan
+    for alpha in (2 / 13, 1 / 14, 1.0):
+        y, state = np.full(len(x), np.nan), 7.0
+        y[5] = state
+        for i in range(6, len(x)):
+            if not np.isnan(x[i]):
+                state += alpha * (x[i] - state)
+                y[i] = state
+        got = K.recur(x, alpha, 5, 7.0)
+        assert np.array_equal(np.isnan(got), np.isnan(y)) and np.nanmax(np.abs(got - y)) < 1e-9
+
+
+def test_an_infinite_value_does_not_stay():
+    x = np.arange(100, dtype=float)
+    x[40] = np.inf
+    got = K.recur(x, 0.5, 0, 0.0)
+    assert np.isnan(got[40]) and np.isfinite(got[41:]).all()
