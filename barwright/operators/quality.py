@@ -56,13 +56,16 @@ def quality_report(
     probes: Sequence[str] = PROBES,
     top_k: int = TOP_K,
     exclude: Sequence[str] = (),
+    file_columns: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Return (summary per file, top NULL-rate columns per file and scope).
 
     `file_key` names the file (e.g. `_metadata.file_path` copied to a column,
     or symbol/interval/date); `order_col` is the row order inside the file
     (e.g. `_metadata.row_index`). The key and `exclude` (helper columns such as
-    a row index) are left out of the file's column lists.
+    a row index) are left out of the file's column lists. `file_columns` has the
+    key and `columns array<string>`, the columns that each file itself holds; without
+    it every file is taken to hold all columns of `df`.
 
     One pass: a lag window per file, then one grouped aggregation whose row per
     file carries every rate; the all-NULL list and both top-k lists are array
@@ -73,8 +76,6 @@ def quality_report(
     helper = set(keys) | set(exclude)
     cols = [c for c in df.columns if c not in helper]
     numeric = [c for c in cols if c not in BASE_COLUMNS]
-    missing_base = [c for c in BASE_COLUMNS if c not in cols]
-    right_cols = [c for c in cols if c.endswith("_right")]
 
     w = Window.partitionBy(*keys).orderBy(order_col)
     has_ot = "open_time" in cols
@@ -97,16 +98,26 @@ def quality_report(
     per_file = x.groupBy(*keys).agg(*aggs).join(few, keys, "left").withColumn(
         "open_time_unique_diffs", F.coalesce("__few", F.array().cast("array<bigint>"))).drop("__few")
 
+    every = F.array(*[F.lit(c) for c in cols]).cast("array<string>")
+    if file_columns is not None:
+        per_file = per_file.join(file_columns.select(*keys, F.col("columns").alias("__cols")), keys, "left")
+        per_file = per_file.withColumn("__cols", F.array_except(F.coalesce("__cols", every), F.array(*map(F.lit, helper))))
+    else:
+        per_file = per_file.withColumn("__cols", every)
+
     def rates(tag: str):
+        return F.filter(all_rates(tag), lambda s_: F.array_contains("__cols", s_["col"]))
+
+    def all_rates(tag: str):
         return F.array(*[F.struct(F.lit(c).alias("col"), F.lit(i).alias("pos"), F.col(f"__{tag}{i}").alias("rate"))
                          for i, c in enumerate(numeric)])
 
     empty_top = F.array().cast("array<struct<col:string,rate:double>>")
     summary = per_file.select(
         *keys,
-        F.array(F.col("n_rows"), F.lit(len(cols)).cast("long")).alias("shape"),
-        F.array(*[F.lit(c) for c in missing_base]).cast("array<string>").alias("missing_base_cols"),
-        F.array(*[F.lit(c) for c in right_cols]).cast("array<string>").alias("right_cols"),
+        F.array(F.col("n_rows"), F.size("__cols").cast("long")).alias("shape"),
+        F.array_except(F.array(*[F.lit(c) for c in BASE_COLUMNS]), F.col("__cols")).alias("missing_base_cols"),
+        F.filter("__cols", lambda c: c.endswith("_right")).alias("right_cols"),
         "open_time_monotonic", "open_time_step_rate", "open_time_unique_diffs",
         (F.transform(F.filter(rates("a"), lambda s_: s_["rate"] == 1.0), lambda s_: s_["col"]) if numeric
          else F.array().cast("array<string>")).alias("all_null_cols"),

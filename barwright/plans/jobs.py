@@ -117,21 +117,61 @@ def run_ingest(spark: SparkSession, raw: DataFrame, interval: str, out_root: str
 
 
 def read_feature_files(spark: SparkSession, root: str) -> DataFrame:
-    """Feature files with their path and row order."""
-    return spark.read.parquet(root).select(
+    """Feature files with their path and row order (S5); columns that only some files have are NULL in the others."""
+    return spark.read.option("mergeSchema", "true").parquet(root).select(
         "*", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.row_index").alias("row_index"))
 
 
+def file_columns(spark: SparkSession, root: str) -> DataFrame:
+    """(file_path, columns) of each parquet file, from its own footer, read by the tasks."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(root)
+
+    def names(batches):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        for b in batches:
+            found = [pq.read_schema(pa.BufferReader(c.as_py())).names for c in b.column("content")]
+            yield pa.RecordBatch.from_arrays([b.column("file_path"), pa.array(found, pa.list_(pa.string()))], names=["file_path", "columns"])
+
+    return files.select(F.col("_metadata.file_path").alias("file_path"), "content").mapInArrow(names, "file_path string, columns array<string>")
+
+
+def job_status(spark: SparkSession, job: FeatureJob) -> DataFrame:
+    """(symbol, interval, date, status) of every day of the job's range before it runs: `missing` has no
+    input (S13), `skipped` is written already (S11), `wanted` will be computed. Days come from the
+    data, and with symbols, start and end from their full grid."""
+    bars = read_bars(spark, job.in_root, job.symbols, job.start, job.end)
+    if job.interval:
+        bars = bars.where(F.col("interval") == job.interval)
+    present = bars.select(*PARTITION_COLUMNS).distinct().withColumn("present", F.lit(True))
+    every = present
+    if job.symbols and job.start and job.end:
+        symbols = spark.createDataFrame([(s,) for s in job.symbols], "symbol string")
+        grid = day_grid(symbols, job.start, job.end).select("symbol", "date")
+        intervals = present.select("interval").distinct() if not job.interval else spark.range(1).select(F.lit(job.interval).alias("interval"))
+        every = grid.crossJoin(intervals).join(present, PARTITION_COLUMNS, "left")
+    done = existing_keys(spark, job.out_root)
+    if done is None or job.force:
+        every = every.withColumn("done", F.lit(None).cast("boolean"))
+    else:
+        every = every.join(done.withColumn("done", F.lit(True)), PARTITION_COLUMNS, "left")
+    status = F.when(F.col("present").isNull(), "missing").when(F.col("done"), "skipped").otherwise("wanted")
+    return every.select(*PARTITION_COLUMNS, status.alias("status"))
+
+
 def run_validate(spark: SparkSession, root: str, out: str | None = None, step_ms: int = 1000,
                  first_n: int = 200) -> DataFrame:
     """Quality report per feature file, in file order.
 
-    Path-derived partition columns are not part of a file's columns.
+    A file's columns are those of its own footer, so partition columns that come from
+    the path are not among them.
     """
     ensure_conf(spark)
     df = read_feature_files(spark, root)
     summary, _ = quality_report(df, ["file_path"], "row_index", step_ms=step_ms, first_n=first_n,
-                                exclude=["row_index", "interval", "date"])
+                                exclude=["row_index"],
+                                file_columns=file_columns(spark, root))
     reports = report_json(summary, ["file_path"], step_ms)
     if out:
         write_reports(reports, out)

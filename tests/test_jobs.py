@@ -72,3 +72,62 @@ def test_ingest_closed_days_only_and_empty_pages(spark, scratch):
     typed = klines_from_raw(empty, "1h")
     assert typed.count() == 0
     assert [f.name for f in BAR_SCHEMA.fields] == [c for c in typed.columns if c in {f.name for f in BAR_SCHEMA.fields}]
+
+
+def test_validator_sees_each_file(spark, scratch):
+    """Files of one run may differ in columns and order; each report speaks of its own file."""
+    import json
+
+    from barwright.plans.jobs import run_validate
+
+    base = ["open", "high", "low", "close", "volume", "quote_volume", "num_trades", "taker_buy_base", "taker_buy_quote"]
+    cols = ", ".join(f"CAST(id AS DOUBLE) {c}" for c in base)
+    whole = spark.range(20).selectExpr("id * 1000 open_time", *cols.split(", "), "CAST(NULL AS DOUBLE) empty")
+    whole.coalesce(1).write.parquet(f"{scratch}/f/a")
+    whole.drop("volume").withColumnRenamed("empty", "x_right").orderBy(F.col("open_time").desc()).coalesce(1).write.parquet(f"{scratch}/f/b")
+    got = {r.file_path.split("/")[-2]: json.loads(r.report) for r in run_validate(spark, f"{scratch}/f/*").collect()}
+    assert got["a"]["shape"] == [20, 11] and got["b"]["shape"] == [20, 10]
+    assert got["a"]["missing_base_cols"] == [] and got["b"]["missing_base_cols"] == ["volume"]
+    assert got["a"]["right_cols"] == [] and got["b"]["right_cols"] == ["x_right"]
+    assert got["a"]["all_null_cols"] == ["empty"] and got["b"]["all_null_cols"] == ["x_right"]
+    assert got["a"]["open_time_monotonic"] and not got["b"]["open_time_monotonic"]
+    assert got["a"]["open_time_unique_diffs"] == [1000] and got["b"]["open_time_unique_diffs"] == [-1000]
+
+
+def test_job_status(spark, scratch):
+    from barwright.plans.common import bars
+    from barwright.plans.jobs import FeatureJob, job_status, run_features
+    from barwright.sources.tables import write_partitioned
+
+    b = bars(spark, SF001, "1h").where("date between '2024-01-02' and '2024-01-05'")
+    write_partitioned(b, f"{scratch}/bars")
+    symbols = sorted(r.symbol for r in b.select("symbol").distinct().collect())
+    one = FeatureJob(f"{scratch}/bars", f"{scratch}/out", specs=[{"kind": "sma", "length": 3}], with_custom=False,
+                     start=dt.date(2024, 1, 3), end=dt.date(2024, 1, 3), interval="1h")
+    run_features(spark, one)
+    job = FeatureJob(f"{scratch}/bars", f"{scratch}/out", symbols=[symbols[0], "NONE"], start=dt.date(2024, 1, 1), end=dt.date(2024, 1, 4), interval="1h")
+    got = {(r.symbol, r.date.day): r.status for r in job_status(spark, job).collect()}
+    assert [got[symbols[0], d] for d in (1, 2, 3, 4)] == ["missing", "wanted", "skipped", "wanted"]
+    assert all(got["NONE", d] == "missing" for d in (1, 2, 3, 4))
+
+
+def test_ingest_range_rejects_and_other_time_zones(spark, scratch):
+    from barwright.plans.common import bars
+    from barwright.plans.jobs import run_ingest
+    from barwright.sources.klines import klines_rejects, raw_from_bars
+    from barwright.sources.tables import read_bars
+
+    b = bars(spark, SF001, "1h")
+    raw = raw_from_bars(b, 1).drop("date")
+    symbol = raw.first().symbol
+    now = dt.datetime(2024, 2, 15, tzinfo=dt.timezone.utc)
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Seoul")
+    try:
+        run_ingest(spark, raw, "1h", f"{scratch}/in", now=now, symbols=[symbol], start=dt.date(2024, 1, 5), end=dt.date(2024, 1, 8))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    got = read_bars(spark, f"{scratch}/in")
+    want = b.where(F.col("symbol") == symbol).where("date between '2024-01-05' and '2024-01-08'")
+    assert got.count() == want.count() > 0 and got.select("open_time", "date").exceptAll(want.select("open_time", "date")).count() == 0
+    bad = spark.createDataFrame([("A", 1, "[[1,2"), ("A", 1, '[["x", 1], [5, 2]]'), ("B", 1, "[]")], "symbol string, ingest_seq long, payload string")
+    assert {tuple(r) for r in klines_rejects(bad, "1h").collect()} == {("A", 1, 1), ("B", 0, 0)}
