@@ -124,14 +124,33 @@ def _classes(rows: DataFrame, k: int) -> DataFrame:
     return few.groupBy("v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
 
 
-def _top(score: np.ndarray, ids: list[list[int]], k: int) -> tuple[list[int], list[float]]:
-    """The k best ids of some classes: largest score, then smallest id. The classes' ids are sorted."""
-    lead = np.array([x[0] for x in ids], np.int64)
-    some = np.argpartition(-score, k)[: k + 1] if len(score) > k + 1 else np.arange(len(score))
-    some = np.flatnonzero(score >= score[some].min()) if len(some) else some  # ties with the last one too
-    some = some[np.lexsort((lead[some], -score[some]))]
-    flat = sorted((-float(score[i]), x) for i in some.tolist() for x in ids[i])
-    return [x for _, x in flat[:k]], [-s for s, _ in flat[:k]]
+def _best(score: np.ndarray, ids: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best ids for each row of `score`: largest score, then smallest id; and how many each row has.
+
+    Class j holds the sorted ids ids[first[j]:first[j + 1]].
+    """
+    n = score.shape[1]
+    if n > k:
+        least = np.partition(score, n - k, axis=1)[:, n - k]
+        row, col = np.nonzero(score >= least[:, None])  # all that tie with the last one as well
+    else:
+        row, col = (x.ravel() for x in np.indices(score.shape))
+    held = (first[1:] - first[:-1])[col]
+    at = np.arange(int(held.sum())) + np.repeat(first[col] - np.concatenate([[0], np.cumsum(held)[:-1]]), held) if len(col) else col
+    row, value, near = np.repeat(row, held), np.repeat(score[row, col], held), ids[at]
+    return _first_k(row, value, near, k, len(score))
+
+
+def _first_k(row: np.ndarray, value: np.ndarray, near: np.ndarray, k: int, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    order = np.lexsort((near, -value, row))
+    row, value, near = row[order], value[order], near[order]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    some = place < k
+    return near[some], value[some], np.bincount(row[some], minlength=rows)
+
+
+def _lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(values))
 
 
 def _search_one(vectors: DataFrame, queries: DataFrame, dim: int, n: int, k: int) -> DataFrame:
@@ -171,28 +190,25 @@ def _search_one(vectors: DataFrame, queries: DataFrame, dim: int, n: int, k: int
     right = right.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))).select("leaf", "block", "group", "qid", "q")
 
     def meet(mine: pa.Table, asked: pa.Table) -> pa.Table:
-        rows = []
-        if mine.num_rows and asked.num_rows:
-            ids = mine["ids"].to_pylist()
-            score = _matrix(asked["q"].combine_chunks()) @ _matrix(mine["v"].combine_chunks()).T
-            rows = [(q, *_top(s, ids, k + 1)) for q, s in zip(asked["qid"].to_pylist(), score, strict=True)]
-        qid, near, best = list(zip(*rows, strict=True)) if rows else [()] * 3
-        return pa.table({"qid": pa.array(qid, pa.int64()), "ids": pa.array(near, pa.list_(pa.int64())), "scores": pa.array(best, pa.list_(pa.float64()))})
+        if not mine.num_rows or not asked.num_rows:
+            return pa.table({"qid": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(pa.int64())), "scores": pa.array([], pa.list_(pa.float64()))})
+        ids = mine["ids"].combine_chunks()
+        first = np.concatenate([[0], np.cumsum(pc.list_value_length(ids).to_numpy())])
+        score = _matrix(asked["q"].combine_chunks()) @ _matrix(mine["v"].combine_chunks()).T
+        near, value, n = _best(score, pc.list_flatten(ids).to_numpy(), first, k + 1)
+        return pa.table({"qid": asked["qid"], "ids": _lists(near, n), "scores": _lists(value, n)})
 
     met = left.groupBy("leaf", "block", "group").cogroup(right.groupBy("leaf", "block", "group")).applyInArrow(
         meet, "qid long, ids array<long>, scores array<double>"
     )
 
     def merge(parts: pa.Table) -> pa.Table:
-        found: dict[int, float] = {}
-        for ids, scores in zip(parts["ids"].to_pylist(), parts["scores"].to_pylist(), strict=True):
-            for i, s in zip(ids, scores, strict=True):
-                found[i] = max(s, found.get(i, s))
-        best = sorted((-s, i) for i, s in found.items())[: k + 1]
-        return pa.table({
-            "qid": pa.array([parts["qid"][0].as_py()], pa.int64()),
-            "ids": pa.array([[i for _, i in best]], pa.list_(pa.int64())), "scores": pa.array([[-s for s, _ in best]], pa.list_(pa.float64())),
-        })
+        ids, value = (pc.list_flatten(parts[c].combine_chunks()).to_numpy() for c in ("ids", "scores"))
+        order = np.lexsort((-value, ids))  # an id with several vectors counts at its best
+        ids, value = ids[order], value[order]
+        one = np.concatenate([[True], ids[1:] != ids[:-1]])[: len(ids)]
+        near, value, n = _first_k(np.zeros(int(one.sum()), np.int64), value[one], ids[one], k + 1, 1)
+        return pa.table({"qid": parts["qid"][:1], "ids": _lists(near, n), "scores": _lists(value, n)})
 
     best = met.groupBy("qid").applyInArrow(merge, "qid long, ids array<long>, scores array<double>")
     told = queries.select(F.col("vec_id").alias("query_id"), F.xxhash64("v").alias("qid")).distinct().join(best, "qid")
