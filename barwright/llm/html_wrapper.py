@@ -53,6 +53,9 @@ FURNITURE = frozenset(
     "overlay newsletter subscribe subscription signup login comment comments commentlist reply replies respond disqus sidebar widget widgets related "
     "recommended share sharing social menu nav navbar navigation breadcrumb breadcrumbs pagination pager header masthead footer copyright search toolbar".split()
 )
+# class words that say that a name speaks of a page's parts, or of an article's own head, not of furniture
+NOT_FURNITURE = frozenset("has with no without".split())
+OWN_HEAD = frozenset("article post entry content story title headline".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 BARRIER = frozenset("ul ol dl table select article section div body main td th blockquote".split())
 
@@ -80,9 +83,11 @@ def _described(tag: str, attributes: str) -> tuple[str, bool]:
     found = {}
     for name, a, b, c in _ATTR.findall(attributes):
         found.setdefault(name.lower(), html.unescape(a or b or c).lower())
-    words = {w for key in ("class", "id") for name in found.get(key, "").split() for w in _NAME.split(name)}
+    names = [set(_NAME.split(name)) for key in ("class", "id") for name in found.get(key, "").split()]
+    furniture = any(n & (FURNITURE - {"header"} if n & OWN_HEAD else FURNITURE) for n in names if not n & NOT_FURNITURE)
+    words = set().union(*names)
     hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "")
-    away = tag in AWAY or found.get("role") in ROLES or hidden or (tag not in ("body", "html", "article", "main") and bool(words & FURNITURE))
+    away = tag in AWAY or found.get("role") in ROLES or hidden or (tag not in ("body", "html", "article", "main") and furniture)
     away = away or (tag == "article" and bool(words & {"comment", "comments", "reply", "ad", "ads", "related", "widget"}))
     return f"{tag}.{found.get('class', '')}", away
 

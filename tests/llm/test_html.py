@@ -43,6 +43,7 @@ def test_copies_of_an_article_are_no_template(spark):
         ("<body><nav>n</nav><header>h</header><main><p>m &lt;b&gt; &eacute;&#233;&nbsp;z</p></main><aside>s</aside><footer>f</footer>", "m <b> éé z"),
         ("<article><p>t</p><div class='share-buttons social'>s</div><form><input>q</form><section id='comments'><p>c</p></section></article>", "t"),
         ("<div class='cookie-notice'>c</div><p>a</p><div role='navigation'>r</div><p hidden>h</p><script>1<2</script><p>b", "a\nb"),
+        ("<div class='has-sidebar'><div class='post-header'><h1>T</h1></div><p>a</p><div class='page-header'>x</div></div>", "T\na"),
         ("<ul><li>one<li>two</ul><table><tr><td>x<td>y<tr><td>z</table>", "one\ntwo\nx\ny\nz"),
         ("a < b and c > d <3", "a < b and c > d <3"),
         ("<p>unclosed <!-- comment", "unclosed"),
