@@ -32,17 +32,21 @@ from pyspark.sql import DataFrame
 from barwright.llm.store import doc_columns
 from barwright.llm.words import steps
 
-MEMO_ENTRIES = 300_000  # of each memo of a Python worker; a full one starts anew
+MEMO_ENTRIES = 400_000  # of each of a memo's two halves in a Python worker
 
 
 class _Memo(dict):
+    """Made values in two halves: a full new half becomes the old one, and what is still asked for moves on."""
+
     def __init__(self, make):
-        self._make = make
+        self._make, self._old = make, {}
 
     def __missing__(self, key):
         if len(self) >= MEMO_ENTRIES:
+            self._old = dict(self)
             self.clear()
-        self[key] = value = self._make(key)
+        value = self._old[key] if key in self._old else self._make(key)
+        self[key] = value
         return value
 
 
@@ -52,6 +56,7 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.bytes_of = {r: t for t, r in ranks.items()}
+        self.size = {r: len(t) for t, r in ranks.items()}
         self.split = regex.compile(pattern).findall
         self.shorter = _Memo(self._shorter)
         self.compatible = _Memo(self._compatible)
@@ -89,31 +94,32 @@ class Codec:
         whole = self.ranks.get(data)
         if whole is not None:
             return [whole]
-        longest: list[int | None] = [None] * len(data)
-        size = [0] * len(data)
-        for last, (n, rank) in self.trie.iter(data.decode("latin-1")):
-            if n > size[last - n + 1] and self.reachable[rank]:
-                size[last - n + 1], longest[last - n + 1] = n, rank
+        size, compatible, shorter, reachable = self.size, self.compatible, self.shorter, self.reachable
+        n = len(data)
+        longest: list[int | None] = [None] * n
+        for last, (length, rank) in self.trie.iter(data.decode("latin-1")):
+            if reachable[rank]:  # matches come by their end, so of one start the longest comes last
+                longest[last - length + 1] = rank
         out: list[int] = []
-        dead = bytearray(len(data) + 1)
-        at, rank = 0, longest[0] if data else None
-        while at < len(data):
+        dead = bytearray(n + 1)
+        at, rank = 0, longest[0] if n else None
+        while at < n:
             while rank is not None:
-                end = at + len(self.bytes_of[rank])
-                if not dead[end] and (not out or self.compatible[out[-1], rank]):
+                end = at + size[rank]
+                if not dead[end] and (not out or compatible[out[-1], rank]):
                     break
-                rank = self.shorter[rank]
+                rank = shorter[rank]
             if rank is not None:
                 out.append(rank)
                 at = end
-                rank = longest[at] if at < len(data) else None
+                rank = longest[at] if at < n else None
             elif not out:
                 raise ValueError("the vocabulary cannot spell these bytes")
             else:
                 dead[at] = 1
                 rank = out.pop()
-                at -= len(self.bytes_of[rank])
-                rank = self.shorter[rank]
+                at -= size[rank]
+                rank = shorter[rank]
         return out
 
     def encode(self, text: str) -> list[int]:
