@@ -22,10 +22,14 @@ def test_exact_merges(reference):
     marks = [chr(i) for i in [*range(0, 300), 0x3000, 0x2028, 0x1F600, 0x4E2D, 0x301]]
     texts = ["".join(random.choice(marks) for _ in range(random.randint(0, 50))) for _ in range(500)]
     texts += ["a" * 20_000, "ab" * 9000, " " * 3000 + "x", "the" * 3000, "<|endoftext|>", "", "1234567890" * 50]
+    texts += ["a b", " a b", "a  b c", "a b ", "a\n b c", "a \nb", "it's  it's 's", "x\u3000 y z", "a\x1c b", "12 34. 56,7 !!", " ", "  "]
+    texts += [" ".join(random.choice(["we'll", "a,b", "x", "\n", "", "\t", "1.5", "\u00a0"]) for _ in range(20)) for _ in range(300)]
     for t in texts:
         ids = c.encode(t)
         assert ids == reference.encode_ordinary(t)
         assert c.decode(ids) == t.encode()
+        sha = lambda b: hashlib.sha256(b).hexdigest()
+        assert c.digest(t) == (len(ids), sha(",".join(map(str, ids)).encode()), sha(t.encode()))
 
 
 def test_tokens_that_merges_cannot_reach():
