@@ -26,6 +26,8 @@ from barwright.llm.store import doc_columns
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 K = 2
+# the same pattern with every character by itself: Java looks such a class up in a table, ranges it tries one by one
+WORD_BY_TABLE = "[^" + "".join(f"\\x{c:02X}" for c in range(128) if not chr(c).isdigit() and not chr(c).islower()) + "]+"
 BAND, COVER, STRETCH = 3, 0.85, 1.25
 MAX_TEMPLATE_WORDS = 100_000  # of all templates together; they are broadcast
 
@@ -49,7 +51,7 @@ NOTICES = {
 
 def _words(text):
     upper = "".join(map(chr, range(65, 91)))
-    return F.regexp_extract_all(F.translate(text, upper, upper.lower()), F.lit(WORD), 0)
+    return F.regexp_extract_all(F.translate(text, upper, upper.lower()), F.lit(WORD_BY_TABLE), 0)
 
 
 def templates(spark: SparkSession, phrases: dict[str, str], notices: dict[str, str]) -> DataFrame:
