@@ -56,25 +56,32 @@ class Block:
         tokens[first[1:] - 1] = END
         tokens[np.arange(len(hashes)) + np.repeat(first[:-1] + 1 - np.concatenate([[0], np.cumsum(count)[:-1]]), count)] = hashes
         self.rows, self.order = len(count), order
-        self.row = np.repeat(np.arange(self.rows), size)
-        place = np.arange(len(tokens)) - first[:-1][self.row]
-        self.at = np.flatnonzero(place > 0)  # all but the begin tokens
+        del hashes
+        self.row = np.repeat(np.arange(self.rows, dtype=np.int32), size)
+        place = (np.arange(len(tokens)) - first[:-1][self.row]).astype(np.int32)
+        self.at = np.flatnonzero(place > 0).astype(np.int32)  # all but the begin tokens
         self.trains = ~held_out[self.row]
-        grams, fits, acc = [], [], tokens
-        for m in range(order):
+        found, self.of, acc = [], [], tokens
+        for m in range(order):  # one order after the other: sorting takes most of the memory
             if m:
                 longer = np.zeros_like(tokens)
                 longer[1:] = mix64(acc[:-1] + np.uint64(m)) + tokens[1:]
                 acc = longer
-            fits.append(np.flatnonzero(place >= m))
-            grams.append(mix64(acc[fits[m]] ^ np.uint64((m + 1) << 56)))
-        self.hashes, back = np.unique(np.concatenate(grams), return_inverse=True)
-        self.of, at = [], 0
-        for m in range(order):
-            which = np.full(len(tokens), -1, np.int64)
-            which[fits[m]] = back[at : at + len(fits[m])]
-            at += len(fits[m])
+            fits = place >= m
+            distinct, back = np.unique(mix64(acc[fits] ^ np.uint64((m + 1) << 56)), return_inverse=True)
+            which = np.full(len(tokens), -1, np.int32)
+            which[fits] = back
+            found.append(distinct)
             self.of.append(which)
+        every = np.concatenate(found)
+        by = np.argsort(every)
+        self.hashes = every[by]
+        moved = np.empty(len(by), np.int32)
+        moved[by] = np.arange(len(by), dtype=np.int32)
+        begin = 0
+        for distinct, which in zip(found, self.of, strict=True):
+            np.copyto(which, moved[begin : begin + len(distinct)][which] if len(distinct) else which, where=which >= 0)
+            begin += len(distinct)
 
     def needs(self) -> tuple[np.ndarray, np.ndarray]:
         """Order and count, in this block's training texts, of each gram in `hashes`."""

@@ -163,7 +163,7 @@ def hashed_words(texts: pa.Array, lower: bool) -> tuple[np.ndarray, np.ndarray]:
     """Number of words of each row, and all words' hashes; made step by step to bound memory."""
     batch = pa.RecordBatch.from_arrays([texts], names=["t"])
     counts, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-    for b in steps(iter([batch]), "t"):
+    for b in steps(iter([batch]), "t", STEP_BYTES // 4):
         w = split_words(b.column(0), lower)
         counts.append(w.counts())
         hashes.append(word_hashes(w))
