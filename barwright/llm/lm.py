@@ -34,13 +34,21 @@ from barwright.llm.store import saved
 from barwright.llm.words import hashed_words, mix64
 
 ORDER = 2
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 8 << 20
 PRIORS = (0.5, 2.0, 8.0, 32.0, 128.0, 512.0, 4096.0)
 END = np.uint64(0x5851F42D4C957F2D)
 BEGIN = np.uint64(0x14057B7EF767814F)
 ADD = 0.1
 
 
+ORDER_BITS = np.uint64(7)  # the lowest bits of a gram's hash tell its order
+
+
+def _gram(chain: np.ndarray, m: int) -> np.ndarray:
+    """Hashes of grams with m tokens before the last one."""
+    return mix64(chain ^ np.uint64((m + 1) << 56)) & ~ORDER_BITS | np.uint64(m)
+
+
 class Block:
     """The tokens of some documents and their n-grams of each order, with a begin token before each text.
 
@@ -68,7 +76,7 @@ class Block:
                 longer[1:] = mix64(acc[:-1] + np.uint64(m)) + tokens[1:]
                 acc = longer
             fits = place >= m
-            distinct, back = np.unique(mix64(acc[fits] ^ np.uint64((m + 1) << 56)), return_inverse=True)
+            distinct, back = np.unique(_gram(acc[fits], m), return_inverse=True)
             which = np.full(len(tokens), -1, np.int32)
             which[fits] = back
             found.append(distinct)
@@ -83,15 +91,12 @@ class Block:
             np.copyto(which, moved[begin : begin + len(distinct)][which] if len(distinct) else which, where=which >= 0)
             begin += len(distinct)
 
-    def needs(self) -> tuple[np.ndarray, np.ndarray]:
-        """Order and count, in this block's training texts, of each gram in `hashes`."""
-        orders = np.zeros(len(self.hashes), np.int8)
+    def needs(self) -> np.ndarray:
+        """Count, in this block's training texts, of each gram in `hashes`."""
         counts = np.zeros(len(self.hashes), np.int64)
         for m in range(self.order):
-            here = self.of[m] >= 0
-            orders[self.of[m][here]] = m
-            counts += np.bincount(self.of[m][here & self.trains], minlength=len(counts))
-        return orders, counts
+            counts += np.bincount(self.of[m][(self.of[m] >= 0) & self.trains], minlength=len(counts))
+        return counts
 
 
 class BackoffAutomaton:
@@ -153,13 +158,10 @@ def _sum_part(table: pa.Table) -> pa.Table:
     blocks = table["block"].to_pylist()
     hashes = [np.frombuffer(x.as_py(), np.uint64) for x in table["hashes"]]
     counts = [_wide(x.as_py(), len(h)) for x, h in zip(table["counts"], hashes, strict=True)]
-    ones = [np.frombuffer(x.as_py(), np.int8) == 0 for x in table["orders"]]
     every = np.concatenate(hashes)
     distinct, back = np.unique(every, return_inverse=True)
     total = np.bincount(back, weights=np.concatenate(counts), minlength=len(distinct)).astype(np.int64)
-    single = np.zeros(len(distinct), bool)
-    single[back[np.concatenate(ones)]] = True
-    single &= distinct != mix64(np.array([BEGIN ^ np.uint64(1 << 56)], np.uint64))[0]
+    single = (distinct & ORDER_BITS == 0) & (distinct != _gram(np.array([BEGIN]), 0)[0])
     answers, at = [], 0
     for h in hashes:
         answers.append(_blob(_small(total[back[at : at + len(h)]])))
@@ -179,6 +181,8 @@ def _column(table: pa.Table, name: str) -> pa.Array:
 
 def score(docs: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYTES, priors: tuple = PRIORS) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, prior) of every row."""
+    if not 1 <= order <= int(ORDER_BITS) + 1:
+        raise ValueError("order must be between 1 and 8")
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), (F.crc32(key) % 10 == 0).alias("held_out"))
     size = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -192,18 +196,17 @@ def score(docs: DataFrame, order: int = ORDER, block_bytes: int = BLOCK_BYTES, p
 
     def ask(table: pa.Table) -> pa.Table:
         block = block_of(table)
-        hashes, (orders, counts) = block.hashes, block.needs()
+        hashes, counts = block.hashes, block.needs()
         cut = _parts_of(hashes, parts)
         n = table["block"][0].as_py()
         rows = [(p, a, b) for p, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a]
         return pa.table({
             "block": pa.array([n] * len(rows), pa.int64()), "part": pa.array([p for p, _, _ in rows], pa.int64()),
             "hashes": pa.array([_blob(hashes[a:b]) for _, a, b in rows], pa.binary()),
-            "orders": pa.array([_blob(orders[a:b]) for _, a, b in rows], pa.binary()),
             "counts": pa.array([_blob(_small(counts[a:b])) for _, a, b in rows], pa.binary()),
         })
 
-    asked = src.groupBy("block").applyInArrow(ask, "block long, part long, hashes binary, orders binary, counts binary")
+    asked = src.groupBy("block").applyInArrow(ask, "block long, part long, hashes binary, counts binary")
     told = saved(asked.groupBy("part").applyInArrow(_sum_part, "block long, part long, totals binary, sizes long, tokens long, distinct long"), "lm-totals")
     corpus = told.filter("block = -1").agg(F.sum("tokens"), F.sum("distinct")).first()
     tokens, distinct = int(corpus[0] or 0), int(corpus[1] or 0)
