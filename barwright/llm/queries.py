@@ -1,10 +1,24 @@
-"""Registered queries of the ten operators and the pipeline, and their DuckDB SQL."""
+"""Registered queries of the operators and the pipeline, and their DuckDB SQL."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barwright.llm import ann_tree, bpe, html_wrapper, license_scan, lm, mixing, quality_rules, sharding, simhash, substring_dedup
+from barwright.llm import (
+    ann_tree,
+    bpe,
+    chat_format,
+    hard_negatives,
+    html_wrapper,
+    license_scan,
+    lm,
+    merkle,
+    mixing,
+    quality_rules,
+    sharding,
+    simhash,
+    substring_dedup,
+)
 from barwright.llm.store import ship_package
 
 
@@ -53,8 +67,26 @@ def op10_lm(spark, sf_dir):
     return lm.query(_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle(spark, sf_dir):
+    return merkle.query(_table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark, sf_dir):
+    return hard_negatives.query(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_chat_format(spark, sf_dir):
+    return chat_format.query(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_substring_dedup, op2_ann, op3_html_extract, op4_license_scan, op5_quality_rules, op6_simhash, op7_mixing, op8_sharding, op9_bpe, op10_lm)
-}
-ORACLES: dict[str, str] = {"op4_license_scan": license_scan.oracle(), "op8_sharding": sharding.oracle()}
+    for f in (
+        op1_substring_dedup, op2_ann, op3_html_extract, op4_license_scan, op5_quality_rules, op6_simhash, op7_mixing,
+        op8_sharding, op9_bpe, op10_lm, op11_merkle, op12_hard_negatives, op13_chat_format,
+    )
+}
+ORACLES: dict[str, str] = {
+    "op4_license_scan": license_scan.oracle(), "op8_sharding": sharding.oracle(), "op11_merkle": merkle.oracle(),
+    "op12_hard_negatives": hard_negatives.oracle(), "op13_chat_format": chat_format.oracle(),
+}
