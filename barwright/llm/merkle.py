@@ -7,15 +7,16 @@ hash as hex text.
 
 Building: the place of a leaf in its source comes from a range partitioning, rows counted
 by partition and a running sum over these counts, so that no source is ranked in one
-task. Four levels of a tree at a time make a tile: 81 consecutive nodes, the same
+task. Four levels of a tree at a time make a tile: 81 consecutive nodes and the
 four levels of hashes above them, one row of a grouping whose groups are bounded by 81.
 Each node of a tile becomes a stored row that links to the tile's top node and holds
 the siblings on the way there.
 
-Climbing: a recursive query starts from every leaf and joins the node rows by the link
-it stands at; each step appends the siblings to the leaf's proof and folds the
-(perhaps tampered) digest, until no link is left. Since all leaves of a source meet in
-its upper nodes, a node row stands once for every SPREAD leaves below it, and leaves
+Climbing: a recursive query starts from the leaves and joins the node rows by the link
+they stand at; each step appends the siblings there and folds every leaf's (perhaps
+tampered) digest, until no link is left. The leaves of one tile have the same way up from its top, so they
+climb in one row and the siblings beyond the tile are appended once for all 81. Since all tiles of a source meet in
+its upper nodes, a node row stands once for every SPREAD tiles below it, and tiles
 choose one of these copies by their place: no join key has many more rows than that.
 
 Results: every input row has one result row. Null fields are hashed as `-`; a null
@@ -37,7 +38,7 @@ from barwright.llm.store import saved
 FANOUT = 3
 TILE_LEVELS = 4
 TILE = FANOUT**TILE_LEVELS
-SPREAD = TILE * FANOUT  # leaves for each stored copy of an upper node
+SPREAD = 27  # tiles of leaves for each stored copy of an upper node
 TOP = "top"  # the tree of subroots; sources are "-" for null, or "=" and their name
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
@@ -79,11 +80,11 @@ def placed(rows: DataFrame, order: list[str], name: str) -> tuple[DataFrame, Dat
 
 
 # Hashes of all levels of a tile: its nodes, then each level made of the runs of the one before.
-_LEVELS = f"""aggregate(sequence(1, steps), array(run.h), (made, k) -> concat(made, array(
+_LEVELS = f"""aggregate(slice(sequence(0, steps), 2, steps), array(run.h), (made, k) -> concat(made, array(
     transform(sequence(0, (size(made[k - 1]) - 1) div {FANOUT}),
               i -> sha2(concat_ws('', slice(made[k - 1], cast({FANOUT} * i as int) + 1, {FANOUT})), 256)))))"""
 # The siblings of node `i` of a tile before and after it, level by level.
-_SIBLINGS = f"""transform(transform(sequence(0, steps - 1), k -> struct(levels[k] as row, cast(i div cast(power({FANOUT}, k) as int) as int) as at)),
+_SIBLINGS = f"""transform(transform(slice(sequence(0, steps), 1, steps), k -> struct(levels[k] as row, cast(i div cast(power({FANOUT}, k) as int) as int) as at)),
     x -> struct(concat_ws('', slice(x.row, x.at - x.at % {FANOUT} + 1, x.at % {FANOUT})) as before,
                 concat_ws('', slice(x.row, x.at + 2, {FANOUT - 1} - x.at % {FANOUT})) as after))"""
 _FOLD = "aggregate({steps}, {h}, (h, s) -> sha2(concat(s.before, h, s.after), 256))"
@@ -91,48 +92,43 @@ _PROOF = "unhex(array_join(transform({steps}, s -> concat(s.before, s.after)), '
 
 
 def _tiles(nodes: DataFrame, keep: list[str]) -> DataFrame:
-    """One row a tile of (tree, idx, n, h, docs, spos, keep): its hash levels, and what stands above it."""
+    """One row for each tile of (tree, idx, n, h, tiles, spos, keep): its hash levels, and the link of the node `made` on its top."""
     steps = reduce(lambda e, k: F.when(F.col("n") <= FANOUT**k, k).otherwise(e), range(TILE_LEVELS - 1, -1, -1), F.lit(TILE_LEVELS))
-    run = F.sort_array(F.collect_list(F.struct("idx", "h", "docs", *keep))).alias("run")
-    tiles = nodes.groupBy("tree", F.expr(f"idx div {TILE}").alias("tile")).agg(
-        run, F.sum("docs").alias("below"), F.first("n").alias("n"), F.first("spos").alias("spos"))
-    tiles = tiles.withColumn("steps", steps).withColumn("levels", F.expr(_LEVELS)).withColumn("made", F.expr("levels[steps][0]"))
-    return tiles.withColumn("last", F.col("n") <= TILE)
-
-
-def _links(tiles: DataFrame, lvl: int, keep: list[str]) -> DataFrame:
-    """One row for each node of the tiles: its siblings up to the tile's top, and the link to that node's own row."""
-    top = F.col("tree") == TOP
-    out = tiles.select("*", F.posexplode("run").alias("i", "node")).withColumn("siblings", F.expr(_SIBLINGS))
-    return out.select(
-        "tree", F.lit(lvl).alias("lvl"), F.col("node.idx").alias("idx"), F.col("node.docs").alias("docs"), F.col("node.h").alias("h"),
-        *[F.col(f"node.{c}").alias(c) for c in keep], "siblings", F.col("made").alias("up"),
-        F.when(~F.col("last"), F.col("tree")).when(~top, TOP).alias("up_tree"),
-        F.when(F.col("last"), 0).otherwise(lvl + 1).alias("up_lvl"),
-        F.when(F.col("last"), F.col("spos")).otherwise(F.col("tile")).alias("up_idx"),
-        _copies("below").alias("up_copies"),
-    )
+    made = nodes.groupBy("tree", F.expr(f"idx div {TILE}").alias("tile")).agg(
+        F.sort_array(F.collect_list(F.struct("idx", "h", "tiles", *keep))).alias("run"), F.first("n").alias("n"), F.first("spos").alias("spos"))
+    made = made.withColumn("steps", steps).withColumn("levels", F.expr(_LEVELS)).withColumn("made", F.expr("levels[steps][0]"))
+    last = F.col("n") <= TILE
+    below = F.lit(1).cast("long") if keep else F.expr("aggregate(run.tiles, 0L, (a, x) -> a + x)")
+    return made.withColumn("below", below).select(
+        "*", F.when(~last, F.col("tree")).when(F.col("tree") != TOP, TOP).alias("up_tree"), F.when(last, F.col("spos")).otherwise(F.col("tile")).alias("up_idx"))
 
 
-def _copies(docs: str) -> Column:
-    return F.ceil(F.col(docs) / SPREAD).cast("long")
+def _above(tiles: DataFrame) -> DataFrame:
+    """The nodes on top of the tiles, as nodes of the next level; tops of whole trees have n = 1."""
+    return tiles.select("tree", F.col("tile").alias("idx"), F.expr(f"(n + {TILE - 1}) div {TILE}").alias("n"), F.col("made").alias("h"),
+                        F.col("below").alias("tiles"), "spos")
 
 
-def _trees(nodes: DataFrame, largest: int, keep: list[str], name: str) -> tuple[list[DataFrame], DataFrame]:
-    """Linked rows of every node, level of tiles by level, and every tree's top node (tree, spos, h, docs)."""
-    links, tops = [], [nodes.where("n = 1").select("tree", "spos", "h", "docs")]
+def _trees(nodes: DataFrame, lvl: int, largest: int, name: str) -> tuple[list[DataFrame], DataFrame]:
+    """Stored rows of all nodes from level `lvl` on, each linked to the top of its tile, and every tree's top node."""
+    stored, tops = [], [nodes.where("n = 1")]
     while largest > 1:
-        tiles = saved(_tiles(nodes.where("n > 1"), keep), f"{name}-tiles")
-        links.append(_links(tiles, len(links), keep))
-        nodes = tiles.select("tree", F.col("tile").alias("idx"), F.expr(f"(n + {TILE - 1}) div {TILE}").alias("n"),
-                             F.col("made").alias("h"), F.col("below").alias("docs"), "spos")
-        tops.append(nodes.where("n = 1").select("tree", "spos", "h", "docs"))
-        largest, keep = -(-largest // TILE), []
-    return links, reduce(DataFrame.unionByName, tops)
+        tiles = saved(_tiles(nodes.where("n > 1"), []), f"{name}-tiles")
+        stored.append(tiles.select("*", F.posexplode("run").alias("i", "node")).select(
+            "tree", F.lit(lvl).alias("lvl"), F.col("node.idx").alias("idx"), F.col("node.tiles").alias("tiles"), F.expr(_SIBLINGS).alias("siblings"),
+            F.col("made").alias("up"), "up_tree", F.when(F.col("n") <= TILE, 0).otherwise(lvl + 1).alias("up_lvl"), "up_idx",
+            _copies("below").alias("up_copies")))
+        nodes, lvl, largest = _above(tiles), lvl + 1, -(-largest // TILE)
+        tops.append(nodes.where("n = 1"))
+    return stored, reduce(DataFrame.unionByName, tops)
+
+
+def _copies(tiles: str) -> Column:
+    return F.ceil(F.col(tiles) / SPREAD).cast("long")
 
 
 def build(leaf_rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(climbers, nodes) of `leaves(docs)`: every leaf with its first tile behind it, and the stored node rows above."""
+    """(climbers, nodes) of `leaves(docs)`: the tiles of leaves, digests folded up to their tops, and the stored node rows above."""
     rows, starts = placed(saved(leaf_rows, "merkle-leaves"), ["doc_id", "leaf"], "merkle-dealt")
     sizes = starts.groupBy("tree").agg(F.max("total").alias("total"))
     named, begins = placed(sizes.select(F.lit(TOP).alias("tree"), F.col("tree").alias("own"), "total"), ["own"], "merkle-sources")
@@ -143,41 +139,40 @@ def build(leaf_rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     # Places of sources meet the leaves by (tree, part): a hot source has as many such keys as parts.
     nodes = rows.join(starts.join(sources.drop("total"), "tree"), ["tree", "part"]).select(
         "tree", (F.col("start") + F.col("inside")).alias("idx"), F.col("total").alias("n"), F.col("leaf").alias("h"),
-        F.lit(1).cast("long").alias("docs"), "spos", "doc_id", "folded")
-    nodes = saved(nodes, "merkle-placed")
-    links, tops = _trees(nodes, size, ["doc_id", "folded"], "merkle")
-    subroots = tops.select(F.lit(TOP).alias("tree"), F.col("spos").alias("idx"), F.lit(count).cast("long").alias("n"), "h", "docs",
+        F.lit(1).cast("long").alias("tiles"), "spos", "doc_id", "folded")
+    tiles = saved(_tiles(nodes, ["doc_id", "folded"]), "merkle-leaf-tiles")
+    stored, tops = _trees(_above(tiles), 1, -(-size // TILE), "merkle")
+    subroots = tops.select(F.lit(TOP).alias("tree"), F.col("spos").alias("idx"), F.lit(count).cast("long").alias("n"), "h", "tiles",
                            F.lit(None).cast("long").alias("spos"))
-    top_links, _ = _trees(saved(subroots, "merkle-subroots"), count, [], "merkle-top")
+    top_stored, _ = _trees(saved(subroots, "merkle-subroots"), 0, count, "merkle-top")
     up_tree = F.col("up_tree") if count > 1 else F.when(F.col("up_tree") != TOP, F.col("up_tree"))  # an only subroot is the root
-    climbers = nodes.where("n = 1").select(  # a lone leaf is its source's subroot
-        "doc_id", F.col("h").alias("leaf"), "folded", F.lit(b"").alias("proof"), F.col("h").alias("up"), F.col("idx").alias("place"),
-        F.lit(TOP if count > 1 else None).cast("string").alias("tree"), F.lit(0).alias("lvl"), F.col("spos").alias("idx"),
-        F.col("h").alias("subroot"), F.lit(0).cast("long").alias("copy"))
-    if links:
-        climbers = climbers.unionByName(links[0].select(
-            "doc_id", F.col("h").alias("leaf"), F.expr(_FOLD.format(steps="siblings", h="folded")).alias("folded"),
-            F.expr(_PROOF.format(steps="siblings")).alias("proof"), "up", F.col("idx").alias("place"), up_tree.alias("tree"),
-            F.col("up_lvl").alias("lvl"), F.col("up_idx").alias("idx"), F.when(F.col("up_tree") == TOP, F.col("up")).alias("subroot"),
-            F.expr("idx % up_copies").alias("copy")))
-    wanted = "tree string, lvl int, idx long, docs long, siblings array<struct<before:string,after:string>>, up string, up_tree string, up_lvl int, up_idx long, up_copies long"
-    stored = [x.drop("h") for x in links[1:] + top_links] or [leaf_rows.sparkSession.createDataFrame([], wanted)]
-    stored = reduce(DataFrame.unionByName, stored).withColumn("up_tree", up_tree)
-    stored = stored.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), _copies("docs") - 1))).drop("docs")
+    folded = F.expr(f"transform(run, (x, i) -> struct(x.doc_id, x.h, {_FOLD.format(steps=_SIBLINGS, h='x.folded')} as folded))")
+    climbers = tiles.select(
+        folded.alias("run"), "steps", F.lit(b"").alias("proof"), F.col("made").alias("up"), F.col("tile").alias("place"), up_tree.alias("tree"),
+        F.when(F.col("n") <= TILE, 0).otherwise(1).alias("lvl"), F.col("up_idx").alias("idx"),
+        F.when(F.col("up_tree") == TOP, F.col("made")).alias("subroot"), F.lit(0).cast("long").alias("copy"))
+    # A tile's own top is one tile; as the top of a whole tree it stands among the copies of a subroot that has it alone.
+    columns = "tree string, lvl int, idx long, tiles long, siblings array<struct<before:string,after:string>>, up string, up_tree string, up_lvl int, up_idx long, up_copies long"
+    stored = reduce(DataFrame.unionByName, stored + top_stored or [leaf_rows.sparkSession.createDataFrame([], columns)])
+    stored = stored.withColumn("up_tree", up_tree).withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), _copies("tiles") - 1))).drop("tiles")
     return saved(climbers, "merkle-climbers"), saved(stored, "merkle-nodes")
 
 
 _CLIMB = f"""
-WITH RECURSIVE climb(doc_id, leaf, folded, proof, up, place, tree, lvl, idx, subroot, copy) AS (
-  SELECT doc_id, leaf, folded, proof, up, place, tree, lvl, idx, subroot, copy FROM {{climbers}}
+WITH RECURSIVE climb(run, steps, proof, up, place, tree, lvl, idx, subroot, copy) AS (
+  SELECT run, steps, proof, up, place, tree, lvl, idx, subroot, copy FROM {{climbers}}
   UNION ALL
-  SELECT c.doc_id, c.leaf, {_FOLD.format(steps="n.siblings", h="c.folded")}, concat(c.proof, {_PROOF.format(steps="n.siblings")}),
-         n.up, c.place, n.up_tree, n.up_lvl, n.up_idx,
+  SELECT transform(c.run, x -> named_struct('doc_id', x.doc_id, 'h', x.h, 'folded', {_FOLD.format(steps="n.siblings", h="x.folded")})), c.steps,
+         concat(c.proof, {_PROOF.format(steps="n.siblings")}), n.up, c.place, n.up_tree, n.up_lvl, n.up_idx,
          coalesce(c.subroot, CASE WHEN n.up_tree = '{TOP}' OR n.up_tree IS NULL THEN n.up END), c.place % n.up_copies
   FROM climb c JOIN {{nodes}} n ON c.tree = n.tree AND c.lvl = n.lvl AND c.idx = n.idx AND c.copy = n.copy
+), arrived AS (
+  SELECT posexplode(run) AS (i, x), steps, proof, up, subroot, levels FROM (SELECT *, {_LEVELS} AS levels FROM climb WHERE tree IS NULL)
 )
-SELECT doc_id, leaf, subroot, up AS root, sha2(lower(hex(proof)), 256) AS proof_sha256, folded AS folded_root, folded = up AS verified
-FROM climb WHERE tree IS NULL
+SELECT x.doc_id, x.h AS leaf, subroot, up AS root,
+       sha2(concat(array_join(transform({_SIBLINGS}, s -> concat(s.before, s.after)), ''), lower(hex(proof))), 256) AS proof_sha256,
+       x.folded AS folded_root, x.folded = up AS verified
+FROM arrived
 """
 
 

@@ -91,9 +91,11 @@ def test_empty_table(spark):
 
 
 def test_stored_copies_bound_the_rows_of_a_key(spark):
-    docs = spark.createDataFrame([(i, "t", "en", "x", 1) for i in range(2000)], DOCS)
+    docs = spark.createDataFrame([(i, "t", "en", "x", 1) for i in range(81 * 60)], DOCS)
     climbers, nodes = merkle.build(merkle.leaves(docs))
-    keys = climbers.groupBy("tree", "lvl", "idx", "copy").count().agg({"count": "max"}).first()[0]
-    assert keys <= merkle.SPREAD
-    top = nodes.where("up_tree IS NULL").groupBy("idx").count().agg({"count": "max"}).first()[0]
-    assert top >= 2000 * 81 / 2000 / merkle.SPREAD
+    assert climbers.count() == 60
+    top = nodes.where("up_tree IS NULL")
+    assert top.count() == 60  # one tile below each of the 60 nodes of the only tile above
+    rows = [(i, "t", "en", f"s{i % 2}", 1) for i in range(2 * 81 * 60)]
+    climbers, nodes = merkle.build(merkle.leaves(spark.createDataFrame(rows, DOCS)))
+    assert nodes.where("up_tree IS NULL").count() == 2 * -(-60 // merkle.SPREAD)
