@@ -24,7 +24,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,7 @@ CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]", "[SYS]", "[/SYS]", "[ROLE]", "[/
 BEGIN, END, USER, USER_END, SYSTEM, SYSTEM_END, ROLE, ROLE_END = range(len(CONTROLS))
 AROUND = {"user": (USER, USER_END), "system": (SYSTEM, SYSTEM_END)}  # other roles end with END
 PIECE = 1 << 20  # tokens of an output row, about
+MEMO, MEMO_LENGTH = 200_000, 32  # pieces of at most so many characters that a worker remembers
 
 _RAW = re.compile(r"<(?=\\*/?s>)|\[(?=\\*/?(?:INST|SYS|ROLE)\])")
 _ESCAPED = re.compile(r"([<\[])\\(?:(?<=<\\)(?=\\*/?s>)|(?<=\[\\)(?=\\*/?(?:INST|SYS|ROLE)\]))")
@@ -56,6 +58,21 @@ def first_reserved(c: Codec) -> int:
     return max(c.bytes_of) + 1
 
 
+@lru_cache(maxsize=4)
+def _encoder(path: str, pattern: str) -> Callable[[str], list[int]]:
+    """Ids of a text; short pieces, as most are, are encoded once for each worker."""
+    c = codec(path, pattern)
+    known = lru_cache(maxsize=MEMO)(lambda piece: c.encode_bytes(piece.encode()))
+
+    def encode(text: str) -> list[int]:
+        ids: list[int] = []
+        for piece in c.split(text):
+            ids += known(piece) if len(piece) <= MEMO_LENGTH else c.encode_bytes(piece.encode())
+        return ids
+
+    return encode
+
+
 def encoded(rows: DataFrame, path: str, pattern: str) -> DataFrame:
     """(conv_id, turn, role, digest, ids, role_ids): the escaped text's ids, and the role's where the template spells it out."""
     plain = rows.select(
@@ -63,11 +80,11 @@ def encoded(rows: DataFrame, path: str, pattern: str) -> DataFrame:
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(path, pattern)
+        encode = _encoder(path, pattern)
         ids = pa.list_(pa.int32())
         for b in steps(batches, "text"):
-            texts = [c.encode(escape(t)) for t in b.column("text").to_pylist()]
-            roles = [[] if r in AROUND or r == "assistant" else c.encode(escape(r)) for r in b.column("role").to_pylist()]
+            texts = [encode(escape(t)) for t in b.column("text").to_pylist()]
+            roles = [[] if r in AROUND or r == "assistant" else encode(escape(r)) for r in b.column("role").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*[b.column(x) for x in ("conv_id", "turn", "role", "digest")], pa.array(texts, ids), pa.array(roles, ids)],
                 names=["conv_id", "turn", "role", "digest", "ids", "role_ids"])
