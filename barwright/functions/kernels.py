@@ -1,13 +1,12 @@
-"""Arrow kernels for recursive indicators (classes L and N).
+"""Arrow kernels for the state machines (class N): qqe, stc, fisher, psar, supertrend.
 
 A kernel reads one chunk (<= one day plus warm-up) as numpy arrays sorted by
 open_time and returns named float arrays. Spark runs all kernel specs of a
 chunk in a single grouped Arrow call (`applyInArrow`) on the same
-partitioning as the window stages. Linear recurrences use pandas' compiled
-smoothing; only the state machines (psar, supertrend, qqe, fisher) step row by
-row, over Python floats.
+partitioning as the window stages. Smoothings that feed a machine use pandas' compiled
+code; the machines step row by row, over Python floats. All other recurrences are
+window expressions (`native`), with the same seeds:
 
-Contract seeds (written once, reused everywhere):
 - EMA(n): alpha = 2/(n+1), seeded with the mean of the first n consecutive
   valid values, NULL before that.
 - RMA(n): alpha = 1/n, seeded with the first valid value, NULL until n valid
@@ -40,10 +39,6 @@ def sma(x, n):
     return _series(x).rolling(n, min_periods=n).mean().to_numpy()
 
 
-def rsum(x, n):
-    return _series(x).rolling(n, min_periods=n).sum().to_numpy()
-
-
 def rmax(x, n):
     return _series(x).rolling(n, min_periods=n).max().to_numpy()
 
@@ -52,10 +47,6 @@ def rmin(x, n):
     return _series(x).rolling(n, min_periods=n).min().to_numpy()
 
 
-def rstd(x, n):
-    return _series(x).rolling(n, min_periods=n).std(ddof=1).to_numpy()
-
-
 def recur(x, alpha, start, seed):
     """y[start] = seed; y[t] = (1 - alpha)·y[t-1] + alpha·x[t] after it.
 
@@ -107,16 +98,6 @@ def _true_range(a):
     return tr
 
 
-def linreg(y, n):
-    """OLS value at the newest row of each n-row window (x = 1..n)."""
-    t = np.arange(1, len(y) + 1, dtype="float64")
-    sy = rsum(y, n)
-    sxy = rsum(t * y, n) - (t - n) * sy
-    sx, sxx = n * (n + 1) / 2.0, n * (n + 1) * (2 * n + 1) / 6.0
-    slope = (n * sxy - sx * sy) / (n * sxx - sx * sx)
-    return (sy - slope * sx) / n + slope * n
-
-
 def ffill_within(x, hold):
     """Replace positions flagged `hold` by the previous value (used for a zero range)."""
     s = pd.Series(np.where(hold, NAN, x))
@@ -129,9 +110,6 @@ def _p(*vals):
 
 
 # ---------------------------------------------------------------- momentum
-def k_rsi(a, length=14):
-    return {f"RSI_{length}": rsi_of_close(a, length)}
-
 
 def rsi_of_close(a, n):
     return _memo(a, ("rsi", n), lambda: _rsi(a["close"], n))
@@ -144,41 +122,6 @@ def _rsi(c, n):
         return 100.0 * g / (g + lo)
 
 
-def k_stochrsi(a, length=14, rsi_length=14, k=3, d=3):
-    r = rsi_of_close(a, rsi_length)
-    lo, hi = rmin(r, length), rmax(r, length)
-    st = 100.0 * (r - lo) / (hi - lo)
-    kk = sma(st, k)
-    return {f"STOCHRSIk_{length}": kk, f"STOCHRSId_{length}": sma(kk, d)}
-
-
-def k_macd(a, fast=12, slow=26, signal=9):
-    c = a["close"]
-    m = ema(c, fast) - ema(c, slow)
-    s = ema(m, signal)
-    p = _p(fast, slow, signal)
-    return {f"MACD_{p}": m, f"MACDh_{p}": m - s, f"MACDs_{p}": s}
-
-
-def k_ppo(a, fast=12, slow=26, signal=9):
-    c = a["close"]
-    es = ema(c, slow)
-    m = 100.0 * (ema(c, fast) - es) / es
-    s = ema(m, signal)
-    p = _p(fast, slow, signal)
-    return {f"PPO_{p}": m, f"PPOh_{p}": m - s, f"PPOs_{p}": s}
-
-
-def k_apo(a, fast=12, slow=26):
-    c = a["close"]
-    return {f"APO_{_p(fast, slow)}": ema(c, fast) - ema(c, slow)}
-
-
-def k_pgo(a, length=14):
-    c = a["close"]
-    return {f"PGO_{length}": (c - sma(c, length)) / ema(true_range(a), length)}
-
-
 def k_qqe(a, length=14, smooth=5, factor=4.236):
     rsi_ma = ema(rsi_of_close(a, length), smooth)
     wl = 2 * length - 1
@@ -211,16 +154,6 @@ def k_qqe(a, length=14, smooth=5, factor=4.236):
             f"QQEl_{length}": np.array(longs), f"QQEs_{length}": np.array(shorts)}
 
 
-def k_smi(a, length=14, smooth=3):
-    h, l, c = a["high"], a["low"], a["close"]
-    hh, ll = rmax(h, length), rmin(l, length)
-    m = c - (hh + ll) / 2.0
-    num = ema(ema(m, smooth), smooth)
-    den = 0.5 * ema(ema(hh - ll, smooth), smooth)
-    smi = 100.0 * num / den
-    return {f"SMI_{length}": smi, f"SMIs_{length}": ema(smi, smooth)}
-
-
 # A range below this fraction of the series level is zero up to rounding;
 # dividing by it would turn floating-point noise into a 0..100 reading.
 FLAT_RANGE = 1e-9
@@ -249,20 +182,6 @@ def k_stc(a, tclength=10, fast=23, slow=50, factor=0.5):
     return {"STC": stc}
 
 
-def k_trix(a, length=18, signal=9):
-    e3 = ema(ema(ema(a["close"], length), length), length)
-    tr = 100.0 * (e3 / shift(e3) - 1.0)
-    return {f"TRIX_{length}": tr, f"TRIXs_{length}": sma(tr, signal)}
-
-
-def k_tsi(a, long=25, short=13, signal=13):
-    c = a["close"]
-    d = c - shift(c)
-    t = 100.0 * ema(ema(d, long), short) / ema(ema(np.abs(d), long), short)
-    p = _p(long, short)
-    return {f"TSI_{p}": t, f"TSIs_{p}": ema(t, signal)}
-
-
 def k_fisher(a, length=9, signal=1):
     hl2 = (a["high"] + a["low"]) / 2.0
     lo, hi = rmin(hl2, length), rmax(hl2, length)
@@ -286,27 +205,7 @@ def k_fisher(a, length=9, signal=1):
     return {f"FISHERT_{length}": fish, f"FISHERTs_{length}": shift(fish, signal)}
 
 
-def k_inertia(a, length=20, rvi_length=14):
-    c = a["close"]
-    sd = rstd(c, rvi_length)
-    d = c - shift(c)
-    pos = np.where(d > 0, sd, 0.0) + 0 * sd
-    rvi = 100.0 * ema(pos, rvi_length) / ema(sd, rvi_length)
-    return {f"INERTIA_{length}": linreg(rvi, length)}
-
-
 # ------------------------------------------------------------------- trend
-def k_adx(a, length=14):
-    h, l = a["high"], a["low"]
-    up, dn = h - shift(h), shift(l) - l
-    pdm = np.where((up > dn) & (up > 0), up, 0.0) + 0 * up
-    mdm = np.where((dn > up) & (dn > 0), dn, 0.0) + 0 * dn
-    atr = rma(true_range(a), length)
-    dmp = 100.0 * rma(pdm, length) / atr
-    dmn = 100.0 * rma(mdm, length) / atr
-    dx = 100.0 * np.abs(dmp - dmn) / (dmp + dmn)
-    return {f"ADX_{length}": rma(dx, length), f"DMP_{length}": dmp, f"DMN_{length}": dmn}
-
 
 def k_psar(a, af=0.02, max_af=0.2, af0=None):
     """Wilder's parabolic SAR; the first move (close up or down) sets the start side."""
@@ -355,40 +254,6 @@ def k_psar(a, af=0.02, max_af=0.2, af0=None):
 
 
 # ----------------------------------------------------------------- overlap
-def k_ema(a, length=10):
-    return {f"EMA_{length}": ema(a["close"], length)}
-
-
-def k_rma(a, length=10):
-    return {f"RMA_{length}": rma(a["close"], length)}
-
-
-def k_t3(a, length=10, a_=0.7):
-    c = a["close"]
-    e = [ema(c, length)]
-    for _ in range(5):
-        e.append(ema(e[-1], length))
-    k = a_
-    c1, c2 = -k ** 3, 3 * k ** 2 + 3 * k ** 3
-    c3, c4 = -6 * k ** 2 - 3 * k - 3 * k ** 3, 1 + 3 * k + k ** 3 + 3 * k ** 2
-    return {f"T3_{length}": c1 * e[5] + c2 * e[4] + c3 * e[3] + c4 * e[2]}
-
-
-def k_tema(a, length=10):
-    e1 = ema(a["close"], length)
-    e2 = ema(e1, length)
-    return {f"TEMA_{length}": 3 * e1 - 3 * e2 + ema(e2, length)}
-
-
-def k_dema(a, length=10):
-    e1 = ema(a["close"], length)
-    return {f"DEMA_{length}": 2 * e1 - ema(e1, length)}
-
-
-def k_kc(a, length=20, scalar=2.0):
-    mid = ema(a["close"], length)
-    rng = ema(true_range(a), length)
-    return {f"KCL_{length}": mid - scalar * rng, f"KCM_{length}": mid, f"KCU_{length}": mid + scalar * rng}
 
 
 def k_supertrend(a, length=7, multiplier=3.0):
@@ -428,82 +293,4 @@ def k_supertrend(a, length=7, multiplier=3.0):
             f"SUPERTl_{p}": np.array(longs), f"SUPERTs_{p}": np.array(shorts)}
 
 
-# -------------------------------------------------------------- volatility
-def k_atr(a, length=14):
-    return {f"ATR_{length}": rma(true_range(a), length)}
-
-
-def k_natr(a, length=14):
-    return {f"NATR_{length}": 100.0 * rma(true_range(a), length) / a["close"]}
-
-
-def k_aberration(a, length=5, atr_length=15):
-    tp = (a["high"] + a["low"] + a["close"]) / 3.0
-    zg = sma(tp, length)
-    atr = rma(true_range(a), atr_length)
-    return {f"ABER_ZG_{length}": zg, f"ABER_SG_{length}": zg + atr,
-            f"ABER_XG_{length}": zg - atr, f"ABER_ATR_{length}": atr}
-
-
-# ------------------------------------------------------------------ volume
-def _ad(a):
-    h, l, c, v = a["high"], a["low"], a["close"], a["volume"]
-    rng = h - l
-    clv = np.where(rng != 0, ((c - l) - (h - c)) / np.where(rng != 0, rng, 1.0), 0.0)
-    return np.nancumsum(clv * v)
-
-
-def k_adosc(a, fast=3, slow=10):
-    ad = _ad(a)
-    return {f"ADOSC_{_p(fast, slow)}": ema(ad, fast) - ema(ad, slow)}
-
-
-def k_kvo(a, fast=34, slow=55, signal=13):
-    tp = (a["high"] + a["low"] + a["close"]) / 3.0
-    s = a["volume"] * np.sign(tp - shift(tp))
-    k = ema(s, fast) - ema(s, slow)
-    p = _p(fast, slow, signal)
-    return {f"KVO_{p}": k, f"KVOs_{p}": ema(k, signal)}
-
-
-def _obv(a):
-    c, v = a["close"], a["volume"]
-    step = np.sign(c - shift(c)) * v
-    step[0] = v[0]
-    return np.nancumsum(step)
-
-
-def _run_flag(cond, valid, n):
-    """1.0 where cond held on each of the last n rows, else 0.0; NULL where not valid."""
-    x = np.where(cond & valid, 1.0, 0.0)
-    run = rsum(x, n) == n
-    out = np.where(run, 1.0, 0.0)
-    out[~valid] = NAN
-    return out
-
-
-def k_aobv(a, length=2, fast=4, slow=12, lookback=2):
-    obv = _obv(a)
-    ef, es = ema(obv, fast), ema(obv, slow)
-    valid = ~np.isnan(ef) & ~np.isnan(es)
-    return {
-        "OBV": obv,
-        f"OBV_min_{lookback}": rmin(obv, lookback),
-        f"OBV_max_{lookback}": rmax(obv, lookback),
-        f"OBVe_{fast}": ef,
-        f"OBVe_{slow}": es,
-        f"AOBV_LR_{length}": _run_flag(ef > es, valid, length),
-        f"AOBV_SR_{length}": _run_flag(ef < es, valid, length),
-    }
-
-
-# ----------------------------------------------------------------- candles
-def k_ha(a):
-    o, h, l, c = a["open"], a["high"], a["low"], a["close"]
-    hc = (o + h + l + c) / 4.0
-    ho = recur(shift(hc), 0.5, 0, (o[0] + c[0]) / 2.0) if len(c) else hc
-    return {"HA_open": ho, "HA_high": np.fmax(h, np.fmax(ho, hc)),
-            "HA_low": np.fmin(l, np.fmin(ho, hc)), "HA_close": hc}
-
-
 KERNELS = {name[2:]: fn for name, fn in list(globals().items()) if name.startswith("k_") and callable(fn)}

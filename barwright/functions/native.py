@@ -1,4 +1,4 @@
-"""Native indicator builders: Spark window expressions (classes E, F, C).
+"""Native indicator builders: Spark window expressions (classes E, F, C, L).
 
 Builders emit Spark SQL expression text. A builder returns stages: lists of
 (name, expression). Stage i may use columns made by stages < i (Spark forbids a
@@ -12,6 +12,9 @@ Guard rule: a rolling result is NULL until its frame holds n non-NULL values.
 Sums over long frames are a difference of two running frames (O(1) per row),
 see `barwright.operators.windows`.
 
+Linear recurrences (class L: y = (1 - a) y' + a x) run in a running frame as well, through
+Spark's exponentially weighted mean; seeds enter by linearity, see `Sql.ema` and `Sql.rma`.
+
 Base columns (stage 0, shared): __c1/__h1/__l1/__v1 (values one bar back),
 __rn (row number), __c0 (first close of the chunk: a level that centres long
 power sums), __tr (true range, NULL on the first row), __tp (typical price).
@@ -21,8 +24,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from itertools import zip_longest
 
-from barwright.operators.windows import PREFIX_THRESHOLD
+from barwright.operators.windows import EWM, PREFIX_THRESHOLD
 
 
 SLIDING_VARIANCE = 120  # rows; beyond, a sliding frame costs too much per row
@@ -61,6 +65,7 @@ class Sql:
         # window expression it is given, duplicates included, and specs share
         # many (guards, sums of close); each distinct call is computed once.
         self.calls: dict[str, str] = {}
+        self.values: dict[str, str] = {}  # arguments of several calls, by text -> helper column name
 
     def call(self, text: str) -> str:
         """One window call as a reference to its (shared) helper column."""
@@ -85,10 +90,9 @@ class Sql:
     def lag(self, x: str, k: int = 1) -> str:
         return self.call(f"lag({x}, {k}) {self.over()}")
 
-    @staticmethod
-    def finite(x: str) -> str:
-        """x, NULL where it is NaN or infinite: such a value must not stay in a running sum."""
-        return f"CASE WHEN abs({x}) < double('infinity') THEN {x} END"
+    def finite(self, x: str) -> str:
+        """x, NULL where it is NaN or infinite: such a value must not stay in a running sum. One helper column for all calls."""
+        return q(self.values.setdefault(f"CASE WHEN abs({x}) < double('infinity') THEN {x} END", f"__x{len(self.values)}"))
 
     def count(self, x: str, n: int) -> str:
         x = self.finite(x)
@@ -162,6 +166,38 @@ class Sql:
         return self.guard(x, n, f"aggregate({values}, 0D, (a, v) -> a + abs(v - {mean})) / {n}D")
 
 
+    def smoothed(self, x: str, alpha: float) -> tuple[str, str]:
+        """Sum of alpha * (1 - alpha)^age * x over all values so far, and their number; age counts values, not rows."""
+        n = self.call(f"count({self.finite(x)}) {self.cum()}")
+        return f"({self.call(f'{EWM}{alpha!r}|{self.finite(x)}')} * (1D - power({1 - alpha!r}D, {n})))", n
+
+    def rma(self, x: str, name: str, n: int, alpha: float | None = None) -> list[list[tuple[str, str]]]:
+        """Stages of `name`: smoothing by 1/n from the first value on, NULL before the n-th and where x is."""
+        alpha = 1.0 / n if alpha is None else alpha
+        a, k = self.smoothed(x, alpha)
+        first = self.call(f"first({self.finite(x)}, true) {self.cum()}")
+        return [[(name, f"CASE WHEN {self.finite(x)} IS NOT NULL AND {k} >= {n} THEN {a} + power({1 - alpha!r}D, {k}) * {first} END")]]
+
+    def ema(self, x: str, name: str, n: int) -> list[list[tuple[str, str]]]:
+        """Stages of `name`: smoothing by 2/(n + 1) from the first full window's mean on, NULL before it and where x is.
+
+        Values before the seed are in the running sum as well; what they add is known at the seed row
+        and fades from there like the seed itself, so one correction puts both right.
+        """
+        alpha = 2.0 / (n + 1)
+        a, k = self.smoothed(x, alpha)
+        sa, sk, sm = (f"__s{c}_{name}" for c in "akm")
+        seed = f"CASE WHEN {q(sm)} IS NOT NULL THEN named_struct('d', {q(sm)} - {q(sa)}, 'k', {q(sk)}) END"
+        seed = self.call(f"first({seed}, true) {self.cum()}")
+        return [[(sa, a), (sk, k), (sm, self.mean(x, n))],
+                [(name, f"CASE WHEN {self.finite(x)} IS NOT NULL THEN {q(sa)} + power({1 - alpha!r}D, {q(sk)} - {seed}.k) * {seed}.d END")]]
+
+
+def beside(*parts: list[list[tuple[str, str]]]) -> list[list[tuple[str, str]]]:
+    """Stages of parts that do not use each other."""
+    return [[pair for stage in stages for pair in stage] for stages in zip_longest(*parts, fillvalue=[])]
+
+
 def base_stage(w: Sql) -> list[tuple[str, str]]:
     c1 = w.lag(C)
     return [
@@ -507,6 +543,209 @@ def hlc3(w):
     return [[("HLC3", f"({H} + {L} + {C}) / 3D")]]
 
 
+# ------------------------------------------------------ linear recurrences
+MOVE = f"({C} - {C1})"
+
+
+def _ema_of(w, x, tag, n):
+    """(stages, column) of an EMA; specs that smooth the same series share it by its tag."""
+    name = f"__ema{n}_{tag}"
+    return w.ema(x, name, n), q(name)
+
+
+def _emas_of(w, x, tag, n, depth):
+    """(stages, columns) of an EMA, the EMA of that, and so on."""
+    stages, out = [], []
+    for _ in range(depth):
+        made, x = _ema_of(w, x, tag, n)
+        stages, tag = stages + made, f"{n}_{tag}"
+        out.append(x)
+    return stages, out
+
+
+def _rma_of(w, x, tag, n):
+    name = f"__rma{n}_{tag}"
+    return w.rma(x, name, n), q(name)
+
+
+def _rsi_of(w, n):
+    """Stages of the RSI of close, and its column."""
+    up = f"CASE WHEN {C1} IS NOT NULL THEN greatest({MOVE}, 0D) END"
+    dn = f"CASE WHEN {C1} IS NOT NULL THEN greatest(-{MOVE}, 0D) END"
+    (su, u), (sd, d) = _rma_of(w, up, "up", n), _rma_of(w, dn, "down", n)
+    return [*beside(su, sd), [(f"__rsi{n}", f"100D * {div(u, f'{u} + {d}')}")]], q(f"__rsi{n}")
+
+
+def rsi(w, length=14):
+    stages, r = _rsi_of(w, length)
+    return [*stages, [(f"RSI_{length}", r)]]
+
+
+def stochrsi(w, length=14, rsi_length=14, k=3, d=3):
+    stages, r = _rsi_of(w, rsi_length)
+    lo, hi = w.min(r, length), w.max(r, length)
+    raw, kk = f"__srsi_{_p(length, rsi_length)}", f"STOCHRSIk_{length}"
+    return [*stages, [(raw, f"100D * {div(f'{r} - {lo}', f'{hi} - {lo}')}")], [(kk, w.mean(q(raw), k))],
+            [(f"STOCHRSId_{length}", w.mean(q(kk), d))]]
+
+
+def _two_emas(w, x, tag, fast, slow):
+    (sf, f), (ss, s) = _ema_of(w, x, tag, fast), _ema_of(w, x, tag, slow)
+    return beside(sf, ss), f, s
+
+
+def _signal(w, line, name, signal_name, signal, hist_name=None):
+    """Stages after those of `line`: the line, its EMA, and the difference of both."""
+    out = [[(name, line)], *w.ema(q(name), signal_name, signal)]
+    return out + ([[(hist_name, f"{q(name)} - {q(signal_name)}")]] if hist_name else [])
+
+
+def macd(w, fast=12, slow=26, signal=9):
+    p = _p(fast, slow, signal)
+    stages, f, s = _two_emas(w, C, "c", fast, slow)
+    return stages + _signal(w, f"{f} - {s}", f"MACD_{p}", f"MACDs_{p}", signal, f"MACDh_{p}")
+
+
+def ppo(w, fast=12, slow=26, signal=9):
+    p = _p(fast, slow, signal)
+    stages, f, s = _two_emas(w, C, "c", fast, slow)
+    return stages + _signal(w, f"100D * {div(f'{f} - {s}', s)}", f"PPO_{p}", f"PPOs_{p}", signal, f"PPOh_{p}")
+
+
+def apo(w, fast=12, slow=26):
+    stages, f, s = _two_emas(w, C, "c", fast, slow)
+    return [*stages, [(f"APO_{_p(fast, slow)}", f"{f} - {s}")]]
+
+
+def pgo(w, length=14):
+    stages, e = _ema_of(w, TR, "tr", length)
+    return [*stages, [(f"PGO_{length}", div(f"{C} - {w.mean(C, length)}", e))]]
+
+
+def smi(w, length=14, smooth=3):
+    hh, ll = w.max(H, length), w.min(L, length)
+    m, r = f"__smi_m{length}", f"__smi_r{length}"
+    (sn, n), (sd, d) = _emas_of(w, q(m), f"smi_m{length}", smooth, 2), _emas_of(w, q(r), f"smi_r{length}", smooth, 2)
+    line = f"100D * {div(n[1], f'(0.5D * {d[1]})')}"
+    return [[(m, f"{C} - ({hh} + {ll}) / 2D"), (r, f"{hh} - {ll}")], *beside(sn, sd), *_signal(w, line, f"SMI_{length}", f"SMIs_{length}", smooth)]
+
+
+def trix(w, length=18, signal=9):
+    stages, e = _emas_of(w, C, "c", length, 3)
+    name = f"TRIX_{length}"
+    return [*stages, [(name, f"100D * ({div(e[2], w.lag(e[2]))} - 1D)")], [(f"TRIXs_{length}", w.mean(q(name), signal))]]
+
+
+def tsi(w, long=25, short=13, signal=13):
+    def twice(x, tag):
+        first, e = _ema_of(w, x, tag, long)
+        second, y = _ema_of(w, e, f"{long}_{tag}", short)
+        return first + second, y
+
+    p = _p(long, short)
+    (sn, n), (sd, d) = twice(MOVE, "move"), twice(f"abs({MOVE})", "size")
+    return beside(sn, sd) + _signal(w, f"100D * {div(n, d)}", f"TSI_{p}", f"TSIs_{p}", signal)
+
+
+def inertia(w, length=20, rvi_length=14):
+    sd, up, rvi = (f"__inertia_{x}{rvi_length}" for x in ("sd", "up", "rvi"))
+    (su, u), (sa, a) = _ema_of(w, q(up), up, rvi_length), _ema_of(w, q(sd), sd, rvi_length)
+    return [[(sd, w.std(C, rvi_length))], [(up, f"CASE WHEN {MOVE} > 0 THEN {q(sd)} ELSE 0D * {q(sd)} END")], *beside(su, sa),
+            [(rvi, f"100D * {div(u, a)}")], [(f"INERTIA_{length}", w.linreg(q(rvi), length))]]
+
+
+def adx(w, length=14):
+    up, dn = f"({H} - {H1})", f"({L1} - {L})"
+    pdm = f"CASE WHEN {up} > {dn} AND {up} > 0 THEN {up} ELSE 0D * {up} END"
+    mdm = f"CASE WHEN {dn} > {up} AND {dn} > 0 THEN {dn} ELSE 0D * {dn} END"
+    (st, atr_), (sp, p), (sm, m) = _rma_of(w, TR, "tr", length), _rma_of(w, pdm, "pdm", length), _rma_of(w, mdm, "mdm", length)
+    dmp, dmn, dx = f"DMP_{length}", f"DMN_{length}", f"__dx{length}"
+    return [*beside(st, sp, sm), [(dmp, f"100D * {div(p, atr_)}"), (dmn, f"100D * {div(m, atr_)}")],
+            [(dx, f"100D * {div(f'abs({q(dmp)} - {q(dmn)})', f'({q(dmp)} + {q(dmn)})')}")], *w.rma(q(dx), f"ADX_{length}", length)]
+
+
+def ema(w, length=10):
+    stages, e = _ema_of(w, C, "c", length)
+    return [*stages, [(f"EMA_{length}", e)]]
+
+
+def rma(w, length=10):
+    stages, y = _rma_of(w, C, "c", length)
+    return [*stages, [(f"RMA_{length}", y)]]
+
+
+def t3(w, length=10, a_=0.7):
+    stages, e = _emas_of(w, C, "c", length, 6)
+    k = a_
+    weights = (-(k**3), 3 * k**2 + 3 * k**3, -6 * k**2 - 3 * k - 3 * k**3, 1 + 3 * k + k**3 + 3 * k**2)
+    return [*stages, [(f"T3_{length}", " + ".join(f"{num(c)} * {x}" for c, x in zip(weights, reversed(e))))]]
+
+
+def tema(w, length=10):
+    stages, (e1, e2, e3) = _emas_of(w, C, "c", length, 3)
+    return [*stages, [(f"TEMA_{length}", f"3D * {e1} - 3D * {e2} + {e3}")]]
+
+
+def dema(w, length=10):
+    stages, (e1, e2) = _emas_of(w, C, "c", length, 2)
+    return [*stages, [(f"DEMA_{length}", f"2D * {e1} - {e2}")]]
+
+
+def kc(w, length=20, scalar=2.0):
+    (sm, mid), (sr, rng) = _ema_of(w, C, "c", length), _ema_of(w, TR, "tr", length)
+    return [*beside(sm, sr), [(f"KCL_{length}", f"{mid} - {num(scalar)} * {rng}"), (f"KCM_{length}", mid), (f"KCU_{length}", f"{mid} + {num(scalar)} * {rng}")]]
+
+
+def atr(w, length=14):
+    stages, y = _rma_of(w, TR, "tr", length)
+    return [*stages, [(f"ATR_{length}", y)]]
+
+
+def natr(w, length=14):
+    stages, y = _rma_of(w, TR, "tr", length)
+    return [*stages, [(f"NATR_{length}", f"100D * {div(y, C)}")]]
+
+
+def aberration(w, length=5, atr_length=15):
+    stages, y = _rma_of(w, TR, "tr", atr_length)
+    zg = q(f"ABER_ZG_{length}")
+    return [*beside(stages, [[(f"ABER_ZG_{length}", w.mean(TP, length))]]),
+            [(f"ABER_SG_{length}", f"{zg} + {y}"), (f"ABER_XG_{length}", f"{zg} - {y}"), (f"ABER_ATR_{length}", y)]]
+
+
+def adosc(w, fast=3, slow=10):
+    stages, f, s = _two_emas(w, q("__adl"), "ad", fast, slow)
+    return [[("__adl", f"coalesce(sum(({CLV}) * {V}) {w.cum()}, 0D)")], *stages, [(f"ADOSC_{_p(fast, slow)}", f"{f} - {s}")]]
+
+
+def kvo(w, fast=34, slow=55, signal=13):
+    p = _p(fast, slow, signal)
+    stages, f, s = _two_emas(w, f"({V} * signum({TP} - {q('__tp1')}))", "vf", fast, slow)
+    return [[("__tp1", w.lag(TP))], *stages, *_signal(w, f"{f} - {s}", f"KVO_{p}", f"KVOs_{p}", signal)]
+
+
+def aobv(w, length=2, fast=4, slow=12, lookback=2):
+    (_, step), = obv(w)[0]
+    line = q("OBV")
+    stages, f, s = _two_emas(w, line, "obv", fast, slow)
+    ef, es = q(f"OBVe_{fast}"), q(f"OBVe_{slow}")
+
+    def runs(name, op):
+        flag = f"__{name}_{_p(fast, slow)}"
+        both = f"{ef} IS NOT NULL AND {es} IS NOT NULL"
+        return [[(flag, f"CASE WHEN {ef} {op} {es} THEN 1D ELSE 0D END")],
+                [(f"{name}_{length}", f"CASE WHEN {both} THEN CASE WHEN {w.sum(q(flag), length)} = {length} THEN 1D ELSE 0D END END")]]
+
+    return [[("OBV", f"coalesce({step}, 0D)")], [(f"OBV_min_{lookback}", w.min(line, lookback)), (f"OBV_max_{lookback}", w.max(line, lookback))],
+            *stages, [(f"OBVe_{fast}", f), (f"OBVe_{slow}", s)], *beside(runs("AOBV_LR", ">"), runs("AOBV_SR", "<"))]
+
+
+def ha(w):
+    hc, ho = q("HA_close"), q("HA_open")
+    return [[("HA_close", f"({O} + {H} + {L} + {C}) / 4D")], [("__ha_in", f"CASE WHEN {RN} = 1D THEN ({O} + {C}) / 2D ELSE {w.lag(hc)} END")],
+            *w.rma(q("__ha_in"), "HA_open", 1, 0.5), [("HA_high", f"greatest({H}, {ho}, {hc})"), ("HA_low", f"least({L}, {ho}, {hc})")]]
+
+
 NATIVE = {
     f.__name__: f
     for f in (
@@ -518,5 +757,7 @@ NATIVE = {
         log_return, percent_return,
         entropy, zscore, mad, skew, kurtosis, variance,
         ohlc4, hl2, hlc3,
+        rsi, stochrsi, macd, ppo, apo, pgo, smi, trix, tsi, inertia, adx, ema, rma, t3, tema, dema, kc,
+        atr, natr, aberration, adosc, kvo, aobv, ha,
     )
 }

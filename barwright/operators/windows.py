@@ -18,12 +18,29 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.sql import Column, Window
+from pyspark.sql import functions as F
+from pyspark.sql.internal import InternalFunction
+
 # Frames longer than this use the running-difference form for sums.
 PREFIX_THRESHOLD = 8
 
 CHUNK_KEYS = ("symbol", "interval", "chunk_date")
 
 
+# Marks a call of `smoothed_mean` among SQL window calls: EWM, alpha, "|", the values.
+EWM = "ewm:"
+
+
+def smoothed_mean(values: str, alpha: float, keys: Sequence[str], order: str) -> Column:
+    """Exponentially weighted mean of all values so far, weights (1 - alpha)^age, NULLs without an age.
+
+    This is the window function behind pandas-on-Spark's `ewm(alpha, ignore_na=True).mean()`; it keeps two
+    running sums, so a row costs O(1) on the ordering that the other windows use. SQL text cannot name it.
+    """
+    return InternalFunction.ewm(F.expr(values), alpha, True).over(Window.partitionBy(*keys).orderBy(order))
+
+
 @dataclass(frozen=True)
 class Frames:
     """One partitioning of the feature stages: partition keys, order column, threshold."""
