@@ -29,9 +29,6 @@ from itertools import zip_longest
 from barwright.operators.windows import EWM, PREFIX_THRESHOLD
 
 
-SLIDING_VARIANCE = 120  # rows; beyond, a sliding frame costs too much per row
-
-
 def q(name: str) -> str:
     """Quoted column name (indicator names may contain dots)."""
     return f"`{name}`"
@@ -124,18 +121,27 @@ class Sql:
     def min(self, x: str, n: int) -> str:
         return self.guard(x, n, self.call(f"min({x}) {self.rows(n)}"))
 
-    def var(self, x: str, n: int, shift: str | None = C0) -> str:
-        """Sample variance over a sliding frame. Only very long frames use power sums of x − shift, which lose
-        digits where a window's spread is small against the level; they are 0 where all values are equal."""
-        if n <= SLIDING_VARIANCE:
-            return self.guard(x, n, self.call(f"var_samp({x}) {self.rows(n)}"))
-        xc = f"({x} - {shift})" if shift else x
-        s1, s2 = self.raw_sum(xc, n), self.raw_sum(f"{xc} * {xc}", n)
-        flat = f"{self.call(f'max({x}) {self.rows(n)}')} = {self.call(f'min({x}) {self.rows(n)}')}"
-        return self.guard(x, n, f"CASE WHEN {flat} THEN 0D ELSE greatest(({s2} - {s1} * {s1} / {n}D) / {n - 1}D, 0D) END")
+    def moments(self, x: str, tag: str, n: int) -> tuple[list[list[tuple[str, str]]], str]:
+        """Stages of the mean and the sums of 2nd to 4th powers about it (m, a, b, c) over n rows, and their column.
 
-    def std(self, x: str, n: int, shift: str | None = C0) -> str:
-        return f"sqrt({self.var(x, n, shift)})"
+        The moments of 2k rows are those of the last k and, by a lag, of the k before, put together by the
+        pairwise update formulas; n rows are put together from such windows of falling powers of two. One
+        formula at all lengths, no power sums of raw values, and 0 exactly where all values are equal; NULL
+        while a value is NULL or not finite. Specs on the same series share the windows by their tag.
+        """
+        name = f"__mom_{tag}_"
+        stages = [[(f"{name}1", f"CASE WHEN {self.finite(x)} IS NOT NULL THEN named_struct('m', {self.finite(x)}, 'a', 0D, 'b', 0D, 'c', 0D) END")]]
+        size = 1
+        while 2 * size <= n:
+            stages.append([(f"{name}{2 * size}", _merged(q(f"{name}{size}"), self.lag(q(f"{name}{size}"), size), size, size))])
+            size *= 2
+        have = size
+        while have < n:
+            size = 1 << ((n - have).bit_length() - 1)
+            stages.append([(f"{name}{have + size}_of{n}", _merged(q(f"{name}{have}" + (f"_of{n}" if have & (have - 1) else "")),
+                                                                  self.lag(q(f"{name}{size}"), have), have, size))])
+            have += size
+        return stages, q(f"{name}{n}" + (f"_of{n}" if n & (n - 1) else ""))
 
     def weighted(self, x: str, n: int) -> tuple[str, str]:
         """Σ y and Σ i·y over the frame, y = x − first close, i = 1..n from the oldest row.
@@ -193,6 +199,25 @@ class Sql:
                 [(name, f"CASE WHEN {self.finite(x)} IS NOT NULL THEN {q(sa)} + power({1 - alpha!r}D, {q(sk)} - {seed}.k) * {seed}.d END")]]
 
 
+def _merged(x: str, y: str, nx: int, ny: int) -> str:
+    """Moments of two neighbouring windows of nx and ny rows as those of both together."""
+    n, d = float(nx + ny), f"({y}.m - {x}.m)"
+    parts = {
+        "m": f"{x}.m + {d} * {ny / n!r}D",
+        "a": f"{x}.a + {y}.a + {d} * {d} * {nx * ny / n!r}D",
+        "b": f"{x}.b + {y}.b + {d} * {d} * {d} * {nx * ny * (nx - ny) / n**2!r}D + 3D * {d} * ({nx / n!r}D * {y}.a - {ny / n!r}D * {x}.a)",
+        "c": f"{x}.c + {y}.c + {d} * {d} * {d} * {d} * {nx * ny * (nx**2 - nx * ny + ny**2) / n**3!r}D"
+             f" + 6D * {d} * {d} * ({nx**2 / n**2!r}D * {y}.a + {ny**2 / n**2!r}D * {x}.a) + 4D * {d} * ({nx / n!r}D * {y}.b - {ny / n!r}D * {x}.b)",
+    }
+    fields = ", ".join(f"'{k}', {e}" for k, e in parts.items())
+    return f"CASE WHEN {x} IS NOT NULL AND {y} IS NOT NULL THEN named_struct({fields}) END"
+
+
+def _std(stages_and_moments, n: int) -> tuple[list[list[tuple[str, str]]], str]:
+    stages, m = stages_and_moments
+    return stages, f"sqrt({m}.a / {n - 1}D)" if n > 1 else "CAST(NULL AS DOUBLE)"
+
+
 def beside(*parts: list[list[tuple[str, str]]]) -> list[list[tuple[str, str]]]:
     """Stages of parts that do not use each other."""
     return [[pair for stage in stages for pair in stage] for stages in zip_longest(*parts, fillvalue=[])]
@@ -387,8 +412,9 @@ def vwap(w):
 def bbands(w, length=5, std=2.0):
     p = _p(length, float(std), float(std))
     lo, mid, hi = q(f"BBL_{p}"), q(f"BBM_{p}"), q(f"BBU_{p}")
-    m, sd = w.mean(C, length), w.std(C, length)
-    return [[(f"BBL_{p}", f"{m} - {float(std)!r}D * {sd}"), (f"BBM_{p}", m),
+    stages, sd = _std(w.moments(C, "c", length), length)
+    m = w.mean(C, length)
+    return [*stages, [(f"BBL_{p}", f"{m} - {float(std)!r}D * {sd}"), (f"BBM_{p}", m),
              (f"BBU_{p}", f"{m} + {float(std)!r}D * {sd}")],
             [(f"BBB_{p}", f"100D * {div(f'{hi} - {lo}', mid)}"),
              (f"BBP_{p}", div(f"{C} - {lo}", f"{hi} - {lo}"))]]
@@ -428,7 +454,8 @@ def true_range(w):
 
 
 def stdev(w, length=30):
-    return [[(f"STDEV_{length}", w.std(C, length))]]
+    stages, sd = _std(w.moments(C, "c", length), length)
+    return [*stages, [(f"STDEV_{length}", sd)]]
 
 
 def accbands(w, length=20):
@@ -503,7 +530,9 @@ def entropy(w, length=10, base=2.0):
 
 
 def zscore(w, length=30):
-    return [[(f"ZS_{length}", div(f"{C} - {w.mean(C, length)}", w.std(C, length)))]]
+    moments, m = w.moments(C, "c", length)
+    stages, sd = _std((moments, m), length)
+    return [*stages, [(f"ZS_{length}", div(f"{C} - {m}.m", sd))]]
 
 
 def mad(w, length=30):
@@ -511,23 +540,25 @@ def mad(w, length=30):
 
 
 def skew(w, length=30):
-    """Sample skewness, from Spark's population skewness of the frame."""
+    """Sample skewness."""
     n = length
-    g1 = w.call(f"skewness({C}) {w.rows(n)}")
-    k = math.sqrt(n * (n - 1)) / (n - 2) if n > 2 else None
-    return [[(f"SKEW_{n}", w.guard(C, n, f"{g1} * {k!r}D") if k else "CAST(NULL AS DOUBLE)")]]
+    stages, m = w.moments(C, "c", n)
+    k = math.sqrt(n) * math.sqrt(n * (n - 1)) / (n - 2) if n > 2 else None
+    return [*stages, [(f"SKEW_{n}", f"{k!r}D * {div(f'{m}.b', f'({m}.a * sqrt({m}.a))')}" if k else "CAST(NULL AS DOUBLE)")]]
 
 
 def kurtosis(w, length=30):
-    """Sample excess kurtosis, from Spark's population excess kurtosis of the frame."""
+    """Sample excess kurtosis."""
     n = length
-    g2 = w.call(f"kurtosis({C}) {w.rows(n)}")
+    stages, m = w.moments(C, "c", n)
+    g2 = f"({n}D * {div(f'{m}.c', f'({m}.a * {m}.a)')} - 3D)"
     value = f"{(n - 1) / ((n - 2) * (n - 3))!r}D * ({n + 1}D * {g2} + 6D)" if n > 3 else "CAST(NULL AS DOUBLE)"
-    return [[(f"KURT_{n}", w.guard(C, n, value))]]
+    return [*stages, [(f"KURT_{n}", value)]]
 
 
 def variance(w, length=30):
-    return [[(f"VAR_{length}", w.var(C, length))]]
+    stages, m = w.moments(C, "c", length)
+    return [*stages, [(f"VAR_{length}", f"{m}.a / {length - 1}D" if length > 1 else "CAST(NULL AS DOUBLE)")]]
 
 
 # ----------------------------------------------------------------- candles
@@ -650,7 +681,8 @@ def tsi(w, long=25, short=13, signal=13):
 def inertia(w, length=20, rvi_length=14):
     sd, up, rvi = (f"__inertia_{x}{rvi_length}" for x in ("sd", "up", "rvi"))
     (su, u), (sa, a) = _ema_of(w, q(up), up, rvi_length), _ema_of(w, q(sd), sd, rvi_length)
-    return [[(sd, w.std(C, rvi_length))], [(up, f"CASE WHEN {MOVE} > 0 THEN {q(sd)} ELSE 0D * {q(sd)} END")], *beside(su, sa),
+    stages, spread = _std(w.moments(C, "c", rvi_length), rvi_length)
+    return [*stages, [(sd, spread)], [(up, f"CASE WHEN {MOVE} > 0 THEN {q(sd)} ELSE 0D * {q(sd)} END")], *beside(su, sa),
             [(rvi, f"100D * {div(u, a)}")], [(f"INERTIA_{length}", w.linreg(q(rvi), length))]]
 
 

@@ -230,6 +230,9 @@ def native_cases() -> dict[str, tuple[dict, list, list[str]]]:
         "entropy": ({"kind": "entropy", "length": 60},
                     [[("p_", dv("close", ssum("close", 60)))], [("ENTP_60", ssum("(-p_ * log2(p_))", 60))]], ["ENTP_60"]),
         "zscore": ({"kind": "zscore", "length": 60}, [[("ZS_60", dv(f"close - {sm('close', 60)}", sd("close", 60)))]], ["ZS_60"]),
+        **{f"{k}_900": ({"kind": k, "length": 900}, [[(f"{out}_900", g("close", 900, f"{fn}(close) {rows(900)}"))]], [f"{out}_900"])
+           for k, out, fn in (("kurtosis", "KURT", "kurtosis"), ("skew", "SKEW", "skewness"), ("variance", "VAR", "var_samp"))},
+        "zscore_300": ({"kind": "zscore", "length": 300}, [[("ZS_300", dv(f"close - {sm('close', 300)}", sd("close", 300)))]], ["ZS_300"]),
         "variance": ({"kind": "variance", "length": 60}, [[("VAR_60", g("close", 60, f"var_samp(close) {rows(60)}"))]], ["VAR_60"]),
         "ohlc4": ({"kind": "ohlc4"}, [[("OHLC4", "(open + high + low + close) / 4.0")]], ["OHLC4"]),
         "hl2": ({"kind": "hl2"}, [[("HL2", "(high + low) / 2.0")]], ["HL2"]),
@@ -239,7 +242,7 @@ def native_cases() -> dict[str, tuple[dict, list, list[str]]]:
 
 # Kinds whose windows are checked on day-long chunks of one-second bars as well (fixture F6).
 DENSE_KINDS = ("sma", "wma", "hma", "cfo", "linreg", "zscore", "bbands", "variance", "kurtosis_continuous",
-               "skew_continuous", "mad_continuous", "cci_continuous")
+               "skew_continuous", "mad_continuous", "cci_continuous", "variance_900", "zscore_300", "kurtosis_900", "skew_900")
 
 
 def dense_sql(kind: str) -> str:
@@ -262,7 +265,7 @@ def native_sql(kind: str) -> str:
 
 def indicator_oracles() -> dict[str, str]:
     dense = {f"dense_{k.removesuffix('_continuous')}": dense_sql(k) for k in DENSE_KINDS}
-    return {**{f"ind_{k}": native_sql(k) for k in native_cases()}, **dense, **kernel_oracles()}
+    return {**{f"ind_{k}": native_sql(k) for k in native_cases()}, **dense, **kernel_oracles(), **continuous_oracles()}
 
 
 # ----------------------------------------------------------- recursive kinds
@@ -274,6 +277,8 @@ class Rec:
     """Builds CTEs of (symbol, interval, chunk_date, rn, y) series, including
     EMA/RMA by recursive CTE (one row per chunk per recursion step)."""
 
+    mode = "daily"  # "continuous": one chunk for each series
+
     def __init__(self):
         self.ctes: list[str] = []
 
@@ -325,8 +330,9 @@ class Rec:
             ctes.append(f"o{i} AS (SELECT *, {', '.join(f'{e} AS {_n(k)}' for k, e in st.items())} FROM o{i - 1})")
         outputs = outputs or list(out)
         sel = ", ".join(f"{r(_n(k))} AS {_n(k)}" for k in outputs)
-        return (f"WITH RECURSIVE {prelude('daily', warmup)},\n" + ",\n".join(ctes)
-                + f"\nSELECT symbol, interval, date, open_time, {sel} FROM o{len(stages)} WHERE date = chunk_date")
+        own = "date = chunk_date" if self.mode == "daily" else "TRUE"
+        return (f"WITH RECURSIVE {prelude(self.mode, warmup)},\n" + ",\n".join(ctes)
+                + f"\nSELECT symbol, interval, date, open_time, {sel} FROM o{len(stages)} WHERE {own}")
 
 
 def _k_ema():
@@ -582,6 +588,29 @@ def kernel_oracles() -> dict[str, str]:
     return out
 
 
+def continuous_cases() -> dict[str, tuple[dict, str]]:
+    """Cumulative kinds and linear recurrences over the unbroken series: (spec, SQL)."""
+    from barwright.functions.kernels import KERNELS
+    from barwright.functions.registry import CUMULATIVE_KINDS
+
+    out = {}
+    for k, (spec, stages, outputs) in native_cases().items():
+        if k in CUMULATIVE_KINDS:
+            out[k] = spec, staged("continuous", 0, stages, outputs)
+    Rec.mode = "continuous"
+    try:
+        for k, f in KERNEL_ORACLES.items():
+            if k not in KERNELS and k not in native_cases():
+                out[k] = f()
+    finally:
+        Rec.mode = "daily"
+    return out
+
+
+def continuous_oracles() -> dict[str, str]:
+    return {f"ind_{k}_continuous": sql for k, (_, sql) in continuous_cases().items()}
+
+
 # ------------------------------------------------------- state machines (N)
 STEP = ("s.symbol = r.symbol AND s.interval = r.interval AND s.chunk_date = r.chunk_date "
         "AND s.rn = r.rn + 1")

@@ -80,6 +80,13 @@ def _kernel_indicator_queries() -> dict:
     return out
 
 
+def _continuous_queries() -> dict:
+    """Cumulative and recursive kinds over the unbroken series."""
+    from barwright.plans.oracle_ind import continuous_cases
+
+    return {f"ind_{k}_continuous": indicator_query(spec, "continuous") for k, (spec, _) in continuous_cases().items()}
+
+
 def _raw_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Raw kline pages from 7-hour bars (fixture F2): every bar fetched twice,
     the second fetch (ingest_seq 2) carrying a revised close; days of the
@@ -251,6 +258,7 @@ QUERIES = {
 QUERIES.update(_native_indicator_queries())
 QUERIES.update(_dense_queries())
 QUERIES.update(_kernel_indicator_queries())
+QUERIES.update(_continuous_queries())
 
 
 DENSE_SPECS = [
