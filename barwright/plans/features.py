@@ -31,9 +31,13 @@ def build_features(
     mode: str = "daily",
     warnings: list[str] | None = None,
     only_days: DataFrame | None = None,
+    error_column: str | None = None,
 ) -> DataFrame:
     """Bars (with symbol, interval, date) -> bars + indicator columns + order-flow columns.
 
+    `error_column` adds a text column that names the specs which failed on a row's chunk (NULL: none);
+    their own columns are NULL there, the others are not touched (S14).
+
     `only_days` (symbol, interval, date) limits the output to those days: in daily
     mode other chunks are dropped before the chunk exchange (days they feed as
     warm-up are still read).
@@ -43,9 +47,9 @@ def build_features(
     mode="continuous" gives finite-window and elementwise kinds their values
     over the unbroken series: chunks are runs of whole days several look-backs
     long, with a halo of as many preceding rows as the longest window needs, so
-    few rows are copied. Cumulative and
-    recursive kinds keep the daily restart rule and are NULL in this mode (a
-    warning says so).
+    few rows are copied. Smoothings forget their start within their look-back, so they equal
+    the whole series' to the last digits; cumulative kinds get the sum of all chunks before as a
+    carry. State machines keep the daily restart rule and are NULL in this mode (a warning says so).
     """
     from barwright.functions.registry import apply_indicators, halo_rows, plan_specs, warmup_rows
 
@@ -80,4 +84,7 @@ def build_features(
     df = slice_to_day(df)
     if only_days is not None and mode != "daily":
         df = df.join(only_days.select("symbol", "interval", "date"), ["symbol", "interval", "date"], "left_semi")
+    if error_column:
+        found = F.col("__kernel_errors") if "__kernel_errors" in df.columns else F.lit(None).cast("string")
+        df = df.withColumn(error_column, found)
     return df.drop("chunk_date", "is_warmup", "__kernel_errors")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from barwright.operators.clean import bar_table, clip_to_day, data_day_grid, day
 from barwright.operators.quality import quality_report, report_json
 from barwright.plans.features import build_features
 from barwright.schema import PARTITION_COLUMNS, day_grid, effective_end, pair_symbol
-from barwright.session import ensure_conf
+from barwright.session import checkpoint_dir, ensure_conf
 from barwright.sources.klines import klines_from_raw
 from barwright.sources.tables import existing_keys, prune, read_bars, write_partitioned, write_reports
 
@@ -28,6 +28,8 @@ PRESET_START = _dt.date(2023, 2, 1)
 PRESET_END = _dt.date(2025, 9, 30)
 INGEST_START = _dt.date(2023, 1, 1)
 
+ERROR_COLUMN = "feature_errors"
+
 
 @dataclass
 class FeatureJob:
@@ -42,6 +44,7 @@ class FeatureJob:
     warmup: int | str = "auto"
     force: bool = False
     interval: str | None = None  # a root with several granularities needs one named
+    error_column: str | None = ERROR_COLUMN  # None: failures leave no trace in the output
     warnings: list[str] = field(default_factory=list)
 
 
@@ -56,7 +59,7 @@ def todo_keys(spark: SparkSession, wanted: DataFrame, out_root: str, force: bool
 def run_features(spark: SparkSession, job: FeatureJob) -> DataFrame:
     """Features for every input day in range that has no output yet.
 
-    Returns the processed keys. Inputs are scanned from start − 1 day so the
+    Returns the processed keys; `feature_status` tells how each of them ended. Inputs are scanned from start − 1 day so the
     first day gets its warm-up; only the wanted days are written.
     """
     from barwright.functions.specs import default_specs
@@ -70,11 +73,12 @@ def run_features(spark: SparkSession, job: FeatureJob) -> DataFrame:
     wanted = bars.select(*PARTITION_COLUMNS).distinct()
     if job.start:
         wanted = wanted.where(F.col("date") >= F.lit(job.start))
-    todo = todo_keys(spark, wanted, job.out_root, job.force)
+    checkpoint_dir(spark)
+    todo = todo_keys(spark, wanted, job.out_root, job.force).checkpoint()  # a small table of keys; the write below changes what it was made from
     need = todo.unionByName(todo.withColumn("date", F.date_sub("date", 1))).distinct()
     src = bars.join(need, PARTITION_COLUMNS, "left_semi")
     feats = build_features(src, specs=specs, orderflow_windows=job.custom_windows if job.with_custom else None,
-                           warmup=job.warmup, mode="daily", warnings=job.warnings, only_days=todo)
+                           warmup=job.warmup, mode="daily", warnings=job.warnings, only_days=todo, error_column=job.error_column)
     # Chunks were hash-partitioned by (symbol, interval, chunk_date) and a
     # chunk keeps only its own day, so each output day lives in one task.
     write_partitioned(feats, job.out_root, overwrite=job.force, clustered=True)
@@ -160,6 +164,22 @@ def job_status(spark: SparkSession, job: FeatureJob) -> DataFrame:
     return every.select(*PARTITION_COLUMNS, status.alias("status"))
 
 
+def feature_status(spark: SparkSession, job: FeatureJob, processed: DataFrame) -> DataFrame:
+    """(symbol, interval, date, status, error) of every wanted day after `run_features` returned `processed`.
+
+    `missing` has no input (S13), `skipped` was there before (S11), `ok` and `failed` were computed now; a
+    failed day has its rows, without the columns of the specs that `error` names (S14). Errors stand in a column of
+    the output itself, so they are written with the rows they speak of; only that column is read back.
+    """
+    out = spark.read.option("basePath", job.out_root).parquet(job.out_root)
+    error = F.max(F.col(job.error_column)) if job.error_column else F.lit(None).cast("string")
+    ended = out.join(processed, PARTITION_COLUMNS, "left_semi").groupBy(*PARTITION_COLUMNS).agg(error.alias("error"))
+    ended = ended.withColumn("ended", F.when(F.col("error").isNull(), "ok").otherwise("failed"))
+    before = job_status(spark, replace(job, force=True)).withColumnRenamed("status", "input")
+    status = F.when(F.col("input") == "missing", "missing").otherwise(F.coalesce("ended", F.lit("skipped")))
+    return before.join(ended, PARTITION_COLUMNS, "left").select(*PARTITION_COLUMNS, status.alias("status"), "error")
+
+
 def run_validate(spark: SparkSession, root: str, out: str | None = None, step_ms: int = 1000,
                  first_n: int = 200) -> DataFrame:
     """Quality report per feature file, in file order.
@@ -169,9 +189,10 @@ def run_validate(spark: SparkSession, root: str, out: str | None = None, step_ms
     """
     ensure_conf(spark)
     df = read_feature_files(spark, root)
+    # What failed is told by `feature_status`; the column that says so is no feature.
+    columns = file_columns(spark, root).withColumn("columns", F.array_remove("columns", ERROR_COLUMN))
     summary, _ = quality_report(df, ["file_path"], "row_index", step_ms=step_ms, first_n=first_n,
-                                exclude=["row_index"],
-                                file_columns=file_columns(spark, root))
+                                exclude=["row_index", ERROR_COLUMN], file_columns=columns)
     reports = report_json(summary, ["file_path"], step_ms)
     if out:
         write_reports(reports, out)

@@ -230,6 +230,36 @@ def q_klines_rejects(spark: SparkSession, sf: str) -> DataFrame:
     return klines_rejects(pages.withColumn("payload", cut), "7h")
 
 
+def _fails_above(a, limit=50.0):
+    """A kernel kind that fails on a chunk whose last close is above the limit."""
+    if a["close"][-1] > limit:
+        raise ValueError(f"last close is above {limit:g}")
+    return {"FAILS_ABOVE": a["close"]}
+
+
+def q_feature_status(spark: SparkSession, sf: str) -> DataFrame:
+    """A feature job over 7-hour bars with a spec that fails on some days, after a job that wrote
+    days 5 to 8 without it; one status row for each wanted day."""
+    import datetime as dt
+    import uuid
+
+    from barwright.functions.registry import register_indicator
+    from barwright.plans.jobs import FeatureJob, feature_status, run_features
+    from barwright.session import checkpoint_dir
+    from barwright.sources.tables import write_partitioned
+
+    b = bars(spark, sf, "7h")
+    root = f"{checkpoint_dir(spark)}/feature-job-{uuid.uuid4().hex[:12]}"
+    write_partitioned(b, f"{root}/bars")
+    register_indicator("fails_above", _fails_above, kernel=True)
+    common = dict(in_root=f"{root}/bars", out_root=f"{root}/features", with_custom=False, interval="7h")
+    sma = {"kind": "sma", "length": 3}
+    run_features(spark, FeatureJob(specs=[sma], start=dt.date(2024, 1, 5), end=dt.date(2024, 1, 8), **common))
+    symbols = [r.symbol for r in b.select("symbol").distinct().collect()] + ["NONE"]
+    job = FeatureJob(specs=[sma, {"kind": "fails_above"}], symbols=symbols, start=dt.date(2024, 1, 1), end=dt.date(2024, 2, 15), **common)
+    return feature_status(spark, job, run_features(spark, job))
+
+
 def q_dedup_keep_last(spark: SparkSession, sf: str) -> DataFrame:
     """A1 alone: two fetches of every 7-hour bar; the later fetch wins."""
     from barwright.operators.clean import bar_table, dedup_keep_last
@@ -254,6 +284,7 @@ QUERIES = {
     "merge_keep_last": q_merge_keep_last,
     "klines_rejects": q_klines_rejects,
     "dedup_keep_last": q_dedup_keep_last,
+    "feature_status": q_feature_status,
 }
 QUERIES.update(_native_indicator_queries())
 QUERIES.update(_dense_queries())
