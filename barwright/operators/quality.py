@@ -67,10 +67,9 @@ def quality_report(
     key and `columns array<string>`, the columns that each file itself holds; without
     it every file is taken to hold all columns of `df`.
 
-    One pass: a lag window per file, then one grouped aggregation whose row per
-    file carries every rate; the all-NULL list and both top-k lists are array
-    expressions over that row. The spacings are made distinct per file, and the
-    smallest few joined on.
+    One pass: a lag window per file, then an aggregation by file and spacing and one by
+    file, whose row carries every rate and the smallest spacings; the all-NULL list and
+    both top-k lists are array expressions over that row.
     """
     keys = list(file_key)
     helper = set(keys) | set(exclude)
@@ -83,20 +82,23 @@ def quality_report(
     x = df.select(*[F.col(k) for k in keys], F.row_number().over(w).alias("__rn"), diff.alias("__diff"),
                   *[_is_missing(df, c).cast("double").alias(f"__m{i}") for i, c in enumerate(numeric)])
     head = F.col("__rn") <= first_n
-
-    aggs = [
-        F.count(F.lit(1)).alias("n_rows"),
+    n = len(numeric)
+
+    # First by (file, spacing), then by file: both levels keep the partitioning of the lag window.
+    spaced = x.groupBy(*keys, "__diff").agg(
+        F.count(F.lit(1)).alias("__n"), F.count(F.when(head, 1)).alias("__nh"),
+        *[F.sum(f"__m{i}").alias(f"__s{i}") for i in range(n)], *[F.sum(F.when(head, F.col(f"__m{i}"))).alias(f"__t{i}") for i in range(n)])
+    by_size = Window.partitionBy(*keys).orderBy(F.col("__diff").asc_nulls_last())
+    small = (F.col("__k") <= N_DIFFS) & F.col("__diff").isNotNull()
+    rows = F.sum("__n")
+    step_rate = F.try_divide(F.sum(F.when(F.col("__diff") == step_ms, F.col("__n")).otherwise(0)), F.sum(F.when(F.col("__diff").isNotNull(), F.col("__n"))))
+    per_file = spaced.withColumn("__k", F.row_number().over(by_size)).groupBy(*keys).agg(
+        rows.alias("n_rows"),
         F.coalesce(F.bool_and(F.col("__diff") >= 0), F.lit(has_ot)).alias("open_time_monotonic"),
-        (F.avg((F.col("__diff") == step_ms).cast("double")) if has_ot else F.lit(0.0)).alias("open_time_step_rate"),
-    ]
-    for i in range(len(numeric)):
-        aggs += [F.avg(f"__m{i}").alias(f"__a{i}"), F.avg(F.when(head, F.col(f"__m{i}"))).alias(f"__h{i}")]
-    # the smallest spacings: distinct first, then a few per file, so no set of all spacings is held
-    apart = x.where(F.col("__diff").isNotNull()).select(*keys, "__diff").distinct()
-    few = apart.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy("__diff"))).where(F.col("__n") <= N_DIFFS)
-    few = few.groupBy(*keys).agg(F.sort_array(F.collect_list("__diff")).alias("__few"))
-    per_file = x.groupBy(*keys).agg(*aggs).join(few, keys, "left").withColumn(
-        "open_time_unique_diffs", F.coalesce("__few", F.array().cast("array<bigint>"))).drop("__few")
+        (step_rate if has_ot else F.lit(0.0)).alias("open_time_step_rate"),
+        F.sort_array(F.collect_list(F.when(small, F.col("__diff")))).alias("open_time_unique_diffs"),
+        *[(F.sum(f"__s{i}") / rows).alias(f"__a{i}") for i in range(n)],
+        *[F.try_divide(F.sum(f"__t{i}"), F.sum("__nh")).alias(f"__h{i}") for i in range(n)])
 
     every = F.array(*[F.lit(c) for c in cols]).cast("array<string>")
     if file_columns is not None:

@@ -230,6 +230,29 @@ def q_klines_rejects(spark: SparkSession, sf: str) -> DataFrame:
     return klines_rejects(pages.withColumn("payload", cut), "7h")
 
 
+def q_bars_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """S3 at 30m, 1h and 7h from one scan: each coarser interval from the finer one."""
+    from barwright.plans.common import table
+    from barwright.session import ensure_conf
+    from barwright.sources.events import bars_at, trades_from_events
+
+    ensure_conf(spark)
+    return rounded(bars_at(trades_from_events(table(spark, sf, "events")), ("30m", "1h", "7h")))
+
+
+def q_quality_file_order(spark: SparkSession, sf: str) -> DataFrame:
+    """A4-A6 on files whose rows do not stand in time order: half of the files are dealt out by a multiple of open_time."""
+    from barwright.operators.quality import quality_report
+
+    b = bars(spark, sf, "30m")
+    slot = F.col("open_time") / 1_800_000
+    place = F.when(F.dayofmonth("date") % 2 == 0, (slot * 29) % 48).otherwise(slot % 48).cast("long")
+    files = b.select(F.col("symbol").alias("file_symbol"), F.col("date").alias("file_date"), "open_time", "close", place.alias("place"))
+    summary, _ = quality_report(files, ["file_symbol", "file_date"], "place", step_ms=1_800_000, exclude=["place"], probes=())
+    return rounded(summary.select("file_symbol", "file_date", "open_time_monotonic", "open_time_step_rate",
+                                  F.array_join(F.col("open_time_unique_diffs").cast("array<string>"), ",").alias("diffs")))
+
+
 def _fails_above(a, limit=50.0):
     """A kernel kind that fails on a chunk whose last close is above the limit."""
     if a["close"][-1] > limit:
@@ -285,6 +308,8 @@ QUERIES = {
     "klines_rejects": q_klines_rejects,
     "dedup_keep_last": q_dedup_keep_last,
     "feature_status": q_feature_status,
+    "bars_rollup": q_bars_rollup,
+    "quality_file_order": q_quality_file_order,
 }
 QUERIES.update(_native_indicator_queries())
 QUERIES.update(_dense_queries())

@@ -7,12 +7,16 @@ partial aggregation, so a hot symbol is pre-aggregated before the shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from decimal import Decimal
+from functools import reduce
+from itertools import pairwise
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barwright.schema import DEFAULT_EXCHANGE, interval_to_ms, ms_to_date
+from barwright.session import checkpoint_dir
 
 
 def trades_from_events(events: DataFrame) -> DataFrame:
@@ -72,6 +76,36 @@ def bars_from_trades(trades: DataFrame, interval: str, exchange: str = DEFAULT_E
     )
 
 
+def rolled_up(bars: DataFrame, interval: str) -> DataFrame:
+    """Bars of a coarser interval from finer ones, without their trades: all aggregates of a bar merge.
+
+    The finer intervals must divide the coarser one, so that each bar lies in one bucket.
+    """
+    iv = interval_to_ms(interval)
+    bucket = (F.col("open_time") - F.pmod(F.col("open_time"), F.lit(iv))).alias("open_time")
+    merged = bars.groupBy("exchange", "symbol", bucket).agg(
+        F.min_by("open", "open_time").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"), F.max_by("close", "open_time").alias("close"),
+        *[F.sum(c).alias(c) for c in ("volume", "quote_volume", "num_trades", "taker_buy_base", "taker_buy_quote")])
+    return merged.withColumns({
+        "close_time": F.col("open_time") + F.lit(iv - 1), "interval": F.lit(interval), "date": ms_to_date(F.col("open_time"))}).select(*bars.columns)
+
+
+def bars_at(trades: DataFrame, intervals: Sequence[str], exchange: str = DEFAULT_EXCHANGE) -> DataFrame:
+    """Bars of several intervals from one scan of the trades: the finest from them, each other from the one before.
+
+    Intervals are given from fine to coarse, each a multiple of the one before. The finest bars are
+    checkpointed, so the trades are read and shuffled once whatever the number of intervals.
+    """
+    sizes = [interval_to_ms(i) for i in intervals]
+    if any(coarse % fine or coarse <= fine for fine, coarse in pairwise(sizes)):
+        raise ValueError(f"each interval must be a multiple of the one before: {list(intervals)}")
+    checkpoint_dir(trades.sparkSession)
+    made = [bars_from_trades(trades, intervals[0], exchange).checkpoint()]
+    for interval in intervals[1:]:
+        made.append(rolled_up(made[-1], interval))
+    return reduce(DataFrame.unionByName, made)
+
+
 def bars_from_events(events: DataFrame, interval: str = "30m", exchange: str = DEFAULT_EXCHANGE) -> DataFrame:
     """Events table -> typed bar table with partition columns (symbol, interval, date)."""
     return bars_from_trades(trades_from_events(events), interval, exchange)
