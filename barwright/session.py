@@ -17,6 +17,11 @@ REQUIRED_CONF = {
 }
 
 
+# Classes that Spark generates and keeps compiled. A full feature build needs about 800; with the default of 100
+# every task would compile them again. It is fixed when a session's JVM starts, so clusters set it themselves.
+CODEGEN_CACHE = ("spark.sql.codegen.cache.maxEntries", "5000")
+
+
 def get_spark(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "barwright") -> SparkSession:
     """Local session for tests and benches; on a cluster use the provided session."""
     builder = (
@@ -27,6 +32,7 @@ def get_spark(master: str = "local[8]", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "16g")
+        .config(*CODEGEN_CACHE)
     )
     for k, v in REQUIRED_CONF.items():
         builder = builder.config(k, v)

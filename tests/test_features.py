@@ -137,7 +137,7 @@ def test_chunk_stage_has_one_exchange(spark):
     """Window stages and the Arrow kernel share the one chunk exchange."""
     from barwright.plans.features import build_features
 
-    specs = [{"kind": "sma", "length": 5}, {"kind": "rsi", "length": 5}, {"kind": "bbands", "length": 5, "std": 2.0}]
+    specs = [{"kind": "sma", "length": 5}, {"kind": "rsi", "length": 5}, {"kind": "psar"}, {"kind": "bbands", "length": 5, "std": 2.0}]
     f = build_features(_bars(spark), specs=specs, orderflow_windows=(6,), mode="daily")
     plan = f._jdf.queryExecution().executedPlan().toString().split("\n")
     top = next(i for i, line in enumerate(plan) if "FlatMapGroupsInArrow" in line or "FlatMapGroupsInPandas" in line)
@@ -165,7 +165,7 @@ def test_continuous_mode_tells_what_stays_null(spark):
     from barwright.plans.features import build_features
 
     told = []
-    build_features(_bars(spark), specs=[{"kind": "ema", "length": 5}], orderflow_windows=None, mode="continuous", warnings=told)
+    build_features(_bars(spark), specs=[{"kind": "psar"}], orderflow_windows=None, mode="continuous", warnings=told)
     assert told
 
 

@@ -62,15 +62,6 @@ def test_supertrend_flip():
     assert np.nansum(np.abs(np.diff(v))) == 2  # exactly one flip
 
 
-def test_zero_volume_and_zero_range():
-    c = np.full(30, 5.0)
-    a = arrays(c, c, c, c, np.zeros(30))
-    out = K.k_adosc(a, 3, 10)
-    assert np.allclose(np.nan_to_num(out["ADOSC_3_10"]), 0.0)
-    ha = K.k_ha(a)
-    assert np.allclose(ha["HA_close"], 5.0)
-
-
 def test_smoothing_on_a_whole_day_of_seconds():
     """The recursion written out, over 86,400 values with gaps."""
     rng = np.random.default_rng(3)
