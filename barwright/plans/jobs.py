@@ -19,7 +19,7 @@ from barwright.plans.features import build_features
 from barwright.schema import PARTITION_COLUMNS, day_grid, effective_end, pair_symbol
 from barwright.session import checkpoint_dir, ensure_conf
 from barwright.sources.klines import klines_from_raw
-from barwright.sources.tables import existing_keys, prune, read_bars, write_partitioned, write_reports
+from barwright.sources.tables import existing_keys, keys_in_range, prune, read_bars, write_partitioned, write_reports
 
 # The preset symbol list (base coins, quoted in USDT) and its range.
 FAVORITES = ["btc", "eth", "xrp", "sol", "bnb", "doge", "trx", "ada", "link",
@@ -70,9 +70,7 @@ def run_features(spark: SparkSession, job: FeatureJob) -> DataFrame:
     bars = read_bars(spark, job.in_root, job.symbols, scan_start, job.end)
     if job.interval:
         bars = bars.where(F.col("interval") == job.interval)
-    wanted = bars.select(*PARTITION_COLUMNS).distinct()
-    if job.start:
-        wanted = wanted.where(F.col("date") >= F.lit(job.start))
+    wanted = keys_in_range(spark, job.in_root, job.symbols, job.start, job.end, job.interval)
     checkpoint_dir(spark)
     todo = todo_keys(spark, wanted, job.out_root, job.force).checkpoint()  # a small table of keys; the write below changes what it was made from
     need = todo.unionByName(todo.withColumn("date", F.date_sub("date", 1))).distinct()
@@ -145,10 +143,7 @@ def job_status(spark: SparkSession, job: FeatureJob) -> DataFrame:
     """(symbol, interval, date, status) of every day of the job's range before it runs: `missing` has no
     input (S13), `skipped` is written already (S11), `wanted` will be computed. Days come from the
     data, and with symbols, start and end from their full grid."""
-    bars = read_bars(spark, job.in_root, job.symbols, job.start, job.end)
-    if job.interval:
-        bars = bars.where(F.col("interval") == job.interval)
-    present = bars.select(*PARTITION_COLUMNS).distinct().withColumn("present", F.lit(True))
+    present = keys_in_range(spark, job.in_root, job.symbols, job.start, job.end, job.interval).withColumn("present", F.lit(True))
     every = present
     if job.symbols and job.start and job.end:
         symbols = spark.createDataFrame([(s,) for s in job.symbols], "symbol string")

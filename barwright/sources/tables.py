@@ -70,11 +70,35 @@ def list_days(bars: DataFrame) -> DataFrame:
 
 
 def existing_keys(spark: SparkSession, root: str) -> DataFrame | None:
-    """Partition keys already written under `root`, or None when nothing is there."""
+    """Partition keys already written under `root` (S7, S8, S11), or None when nothing is there.
+
+    The keys are those of the folders that hold parquet files: files are listed, none is opened
+    (the binary source reads a file only where its content is asked for).
+    """
     if not path_exists(spark, root):
         return None
-    keys = [f for f in BAR_TABLE_SCHEMA.fields if f.name in PARTITION_COLUMNS]
-    return spark.read.schema(T.StructType(keys)).option("basePath", root).parquet(root).select(*PARTITION_COLUMNS).distinct()
+    inference = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(inference)
+    spark.conf.set(inference, "false")  # a symbol may look like a number
+    try:
+        files = spark.read.format("binaryFile").option("basePath", root).option("pathGlobFilter", "*.parquet").load(root)
+    finally:
+        spark.conf.set(inference, before)
+    if not set(PARTITION_COLUMNS) <= set(files.columns):
+        return None
+    types = {f.name: f.dataType for f in BAR_TABLE_SCHEMA.fields}
+    return files.select(*[F.col(c).cast(types[c]).alias(c) for c in PARTITION_COLUMNS]).distinct()
+
+
+def keys_in_range(spark: SparkSession, root: str, symbols: Sequence[str] | None = None, start: _dt.date | None = None,
+                  end: _dt.date | None = None, interval: str | None = None) -> DataFrame:
+    """(symbol, interval, date) of a bar table's days within the range, by listing."""
+    keys = existing_keys(spark, root)
+    if keys is None:
+        fields = [f for c in PARTITION_COLUMNS for f in BAR_TABLE_SCHEMA.fields if f.name == c]
+        keys = spark.createDataFrame([], T.StructType(fields))
+    keys = prune(keys, symbols, start, end)
+    return keys.where(F.col("interval") == interval) if interval else keys
 
 
 def write_partitioned(df: DataFrame, root: str, overwrite: bool = False,

@@ -89,3 +89,22 @@ def test_discovery(spark):
     syms = [r.symbol for r in list_symbols(b).collect()]
     assert syms == sorted(syms) and len(syms) == b.select("symbol").distinct().count()
     assert list_days(b).count() == b.select("symbol", "interval", "date").distinct().count()
+
+
+def test_keys_come_from_the_listing(spark, scratch):
+    """Keys of a stored table by its folders: odd symbols keep their spelling, and no file is opened."""
+    from barwright.plans.common import bars
+    from barwright.sources.tables import existing_keys, keys_in_range, write_partitioned
+
+    b = bars(spark, SF001, "1h").where("date <= '2024-01-03'")
+    odd = b.withColumn("symbol", F.when(F.col("symbol") == "click", "007").otherwise(F.concat("symbol", F.lit(" a+b"))))
+    write_partitioned(odd, f"{scratch}/t")
+    want = {tuple(r) for r in odd.select("symbol", "interval", "date").distinct().collect()}
+    assert {tuple(r) for r in existing_keys(spark, f"{scratch}/t").collect()} == want
+    some = keys_in_range(spark, f"{scratch}/t", symbols=["007"], interval="1h")
+    assert {tuple(r) for r in some.collect()} == {k for k in want if k[0] == "007"}
+    assert existing_keys(spark, f"{scratch}/none") is None and keys_in_range(spark, f"{scratch}/none").count() == 0
+    for f in (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{scratch}/t").select("path").collect()):
+        with open(f.path.removeprefix("file:").replace("%20", " "), "w") as broken:
+            broken.write("no parquet")  # a scan of rows or footers would fail
+    assert {tuple(r) for r in existing_keys(spark, f"{scratch}/t").collect()} == want
