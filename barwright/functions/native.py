@@ -26,7 +26,7 @@ import math
 from collections.abc import Sequence
 from itertools import zip_longest
 
-from barwright.operators.windows import EWM, PREFIX_THRESHOLD
+from barwright.operators.windows import EWM, PREFIX_THRESHOLD, SLIDING
 
 
 def q(name: str) -> str:
@@ -87,9 +87,13 @@ class Sql:
     def lag(self, x: str, k: int = 1) -> str:
         return self.call(f"lag({x}, {k}) {self.over()}")
 
+    def value(self, text: str) -> str:
+        """An expression that several calls read, as a reference to its (shared) helper column."""
+        return q(self.values.setdefault(text, f"__x{len(self.values)}"))
+
     def finite(self, x: str) -> str:
         """x, NULL where it is NaN or infinite: such a value must not stay in a running sum. One helper column for all calls."""
-        return q(self.values.setdefault(f"CASE WHEN abs({x}) < double('infinity') THEN {x} END", f"__x{len(self.values)}"))
+        return self.value(f"CASE WHEN abs({x}) < double('infinity') THEN {x} END")
 
     def count(self, x: str, n: int) -> str:
         x = self.finite(x)
@@ -116,10 +120,28 @@ class Sql:
         return self.guard(x, n, f"{self.raw_sum(x, n)} / {n}D")
 
     def max(self, x: str, n: int) -> str:
-        return self.guard(x, n, self.call(f"max({x}) {self.rows(n)}"))
+        return self.guard(x, n, self.extreme("max", x, n))
 
     def min(self, x: str, n: int) -> str:
-        return self.guard(x, n, self.call(f"min({x}) {self.rows(n)}"))
+        return self.guard(x, n, self.extreme("min", x, n))
+
+    def extreme(self, of: str, x: str, n: int) -> str:
+        """`of` (max or min) over the last n rows, NULLs left out.
+
+        A sliding frame reads all its rows for each row, so only short frames slide. A longer one is the extreme
+        of two shorter ones that may overlap, the second one by a lag; spans of falling halves are shared by
+        all lengths, so a row costs O(log n). Every span is a helper column of its own (`value`).
+        """
+        if n <= SLIDING:
+            return self.call(f"{of}({x}) {self.rows(n)}")
+        pick = "greatest" if of == "max" else "least"
+        size = SLIDING
+        span = self.call(f"{of}({x}) {self.rows(size)}")
+        while size < n:
+            step = min(size, n - size)
+            span = self.value(f"{pick}({span}, {self.lag(span, step)})")
+            size += step
+        return span
 
     def moments(self, x: str, tag: str, n: int) -> tuple[list[list[tuple[str, str]]], str]:
         """Stages of the mean and the sums of 2nd to 4th powers about it (m, a, b, c) over n rows, and their column.
@@ -166,12 +188,6 @@ class Sql:
         slope = f"(({n}D * {sxy} - {sx!r}D * {sy}) / {n * sxx - sx * sx!r}D)"
         return self.guard(y, n, f"({C0} + ({sy} - {slope} * {sx!r}D) / {n}D + {slope} * {n}D)")
 
-    def mean_deviation(self, x: str, n: int) -> str:
-        """Mean absolute deviation of the frame's values from their own mean."""
-        values, mean = self.call(f"collect_list({x}) {self.rows(n)}"), self.call(f"avg({x}) {self.rows(n)}")
-        return self.guard(x, n, f"aggregate({values}, 0D, (a, v) -> a + abs(v - {mean})) / {n}D")
-
-
     def smoothed(self, x: str, alpha: float) -> tuple[str, str]:
         """Sum of alpha * (1 - alpha)^age * x over all values so far, and their number; age counts values, not rows."""
         n = self.call(f"count({self.finite(x)}) {self.cum()}")
@@ -325,10 +341,6 @@ def cg(w, length=10):
     return [[(f"CG_{length}", w.guard(C, length, f"-{div(numer, sc)}"))]]
 
 
-def cci(w, length=14, c=0.015):
-    return [[(f"CCI_{length}", div(f"{TP} - {w.mean(TP, length)}", f"{float(c)!r}D * {w.mean_deviation(TP, length)}"))]]
-
-
 def cti(w, length=12):
     return [[(f"CTI_{length}", w.guard(C, length, f"corr({C}, {RN}) {w.rows(length)}"))]]
 
@@ -336,10 +348,9 @@ def cti(w, length=12):
 # ------------------------------------------------------------------- trend
 def aroon(w, length=14):
     n = length + 1
-    frame = w.rows(n)
     # The latest extreme wins ties: max over (value, rn), min over (value, -rn).
-    up_age = f"({RN} - (max(named_struct('v', {H}, 'r', {RN})) {frame}).r)"
-    dn_age = f"({RN} + (min(named_struct('v', {L}, 'r', -{RN})) {frame}).r)"
+    up_age = f"({RN} - {w.extreme('max', w.value(f"named_struct('v', {H}, 'r', {RN})"), n)}.r)"
+    dn_age = f"({RN} + {w.extreme('min', w.value(f"named_struct('v', {L}, 'r', -{RN})"), n)}.r)"
     full = f"{w.full(H, n)} AND {w.full(L, n)}"
     return [[(f"AROOND_{length}", f"CASE WHEN {full} THEN 100D * (1D - {dn_age} / {length}D) END"),
              (f"AROONU_{length}", f"CASE WHEN {full} THEN 100D * (1D - {up_age} / {length}D) END")],
@@ -535,10 +546,6 @@ def zscore(w, length=30):
     return [*stages, [(f"ZS_{length}", div(f"{C} - {m}.m", sd))]]
 
 
-def mad(w, length=30):
-    return [[(f"MAD_{length}", w.mean_deviation(C, length))]]
-
-
 def skew(w, length=30):
     """Sample skewness."""
     n = length
@@ -781,13 +788,13 @@ def ha(w):
 NATIVE = {
     f.__name__: f
     for f in (
-        stoch, roc, mom, bop, cci, cmo, er, kst, rvgi, uo, willr, cfo, cg, cti,
+        stoch, roc, mom, bop, cmo, er, kst, rvgi, uo, willr, cfo, cg, cti,
         aroon, chop, dpo, qstick, vhf, vortex,
         sma, wma, hma, vwma, vwap, bbands, donchian, linreg, midpoint, midprice, ichimoku,
         true_range, stdev, accbands,
         ad, obv, mfi, cmf, pvi, nvi, pvt,
         log_return, percent_return,
-        entropy, zscore, mad, skew, kurtosis, variance,
+        entropy, zscore, skew, kurtosis, variance,
         ohlc4, hl2, hlc3,
         rsi, stochrsi, macd, ppo, apo, pgo, smi, trix, tsi, inertia, adx, ema, rma, t3, tema, dema, kc,
         atr, natr, aberration, adosc, kvo, aobv, ha,

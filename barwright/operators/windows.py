@@ -9,7 +9,8 @@ Cost model: a sliding ROWS frame re-aggregates its whole buffer for every row
 PREFIX_THRESHOLD rows are therefore taken as the difference of two running
 frames, `UNBOUNDED PRECEDING..CURRENT` minus `UNBOUNDED PRECEDING..n
 PRECEDING`, which Spark evaluates incrementally (O(1) per row) in the same
-WindowExec. min/max cannot be decomposed and keep the sliding frame. The
+WindowExec. min/max over more than SLIDING rows are put together from lagged spans
+of half the length (O(log n) per row). The
 expressions themselves are written by `barwright.functions.native.Sql`.
 """
 
@@ -24,6 +25,8 @@ from pyspark.sql.internal import InternalFunction
 
 # Frames longer than this use the running-difference form for sums.
 PREFIX_THRESHOLD = 8
+# Frames longer than this use lagged spans for min and max.
+SLIDING = 16
 
 CHUNK_KEYS = ("symbol", "interval", "chunk_date")
 

@@ -127,6 +127,33 @@ def native_cases() -> dict[str, tuple[dict, list, list[str]]]:
         "mad_continuous": ({"kind": "mad", "length": 60}, [[("MAD_60", _mad("close", 60))]], ["MAD_60"]),
         "cci_continuous": ({"kind": "cci", "length": 20},
                            [[("CCI_20", dv(f"tp - {sm('tp', 20)}", f"0.015 * {_mad('tp', 20)}"))]], ["CCI_20"]),
+        "mad_900": ({"kind": "mad", "length": 900}, [[("m_", g("close", 900, f"avg(close) {rows(900)}")), ("l_", f"list(close) {rows(900)}")],
+                    [("MAD_900", "(CASE WHEN m_ IS NOT NULL THEN list_avg(list_transform(l_, lambda e: abs(e - m_))) END)")]], ["MAD_900"]),
+        "cci_100": ({"kind": "cci", "length": 100},
+                    [[("m_", sm("tp", 100)), ("l_", f"list(tp) {rows(100)}")],
+                     [("CCI_100", dv("tp - m_", "0.015 * list_avg(list_transform(l_, lambda e: abs(e - m_)))"))]], ["CCI_100"]),
+        "donchian_100": ({"kind": "donchian", "lower_length": 100, "upper_length": 100},
+                         [[("DCL_100_100", mn("low", 100)), ("DCU_100_100", mx("high", 100))],
+                          [("DCM_100_100", "(DCL_100_100 + DCU_100_100) / 2.0")]], ["DCL_100_100", "DCM_100_100", "DCU_100_100"]),
+        "willr_100": ({"kind": "willr", "length": 100},
+                      [[("WILLR_100", f"-100.0 * {dv(f'{mx(HI, 100)} - close', f'{mx(HI, 100)} - {mn(LO, 100)}')}")]], ["WILLR_100"]),
+        "stoch_21": ({"kind": "stoch", "k": 21, "d": 3, "smooth_k": 3},
+                     [[("raw", f"100.0 * {dv(f'close - {mn(LO, 21)}', f'{mx(HI, 21)} - {mn(LO, 21)}')}")],
+                      [(_n("STOCHk_21_3_3"), sm("raw", 3))], [(_n("STOCHd_21_3_3"), sm('"STOCHk_21_3_3"', 3))]],
+                     ["STOCHk_21_3_3", "STOCHd_21_3_3"]),
+        "midpoint_100": ({"kind": "midpoint", "length": 100},
+                         [[("MIDPOINT_100", f"({mx('close', 100)} + {mn('close', 100)}) / 2.0")]], ["MIDPOINT_100"]),
+        "midprice_100": ({"kind": "midprice", "length": 100},
+                         [[("MIDPRICE_100", f"({mx('high', 100)} + {mn('low', 100)}) / 2.0")]], ["MIDPRICE_100"]),
+        "aroon_50": ({"kind": "aroon", "length": 50},
+                     [[("AROOND_50", f"CASE WHEN count(low) {rows(51)} = 51 THEN 100.0 * (1 - (rn - arg_min(rn, row(low, -rn)) {rows(51)}) / 50.0) END"),
+                       ("AROONU_50", f"CASE WHEN count(high) {rows(51)} = 51 THEN 100.0 * (1 - (rn - arg_max(rn, row(high, rn)) {rows(51)}) / 50.0) END")],
+                      [("AROONOSC_50", "AROONU_50 - AROOND_50")]], ["AROOND_50", "AROONU_50", "AROONOSC_50"]),
+        "chop_56": ({"kind": "chop", "length": 56},
+                    [[("c_", dv(ssum("tr", 56), f"{mx('high', 56)} - {mn('low', 56)}"))],
+                     [("CHOP_56", f"CASE WHEN c_ > 0 THEN 100.0 * log10(c_) / {math.log10(56)!r} END")]], ["CHOP_56"]),
+        "vhf_56": ({"kind": "vhf", "length": 56},
+                   [[("VHF_56", dv(f"{mx('close', 56)} - {mn('close', 56)}", ssum("abs(close - c1)", 56)))]], ["VHF_56"]),
         "ichimoku_520": ({"kind": "ichimoku", "senkou": 520},
                          [[("ITS_9", f"({mx('high', 9)} + {mn('low', 9)}) / 2.0"),
                            ("IKS_26", f"({mx('high', 26)} + {mn('low', 26)}) / 2.0"), ("sb520", mid520)],
@@ -242,7 +269,9 @@ def native_cases() -> dict[str, tuple[dict, list, list[str]]]:
 
 # Kinds whose windows are checked on day-long chunks of one-second bars as well (fixture F6).
 DENSE_KINDS = ("sma", "wma", "hma", "cfo", "linreg", "zscore", "bbands", "variance", "kurtosis_continuous",
-               "skew_continuous", "mad_continuous", "cci_continuous", "variance_900", "zscore_300", "kurtosis_900", "skew_900")
+               "skew_continuous", "mad_continuous", "cci_continuous", "variance_900", "zscore_300", "kurtosis_900", "skew_900",
+               "mad_900", "cci_100", "donchian_100", "willr_100", "stoch_21", "midpoint_100", "midprice_100", "aroon_50", "chop_56", "vhf_56",
+               "ichimoku")
 
 
 def dense_sql(kind: str) -> str:

@@ -131,3 +131,57 @@ def test_failed_spec_is_told_and_harms_no_other(spark):
         registry._KERNEL.pop("short_chunks")
     assert {r.told for r in rows} == {"short_chunks: too long"} and {r.SHORT for r in rows} == {None}
     assert sum(r["SMA_3"] is not None for r in rows) == 48 and any(r["PSARl_0.02_0.2"] is not None for r in rows)
+
+
+def test_long_extremes_with_holes_and_ties(spark, series):
+    pdf, holes = series
+    pdf = pdf.assign(high=np.where(holes, np.nan, pdf.high.round(1)), low=pdf.low.round(1))
+    specs = [{"kind": "donchian", "lower_length": 17, "upper_length": 300}, {"kind": "aroon", "length": 50}, {"kind": "willr", "length": 31}]
+    out = features(spark, pdf, specs)
+    close_to(out["DCU_17_300"], pdf.high.rolling(300, min_periods=300).max())
+    close_to(out["DCL_17_300"], pdf.low.rolling(17, min_periods=17).min())
+    hh, ll = pdf.high.rolling(31, min_periods=31).max(), pdf.low.rolling(31, min_periods=31).min()
+    close_to(out["WILLR_31"], -100 * (hh - pdf.close) / (hh - ll))
+    frames = np.lib.stride_tricks.sliding_window_view(pdf.low.to_numpy(), 51)[:, ::-1]  # newest first: the latest of equal ones
+    down = np.full(N, np.nan)
+    down[50:] = 100 * (1 - frames.argmin(axis=1) / 50)
+    down[np.isnan(pdf.high.rolling(51, min_periods=51).max())] = np.nan  # both columns wait for whole frames
+    close_to(out["AROOND_50"], down)
+
+
+def brute_deviation(x, n):
+    out = np.full(len(x), np.nan)
+    frames = np.lib.stride_tricks.sliding_window_view(x - x[0], n)
+    for at in range(0, len(frames), 4096):
+        part = frames[at : at + 4096]
+        out[at + n - 1 : at + n - 1 + len(part)] = np.abs(part - part.mean(axis=1, keepdims=True)).mean(axis=1)
+    return out
+
+
+def test_mean_deviation_equals_brute_force(series):
+    from barwright.functions.deviation import mean_deviation
+
+    pdf, holes = series
+    c = pdf.close.to_numpy()
+    for n in (1, 2, 7, 64, 100, 900):
+        got, want = mean_deviation(c, n), brute_deviation(c, n)
+        assert (np.isnan(got) == np.isnan(want)).all()
+        assert np.nanmax(np.abs(got - want)) < 1e-11
+    assert (mean_deviation(c, 60)[20_060:21_500] == 0).all()  # equal values: exactly 0
+    got = mean_deviation(np.where(holes, np.nan, c), 60)
+    whole = pd.Series(np.where(holes, np.nan, c)).rolling(60, min_periods=60).count() == 60
+    assert (np.isfinite(got) == whole.to_numpy()).all()
+    assert len(mean_deviation(np.array([]), 3)) == 0 and np.isnan(mean_deviation(np.array([1.0, 2.0]), 3)).all()
+
+
+def test_mean_deviation_is_whole_in_continuous_mode(spark):
+    rng = np.random.default_rng(5)
+    n = 4000
+    c = 100 + np.cumsum(rng.normal(size=n))
+    pdf = pd.DataFrame({"open_time": DAY + 60_000 * np.arange(n), "close": c, "high": c + 1, "low": c - 1, "open": c, "volume": 1.0})
+    out = features(spark, pdf, [{"kind": "mad", "length": 900}, {"kind": "cci", "length": 100}, {"kind": "psar"}], mode="continuous")
+    want = brute_deviation(c, 900)
+    assert np.nanmax(np.abs(out["MAD_900"].to_numpy() - want)) < 1e-9 and out["MAD_900"].isna().sum() == 899
+    m = pd.Series(c).rolling(100).mean().to_numpy()
+    assert np.nanmax(np.abs(out["CCI_100"].to_numpy() - (c - m) / (0.015 * brute_deviation(c, 100)))) < 1e-6
+    assert out[[x for x in out if x.startswith("PSAR")]].isna().all().all()
