@@ -16,8 +16,10 @@ windows that occur twice or more.
 
 Results: a null text has no words and fails the base rule. A null `lang` is a stratum
 of its own. Null ids, null labels and labels without a document don't count as
-holdouts; of several labels of one id the lowest counts. Repeated rows come out as
-often as they come in. Further columns play no part.
+holdouts; of several labels of one id the lowest counts. A holdout is one text: the bound
+needs independent draws, so repeated rows of an id and copies of a text in a stratum count
+once, with the lowest label (of an id with several texts, the one with the smallest language and
+hash counts). Repeated rows come out as often as they come in. Further columns play no part.
 """
 
 from __future__ import annotations
@@ -173,12 +175,15 @@ def choose_cutoff(good: np.ndarray, bad: np.ndarray, risk: float, delta: float)
 def cutoffs(features: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
     """(stratum, cut array<int>): for each rule the smallest bin that is rejected.
 
-    features: doc_id, lang and the rules' bins. Only counts by stratum, rule and bin are
+    features: doc_id, lang, text_key and the rules' bins. Only counts by stratum, rule and bin are
     gathered, at most BINS + 1 rows for a rule and a label.
     """
     truth = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality").filter("doc_id is not null and quality is not null")
     truth = truth.groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    held = features.select("doc_id", "lang", *(f"bin_{r}" for r in RULES)).join(truth, "doc_id")
+    row = F.struct("lang", "text_key", *(f"bin_{r}" for r in RULES))
+    held = features.select("doc_id", row.alias("row")).join(truth, "doc_id")
+    held = held.groupBy("doc_id").agg(F.min("row").alias("row"), F.min("quality").alias("quality"))
+    held = held.groupBy("row").agg(F.min("quality").alias("quality")).select("row.*", "quality")
     bins = F.explode(F.array(*(F.struct(F.lit(i).alias("rule"), F.col(f"bin_{r}").alias("bin")) for i, r in enumerate(RULES))))
     counts = (
         held.select("lang", "quality", bins.alias("b"))
@@ -217,17 +222,20 @@ def judge(features: DataFrame, cuts: DataFrame) -> DataFrame:
     )
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, lang, text, and the hash by which copies of a text are told."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text", F.xxhash64("text").alias("text_key"))
+
+
 def rate(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
-    """(doc_id, lang, counts, bins, base_failed, kept) of every row."""
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
-    features = saved(measured(src, ["doc_id", "lang"]), "quality-features")
+    """(doc_id, lang, text_key, counts, bins, base_failed, kept) of every row."""
+    features = saved(measured(_keyed(docs), ["doc_id", "lang", "text_key"]), "quality-features")
     return judge(features, cutoffs(features, labels, risk, delta))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
     """The rows of `docs` that pass; texts aren't shuffled, they are measured a second time."""
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
-    cuts = cutoffs(measured(src, ["doc_id", "lang"]), labels, risk, delta)
+    cuts = cutoffs(measured(_keyed(docs), ["doc_id", "lang", "text_key"]), labels, risk, delta)
     return judge(measured(docs, docs.columns), cuts).filter("kept").select(*docs.columns)
 
 

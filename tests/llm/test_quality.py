@@ -71,6 +71,19 @@ def test_judged_rows(spark):
     assert q.keep_good(docs, labels).count() == 700
 
 
+def test_copies_are_one_holdout(spark):
+    """150 different clean texts prove nothing, however often rows or texts repeat; 700 do."""
+    clean = [f"this is a plain text number {i} about a few things that differ from page {i * 7} to page {i * 13} of it" for i in range(700)]
+    junk = [" ".join(f"w{i}x{j} |" for j in range(30)) for i in range(80)]
+    rows = [(i, clean[i]) for i in range(150) for _ in range(5)] + [(1000 + 150 * c + i, clean[i]) for i in range(150) for c in range(5)]
+    rows += [(5000 + i, t) for i, t in enumerate(junk)]
+    label = spark.createDataFrame([(i, int(i < 5000), 0) for i in range(6000)], "doc_id long, quality int, toxic int")
+    few = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string")
+    assert few.count() == 1580 and q.query(few, label).filter("not kept and not base_failed").count() == 0
+    many = spark.createDataFrame([(i, t, "en") for i, t in enumerate(clean)] + [(5000 + i, t, "en") for i, t in enumerate(junk)], few.schema)
+    assert q.query(many, label).filter("not kept").count() == 80
+
+
 def test_odd_rows(spark):
     docs = odd_docs(spark)
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
