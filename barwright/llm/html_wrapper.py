@@ -26,7 +26,7 @@ from __future__ import annotations
 import html
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -60,7 +60,8 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 BARRIER = frozenset("ul ol dl table select article section div body main td th blockquote".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTR = re.compile(r"(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/]|$)", re.I)
+_ATTR = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+READ = frozenset("class id role style hidden aria-hidden".split())
 _NAME = re.compile(r"[^a-z0-9]+")
 
 
@@ -82,7 +83,8 @@ def _described(tag: str, attributes: str) -> tuple[str, bool]:
     """Label of an element, and whether its tag or attributes say that it isn't content."""
     found = {}
     for name, a, b, c in _ATTR.findall(attributes):
-        found.setdefault(name.lower(), html.unescape(a or b or c).lower())
+        if name.lower() in READ:
+            found.setdefault(name.lower(), html.unescape(a or b or c).lower())
     names = [set(_NAME.split(name)) for key in ("class", "id") for name in found.get(key, "").split()]
     furniture = any(n & (FURNITURE - {"header"} if n & OWN_HEAD else FURNITURE) for n in names if not n & NOT_FURNITURE)
     words = set().union(*names)
@@ -115,7 +117,8 @@ def parse(page: str) -> Node:
                     _close(stack, {"p"}, tag)
                 if tag in CLOSES:
                     _close(stack, CLOSES[tag], tag)
-                label, away = _described(tag, match[3] if len(match[3]) < 400 else match[3][:400])
+                # long attributes are read whole as well, they are only not remembered
+                label, away = (_described if len(match[3]) < 400 else _described.__wrapped__)(tag, match[3])
                 node = Node(tag, label, away)
                 stack[-1].kids.append(node)
                 if tag in RAW and not match[3].endswith("/"):
@@ -167,8 +170,25 @@ def _elements(node: Node) -> list[Node]:
     return [k for k in node.kids if isinstance(k, Node)]
 
 
-def align(a: Node, b: Node, depth: int = 0) -> list[tuple[Node, Node]]:
-    """Simple tree matching of two trees with one label: matched nodes, children in order."""
+def align(a: Node, b: Node) -> list[tuple[Node, Node]]:
+    """Simple tree matching of two trees with one label: matched nodes, children in order.
+
+    Subtrees that differ are matched in turn; they wait on a stack of their own, so trees may be of any depth.
+    """
+    stack, result = [_matching(a, b)], None
+    while stack:
+        try:
+            p, q = stack[-1].send(result)
+            stack.append(_matching(p, q))
+            result = None
+        except StopIteration as end:
+            stack.pop()
+            result = end.value
+    return result
+
+
+def _matching(a: Node, b: Node) -> Generator[tuple[Node, Node], list[tuple[Node, Node]], list[tuple[Node, Node]]]:
+    """Asks for the matching of pairs of children, is sent it, and returns that of `a` and `b`."""
     out = [(a, b)]
     x, y = _elements(a), _elements(b)
     lo = 0
@@ -180,7 +200,7 @@ def align(a: Node, b: Node, depth: int = 0) -> list[tuple[Node, Node]]:
         out.append((x[-1 - hi], y[-1 - hi]))
         hi += 1
     x, y = x[lo : len(x) - hi], y[lo : len(y) - hi]
-    if not x or not y or depth > 60:
+    if not x or not y:
         return out
     pairs = {}
     best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
@@ -194,7 +214,7 @@ def align(a: Node, b: Node, depth: int = 0) -> list[tuple[Node, Node]]:
                 elif p.size == 1 or q.size == 1:
                     got = 1
                 else:
-                    sub = pairs[i, j] = align(p, q, depth + 1)
+                    sub = pairs[i, j] = yield p, q
                     got = sum(2 * m.size if m.text == n.text else 1 for m, n in sub)
             row[j + 1] = max(up[j + 1], row[j], up[j] + got if got else 0)
     i, j = len(x), len(y)

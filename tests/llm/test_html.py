@@ -66,7 +66,16 @@ def test_deep_and_long_pages():
     assert hw.main_text(hw.parse("<div>" * 5000 + "deep" + "</div>" * 5000), set()) == "deep"
     long = hw.parse("".join(f"<p>{i}</p>" for i in range(20_000)))
     assert hw.main_text(long, set()).count("\n") == 19_999
-    assert len(hw.same_nodes(hw.parse("<div>" * 300 + "x"), hw.parse("<div>" * 300 + "y"))) >= 0
+    for depth in (50, 70, 2000):
+        a, b = (hw.parse("<div>" * depth + f"<p>same</p><i>{x}</i>") for x in "xy")
+        assert hw.same_nodes(a, b) == {depth + 1: depth + 1}
+
+
+def test_attributes_are_read_whole_and_by_name():
+    for attrs in ('class="cookie-notice"', f'data-x="{"v" * 5000}" class="cookie-notice"', f'style="{"top:0;" * 300}display:none"', f"data-y='{'w ' * 400}' hidden"):
+        assert hw.main_text(hw.parse(f"<body><div {attrs}>gone</div><p>stays</p></body>"), set()) == "stays"
+    for attrs in ('data-class="cookie-notice"', 'title="see class=sidebar here"', "data-role=navigation", 'data-hidden="x"'):
+        assert hw.main_text(hw.parse(f"<body><div {attrs}>a</div><p>b</p></body>"), set()) == "a\nb"
 
 
 def test_odd_rows(spark):
