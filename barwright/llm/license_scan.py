@@ -76,7 +76,7 @@ def _grams(words):
 
 
 def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, notices: dict[str, str] = NOTICES) -> DataFrame:
-    """(doc_id, text_hash, label, exact, first, last, score): every accepted span, `first` and `last` its words."""
+    """(doc_id, text_hash, label, exact, first, last, score): the accepted span of each band, `first` and `last` its words."""
     src = doc_columns(docs).select("doc_id", F.xxhash64("text").alias("text_hash"), _words(F.col("text")).alias("w"))
     grams = src.select("doc_id", "text_hash", F.posexplode(_grams(F.col("w"))).alias("at", "gram")).withColumn("h", F.xxhash64("gram"))
     known = F.broadcast(templates(docs.sparkSession, phrases, notices).withColumn("t_h", F.xxhash64("gram")).withColumnRenamed("gram", "t_gram"))
@@ -89,15 +89,21 @@ def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, notices: dict[str,
     order = Window.partitionBy(*text).orderBy("diagonal")
     step = F.col("diagonal") - F.lag("diagonal").over(order)
     gap = F.when(F.col("exact"), 0).otherwise(BAND)
+    # matches from a row's own on that a span beginning there may hold; the longest distance is 1 on this scale
+    reach = F.col("at") / (F.floor(STRETCH * F.col("size")) - K + 0.5)
+    ahead = Window.partitionBy(*text, "band").orderBy(reach).rangeBetween(0, 1)
     spans = (
         hits.withColumn("new", (F.coalesce(step, F.lit(1 << 30)) > gap).cast("int"))
         .withColumn("band", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("votes", F.size(F.collect_set("t_at").over(ahead)))
+        .withColumn("last", F.max("at").over(ahead) + (K - 1))
         .groupBy(*text, "band", "label", "exact", "size", "n_grams")
-        .agg(F.countDistinct("t_at").alias("votes"), F.min("at").alias("first"), (F.max("at") + (K - 1)).alias("last"))
+        .agg(F.max(F.struct("votes", (-F.col("at")).alias("before"), "last")).alias("best"))
+        .select(*text, "label", "exact", "size", "n_grams", "best.votes", (-F.col("best.before")).alias("first"), "best.last")
     )
     whole = F.col("exact") & (F.col("votes") == F.col("n_grams"))
     covered = (F.col("votes") + (K - 1)) / F.col("size")
-    near = ~F.col("exact") & (covered >= COVER) & (F.col("last") - F.col("first") + 1 <= STRETCH * F.col("size"))
+    near = ~F.col("exact") & (covered >= COVER)
     return spans.filter(whole | near).select("doc_id", "text_hash", "label", "exact", "first", "last", F.least(covered, F.lit(1.0)).alias("score"))
 
 
@@ -143,10 +149,13 @@ h AS (SELECT rid, template, label, exact, size, n_grams, pos, t_at, pos - t_at A
 s AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY rid, template ORDER BY diagonal) <= CASE WHEN exact THEN 0 ELSE {BAND} END
       THEN 0 ELSE 1 END AS new FROM h),
 b AS (SELECT *, sum(new) OVER (PARTITION BY rid, template ORDER BY diagonal ROWS UNBOUNDED PRECEDING) AS band FROM s),
-q AS (SELECT rid, template, label, exact, size, n_grams, band, count(DISTINCT t_at) AS votes, min(pos) AS first, max(pos) + 1 AS last
-      FROM b GROUP BY rid, template, label, exact, size, n_grams, band),
+e AS (SELECT b.rid, b.template, b.label, b.exact, b.size, b.n_grams, b.band, b.pos, count(DISTINCT o.t_at) AS votes
+      FROM b JOIN b AS o ON b.rid = o.rid AND b.template = o.template AND b.band = o.band AND o.pos BETWEEN b.pos AND b.pos + floor({STRETCH} * b.size) - {K}
+      GROUP BY ALL),
+q AS (SELECT rid, template, label, exact, size, n_grams, band, max(votes) AS votes, arg_max(pos, row(votes, -pos)) AS first
+      FROM e GROUP BY rid, template, label, exact, size, n_grams, band),
 f AS (SELECT rid, label, exact, first, least((votes + 1) / size, 1.0) AS score FROM q
-      WHERE (exact AND votes = n_grams) OR (NOT exact AND (votes + 1) / size >= {COVER} AND last - first + 1 <= {STRETCH} * size)),
+      WHERE (exact AND votes = n_grams) OR (NOT exact AND (votes + 1) / size >= {COVER})),
 a AS (SELECT rid, count(*) FILTER (exact) AS n_base, min(first) FILTER (exact) AS first_word, max(first) FILTER (exact) AS last_word,
       array_to_string(list_sort(list_distinct(list(label) FILTER (exact))), ',') AS base_labels,
       array_to_string(list_sort(list_distinct(list(label))), ',') AS labels, max(score) AS score FROM f GROUP BY rid)

@@ -38,6 +38,50 @@ def test_notices_with_small_changes(spark):
     assert got[2][0] == got[3][0] == "" and got[4][0] == "cc-by-nc-4.0"
 
 
+def labels_of(text):
+    """Labels of a text by trying every begin of every span."""
+    w = lower_words(text)
+    out = set()
+    for notice, label in ls.NOTICES.items():
+        t = lower_words(notice)
+        hits = sorted({(i - j, i, j) for i in range(len(w) - 1) for j in range(len(t) - 1) if w[i : i + 2] == t[j : j + 2]})
+        bands = []
+        for d, i, j in hits:
+            if bands and d - bands[-1][-1][0] <= ls.BAND:
+                bands[-1].append((d, i, j))
+            else:
+                bands.append([(d, i, j)])
+        for band in bands:
+            for _, begin, _ in band:
+                covered = {j for _, i, j in band if 0 <= i - begin and i - begin + 2 <= ls.STRETCH * len(t)}
+                if (len(covered) + 1) / len(t) >= ls.COVER:
+                    out.add(label)
+    return ",".join(sorted(out | set(filter(None, brute(text)[4].split(",")))))
+
+
+def lower_words(text):
+    return re.findall(ls.WORD, lower(text))
+
+
+def test_stray_words_beside_a_notice(spark):
+    mit = "Released under the MIT License"
+    texts = [f"{mit}.", f"{mit} (MIT License).", f"under the {mit}.", f"under the MIT license under the {mit} the MIT License", f"{mit} {mit} under the MIT",
+             "Released, see under the MIT or other License", "under the MIT License under the MIT License", "Licensed under the " + "Licensed under the Apache License, Version 2.0 License, Version 2.0"]
+    random.seed(3)
+    bits = [w for n in list(ls.NOTICES)[:3] for w in n.split()] + ["x"]
+    for _ in range(150):
+        notice = random.choice(list(ls.NOTICES)).split()
+        body = [w for w in notice if random.random() > 0.05]
+        texts.append(" ".join(random.choices(bits, k=random.randint(0, 12)) + notice[: random.randint(0, 5)] + body + notice[-random.randint(1, 5) :] + random.choices(bits, k=3)))
+    docs = docs_of(spark, texts)
+    got = {r.doc_id: r for r in ls.query(docs).collect()}
+    assert [got[i].labels for i in range(len(texts))] == [labels_of(t) for t in texts]
+    assert all("mit-notice" in got[i].labels for i in range(5)) and got[6].labels == "mit"
+    con = duckdb.connect()
+    documents = docs.toPandas()  # noqa: F841
+    assert sorted(con.sql(ls.oracle()).fetchall()) == sorted(map(tuple, got.values()))
+
+
 def test_odd_rows_and_sql(spark):
     docs = odd_docs(spark)
     got = ls.query(docs).collect()
