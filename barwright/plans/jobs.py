@@ -15,11 +15,14 @@ from pyspark.sql import functions as F
 
 from barwright.operators.clean import bar_table, clip_to_day, data_day_grid, day_completeness, dedup_keep_last
 from barwright.operators.quality import quality_report, report_json
+from barwright.functions.registry import _ship_by_value
 from barwright.plans.features import build_features
-from barwright.schema import PARTITION_COLUMNS, day_grid, effective_end, pair_symbol
+from barwright.schema import BAR_SCHEMA, PARTITION_COLUMNS, day_grid, effective_end, pair_symbol
 from barwright.session import checkpoint_dir, ensure_conf
 from barwright.sources.klines import klines_from_raw
-from barwright.sources.tables import existing_keys, keys_in_range, prune, read_bars, write_partitioned, write_reports
+from barwright.sources.tables import (
+    existing_keys, foreign_keys, keys_in_range, prune, read_bars, read_foreign_layout, write_partitioned, write_reports,
+)
 
 # The preset symbol list (base coins, quoted in USDT) and its range.
 FAVORITES = ["btc", "eth", "xrp", "sol", "bnb", "doge", "trx", "ada", "link",
@@ -44,10 +47,40 @@ class FeatureJob:
     warmup: int | str = "auto"
     force: bool = False
     interval: str | None = None  # a root with several granularities needs one named
+    layout: str = "partitions"  # of the input: our own, "files" (SYMBOL/GRAN/DATE.parquet) or "flat" (SYMBOL/DATE.parquet)
     error_column: str | None = ERROR_COLUMN  # None: failures leave no trace in the output
     warnings: list[str] = field(default_factory=list)
 
 
+def _input_keys(spark: SparkSession, job: FeatureJob, start: _dt.date | None) -> DataFrame:
+    """(symbol, interval, date) of the job's input days from `start` on, by listing."""
+    if job.layout == "partitions":
+        return keys_in_range(spark, job.in_root, job.symbols, start, job.end, job.interval)
+    return _of_job(foreign_keys(spark, job.in_root, _granularity(job)), job, start)
+
+
+def _input_bars(spark: SparkSession, job: FeatureJob, start: _dt.date | None) -> DataFrame:
+    """The job's input bars from `start` on; only files of its symbols and days are opened."""
+    if job.layout == "partitions":
+        bars = read_bars(spark, job.in_root, job.symbols, start, job.end)
+        return bars.where(F.col("interval") == job.interval) if job.interval else bars
+    return _of_job(read_foreign_layout(spark, job.in_root, _granularity(job), BAR_SCHEMA), job, start)
+
+
+def _granularity(job: FeatureJob) -> str | None:
+    if job.layout not in ("files", "flat"):
+        raise ValueError(f"unknown layout {job.layout!r}; use 'partitions', 'files' or 'flat'")
+    if job.layout == "flat" and not job.interval:
+        raise ValueError("layout 'flat' names no interval; give the job's")
+    return job.interval or "1s" if job.layout == "files" else None
+
+
+def _of_job(df: DataFrame, job: FeatureJob, start: _dt.date | None) -> DataFrame:
+    if job.layout == "flat":
+        df = df.withColumn("interval", F.lit(job.interval))
+    return prune(df.where(F.col("interval") == (job.interval or "1s")), job.symbols, start, job.end)
+
+
 def todo_keys(spark: SparkSession, wanted: DataFrame, out_root: str, force: bool) -> DataFrame:
     """Wanted keys minus those already written (S11), unless forced."""
     if force:
@@ -67,10 +100,8 @@ def run_features(spark: SparkSession, job: FeatureJob) -> DataFrame:
     ensure_conf(spark)
     specs = list(job.specs) if job.specs is not None else default_specs()[1]
     scan_start = job.start - _dt.timedelta(days=1) if job.start else None
-    bars = read_bars(spark, job.in_root, job.symbols, scan_start, job.end)
-    if job.interval:
-        bars = bars.where(F.col("interval") == job.interval)
-    wanted = keys_in_range(spark, job.in_root, job.symbols, job.start, job.end, job.interval)
+    bars = _input_bars(spark, job, scan_start)
+    wanted = _input_keys(spark, job, job.start)
     checkpoint_dir(spark)
     todo = todo_keys(spark, wanted, job.out_root, job.force).checkpoint()  # a small table of keys; the write below changes what it was made from
     need = todo.unionByName(todo.withColumn("date", F.date_sub("date", 1))).distinct()
@@ -118,14 +149,22 @@ def run_ingest(spark: SparkSession, raw: DataFrame, interval: str, out_root: str
     return day_completeness(written, data_day_grid(written))
 
 
-def read_feature_files(spark: SparkSession, root: str) -> DataFrame:
+def read_feature_files(spark: SparkSession, root: str, layout: str = "partitions") -> DataFrame:
     """Feature files with their path and row order (S5); columns that only some files have are NULL in the others."""
-    return spark.read.option("mergeSchema", "true").parquet(root).select(
+    reader = spark.read.option("mergeSchema", "true")
+    if layout != "partitions":
+        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    return reader.parquet(root).select(
         "*", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.row_index").alias("row_index"))
 
 
 def file_columns(spark: SparkSession, root: str) -> DataFrame:
-    """(file_path, columns) of each parquet file, from its own footer, read by the tasks."""
+    """(file_path, columns) of each parquet file, from its own footer.
+
+    Files are only listed by Spark; the tasks open them through Arrow's file systems and read the footer's
+    range, whatever a file's size. Schemes that Arrow does not know (see `open_file`) must be mapped.
+    """
+    _ship_by_value()
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(root)
 
     def names(batches):
@@ -133,17 +172,37 @@ def file_columns(spark: SparkSession, root: str) -> DataFrame:
         import pyarrow.parquet as pq
 
         for b in batches:
-            found = [pq.read_schema(pa.BufferReader(c.as_py())).names for c in b.column("content")]
+            found = []
+            for path in b.column("path").to_pylist():
+                with open_file(path) as f:
+                    found.append(pq.read_schema(f).names)
             yield pa.RecordBatch.from_arrays([b.column("file_path"), pa.array(found, pa.list_(pa.string()))], names=["file_path", "columns"])
 
-    return files.select(F.col("_metadata.file_path").alias("file_path"), "content").mapInArrow(names, "file_path string, columns array<string>")
+    return files.select(F.col("_metadata.file_path").alias("file_path"), "path").mapInArrow(names, "file_path string, columns array<string>")
+
+
+# Hadoop's scheme names of file systems that Arrow knows under another name.
+ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3", "wasbs": "abfs", "abfss": "abfs"}
+
+
+def open_file(path: str):
+    """A file of a Spark listing, opened for reading in ranges."""
+    from urllib.parse import quote
+
+    from pyarrow import fs
+
+    scheme, _, rest = path.partition(":")
+    if scheme == "file" or not rest:
+        return fs.LocalFileSystem().open_input_file("/" + (rest or path).lstrip("/"))
+    system, inner = fs.FileSystem.from_uri(f"{ARROW_SCHEMES.get(scheme, scheme)}:{quote(rest, safe='/@:')}")
+    return system.open_input_file(inner)
 
 
 def job_status(spark: SparkSession, job: FeatureJob) -> DataFrame:
     """(symbol, interval, date, status) of every day of the job's range before it runs: `missing` has no
     input (S13), `skipped` is written already (S11), `wanted` will be computed. Days come from the
     data, and with symbols, start and end from their full grid."""
-    present = keys_in_range(spark, job.in_root, job.symbols, job.start, job.end, job.interval).withColumn("present", F.lit(True))
+    present = _input_keys(spark, job, job.start).withColumn("present", F.lit(True))
     every = present
     if job.symbols and job.start and job.end:
         symbols = spark.createDataFrame([(s,) for s in job.symbols], "symbol string")
@@ -176,14 +235,14 @@ def feature_status(spark: SparkSession, job: FeatureJob, processed: DataFrame) -
 
 
 def run_validate(spark: SparkSession, root: str, out: str | None = None, step_ms: int = 1000,
-                 first_n: int = 200) -> DataFrame:
+                 first_n: int = 200, layout: str = "partitions") -> DataFrame:
     """Quality report per feature file, in file order.
 
     A file's columns are those of its own footer, so partition columns that come from
     the path are not among them.
     """
     ensure_conf(spark)
-    df = read_feature_files(spark, root)
+    df = read_feature_files(spark, root, layout)
     # What failed is told by `feature_status`; the column that says so is no feature.
     columns = file_columns(spark, root).withColumn("columns", F.array_remove("columns", ERROR_COLUMN))
     summary, _ = quality_report(df, ["file_path"], "row_index", step_ms=step_ms, first_n=first_n,

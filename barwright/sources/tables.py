@@ -45,18 +45,28 @@ def prune(df: DataFrame, symbols=None, start=None, end=None) -> DataFrame:
     return df
 
 
-def read_foreign_layout(spark: SparkSession, root: str, granularity: str | None = "1s") -> DataFrame:
-    """Scan `root/SYMBOL/[GRAN/]YYYY-MM-DD.parquet` files."""
-    df = spark.read.option("recursiveFileLookup", "true").parquet(root)
-    path = F.col("_metadata.file_path")
-    if granularity:
-        pat = r"/([^/]+)/([^/]+)/(\d{4}-\d{2}-\d{2})\.parquet$"
-        sym, gran, day = (F.regexp_extract(path, pat, i) for i in (1, 2, 3))
-    else:
-        pat = r"/([^/]+)/(\d{4}-\d{2}-\d{2})\.parquet$"
-        sym, day = (F.regexp_extract(path, pat, i) for i in (1, 2))
-        gran = F.lit(None).cast("string")
-    return df.withColumn("symbol", sym).withColumn("interval", gran).withColumn("date", F.to_date(day))
+def _path_keys(path, granularity: str | None) -> dict:
+    """symbol, interval and date that a file's path names."""
+    pattern = r"/([^/]+)/([^/]+)/(\d{4}-\d{2}-\d{2})\.parquet$" if granularity else r"/([^/]+)()/(\d{4}-\d{2}-\d{2})\.parquet$"
+    symbol, interval, day = (F.regexp_extract(path, pattern, i) for i in (1, 2, 3))
+    return {"symbol": symbol, "interval": F.nullif(interval, F.lit("")), "date": F.to_date(F.nullif(day, F.lit("")))}
+
+
+def read_foreign_layout(spark: SparkSession, root: str, granularity: str | None = "1s", schema: T.StructType | None = None) -> DataFrame:
+    """Scan `root/SYMBOL/[GRAN/]YYYY-MM-DD.parquet` files.
+
+    Filters on symbol, interval and date act on the path, which Spark knows before it opens a file.
+    """
+    reader = spark.read.schema(schema) if schema else spark.read
+    df = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(root)
+    return df.withColumns(_path_keys(F.col("_metadata.file_path"), granularity))
+
+
+def foreign_keys(spark: SparkSession, root: str, granularity: str | None = "1s") -> DataFrame:
+    """(symbol, interval, date) of the files of a foreign layout, by listing; files of other names are left out."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(root)
+    keys = files.select(F.col("_metadata.file_path").alias("path")).withColumns(_path_keys(F.col("path"), granularity))
+    return keys.where("date IS NOT NULL").select(*PARTITION_COLUMNS).distinct()
 
 
 def list_symbols(bars: DataFrame) -> DataFrame:

@@ -131,3 +131,48 @@ def test_ingest_range_rejects_and_other_time_zones(spark, scratch):
     assert got.count() == want.count() > 0 and got.select("open_time", "date").exceptAll(want.select("open_time", "date")).count() == 0
     bad = spark.createDataFrame([("A", 1, "[[1,2"), ("A", 1, '[["x", 1], [5, 2]]'), ("B", 1, "[]")], "symbol string, ingest_seq long, payload string")
     assert {tuple(r) for r in klines_rejects(bad, "1h").collect()} == {("A", 1, 1), ("B", 0, 0)}
+
+
+def test_jobs_on_files_by_symbol_and_granularity(spark, scratch):
+    """SYMBOL/GRAN/DATE.parquet as input: same features as from our own table; files out of range are not opened."""
+    import os
+
+    from barwright.plans.common import bars
+    from barwright.plans.jobs import FeatureJob, feature_status, job_status, run_features, run_validate
+    from barwright.sources.tables import foreign_keys, read_foreign_layout, write_partitioned
+
+    b = bars(spark, SF001, "1h").where("date between '2024-01-02' and '2024-01-07'")
+    write_partitioned(b, f"{scratch}/bars")
+    for (sym, day), g in b.toPandas().groupby(["symbol", "date"]):
+        for path in (f"{scratch}/files/{sym}/1h/{day}.parquet", f"{scratch}/flat/{sym}/{day}.parquet"):
+            os.makedirs(os.path.dirname(path), exist_ok=True)
+            g.drop(columns=["interval", "date", "symbol"]).to_parquet(path, index=False)
+    symbols = sorted({r.symbol for r in b.select("symbol").distinct().collect()})
+    for sym, gran, day in ((symbols[0], "1h", "2024-01-31"), (symbols[0], "5m", "2024-01-03"), ("OTHER", "1h", "2024-01-03")):
+        os.makedirs(f"{scratch}/files/{sym}/{gran}", exist_ok=True)
+        with open(f"{scratch}/files/{sym}/{gran}/{day}.parquet", "w") as f:
+            f.write("no parquet file")
+    common = dict(specs=[{"kind": "sma", "length": 3}, {"kind": "rsi", "length": 3}], custom_windows=(3,), symbols=symbols,
+                  start=dt.date(2024, 1, 3), end=dt.date(2024, 1, 6), interval="1h")
+    outs = {}
+    for layout, root in (("partitions", "bars"), ("files", "files"), ("flat", "flat")):
+        job = FeatureJob(f"{scratch}/{root}", f"{scratch}/out-{layout}", layout=layout, **common)
+        assert {r.status for r in job_status(spark, job).collect()} <= {"wanted", "missing"}
+        done = run_features(spark, job)
+        assert {r.status for r in feature_status(spark, job, done).collect()} <= {"ok", "missing"}
+        out = spark.read.parquet(f"{scratch}/out-{layout}")
+        outs[layout] = sorted(map(str, out.select(sorted(out.columns)).collect()))
+        assert run_features(spark, job).count() == 0
+    assert outs["files"] == outs["partitions"] == outs["flat"] and outs["files"]
+    assert foreign_keys(spark, f"{scratch}/files", "1h").count() == b.select("symbol", "date").distinct().count() + 3
+    assert {f.name for f in read_foreign_layout(spark, f"{scratch}/flat", None).schema} >= {"symbol", "interval", "date"}
+    reports = run_validate(spark, f"{scratch}/flat", step_ms=3_600_000, layout="flat").collect()
+    assert len(reports) == b.select("symbol", "date").distinct().count()
+    assert json.loads(reports[0].report)["missing_base_cols"] == []
+
+
+def test_footers_of_files_with_odd_names(spark, scratch):
+    from barwright.plans.jobs import file_columns
+
+    spark.range(3).selectExpr("id a", "id b", "'x y%z' k").coalesce(1).write.partitionBy("k").parquet(f"{scratch}/odd name/t")
+    assert [r["columns"] for r in file_columns(spark, f"{scratch}/odd name/t").collect()] == [["a", "b"]]
