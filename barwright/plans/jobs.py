@@ -20,6 +20,7 @@ from barwright.plans.features import build_features
 from barwright.schema import BAR_SCHEMA, PARTITION_COLUMNS, day_grid, effective_end, pair_symbol
 from barwright.session import checkpoint_dir, ensure_conf
 from barwright.sources.klines import klines_from_raw
+from barwright.sources.publish import publish, published_keys, read_published
 from barwright.sources.tables import (
     existing_keys, foreign_keys, keys_in_range, prune, read_bars, read_foreign_layout, write_partitioned, write_reports,
 )
@@ -48,6 +49,7 @@ class FeatureJob:
     force: bool = False
     interval: str | None = None  # a root with several granularities needs one named
     layout: str = "partitions"  # of the input: our own, "files" (SYMBOL/GRAN/DATE.parquet) or "flat" (SYMBOL/DATE.parquet)
+    published: bool = False  # the output is a published table (`sources.publish`): its days change all at once
     error_column: str | None = ERROR_COLUMN  # None: failures leave no trace in the output
     warnings: list[str] = field(default_factory=list)
 
@@ -81,11 +83,15 @@ def _of_job(df: DataFrame, job: FeatureJob, start: _dt.date | None) -> DataFrame
     return prune(df.where(F.col("interval") == (job.interval or "1s")), job.symbols, start, job.end)
 
 
-def todo_keys(spark: SparkSession, wanted: DataFrame, out_root: str, force: bool) -> DataFrame:
+def _output_keys(spark: SparkSession, job: FeatureJob) -> DataFrame | None:
+    return published_keys(spark, job.out_root) if job.published else existing_keys(spark, job.out_root)
+
+
+def todo_keys(spark: SparkSession, wanted: DataFrame, job: FeatureJob) -> DataFrame:
     """Wanted keys minus those already written (S11), unless forced."""
-    if force:
+    if job.force:
         return wanted
-    done = existing_keys(spark, out_root)
+    done = _output_keys(spark, job)
     return wanted if done is None else wanted.join(done, PARTITION_COLUMNS, "left_anti")
 
 
@@ -103,14 +109,17 @@ def run_features(spark: SparkSession, job: FeatureJob) -> DataFrame:
     bars = _input_bars(spark, job, scan_start)
     wanted = _input_keys(spark, job, job.start)
     checkpoint_dir(spark)
-    todo = todo_keys(spark, wanted, job.out_root, job.force).checkpoint()  # a small table of keys; the write below changes what it was made from
+    todo = todo_keys(spark, wanted, job).checkpoint()  # a small table of keys; the write below changes what it was made from
     need = todo.unionByName(todo.withColumn("date", F.date_sub("date", 1))).distinct()
     src = bars.join(need, PARTITION_COLUMNS, "left_semi")
     feats = build_features(src, specs=specs, orderflow_windows=job.custom_windows if job.with_custom else None,
                            warmup=job.warmup, mode="daily", warnings=job.warnings, only_days=todo, error_column=job.error_column)
     # Chunks were hash-partitioned by (symbol, interval, chunk_date) and a
     # chunk keeps only its own day, so each output day lives in one task.
-    write_partitioned(feats, job.out_root, overwrite=job.force, clustered=True)
+    if job.published:
+        publish(feats, job.out_root, clustered=True)
+    else:
+        write_partitioned(feats, job.out_root, overwrite=job.force, clustered=True)
     return todo
 
 
@@ -209,7 +218,7 @@ def job_status(spark: SparkSession, job: FeatureJob) -> DataFrame:
         grid = day_grid(symbols, job.start, job.end).select("symbol", "date")
         intervals = present.select("interval").distinct() if not job.interval else spark.range(1).select(F.lit(job.interval).alias("interval"))
         every = grid.crossJoin(intervals).join(present, PARTITION_COLUMNS, "left")
-    done = existing_keys(spark, job.out_root)
+    done = _output_keys(spark, job)
     if done is None or job.force:
         every = every.withColumn("done", F.lit(None).cast("boolean"))
     else:
@@ -225,7 +234,7 @@ def feature_status(spark: SparkSession, job: FeatureJob, processed: DataFrame) -
     failed day has its rows, without the columns of the specs that `error` names (S14). Errors stand in a column of
     the output itself, so they are written with the rows they speak of; only that column is read back.
     """
-    out = spark.read.option("basePath", job.out_root).parquet(job.out_root)
+    out = read_published(spark, job.out_root) if job.published else spark.read.option("basePath", job.out_root).parquet(job.out_root)
     error = F.max(F.col(job.error_column)) if job.error_column else F.lit(None).cast("string")
     ended = out.join(processed, PARTITION_COLUMNS, "left_semi").groupBy(*PARTITION_COLUMNS).agg(error.alias("error"))
     ended = ended.withColumn("ended", F.when(F.col("error").isNull(), "ok").otherwise("failed"))

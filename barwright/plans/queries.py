@@ -283,6 +283,27 @@ def q_feature_status(spark: SparkSession, sf: str) -> DataFrame:
     return feature_status(spark, job, run_features(spark, job))
 
 
+def q_published_bars(spark: SparkSession, sf: str) -> DataFrame:
+    """Days published in two writes, a third that fails half-way, and one that replaces days; all days as read."""
+    import uuid
+
+    from barwright.session import checkpoint_dir
+    from barwright.sources.publish import publish, read_published
+
+    b = bars(spark, sf, "7h")
+    root = f"{checkpoint_dir(spark)}/published-{uuid.uuid4().hex[:12]}"
+    publish(b.where("date <= '2024-01-15'"), root)
+    publish(b.where("date > '2024-01-15'"), root)
+    try:
+        lost = F.expr("CASE WHEN date = '2024-01-20' THEN raise_error('lost') ELSE 0D END").cast("double")
+        publish(b.repartition("symbol", "interval", "date").withColumn("close", lost), root, clustered=True)  # tasks of other days write
+    except Exception as e:
+        if "lost" not in str(e):
+            raise
+    publish(b.where("date BETWEEN '2024-01-10' AND '2024-01-20'").withColumn("close", F.col("high")), root)
+    return rounded(read_published(spark, root).select(*b.columns))
+
+
 def q_dedup_keep_last(spark: SparkSession, sf: str) -> DataFrame:
     """A1 alone: two fetches of every 7-hour bar; the later fetch wins."""
     from barwright.operators.clean import bar_table, dedup_keep_last
@@ -309,6 +330,7 @@ QUERIES = {
     "dedup_keep_last": q_dedup_keep_last,
     "feature_status": q_feature_status,
     "bars_rollup": q_bars_rollup,
+    "published_bars": q_published_bars,
     "quality_file_order": q_quality_file_order,
 }
 QUERIES.update(_native_indicator_queries())

@@ -176,3 +176,66 @@ def test_footers_of_files_with_odd_names(spark, scratch):
 
     spark.range(3).selectExpr("id a", "id b", "'x y%z' k").coalesce(1).write.partitionBy("k").parquet(f"{scratch}/odd name/t")
     assert [r["columns"] for r in file_columns(spark, f"{scratch}/odd name/t").collect()] == [["a", "b"]]
+
+
+def test_published_table_changes_whole(spark, scratch):
+    import pytest
+
+    from barwright.plans.common import bars
+    from barwright.schema import BAR_TABLE_SCHEMA
+    from barwright.sources import publish as p
+
+    b = bars(spark, SF001, "1h").where("date between '2024-01-02' and '2024-01-05'").cache()
+    root = f"{scratch}/table"
+    with pytest.raises(FileNotFoundError):
+        p.read_published(spark, root)
+    rows = lambda df: sorted(map(str, df.select(sorted(b.columns)).collect()))
+    assert p.publish(b.limit(0), root) == 0 and p.publish(b, root) == 1
+    before = rows(b)
+    assert rows(p.read_published(spark, root)) == before == rows(p.read_published(spark, root, BAR_TABLE_SCHEMA))
+    # a write that ends between partitions: some files of the new batch are there, the table is as it was
+    symbols = sorted(r.symbol for r in b.select("symbol").distinct().collect())
+    broken = b.repartition("symbol", "interval", "date").withColumn("close", F.expr(f"CASE WHEN symbol = '{symbols[-1]}' THEN raise_error('lost') ELSE 0D END").cast("double"))
+    with pytest.raises(Exception, match="lost"):
+        p.publish(broken, root, clustered=True)
+    assert rows(p.read_published(spark, root)) == before and p.published_version(spark, root)[0] == 1
+    # a reader from before a write keeps its days; a new reader has the new ones
+    old = p.read_published(spark, root)
+    day = b.where("date = '2024-01-03'").withColumn("close", F.lit(-1.0))
+    assert p.publish(day, root) == 2
+    assert rows(old) == before
+    now = p.read_published(spark, root)
+    assert rows(now) == rows(b.withColumn("close", F.expr("CASE WHEN date = '2024-01-03' THEN -1D ELSE close END")))
+    assert rows(p.read_published(spark, root, symbols=symbols[:1], start=dt.date(2024, 1, 3), end=dt.date(2024, 1, 4))) == rows(
+        now.where(f"symbol = '{symbols[0]}' and date between '2024-01-03' and '2024-01-04'"))
+    assert p.read_published(spark, root, symbols=["NONE"]).count() == 0
+    assert p.published_keys(spark, root).count() == b.select("symbol", "date").distinct().count()
+    # of two writers of one version the second fails
+    with pytest.raises(p.PublishConflict):
+        p._commit(spark, root, 2, "other")
+    # a commit whose line is missing does not count
+    open(f"{root.removeprefix('file:')}/commits/{3:012d}", "w").close()
+    assert p.published_version(spark, root)[0] == 2 and rows(p.read_published(spark, root)) == rows(now)
+    assert len(p.stale_batches(spark, root)) == 2  # the empty and the broken write
+
+
+def test_features_into_a_published_table(spark, scratch):
+    from barwright.plans.common import bars
+    from barwright.plans.jobs import FeatureJob, feature_status, run_features
+    from barwright.sources.publish import published_version, read_published
+    from barwright.sources.tables import write_partitioned
+
+    b = bars(spark, SF001, "1h").where("date between '2024-01-02' and '2024-01-06'")
+    write_partitioned(b, f"{scratch}/bars")
+    job = FeatureJob(f"{scratch}/bars", f"{scratch}/out", specs=[{"kind": "sma", "length": 3}], with_custom=False,
+                     start=dt.date(2024, 1, 3), end=dt.date(2024, 1, 4), interval="1h", published=True)
+    assert run_features(spark, job).count() > 0
+    job.end = dt.date(2024, 1, 6)
+    done = run_features(spark, job)
+    assert {r.date.day for r in done.select("date").distinct().collect()} == {5, 6}
+    assert {r.status for r in feature_status(spark, job, done).collect()} == {"ok", "skipped"}
+    out = read_published(spark, f"{scratch}/out")
+    assert out.count() == b.where("date >= '2024-01-03'").count() and published_version(spark, f"{scratch}/out")[0] == 2
+    job.force = True
+    run_features(spark, job)
+    assert read_published(spark, f"{scratch}/out").count() == out.count()
