@@ -1,18 +1,20 @@
-"""n-gram language model as a weighted backoff automaton.
+"""n-gram language model with weighted backoff, evaluated order by order.
 
 Tokens: words of the text with A-Z lower-cased, then one end token. Base: unigrams
 with 0.1 added, over the training tokens. Higher orders are smoothed by
-p(w | h) = (c(h w) + k p(w | h')) / (c(h) + k), h' being h without its first word. As an
-automaton: every history seen in training is a state; the arc of a seen n-gram
-carries log10 p(w | h); where there is no arc, the failure arc adds
-log10(k / (c(h) + k)) and goes on from h'. The smoothing k is chosen from `PRIORS` by the
+p(w | h) = (c(h w) + k p(w | h')) / (c(h) + k), h' being h without its first word. Read as an
+automaton, every history seen in training is a state, the arc of a seen n-gram
+carries log10 p(w | h), and where there is no arc a failure arc adds
+log10(k / (c(h) + k)) and goes on from h'. That automaton isn't built here: the same sums are taken
+for all tokens of a block at once, from the shortest history to the longest, as array operations, and no
+state is carried from token to token. The smoothing k is chosen from `PRIORS` by the
 training tokens' own likelihood with each token's own count taken out.
 
 The model isn't bounded, so it is neither collected nor broadcast. Documents are dealt
 into blocks by a hash of the id; a block sends the sorted distinct n-gram hashes it
 needs, with its own training counts, cut into parts by hash range; each part adds up
 the counts of all blocks and sends the totals back, in the same order. A block then
-holds just the arcs its texts can take, and walks every text once, left to right.
+holds just the counts that its texts need.
 Block and part sizes follow from BLOCK_BYTES, and their numbers grow with the input.
 Every document's n-grams count, whatever their frequency.
 
@@ -100,7 +102,7 @@ class Block:
 
 
 class BackoffAutomaton:
-    """States, arcs and failure arcs for the grams of one block, with their counts in the whole corpus."""
+    """The grams of one block's tokens, with their counts in the whole corpus, by order."""
 
     def __init__(self, block: Block, totals: np.ndarray, tokens: int, distinct: int):
         self.block, self.space, self.tokens = block, ADD * (distinct + 1), tokens
@@ -117,9 +119,8 @@ class BackoffAutomaton:
     def walk(self, prior: float, less: int = 0) -> np.ndarray:
         """log10 probability of every token but the begin tokens, in text order.
 
-        The state before a token is the longest history seen in training; the arc of the
-        longest seen gram is taken, and each failure arc on the way adds its weight.
-        `less` is taken out of every count on the way, for the token's own occurrence.
+        What an automaton's arcs and failure arcs would add up to, by the recursion from the base upwards; a
+        history that was not seen leaves the shorter one's value. `less` is taken out of every count on the way, for the token's own occurrence.
         """
         p = self.base(less)
         for fit, history, seen in self.arcs:
