@@ -61,10 +61,11 @@ def targets(sizes: DataFrame, share: float = SHARE, cap: int = CAP, weights: tup
 
 
 def fit_counts(length: np.ndarray, count: np.ndarray, budget: int) -> np.ndarray:
-    """How many documents of each length to take so that their words come nearest to `budget`.
+    """How many documents of each length to take so that their words come near `budget`, never over it.
 
-    Lengths are distinct and positive. The sum reached is the greatest one not over the
-    budget that the dynamic programme can reach, or the budget itself.
+    Lengths are distinct and positive. The sum reached is the greatest one that the
+    dynamic programme can reach after the planned part: the best of all where the budget is at
+    most `GAP` times the longest length, else possibly a few words less.
     """
     take = np.zeros(len(length), np.int64)
     total = int((length * count).sum())

@@ -62,6 +62,16 @@ def test_equal_vectors_and_odd_rows(spark):
     assert 340 not in got and [j for _, j, _ in got[320]] == [321]
 
 
+def test_further_columns_with_clashing_names(spark):
+    rng = np.random.default_rng(18)
+    rows = [(i, [float(a) for a in v]) for i, v in enumerate(rng.normal(size=(300, 4)))]
+    plain = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA)
+    names = ["query_id", "rank", "score", "leaf", "block", "part", "vec", "id", "n", "h"]
+    clashing = plain.selectExpr("*", *(f"CAST(7 AS STRING) AS {c}" for c in names))
+    first = lambda df: sorted(tuple(r)[:4] for r in ann_tree.query(df).collect())
+    assert first(clashing) == first(plain) and len(first(plain)) == 15 * 20
+
+
 def test_empty(spark):
     assert ann_tree.query(spark.createDataFrame([], SCHEMA)).count() == 0
     none = spark.createDataFrame([(1, [1.0], 0)], SCHEMA)

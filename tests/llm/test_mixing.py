@@ -40,7 +40,8 @@ def test_fit_reaches_the_best_sum():
         assert all(0 <= t <= c for t, c in zip(take, counts))
         got = int((take * lengths).sum())
         best = max(s for s in (sum(t * x for t, x in zip(ts, lengths)) for ts in itertools.product(*(range(c + 1) for c in counts))) if s <= budget)
-        assert got <= budget and budget - got <= budget - best + min(lengths)
+        # exact where the dynamic programme has the whole budget; beyond that its choice is that of the last documents
+        assert got == best if budget <= mixing.GAP * max(lengths) else best - min(lengths) <= got <= best
 
 
 def test_large_fit_is_exact():

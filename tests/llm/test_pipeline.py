@@ -1,4 +1,6 @@
+import hashlib
 import os
+import random
 import shutil
 import subprocess
 import sys
@@ -7,6 +9,8 @@ import corpus_pipeline as cp
 import duckdb
 import pytest
 
+from helpers import odd_docs, words
+
 from barwright.llm import queries, quality_rules, simhash
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -33,6 +37,44 @@ def test_stages(spark):
     assert rows and {r.doc_id for r in rows} <= ids
 
 
+def run_on(spark, folder, docs):
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return cp.run(spark, str(folder))
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_run_on_odd_rows_and_an_empty_table(spark, tmp_path):
+    """The one text that passes the base rule, kept once of its copies, in a table with clashing columns."""
+    out = run_on(spark, tmp_path / "odd", odd_docs(spark))
+    assert {(r.doc_id, r.decoded_sha256) for r in out.collect()} == {(1, sha("one two three four five six seven eight nine ten eleven"))}
+    assert run_on(spark, tmp_path / "none", odd_docs(spark).limit(0)).count() == 0
+
+
+def test_run_on_planted_documents(spark, tmp_path):
+    """Clean documents stay whole, copies and junk go, a passage that repeats an earlier document's is cut."""
+    rng = random.Random(21)
+    text = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    rows = [(i, text(rng.randint(60, 120))) for i in range(50)]
+    copies = [(100 + i, rows[i][1]) for i in range(20)] + [(200 + i, rows[0][1]) for i in range(10)]
+    junk = [(300, "too short"), (301, "again and again and so " * 30), (302, None), (303, "")]
+    ahead, behind = text(40), text(40)
+    passage = rows[7][1]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t or "")) for i, t in [*rows, *copies, *junk, (400, f"{ahead} {passage} {behind}")]], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {}
+    for r in run_on(spark, tmp_path / "planted", docs).collect():
+        got.setdefault(r.doc_id, []).append(r.decoded_sha256)
+    assert set(got) == {*range(50), 400}
+    assert all(set(got[i]) == {sha(t)} for i, t in rows)
+    assert len(set(got[400])) == 1 and got[400][0] != sha(f"{ahead} {passage} {behind}")
+    assert all(1 <= len(x) <= 2 for x in got.values())
+    size = {i: len(words(t)) for i, t in rows}
+    assert abs(sum(size[i] * len(got[i]) for i in size) + 80 * len(got[400]) - 1.5 * (sum(size.values()) + 80)) < 200
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_sql(spark, name):
     con = duckdb.connect()
