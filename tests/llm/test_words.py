@@ -4,7 +4,7 @@ from helpers import lower, words
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from barwright.llm.words import hashed_words, joined, ngram_hashes, split_words, steps
+from barwright.llm.words import BLOCK, _lower, _space, hashed_words, joined, mix64, ngram_hashes, split_words, steps
 
 TEXT = st.text(alphabet=st.sampled_from(list("aAbB zZ\t\n\r\x0b\x0c\x1c\x85 　é😀")), max_size=40)
 
@@ -44,3 +44,16 @@ def test_steps_cut_between_rows():
 def test_long_words():
     count, h = hashed_words(pa.array(["a" * 300 + " " + "a" * 301, "a" * 300]), lower=False)
     assert count.tolist() == [2, 1] and h[0] == h[2] != h[1]
+
+
+def test_blocks_of_numbers_and_bytes():
+    """Hashes do not depend on the blocks they are made in, and all bytes are told apart as the pattern does."""
+    rng = np.random.default_rng(43)
+    h, row = rng.integers(0, 1 << 63, 2 * BLOCK + 100).astype(np.uint64), np.zeros(2 * BLOCK + 100, np.int64)
+    value, at = ngram_hashes(h, row, 5)
+    assert len(value) == len(h) - 4 and at.tolist() == list(range(len(value)))
+    for i in (0, BLOCK - 5, BLOCK - 1, BLOCK, 2 * BLOCK - 3, len(value) - 1):
+        assert value[i] == ngram_hashes(h[i : i + 5], row[:5], 5)[0][0] and mix64(h)[i] == mix64(h[i : i + 1])[0]
+    every = np.arange(256, dtype=np.uint8)
+    assert np.flatnonzero(_space(every)).tolist() == [9, 10, 11, 12, 13, 32]
+    assert _lower(every).tobytes() == bytes(range(256)).lower()
